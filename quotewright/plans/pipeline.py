@@ -1,0 +1,204 @@
+"""Runs: verify a staged load, publish it, build the marts, check, append results.
+
+RAW switches to a new load only after the load is verified, so a failed load
+leaves readers with the last good tables.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+from datetime import datetime, timezone
+from enum import IntEnum
+from functools import reduce
+from uuid import uuid4
+
+from pyspark.sql import DataFrame, SparkSession
+
+from quotewright.operators.control import control_results
+from quotewright.operators.fingerprint import fingerprint, load_log, load_problems
+from quotewright.operators.quality import run_checks
+from quotewright.operators.recon import recon_pairs
+from quotewright.plans import market as mk
+from quotewright.schemas import MARKET_TABLES
+from quotewright.sources.exports import manifest_fingerprints, read_manifest, read_typed
+from quotewright.sources.reports import ParsedReports, parse_reports, read_reports, refuse_unparsed
+from quotewright.sources.warehouse import Warehouse
+
+
+class Outcome(IntEnum):
+    OK = 0
+    CHECK_FAILED = 1
+    LOAD_NOT_VERIFIED = 2
+
+
+@dataclass(frozen=True)
+class RunResult:
+    outcome: Outcome
+    run_id: str
+    # table and mismatch detail, at most one row per table
+    problems: list[tuple[str, str]] = field(default_factory=list)
+    # this run's checks ordered by name; None when the load was not verified
+    results: DataFrame | None = None
+
+
+def new_run() -> tuple[str, datetime]:
+    """A run id and a UTC stamp of second resolution."""
+    return uuid4().hex[:12], datetime.now(timezone.utc).replace(microsecond=0)
+
+
+def observed_fingerprints(tables: mk.Tables) -> DataFrame:
+    parts = [fingerprint(tables[s.name], s.name, s.fingerprints) for s in MARKET_TABLES.values()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def verify_load(
+    wh: Warehouse, manifest: DataFrame, staged: mk.Tables, run_id: str, at: datetime
+) -> list[tuple[str, str]]:
+    """Compare staged tables with the manifest, append the load log and return the
+    mismatches (none means every table is exact)."""
+    log = load_log(manifest_fingerprints(manifest), observed_fingerprints(staged), run_id, at)
+    wh.append(log, "load_log")
+    stored = wh.table("mart", "load_log").where(f"run_id = '{run_id}'")
+    return [tuple(r) for r in load_problems(stored).orderBy("table_name").collect()]
+
+
+def build_marts(wh: Warehouse, tables: mk.Tables, run_id: str, m: mk.Market) -> dict[str, DataFrame]:
+    """Write every mart of the run and publish them together at the end.
+
+    Returns and pairs are read by several marts and checks, so they are written
+    first and read back: a lost executor costs one stage, not the whole lineage.
+    """
+    daily, trusted = mk.price_daily(tables), mk.price_trusted(tables, m)
+
+    def stage(name: str, df: DataFrame) -> DataFrame:
+        return wh.stage(df, run_id, "mart", name)
+
+    returns = stage("price_returns", mk.price_returns(trusted, m))
+    pairs = stage("recon_pair_counts", mk.recon_pairs(tables, m))
+    coverage = stage("v_recon_coverage", mk.recon_coverage(trusted, m))
+    built = {
+        "price_returns": returns,
+        "recon_pair_counts": pairs,
+        "v_recon_coverage": coverage,
+        **{
+            name: stage(name, df)
+            for name, df in {
+                "v_latest_price": mk.latest_price(returns, m),
+                "v_security_summary": mk.security_summary(returns, m),
+                "v_sector_daily_return": mk.sector_daily_return(returns),
+                "dim_security_current": mk.dim_security_current(tables),
+                "dim_date": mk.dim_date(tables),
+                "v_recon_pairs": recon_pairs(pairs),
+                "v_recon_by_ticker": mk.recon_by_ticker(tables, pairs),
+                "v_recon_summary": mk.recon_summary(pairs, coverage, m),
+                "v_price_anomalies": mk.price_anomalies(daily),
+                "v_platform_health": mk.platform_health(tables),
+            }.items()
+        },
+    }
+    for name in built:
+        wh.publish(run_id, "mart", name)
+    return built
+
+
+def model_views(spark: SparkSession, tables: mk.Tables, m: mk.Market) -> None:
+    """Register the models as session views model_<name>."""
+    models = {
+        "price_daily": mk.price_daily(tables),
+        "price_trusted": mk.price_trusted(tables, m),
+        "corporate_action": mk.corporate_action(tables),
+        "macro_rate": mk.macro_rate(tables),
+    }
+    for name, df in models.items():
+        df.createOrReplaceTempView(f"model_{name}")
+
+
+def load_control(wh: Warehouse, parsed: ParsedReports) -> None:
+    """Replace the control rows of the report's date."""
+    day = str(parsed.headline.select("report_ingest_date").first()[0])
+    wh.replace(parsed.headline, "recon_report_control", "report_ingest_date", day)
+    wh.replace(parsed.entities, "recon_report_control_ticker", "report_ingest_date", day)
+
+
+def build_and_check(
+    wh: Warehouse,
+    tables: mk.Tables,
+    run_id: str,
+    at: datetime,
+    m: mk.Market,
+    parsed: ParsedReports | None = None,
+) -> DataFrame:
+    """Models, marts, checks and the optional report control; returns this run's
+    results, read back from the audit table and ordered by name."""
+    model_views(wh.spark, tables, m)
+    marts = build_marts(wh, tables, run_id, m)
+    checked = {**tables, "recon_pairs": marts["recon_pair_counts"]}
+    wh.append(run_checks(mk.market_checks(m), checked, run_id, at), "dq_results")
+    if parsed is not None:
+        load_control(wh, parsed)
+        report_date = parsed.headline.select("report_ingest_date").first()[0]
+        wh.append(
+            control_results(
+                marts["v_recon_summary"],
+                marts["v_recon_by_ticker"],
+                wh.table("mart", "recon_report_control"),
+                wh.table("mart", "recon_report_control_ticker"),
+                m.control_figures,
+                report_date,
+                run_id,
+                at,
+            ),
+            "dq_results",
+        )
+    return wh.table("mart", "dq_results").where(f"run_id = '{run_id}'").orderBy("check_name")
+
+
+def run_pipeline(
+    wh: Warehouse, export_dir: str, m: mk.Market = mk.Market(), report: str | None = None
+) -> RunResult:
+    """A full run over an export. The report is read first, so an unreadable one
+    stops the run before any table is written."""
+    spark = wh.spark
+    parsed = None
+    if report is not None:
+        texts = read_reports(spark, report)
+        parsed = parse_reports(texts, (m.source_a, m.printed_a), (m.source_b, m.printed_b))
+        refuse_unparsed(parsed)
+    run_id, at = new_run()
+    wh.create(MARKET_TABLES, m.source_a, m.source_b)
+
+    manifest = read_manifest(spark, export_dir)
+    staged = {
+        s.name: wh.stage(read_typed(spark, f"{export_dir}/{s.name}", s.schema), run_id, "raw", s.name)
+        for s in MARKET_TABLES.values()
+    }
+    problems = verify_load(wh, manifest, staged, run_id, at)
+    if problems:
+        return RunResult(Outcome.LOAD_NOT_VERIFIED, run_id, problems)
+    for name in MARKET_TABLES:
+        wh.publish(run_id, "raw", name)
+    results = build_and_check(wh, staged, run_id, at, m, parsed)
+    failed = bool(results.where("status = 'FAIL'").limit(1).collect())
+    return RunResult(Outcome.CHECK_FAILED if failed else Outcome.OK, run_id, [], results)
+
+
+def load_latest(wh: Warehouse) -> DataFrame:
+    log = wh.table("mart", "load_log")
+    return mk.latest_run(log, log)
+
+
+def dq_latest(wh: Warehouse) -> DataFrame:
+    """Checks of the newest load; empty when that load was not verified."""
+    return mk.latest_run(wh.table("mart", "load_log"), wh.table("mart", "dq_results"))
+
+
+def inspect(wh: Warehouse) -> dict[str, DataFrame]:
+    """The listings shown after a run."""
+    tables = {name: wh.table("raw", name) for name in MARKET_TABLES}
+    daily = mk.price_daily(tables)
+    return {
+        "reconciliation": wh.table("mart", "v_recon_summary"),
+        "null_prices": mk.null_prices(daily).orderBy("n_rows", "ticker", "source", ascending=[False, True, True]),
+        "securities_without_prices": mk.securities_without_prices(tables).orderBy("ticker"),
+        "anomalies": mk.first_anomalies(wh.table("mart", "v_price_anomalies")),
+    }

@@ -7,7 +7,7 @@ leaves readers with the last good tables.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 from enum import IntEnum
 from functools import reduce
 from uuid import uuid4
@@ -113,11 +113,15 @@ def model_views(spark: SparkSession, tables: mk.Tables, m: mk.Market) -> None:
         df.createOrReplaceTempView(f"model_{name}")
 
 
-def load_control(wh: Warehouse, parsed: ParsedReports) -> None:
-    """Replace the control rows of the report's date."""
-    day = str(parsed.headline.select("report_ingest_date").first()[0])
-    wh.replace(parsed.headline, "recon_report_control", "report_ingest_date", day)
-    wh.replace(parsed.entities, "recon_report_control_ticker", "report_ingest_date", day)
+def load_control(wh: Warehouse, parsed: ParsedReports) -> date:
+    """Replace the control rows of the report's date, and return that date."""
+    days = parsed.headline.select("report_ingest_date").limit(2).collect()
+    if len(days) != 1:
+        raise ValueError("a run takes the report of exactly one date")
+    day = days[0][0]
+    wh.replace(parsed.headline, "recon_report_control", "report_ingest_date", str(day))
+    wh.replace(parsed.entities, "recon_report_control_ticker", "report_ingest_date", str(day))
+    return day
 
 
 def build_and_check(
@@ -135,8 +139,7 @@ def build_and_check(
     checked = {**tables, "recon_pairs": marts["recon_pair_counts"]}
     wh.append(run_checks(mk.market_checks(m), checked, run_id, at), "dq_results")
     if parsed is not None:
-        load_control(wh, parsed)
-        report_date = parsed.headline.select("report_ingest_date").first()[0]
+        report_date = load_control(wh, parsed)
         wh.append(
             control_results(
                 marts["v_recon_summary"],
@@ -153,7 +156,7 @@ def build_and_check(
     return wh.table("mart", "dq_results").where(f"run_id = '{run_id}'").orderBy("check_name")
 
 
-def run_pipeline(
+def run_market(
     wh: Warehouse, export_dir: str, m: mk.Market = mk.Market(), report: str | None = None
 ) -> RunResult:
     """A full run over an export. The report is read first, so an unreadable one

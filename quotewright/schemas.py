@@ -38,8 +38,13 @@ def decimal_columns(schema: T.StructType) -> list[str]:
     return [f.name for f in schema if isinstance(f.dataType, T.DecimalType)]
 
 
-def _table(name, ddl, key, metrics, newest):
-    return TableSpec(name, T.StructType.fromDDL(ddl), key, metrics, newest)
+INT, SMALL, BIG = T.IntegerType(), T.ShortType(), T.LongType()
+TEXT, BOOL, DATE, STAMP = T.StringType(), T.BooleanType(), T.DateType(), T.TimestampType()
+PRICE, RATIO = T.DecimalType(18, 6), T.DecimalType(9, 6)
+
+
+def _schema(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
 # Table names, column names, types, grains and metric names are the
@@ -47,11 +52,13 @@ def _table(name, ddl, key, metrics, newest):
 MARKET_TABLES: dict[str, TableSpec] = {
     t.name: t
     for t in (
-        _table(
+        TableSpec(
             "dim_date",
-            "date_key INT, date DATE, year SMALLINT, quarter SMALLINT, month SMALLINT, "
-            "month_name STRING, day SMALLINT, day_of_week SMALLINT, day_name STRING, "
-            "is_weekday BOOLEAN, is_trading_day BOOLEAN",
+            _schema(
+                date_key=INT, date=DATE, year=SMALL, quarter=SMALL, month=SMALL,
+                month_name=TEXT, day=SMALL, day_of_week=SMALL, day_name=TEXT,
+                is_weekday=BOOL, is_trading_day=BOOL,
+            ),
             ("date_key",),
             {
                 "min_date_key": "min(date_key)",
@@ -60,11 +67,13 @@ MARKET_TABLES: dict[str, TableSpec] = {
             },
             "date",
         ),
-        _table(
+        TableSpec(
             "dim_security",
-            "security_key INT, ticker STRING, company_name STRING, gics_sector STRING, "
-            "gics_sub_industry STRING, figi STRING, effective_from DATE, effective_to DATE, "
-            "is_current BOOLEAN",
+            _schema(
+                security_key=INT, ticker=TEXT, company_name=TEXT, gics_sector=TEXT,
+                gics_sub_industry=TEXT, figi=TEXT, effective_from=DATE,
+                effective_to=DATE, is_current=BOOL,
+            ),
             ("security_key",),
             {
                 "distinct_tickers": "count(distinct ticker)",
@@ -73,11 +82,12 @@ MARKET_TABLES: dict[str, TableSpec] = {
             },
             "effective_from",
         ),
-        _table(
+        TableSpec(
             "fact_price_daily",
-            "security_key INT, date_key INT, source STRING, "
-            + ", ".join(f"{c} DECIMAL(18,6)" for c in PRICE_FIELDS)
-            + ", volume BIGINT, adj_volume BIGINT",
+            _schema(
+                security_key=INT, date_key=INT, source=TEXT,
+                **dict.fromkeys(PRICE_FIELDS, PRICE), volume=BIG, adj_volume=BIG,
+            ),
             ("security_key", "date_key", "source"),
             {
                 "distinct_securities": "count(distinct security_key)",
@@ -89,10 +99,12 @@ MARKET_TABLES: dict[str, TableSpec] = {
             },
             "date_key",
         ),
-        _table(
+        TableSpec(
             "fact_price_daily_consensus",
-            "security_key INT, date_key INT, adj_close DECIMAL(18,6), primary_source STRING, "
-            "sources_available STRING, pct_diff DECIMAL(9,6), reconciliation_flag STRING",
+            _schema(
+                security_key=INT, date_key=INT, adj_close=PRICE, primary_source=TEXT,
+                sources_available=TEXT, pct_diff=RATIO, reconciliation_flag=TEXT,
+            ),
             ("security_key", "date_key"),
             {
                 "sum_adj_close": "sum(adj_close)",
@@ -102,16 +114,21 @@ MARKET_TABLES: dict[str, TableSpec] = {
             },
             "date_key",
         ),
-        _table(
+        TableSpec(
             "fact_corporate_action",
-            "security_key INT, date_key INT, action_type STRING, value DECIMAL(18,6), source STRING",
+            _schema(
+                security_key=INT, date_key=INT, action_type=TEXT, value=PRICE,
+                source=TEXT,
+            ),
             ("security_key", "date_key", "action_type", "source"),
             {"sum_value": "sum(value)", "split_rows": "count_if(action_type = 'split')"},
             "date_key",
         ),
-        _table(
+        TableSpec(
             "fact_macro_rate",
-            "date_key INT, series_id STRING, value DECIMAL(18,6)",
+            _schema(
+                date_key=INT, series_id=TEXT, value=PRICE,
+            ),
             ("date_key", "series_id"),
             {"distinct_series": "count(distinct series_id)", "sum_value": "sum(value)"},
             "date_key",
@@ -119,31 +136,33 @@ MARKET_TABLES: dict[str, TableSpec] = {
     )
 }
 
-LOAD_LOG = T.StructType.fromDDL(
-    "run_id STRING, table_name STRING, rows_expected BIGINT, rows_loaded BIGINT, "
-    "fingerprint_match BOOLEAN, mismatch_detail STRING, loaded_at_utc TIMESTAMP"
+LOAD_LOG = _schema(
+    run_id=TEXT, table_name=TEXT, rows_expected=BIG, rows_loaded=BIG,
+    fingerprint_match=BOOL, mismatch_detail=TEXT, loaded_at_utc=STAMP,
 )
-DQ_RESULTS = T.StructType.fromDDL(
-    "run_id STRING, check_name STRING, table_name STRING, severity STRING, status STRING, "
-    "failing_count BIGINT, checked_rows BIGINT, description STRING, checked_at_utc TIMESTAMP"
+DQ_RESULTS = _schema(
+    run_id=TEXT, check_name=TEXT, table_name=TEXT, severity=TEXT, status=TEXT,
+    failing_count=BIG, checked_rows=BIG, description=TEXT, checked_at_utc=STAMP,
 )
 
 
 def control_schema(source_a: str, source_b: str) -> T.StructType:
-    return T.StructType.fromDDL(
-        "report_ingest_date DATE, compared_pairs BIGINT, flagged_pairs BIGINT, "
-        f"only_{source_a} BIGINT, only_{source_b} BIGINT, tickers_compared INT, tickers_affected INT"
+    only = {f"only_{s}": BIG for s in (source_a, source_b)}
+    return _schema(
+        report_ingest_date=DATE, compared_pairs=BIG, flagged_pairs=BIG, **only,
+        tickers_compared=INT, tickers_affected=INT,
     )
 
 
-CONTROL_TICKER = T.StructType.fromDDL(
-    "report_ingest_date DATE, ticker STRING, flagged BIGINT, compared BIGINT, "
-    "first_flagged DATE, last_flagged DATE"
+CONTROL_TICKER = _schema(
+    report_ingest_date=DATE, ticker=TEXT, flagged=BIG, compared=BIG, first_flagged=DATE,
+    last_flagged=DATE,
 )
-MANIFEST = T.StructType.fromDDL(
-    "table_name STRING, rows BIGINT, path STRING, files BIGINT, bytes BIGINT, "
-    "nan_to_null MAP<STRING,BIGINT>, fingerprints MAP<STRING,STRING>, exported_at_utc STRING"
+MANIFEST = _schema(
+    table_name=TEXT, rows=BIG, path=TEXT, files=BIG, bytes=BIG,
+    nan_to_null=T.MapType(TEXT, BIG), fingerprints=T.MapType(TEXT, TEXT),
+    exported_at_utc=TEXT,
 )
-MANIFEST_FILES = T.StructType.fromDDL(
-    "table_name STRING, file STRING, bytes BIGINT, sha256 STRING"
+MANIFEST_FILES = _schema(
+    table_name=TEXT, file=TEXT, bytes=BIG, sha256=TEXT,
 )

@@ -34,7 +34,8 @@ class Warehouse:
     def create(self, specs: Mapping[str, TableSpec], source_a: str, source_b: str) -> None:
         """Databases, empty typed RAW tables and audit tables, where missing."""
         for layer in ("raw", "mart"):
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}{layer}")
+            home = f"{self.root}/tables/{layer}"
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}{layer} LOCATION '{home}'")
         for spec in specs.values():
             self._create("raw", spec.name, spec.schema)
         self._create("mart", "load_log", LOAD_LOG, "run_id")

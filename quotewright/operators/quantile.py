@@ -29,7 +29,7 @@ def _holding_middle(cells: DataFrame, parts: Sequence[str], order: str, start: C
 def grouped_median(df: DataFrame, keys: Sequence[str], value: str, weight: str) -> DataFrame:
     """Median of ``value`` (a double, each row counting ``weight`` times) per key.
 
-    Two rounds of counting narrow each group to the cells around its middle; only
+    Key columns hold no NULL, as columns that were joined on never do. Two rounds of counting narrow each group to the cells around its middle; only
     the distinct values of those cells are ranked. Each round shuffles counts, not
     rows, so a group with a third of all rows costs what the others cost.
     """
@@ -49,7 +49,7 @@ def grouped_median(df: DataFrame, keys: Sequence[str], value: str, weight: str)
     )
 
     at = F.try_divide(F.col("_v") - F.col("_min"), F.col("_max") - F.col("_min"))
-    near = _join(rows, coarse, [*keys, "_c"]).withColumn(
+    near = rows.join(coarse, [*keys, "_c"]).withColumn(
         "_f", F.coalesce(F.floor(at * _FINE), F.lit(0).cast("bigint"))
     )
     fine = near.groupBy(*keys, "_c", "_f").agg(
@@ -60,20 +60,10 @@ def grouped_median(df: DataFrame, keys: Sequence[str], value: str, weight: str)
     )
 
     exact = (
-        _join(near, fine, [*keys, "_c", "_f"])
+        near.join(fine, [*keys, "_c", "_f"])
         .groupBy(*keys, "_c", "_f", "_v")
         .agg(F.sum("_w").alias("_n"), *[F.first(c).alias(c) for c in ("_lo", "_hi", "_base")])
     )
     exact = _holding_middle(exact, [*keys, "_c", "_f"], "_v", F.col("_base"))
     # the two middle ranks fall on one value or on two neighbours
     return exact.groupBy(*keys).agg(((F.min("_v") + F.max("_v")) / 2).alias(f"median_{value}"))
-
-
-def _join(rows: DataFrame, cells: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Null-safe inner join, so a NULL key forms a group like any other."""
-    left, right = rows.alias("l"), cells.alias("r")
-    match = F.lit(True)
-    for c in on:
-        match = match & F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))
-    extra = [c for c in cells.columns if c not in on]
-    return left.join(right, match).select("l.*", *[F.col(f"r.{c}") for c in extra])

@@ -25,7 +25,7 @@ def weighted_pairs(
     def side(name: str) -> DataFrame:
         return (
             prices.where((F.col(source) == name) & F.col(value).isNotNull())
-            .groupBy(*keys, F.col(value).cast("double").alias(f"{name}_{value}"))
+            .groupBy(*keys, F.col(value).alias(f"{name}_{value}"))
             .agg(F.count(F.lit(1)).alias(f"_{name}"))
         )
 
@@ -36,8 +36,7 @@ def weighted_pairs(
         .withColumn("pct_diff", diff)
         .select(
             *keys,
-            f"{a}_{value}",
-            f"{b}_{value}",
+            *[F.col(f"{s}_{value}").cast("double").alias(f"{s}_{value}") for s in (a, b)],
             "pct_diff",
             beyond_tolerance("pct_diff", tolerance).alias("is_flagged"),
             (F.col(f"_{a}") * F.col(f"_{b}")).alias("pairs"),
@@ -63,37 +62,29 @@ def top_discrepancies(pairs: DataFrame, keys: Sequence[str], n: int = 10) -> Dat
     return recon_pairs(head).orderBy(*order).limit(n)
 
 
-def recon_by_entity(pairs: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
+def recon_by_entity(pairs: DataFrame, key: str, day: str) -> DataFrame:
     """Totals, extreme and median difference and flagged window per entity.
 
-    ``pairs`` already carries the entity columns ``keys`` and the date ``day``.
+    Describe the entities by joining a dimension to the result: that joins one row
+    per entity instead of one per pair.
     """
-    keys = list(keys)
     flagged_day = F.when(F.col("is_flagged") == 1, F.col(day))
-    totals = pairs.groupBy(*keys).agg(
+    totals = pairs.groupBy(key).agg(
         F.sum("pairs").alias("compared"),
         F.sum(F.col("is_flagged") * F.col("pairs")).alias("flagged"),
         F.max("pct_diff").alias("max_pct_diff"),
         F.min(flagged_day).alias("first_flagged_date"),
         F.max(flagged_day).alias("last_flagged_date"),
     )
-    middle = grouped_median(pairs, keys, "pct_diff", "pairs")
-    match = F.lit(True)
-    for c in keys:
-        match = match & F.col(f"t.{c}").eqNullSafe(F.col(f"m.{c}"))
-    return (
-        totals.alias("t")
-        .join(middle.alias("m"), match, "left")
-        .select(
-            *[F.col(f"t.{c}") for c in keys],
-            "compared",
-            "flagged",
-            (F.col("flagged").cast("double") / F.col("compared")).alias("flagged_pct"),
-            "max_pct_diff",
-            "median_pct_diff",
-            "first_flagged_date",
-            "last_flagged_date",
-        )
+    return totals.join(grouped_median(pairs, [key], "pct_diff", "pairs"), key, "left").select(
+        key,
+        "compared",
+        "flagged",
+        (F.col("flagged").cast("double") / F.col("compared")).alias("flagged_pct"),
+        "max_pct_diff",
+        "median_pct_diff",
+        "first_flagged_date",
+        "last_flagged_date",
     )
 
 

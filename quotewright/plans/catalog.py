@@ -35,9 +35,15 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def rounded(df: DataFrame, digits: int = 9) -> DataFrame:
+def rounded(df: DataFrame, digits: int = 9, deviation: int = 5) -> DataFrame:
+    """Doubles to ``digits``; deviations, whose last bits depend on the order of
+    summation, to ``deviation``."""
     doubles = [f.name for f in df.schema if isinstance(f.dataType, T.DoubleType)]
-    return df.withColumns({c: F.round(c, digits) for c in doubles})
+
+    def places(c: str) -> int:
+        return deviation if "vol_" in c else min(digits, 7) if c == "log_return" else digits
+
+    return df.withColumns({c: F.round(c, places(c)) for c in doubles})
 
 
 def new_folder(spark: SparkSession) -> str:
@@ -145,7 +151,7 @@ def rolling_volatility(spark, sf):
         bridge.shipped_prices(spark, sf), "supplier", "day", "price",
         gap_days=10, window=21, annualise=252, span_days=365,
     )
-    return rounded(out)
+    return rounded(out, deviation=4)
 
 
 @query
@@ -155,7 +161,7 @@ def rolling_volatility_whole_series(spark, sf):
         bridge.shipped_prices(spark, sf), "supplier", "day", "price",
         gap_days=5, window=5, annualise=252, span_days=None,
     )
-    return rounded(out)
+    return rounded(out, deviation=4)
 
 
 @query
@@ -707,7 +713,7 @@ def ordered_write(spark, sf):
     folder, spec = new_folder(spark), MARKET_TABLES["fact_price_daily"]
     df = bridge.fact_price_daily(spark, sf)
     written = exports.write_ordered(df, folder, spec.key)
-    exports.guard_write(spark, folder, df.count(), int(written.get["rows"]))
+    exports.guard_write(spark, folder, spec.schema, df.count(), int(written.get["rows"]))
     return exports.read_typed(spark, folder, spec.schema)
 
 
@@ -776,7 +782,8 @@ def bi_measures(spark, sf):
     return rounded(
         mk.measures(
             returns, mk.latest_price(returns, M), _summary(spark, sf), _all_results(spark, sf), loads, M
-        )
+        ),
+        6,
     )
 
 

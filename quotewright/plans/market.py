@@ -163,8 +163,11 @@ def recon_pairs(t: Tables, m: Market) -> DataFrame:
 
 
 def recon_by_ticker(t: Tables, pairs: DataFrame) -> DataFrame:
-    described = star.star_join(pairs, [_security(t, "ticker", "gics_sector"), _date(t, "date")])
-    return recon.recon_by_entity(described, ENTITY, "date")
+    dated = star.star_join(pairs, [_date(t, "date")])
+    per_security = recon.recon_by_entity(dated, "security_key", "date")
+    return star.star_join(per_security, [_security(t, "ticker", "gics_sector")]).select(
+        *ENTITY, *[c for c in per_security.columns if c != "security_key"]
+    )
 
 
 def recon_coverage(trusted: DataFrame, m: Market) -> DataFrame:

@@ -160,8 +160,8 @@ summary AS (
 
 _RETURN_COLUMNS = """
 security_key, ticker, gics_sector, date_key, trade_date, adj_close, reconciliation_flag, days_since_prev,
-round(daily_return, 9) AS daily_return, round(log_return, 9) AS log_return, is_gap_return,
-round(vol_7d_ann, 9) AS vol_7d_ann
+round(daily_return, 9) + 0.0 AS daily_return, round(log_return, 7) + 0.0 AS log_return, is_gap_return,
+round(vol_7d_ann, 5) AS vol_7d_ann
 """
 _PAIR_COLUMNS = """
 security_key, date_key, round(click_adj_close, 9) AS click_adj_close,
@@ -200,20 +200,20 @@ _market(
     series_returns=f"SELECT {_RETURN_COLUMNS} FROM price_returns",
     latest_per_entity="""
       SELECT security_key, ticker, gics_sector, trade_date, adj_close,
-             round(daily_return, 9) AS daily_return, round(vol_7d_ann, 9) AS vol_7d_ann, reconciliation_flag
+             round(daily_return, 9) + 0.0 AS daily_return, round(vol_7d_ann, 5) AS vol_7d_ann, reconciliation_flag
       FROM price_returns
       QUALIFY row_number() OVER (PARTITION BY security_key ORDER BY trade_date DESC) = 1""",
     entity_summary="""
       SELECT security_key, ticker, gics_sector, count(*) AS observations, min(trade_date) AS first_date,
-             max(trade_date) AS last_date, round(avg(vol_7d_ann), 9) AS avg_vol_7d_ann,
+             max(trade_date) AS last_date, round(avg(vol_7d_ann), 5) AS avg_vol_7d_ann,
              count(*) FILTER (WHERE reconciliation_flag = 'disagreed') AS disagreed_observations,
              arg_min(adj_close, trade_date) AS first_adj_close,
              arg_max(adj_close, trade_date) AS last_adj_close,
              round(CAST(arg_max(adj_close, trade_date) AS DOUBLE)
-                   / NULLIF(CAST(arg_min(adj_close, trade_date) AS DOUBLE), 0) - 1, 9) AS adj_close_return
+                   / NULLIF(CAST(arg_min(adj_close, trade_date) AS DOUBLE), 0) - 1, 9) + 0.0 AS adj_close_return
       FROM price_returns GROUP BY 1, 2, 3""",
     sector_daily_return="""
-      SELECT gics_sector, trade_date, count(*) AS securities, round(avg(daily_return), 9) AS ew_return
+      SELECT gics_sector, trade_date, count(*) AS securities, round(avg(daily_return), 9) + 0.0 AS ew_return
       FROM price_returns WHERE daily_return IS NOT NULL AND is_gap_return = 0 GROUP BY 1, 2""",
     recon_pairs=f"SELECT {_PAIR_COLUMNS} FROM flagged",
     recon_by_entity="""
@@ -645,7 +645,7 @@ _market(
       events_of_run AS (SELECT * FROM event_log
                         WHERE day = (SELECT day FROM event_log ORDER BY loaded_at DESC, day DESC LIMIT 1)) """
     + " UNION ALL ".join(
-        f"SELECT '{name}' AS measure, round(CAST(({sql}) AS DOUBLE), 9) AS value" for name, sql in _MEASURES.items()
+        f"SELECT '{name}' AS measure, round(CAST(({sql}) AS DOUBLE), 6) AS value" for name, sql in _MEASURES.items()
     )
 )
 
@@ -673,10 +673,10 @@ def _volatility(gap: int, window: int) -> str:
            CAST(price AS DOUBLE) / NULLIF(CAST(lag(price) OVER s AS DOUBLE), 0) - 1 AS daily_return
     FROM prices WINDOW s AS (PARTITION BY supplier ORDER BY day)),
   usable AS (SELECT *, CASE WHEN days_since_prev <= {gap} THEN daily_return END AS u FROM stepped)
-  SELECT supplier, day, price, days_since_prev, round(daily_return, 9) AS daily_return,
-         round(CASE WHEN daily_return > -1 THEN ln(1 + daily_return) END, 9) AS log_return,
+  SELECT supplier, day, price, days_since_prev, round(daily_return, 9) + 0.0 AS daily_return,
+         round(CASE WHEN daily_return > -1 THEN ln(1 + daily_return) END, 7) + 0.0 AS log_return,
          CASE WHEN days_since_prev > {gap} THEN 1 ELSE 0 END AS is_gap_return,
-         round(CASE WHEN count(u) OVER f = {window} THEN stddev_samp(u) OVER f * sqrt(252) END, 9)
+         round(CASE WHEN count(u) OVER f = {window} THEN stddev_samp(u) OVER f * sqrt(252) END, 4)
            AS vol_{window}d_ann
   FROM usable
   WINDOW f AS (PARTITION BY supplier ORDER BY day ROWS BETWEEN {window - 1} PRECEDING AND CURRENT ROW)"""

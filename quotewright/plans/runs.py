@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 from enum import IntEnum
-from functools import reduce
+from functools import partial, reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +20,7 @@ from quotewright.operators.quality import run_checks
 from quotewright.operators.recon import recon_pairs
 from quotewright.plans import market as mk
 from quotewright.schemas import MARKET_TABLES
+from quotewright.session import together
 from quotewright.sources.exports import manifest_fingerprints, read_manifest, read_typed
 from quotewright.sources.reports import ParsedReports, parse_reports, read_reports, refuse_unparsed
 from quotewright.sources.warehouse import Warehouse
@@ -70,32 +71,34 @@ def build_marts(wh: Warehouse, tables: mk.Tables, run_id: str, m: mk.Market) ->
     """
     daily, trusted = mk.price_daily(tables), mk.price_trusted(tables, m)
 
-    def stage(name: str, df: DataFrame) -> DataFrame:
-        return wh.stage(df, run_id, "mart", name)
-
-    returns = stage("price_returns", mk.price_returns(trusted, m))
-    pairs = stage("recon_pair_counts", mk.recon_pairs(tables, m))
-    coverage = stage("v_recon_coverage", mk.recon_coverage(trusted, m))
-    built = {
-        "price_returns": returns,
-        "recon_pair_counts": pairs,
-        "v_recon_coverage": coverage,
-        **{
-            name: stage(name, df)
-            for name, df in {
-                "v_latest_price": mk.latest_price(returns, m),
-                "v_security_summary": mk.security_summary(returns, m),
-                "v_sector_daily_return": mk.sector_daily_return(returns),
-                "dim_security_current": mk.dim_security_current(tables),
-                "dim_date": mk.dim_date(tables),
-                "v_recon_pairs": recon_pairs(pairs),
-                "v_recon_by_ticker": mk.recon_by_ticker(tables, pairs),
-                "v_recon_summary": mk.recon_summary(pairs, coverage, m),
-                "v_price_anomalies": mk.price_anomalies(daily),
-                "v_platform_health": mk.platform_health(tables),
-            }.items()
-        },
-    }
+    def stage(marts: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        written = together(partial(wh.stage, df, run_id, "mart", name) for name, df in marts.items())
+        return dict(zip(marts, written))
+
+    first = stage(
+        {
+            "price_returns": mk.price_returns(trusted, m),
+            "recon_pair_counts": mk.recon_pairs(tables, m),
+            "v_recon_coverage": mk.recon_coverage(trusted, m),
+            "dim_security_current": mk.dim_security_current(tables),
+            "dim_date": mk.dim_date(tables),
+            "v_price_anomalies": mk.price_anomalies(daily),
+            "v_platform_health": mk.platform_health(tables),
+        }
+    )
+    returns, pairs, coverage = (
+        first[n] for n in ("price_returns", "recon_pair_counts", "v_recon_coverage")
+    )
+    built = first | stage(
+        {
+            "v_latest_price": mk.latest_price(returns, m),
+            "v_security_summary": mk.security_summary(returns, m),
+            "v_sector_daily_return": mk.sector_daily_return(returns),
+            "v_recon_pairs": recon_pairs(pairs),
+            "v_recon_by_ticker": mk.recon_by_ticker(tables, pairs),
+            "v_recon_summary": mk.recon_summary(pairs, coverage, m),
+        }
+    )
     for name in built:
         wh.publish(run_id, "mart", name)
     return built
@@ -171,10 +174,11 @@ def run_market(
     wh.create(MARKET_TABLES, m.source_a, m.source_b)
 
     manifest = read_manifest(spark, export_dir)
-    staged = {
-        s.name: wh.stage(read_typed(spark, f"{export_dir}/{s.name}", s.schema), run_id, "raw", s.name)
+    copies = together(
+        partial(wh.stage, read_typed(spark, f"{export_dir}/{s.name}", s.schema), run_id, "raw", s.name)
         for s in MARKET_TABLES.values()
-    }
+    )
+    staged = dict(zip(MARKET_TABLES, copies))
     problems = verify_load(wh, manifest, staged, run_id, at)
     if problems:
         return RunResult(Outcome.LOAD_NOT_VERIFIED, run_id, problems)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from quotewright.functions.columns import plain_number
 from quotewright.operators.clean import clean_columns, clean_decimals, conform, is_nan, resolve
 from quotewright.operators.fingerprint import VALUE, metric_columns
 from quotewright.schemas import MANIFEST, TableSpec
+from quotewright.session import together
 
 # Files stay small enough to be hashed as one binary value.
 ROWS_PER_FILE = 2_000_000
@@ -51,9 +53,11 @@ def write_ordered(
     return written
 
 
-def guard_write(spark: SparkSession, path: str, counted: int, written: int) -> None:
+def guard_write(
+    spark: SparkSession, path: str, schema: T.StructType, counted: int, written: int
+) -> None:
     """Raise unless rows counted = rows written = rows in the files."""
-    stored = spark.read.parquet(path).count()
+    stored = spark.read.schema(schema).parquet(path).count()
     if not counted == written == stored:
         raise WriteGuardError(f"{path}: counted {counted}, wrote {written}, files hold {stored}")
 
@@ -68,6 +72,18 @@ def file_hashes(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def write_listing(hashes: DataFrame, table: str, path: str) -> dict:
+    """Write the file listing of a table; returns its number of files and bytes."""
+    totals = Observation()
+    (
+        hashes.select(F.lit(table).alias("table_name"), "*")
+        .observe(totals, F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"))
+        .write.mode("overwrite")
+        .json(path)
+    )
+    return totals.get
+
+
 def profile(df: DataFrame, spec: TableSpec) -> DataFrame:
     """One row: fingerprints of the cleaned table and NaN counts of the raw one,
     from a single scan."""
@@ -92,19 +108,14 @@ def export_table(df: DataFrame, spec: TableSpec, out_dir: str, at: datetime) ->
     )
     rows = int(before["row_count"])
     written = write_ordered(clean_decimals(df, spec.schema), path, spec.key)
-    guard_write(spark, path, rows, int(written.get["rows"]))
-
-    hashes = file_hashes(spark, path).select(F.lit(spec.name).alias("table_name"), "*")
-    listing = f"{out_dir}/manifest_files/{spec.name}"
-    hashes.write.mode("overwrite").json(listing)
-    files = spark.read.schema("bytes BIGINT").json(listing)
-    totals = files.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("b")).first()
+    guard_write(spark, path, spec.schema, rows, int(written.get["rows"]))
+    totals = write_listing(file_hashes(spark, path), spec.name, f"{out_dir}/manifest_files/{spec.name}")
     return Row(
         table_name=spec.name,
         rows=rows,
         path=spec.name,
-        files=totals["n"],
-        bytes=totals["b"],
+        files=totals["files"],
+        bytes=totals["bytes"] or 0,
         nan_to_null={c: before[f"_nan_{c}"] for c in spec.decimals if before[f"_nan_{c}"]},
         fingerprints={m: before[m] for m in metrics if m != "row_count"},
         exported_at_utc=at.isoformat(timespec="seconds"),
@@ -120,7 +131,9 @@ def export_all(
     point them at a versioned copy, before calling.
     """
     spark = next(iter(tables.values())).sparkSession
-    rows = [export_table(tables[name], spec, out_dir, at) for name, spec in specs.items()]
+    rows = together(
+        partial(export_table, tables[name], spec, out_dir, at) for name, spec in specs.items()
+    )
     manifest = spark.createDataFrame(rows, MANIFEST)
     manifest.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(
         f"{out_dir}/manifest"

@@ -19,7 +19,7 @@ from quotewright.functions.columns import first_violated, has_token, plain_numbe
 from quotewright.operators import clean, control, fingerprint, quality, quantile, recon, series, star
 from quotewright.plans import bridge, runs
 from quotewright.plans import market as mk
-from quotewright.schemas import MARKET_TABLES
+from quotewright.schemas import MARKET_TABLES, TableSpec
 from quotewright.session import shared_dir
 from quotewright.sources import exports, reports
 from quotewright.sources.warehouse import Warehouse
@@ -682,6 +682,43 @@ def export_manifest(spark, sf):
     return exports.manifest_fingerprints(exports.read_manifest(spark, folder))
 
 
+def _typed(name: str, key: tuple[str, ...], metrics: dict[str, str], **columns) -> TableSpec:
+    schema = T.StructType([T.StructField(c, t) for c, t in columns.items()])
+    return TableSpec(name, schema, key, metrics)
+
+
+_BIG, _INT, _TEXT, _PRICE = T.LongType(), T.IntegerType(), T.StringType(), T.DecimalType(18, 6)
+ORDER_TABLES = {
+    "lineitem": _typed(
+        "lineitem", ("l_orderkey", "l_linenumber"),
+        {"distinct_orders": "count(distinct l_orderkey)", "sum_price": "sum(l_extendedprice)"},
+        l_orderkey=_BIG, l_linenumber=_INT, l_partkey=_BIG, l_suppkey=_BIG, l_quantity=_PRICE,
+        l_extendedprice=_PRICE, l_discount=_PRICE, l_tax=_PRICE, l_returnflag=_TEXT, l_linestatus=_TEXT,
+        l_shipdate=T.DateType(),
+    ),
+    "orders": _typed(
+        "orders", ("o_orderkey",),
+        {"max_order": "max(o_orderkey)", "sum_price": "sum(o_totalprice)"},
+        o_orderkey=_BIG, o_custkey=_BIG, o_orderstatus=_TEXT, o_totalprice=_PRICE,
+        o_orderdate=T.DateType(), o_orderpriority=_TEXT,
+    ),
+    "events": _typed(
+        "events", ("event_id",),
+        {"distinct_users": "count(distinct user_id)", "sum_value": "sum(value)"},
+        event_id=_BIG, user_id=_BIG, event_type=_TEXT, value=_PRICE, props=_TEXT,
+    ),
+}
+
+
+@query
+def export_order_tables(spark, sf):
+    """The large given tables exported as they are, by the same operator."""
+    folder = new_folder(spark)
+    tables = {name: bridge.read(spark, sf, name) for name in ORDER_TABLES}
+    manifest = exports.export_all(tables, ORDER_TABLES, folder, RUN[1])
+    return exports.manifest_fingerprints(manifest)
+
+
 @query
 def export_files(spark, sf):
     """Files and bytes the manifest records, against a second look at the files."""

@@ -347,6 +347,36 @@ SQL["fingerprint_compare"] = (
     + ") x WHERE expected IS DISTINCT FROM observed"
 )
 
+_ORDER_METRICS = {
+    "lineitem": {
+        "distinct_orders": "count(DISTINCT l_orderkey)",
+        "sum_price": "sum(l_extendedprice)",
+        **{f"null_{c}": f"count(*) - count({c})" for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")},
+    },
+    "orders": {
+        "max_order": "max(o_orderkey)",
+        "sum_price": "sum(o_totalprice)",
+        "null_o_totalprice": "count(*) - count(o_totalprice)",
+    },
+    "events": {
+        "distinct_users": "count(DISTINCT user_id)",
+        "sum_value": "sum(value)",
+        "null_value": "count(*) - count(value)",
+    },
+}
+
+
+def _exact(sql: str) -> str:
+    """Sum the doubles as decimals."""
+    return sql.replace("sum(", "sum(CAST(").replace(")", " AS DECIMAL(18,6)))") if sql.startswith("sum(") else sql
+
+
+SQL["export_order_tables"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{m}' AS metric, CAST({_exact(sql)} AS DECIMAL(38,6)) AS value FROM {t}"
+    for t, metrics in _ORDER_METRICS.items()
+    for m, sql in {"row_count": "count(*)", **metrics}.items()
+)
+
 # ----------------------------------------------------- data-quality checks
 
 

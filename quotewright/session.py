@@ -9,28 +9,34 @@ from typing import TypeVar
 
 from pyspark.sql import SparkSession
 
-# Start with many shuffle partitions and let AQE merge the small ones; joins
-# with a hot key are split at run time even when that costs one more shuffle.
+# Joins with a hot key are split at run time even when that costs one more shuffle.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
 }
+# On a cluster: start every shuffle with many partitions, which AQE merges up to
+# the advisory size, and read files in large splits.
+CLUSTER_SETTINGS = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16384",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "16384",
+}
 
 
 def build_session(app: str = "quotewright", master: str | None = None, **extra: str) -> SparkSession:
-    """A session with ``SETTINGS``; ``extra`` keys use ``__`` for dots."""
+    """A session with ``SETTINGS`` and, without a local master, ``CLUSTER_SETTINGS``;
+    ``extra`` keys use ``__`` for dots and win over both."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in SETTINGS.items():
+    local = master is not None and master.startswith("local")
+    for key, value in {**SETTINGS, **({} if local else CLUSTER_SETTINGS)}.items():
         builder = builder.config(key, value)
     for key, value in extra.items():
         builder = builder.config(key.replace("__", "."), value)

@@ -8,6 +8,9 @@ coverage gaps and orphan facts occur.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+from functools import cache, partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,15 +25,40 @@ MARKET = Market(
     tolerance=0.5, gap_days=3, window=7,
 )
 UNCOVERED = "MACHINERY"
+# opens a given table by name
+Given = Callable[[str], DataFrame]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+class MarketTables(Mapping):
+    """The six tables by name. Each is put together when first asked for, and each
+    given table is opened once."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.given = cache(partial(read, spark, sf_dir))
+        self._made: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            if name == "fact_price_daily_consensus":
+                self._made[name] = consensus(self["fact_price_daily"])
+            else:
+                self._made[name] = _BUILDERS[name](self.given)
+        return self._made[name]
+
+    def __iter__(self):
+        return iter(MARKET_TABLES)
+
+    def __len__(self) -> int:
+        return len(MARKET_TABLES)
+
+
+def bars(given: Given) -> DataFrame:
     """Open, high, low, close and volume per security, day and source."""
-    events = read(spark, sf_dir, "events").select(
+    events = given("events").select(
         F.col("user_id").cast("int").alias("security_key"),
         F.col("ts").cast("date").alias("day"),
         F.col("event_type").alias("source"),
@@ -46,24 +74,24 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fact_price_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fact_price_daily(given: Given) -> DataFrame:
     uncovered = (
-        read(spark, sf_dir, "customer")
+        given("customer")
         .where(F.col("c_mktsegment") == UNCOVERED)
         .select(
             F.col("c_custkey").cast("int").alias("security_key"),
             F.lit(MARKET.source_b).alias("source"),
         )
     )
-    covered = bars(spark, sf_dir).join(uncovered, ["security_key", "source"], "left_anti")
+    covered = bars(given).join(uncovered, ["security_key", "source"], "left_anti")
     adjusted = {f"adj_{c}": F.col(c) for c in ("open", "high", "low", "close", "volume")}
     full = covered.withColumn("date_key", date_key("day")).withColumns(adjusted)
     return conform(full, MARKET_TABLES["fact_price_daily"].schema)
 
 
-def dim_security(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dim_security(given: Given) -> DataFrame:
     current = F.col("c_acctbal") >= 1000
-    customers = read(spark, sf_dir, "customer").where("c_acctbal >= 0").select(
+    customers = given("customer").where("c_acctbal >= 0").select(
         F.col("c_custkey").alias("security_key"),
         F.col("c_name").alias("ticker"),
         F.concat(F.lit("Company "), "c_name").alias("company_name"),
@@ -77,10 +105,10 @@ def dim_security(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(customers, MARKET_TABLES["dim_security"].schema)
 
 
-def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dim_date(given: Given) -> DataFrame:
     def span(name: str, column: str) -> DataFrame:
         day = F.col(column).cast("date")
-        return read(spark, sf_dir, name).agg(F.min(day).alias("first"), F.max(day).alias("last"))
+        return given(name).agg(F.min(day).alias("first"), F.max(day).alias("last"))
 
     days = star.calendar(span("orders", "o_orderdate").unionByName(span("events", "ts")))
     return conform(
@@ -88,8 +116,8 @@ def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fact_corporate_action(spark: SparkSession, sf_dir: str) -> DataFrame:
-    actions = read(spark, sf_dir, "orders").select(
+def fact_corporate_action(given: Given) -> DataFrame:
+    actions = given("orders").select(
         F.col("o_custkey").alias("security_key"),
         date_key(F.col("o_orderdate").cast("date")).alias("date_key"),
         F.when(F.col("o_orderstatus") == "O", "dividend").otherwise("split").alias("action_type"),
@@ -99,9 +127,9 @@ def fact_corporate_action(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(actions, MARKET_TABLES["fact_corporate_action"].schema)
 
 
-def fact_macro_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fact_macro_rate(given: Given) -> DataFrame:
     rates = (
-        read(spark, sf_dir, "orders")
+        given("orders")
         .groupBy(
             date_key(F.col("o_orderdate").cast("date")).alias("date_key"),
             F.col("o_orderpriority").alias("series_id"),
@@ -119,22 +147,19 @@ def consensus(prices: DataFrame) -> DataFrame:
     return conform(agreed, MARKET_TABLES["fact_price_daily_consensus"].schema)
 
 
-def market_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    prices = fact_price_daily(spark, sf_dir)
-    return {
-        "dim_date": dim_date(spark, sf_dir),
-        "dim_security": dim_security(spark, sf_dir),
-        "fact_price_daily": prices,
-        "fact_price_daily_consensus": consensus(prices),
-        "fact_corporate_action": fact_corporate_action(spark, sf_dir),
-        "fact_macro_rate": fact_macro_rate(spark, sf_dir),
-    }
+_BUILDERS: dict[str, Callable[[Given], DataFrame]] = {
+    "dim_date": dim_date,
+    "dim_security": dim_security,
+    "fact_price_daily": fact_price_daily,
+    "fact_corporate_action": fact_corporate_action,
+    "fact_macro_rate": fact_macro_rate,
+}
 
 
-def shipped_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+def shipped_prices(given: Given) -> DataFrame:
     """A long daily series: the highest line price per supplier and ship date."""
     return (
-        read(spark, sf_dir, "lineitem")
+        given("lineitem")
         .groupBy(
             F.col("l_suppkey").cast("int").alias("supplier"),
             F.col("l_shipdate").cast("date").alias("day"),

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
-from functools import reduce
+from functools import partial, reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,8 +50,8 @@ def new_folder(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/quotewright/{uuid4().hex}"
 
 
-def _returns(spark, sf) -> DataFrame:
-    return mk.price_returns(mk.price_trusted(bridge.market_tables(spark, sf), M), M)
+def _returns(tables) -> DataFrame:
+    return mk.price_returns(mk.price_trusted(tables, M), M)
 
 
 # ------------------------------------------------------------------ models
@@ -59,22 +59,22 @@ def _returns(spark, sf) -> DataFrame:
 
 @query
 def price_daily(spark, sf):
-    return mk.price_daily(bridge.market_tables(spark, sf))
+    return mk.price_daily(bridge.MarketTables(spark, sf))
 
 
 @query
 def price_trusted(spark, sf):
-    return mk.price_trusted(bridge.market_tables(spark, sf), M)
+    return mk.price_trusted(bridge.MarketTables(spark, sf), M)
 
 
 @query
 def corporate_action(spark, sf):
-    return mk.corporate_action(bridge.market_tables(spark, sf))
+    return mk.corporate_action(bridge.MarketTables(spark, sf))
 
 
 @query
 def macro_rate(spark, sf):
-    return mk.macro_rate(bridge.market_tables(spark, sf))
+    return mk.macro_rate(bridge.MarketTables(spark, sf))
 
 
 @query
@@ -95,24 +95,24 @@ def star_join_orders(spark, sf):
 
 @query
 def dim_security_current(spark, sf):
-    return mk.dim_security_current(bridge.market_tables(spark, sf))
+    return mk.dim_security_current(bridge.MarketTables(spark, sf))
 
 
 @query
 def calendar_dim(spark, sf):
-    return mk.dim_date(bridge.market_tables(spark, sf))
+    return mk.dim_date(bridge.MarketTables(spark, sf))
 
 
 @query
 def calendar_days(spark, sf):
-    return bridge.dim_date(spark, sf)
+    return bridge.MarketTables(spark, sf)["dim_date"]
 
 
 @query
 def trading_day_flag(spark, sf):
     """Days of the calendar flagged by whether any order was placed on them."""
     orders = bridge.read(spark, sf, "orders").select(F.col("o_orderdate").cast("date").alias("date"))
-    days = bridge.dim_date(spark, sf).select("date_key", "date")
+    days = bridge.MarketTables(spark, sf)["dim_date"].select("date_key", "date")
     return star.trading_days(days, orders, "date")
 
 
@@ -133,7 +133,7 @@ def source_membership_flags(spark, sf):
 
 @query
 def consensus_build(spark, sf):
-    return bridge.market_tables(spark, sf)["fact_price_daily_consensus"]
+    return bridge.MarketTables(spark, sf)["fact_price_daily_consensus"]
 
 
 # ------------------------------------------------------------------ series
@@ -141,14 +141,14 @@ def consensus_build(spark, sf):
 
 @query
 def series_returns(spark, sf):
-    return rounded(_returns(spark, sf))
+    return rounded(_returns(bridge.MarketTables(spark, sf)))
 
 
 @query
 def rolling_volatility(spark, sf):
     """Long series cut into spans of a year."""
     out = series.returns(
-        bridge.shipped_prices(spark, sf), "supplier", "day", "price",
+        bridge.shipped_prices(partial(bridge.read, spark, sf)), "supplier", "day", "price",
         gap_days=10, window=21, annualise=252, span_days=365,
     )
     return rounded(out, deviation=4)
@@ -158,7 +158,7 @@ def rolling_volatility(spark, sf):
 def rolling_volatility_whole_series(spark, sf):
     """The same without spans, with a shorter window."""
     out = series.returns(
-        bridge.shipped_prices(spark, sf), "supplier", "day", "price",
+        bridge.shipped_prices(partial(bridge.read, spark, sf)), "supplier", "day", "price",
         gap_days=5, window=5, annualise=252, span_days=None,
     )
     return rounded(out, deviation=4)
@@ -166,24 +166,24 @@ def rolling_volatility_whole_series(spark, sf):
 
 @query
 def latest_per_entity(spark, sf):
-    return rounded(mk.latest_price(_returns(spark, sf), M))
+    return rounded(mk.latest_price(_returns(bridge.MarketTables(spark, sf)), M))
 
 
 @query
 def entity_summary(spark, sf):
-    return rounded(mk.security_summary(_returns(spark, sf), M))
+    return rounded(mk.security_summary(_returns(bridge.MarketTables(spark, sf)), M))
 
 
 @query
 def sector_daily_return(spark, sf):
-    return rounded(mk.sector_daily_return(_returns(spark, sf)))
+    return rounded(mk.sector_daily_return(_returns(bridge.MarketTables(spark, sf))))
 
 
 # ---------------------------------------------------------- reconciliation
 
 
 def _pairs(spark, sf) -> DataFrame:
-    return mk.recon_pairs({"fact_price_daily": bridge.fact_price_daily(spark, sf)}, M)
+    return mk.recon_pairs(bridge.MarketTables(spark, sf), M)
 
 
 @query
@@ -210,7 +210,7 @@ def recon_pairs_with_copies(spark, sf):
 
 @query
 def recon_by_entity(spark, sf):
-    tables = bridge.market_tables(spark, sf)
+    tables = bridge.MarketTables(spark, sf)
     return rounded(mk.recon_by_ticker(tables, mk.recon_pairs(tables, M)))
 
 
@@ -227,18 +227,17 @@ def grouped_median(spark, sf):
 
 @query
 def recon_coverage(spark, sf):
-    return mk.recon_coverage(mk.price_trusted(bridge.market_tables(spark, sf), M), M)
+    return mk.recon_coverage(mk.price_trusted(bridge.MarketTables(spark, sf), M), M)
 
 
-def _summary(spark, sf) -> DataFrame:
-    tables = bridge.market_tables(spark, sf)
+def _summary(tables) -> DataFrame:
     coverage = mk.recon_coverage(mk.price_trusted(tables, M), M)
     return mk.recon_summary(mk.recon_pairs(tables, M), coverage, M)
 
 
 @query
 def recon_summary(spark, sf):
-    return rounded(_summary(spark, sf))
+    return rounded(_summary(bridge.MarketTables(spark, sf)))
 
 
 @query
@@ -281,19 +280,19 @@ def first_anomalies(spark, sf):
 @query
 def price_anomalies(spark, sf):
     """Market bars whose open is delivered as their high."""
-    daily = mk.price_daily(bridge.market_tables(spark, sf))
+    daily = mk.price_daily(bridge.MarketTables(spark, sf))
     return mk.price_anomalies(daily.withColumn("high", F.col("open")))
 
 
 @query
 def platform_health(spark, sf):
-    return mk.platform_health(bridge.market_tables(spark, sf))
+    return mk.platform_health(bridge.MarketTables(spark, sf))
 
 
 @query
 def null_price_by_entity(spark, sf):
     """Bars of a single event have no range: their high and low count as missing."""
-    daily = mk.price_daily(bridge.market_tables(spark, sf))
+    daily = mk.price_daily(bridge.MarketTables(spark, sf))
     ranged = F.col("volume") > 1
     return mk.null_prices(
         daily.withColumns({c: F.when(ranged, F.col(c)) for c in ("high", "low")})
@@ -302,7 +301,7 @@ def null_price_by_entity(spark, sf):
 
 @query
 def entities_without_rows(spark, sf):
-    return mk.securities_without_prices(bridge.market_tables(spark, sf))
+    return mk.securities_without_prices(bridge.MarketTables(spark, sf))
 
 
 # ---------------------------------------------------- cleaning, fingerprints
@@ -346,7 +345,7 @@ def _register_fingerprint(name: str) -> None:
     def fn(spark, sf):
         spec = MARKET_TABLES[name]
         return fingerprint.fingerprint(
-            bridge.market_tables(spark, sf)[name], name, spec.fingerprints
+            bridge.MarketTables(spark, sf)[name], name, spec.fingerprints
         )
 
     QUERIES[f"fingerprint_{name}"] = fn
@@ -388,7 +387,7 @@ def fingerprint_compare(spark, sf):
 @query
 def load_log(spark, sf):
     """Loads of the six tables against copies that lost one source's prices."""
-    tables = bridge.market_tables(spark, sf)
+    tables = bridge.MarketTables(spark, sf)
     lost = {
         **tables,
         "fact_price_daily": tables["fact_price_daily"].where("source <> 'error'"),
@@ -489,11 +488,11 @@ def dq_anti_distinct(spark, sf):
 @query
 def dq_abs_diff(spark, sf):
     """Pairs recomputed at a tighter tolerance against the stored consensus."""
-    tables = bridge.market_tables(spark, sf)
-    tables["recon_pairs"] = recon.weighted_pairs(
-        tables["fact_price_daily"], mk.PAIR_KEYS, "source", M.source_a, M.source_b, "adj_close", 0.25
+    market, cons = bridge.MarketTables(spark, sf), "fact_price_daily_consensus"
+    pairs = recon.weighted_pairs(
+        market["fact_price_daily"], mk.PAIR_KEYS, "source", M.source_a, M.source_b, "adj_close", 0.25
     )
-    cons = "fact_price_daily_consensus"
+    tables = {cons: market[cons], "recon_pairs": pairs}
     return _checked(
         [
             quality.PairCount("pair_count", cons, "error", "", pairs="recon_pairs",
@@ -505,25 +504,24 @@ def dq_abs_diff(spark, sf):
     )
 
 
-def _all_results(spark, sf) -> DataFrame:
-    tables = bridge.market_tables(spark, sf)
-    tables["recon_pairs"] = mk.recon_pairs(tables, M)
-    return quality.run_checks(mk.market_checks(M), tables, *RUN)
+def _all_results(tables) -> DataFrame:
+    checked = {**tables, "recon_pairs": mk.recon_pairs(tables, M)}
+    return quality.run_checks(mk.market_checks(M), checked, *RUN)
 
 
 @query
 def dq_results_all(spark, sf):
-    return _all_results(spark, sf).select(*_SHOWN)
+    return _all_results(bridge.MarketTables(spark, sf)).select(*_SHOWN)
 
 
 @query
 def dq_status_tally(spark, sf):
-    return quality.status_tally(_all_results(spark, sf))
+    return quality.status_tally(_all_results(bridge.MarketTables(spark, sf)))
 
 
 @query
 def dq_not_passed(spark, sf):
-    return quality.not_passed(_all_results(spark, sf))
+    return quality.not_passed(_all_results(bridge.MarketTables(spark, sf)))
 
 
 # -------------------------------------------------- audit rows and control
@@ -547,7 +545,7 @@ def latest_run_rows(spark, sf):
     return mk.latest_run(log, log, "loaded_at").select("run_id", "table_name", "rows_loaded")
 
 
-def _looser(spark, sf, tables) -> tuple[DataFrame, DataFrame]:
+def _looser(tables) -> tuple[DataFrame, DataFrame]:
     """Published figures as a report of a looser tolerance would give them, for
     one date; per ticker, only those with a flagged pair."""
     pairs = recon.weighted_pairs(
@@ -568,9 +566,9 @@ def _looser(spark, sf, tables) -> tuple[DataFrame, DataFrame]:
 
 @query
 def control_compare_headline(spark, sf):
-    tables = bridge.market_tables(spark, sf)
+    tables = bridge.MarketTables(spark, sf)
     return control.headline_differences(
-        _summary(spark, sf), _looser(spark, sf, tables)[0], M.control_figures
+        _summary(tables), _looser(tables)[0], M.control_figures
     )
 
 
@@ -580,16 +578,16 @@ def _by_ticker(tables) -> DataFrame:
 
 @query
 def control_compare_by_entity(spark, sf):
-    tables = bridge.market_tables(spark, sf)
-    return control.entity_differences(_by_ticker(tables), _looser(spark, sf, tables)[1], "ticker")
+    tables = bridge.MarketTables(spark, sf)
+    return control.entity_differences(_by_ticker(tables), _looser(tables)[1], "ticker")
 
 
 @query
 def control_results(spark, sf):
-    tables = bridge.market_tables(spark, sf)
-    head, by_ticker = _looser(spark, sf, tables)
+    tables = bridge.MarketTables(spark, sf)
+    head, by_ticker = _looser(tables)
     out = control.control_results(
-        _summary(spark, sf), _by_ticker(tables), head, by_ticker, M.control_figures,
+        _summary(tables), _by_ticker(tables), head, by_ticker, M.control_figures,
         datetime(2024, 1, 31).date(), *RUN,
     )
     return out.select(*_SHOWN)
@@ -598,10 +596,10 @@ def control_results(spark, sf):
 @query
 def control_results_without_report(spark, sf):
     """No control row for the date: the figures fail with a NULL count."""
-    tables = bridge.market_tables(spark, sf)
-    head, by_ticker = _looser(spark, sf, tables)
+    tables = bridge.MarketTables(spark, sf)
+    head, by_ticker = _looser(tables)
     out = control.control_results(
-        _summary(spark, sf), _by_ticker(tables), head, by_ticker, M.control_figures,
+        _summary(tables), _by_ticker(tables), head, by_ticker, M.control_figures,
         datetime(2024, 2, 1).date(), *RUN,
     )
     return out.select(*_SHOWN)
@@ -613,7 +611,7 @@ def control_results_without_report(spark, sf):
 def _report_texts(spark, sf) -> DataFrame:
     """One published report per security, in the layout the parser reads. The row
     of a security flagged on every compared day is left out of its report."""
-    tables = bridge.market_tables(spark, sf)
+    tables = bridge.MarketTables(spark, sf)
     a, b = M.source_a, M.source_b
     coverage = mk.recon_coverage(mk.price_trusted(tables, M), M)
     seen = _by_ticker(tables).drop("ticker", "gics_sector")
@@ -671,7 +669,7 @@ def report_rejects(spark, sf):
 
 
 def _exported(spark, sf, folder: str) -> DataFrame:
-    return exports.export_all(bridge.market_tables(spark, sf), MARKET_TABLES, folder, RUN[1])
+    return exports.export_all(bridge.MarketTables(spark, sf), MARKET_TABLES, folder, RUN[1])
 
 
 @query
@@ -748,7 +746,7 @@ def export_files(spark, sf):
 def ordered_write(spark, sf):
     """The bars written in key order and read back, behind the write guard."""
     folder, spec = new_folder(spark), MARKET_TABLES["fact_price_daily"]
-    df = bridge.fact_price_daily(spark, sf)
+    df = bridge.MarketTables(spark, sf)["fact_price_daily"]
     written = exports.write_ordered(df, folder, spec.key)
     exports.guard_write(spark, folder, spec.schema, df.count(), int(written.get["rows"]))
     return exports.read_typed(spark, folder, spec.schema)
@@ -763,7 +761,7 @@ def full_refresh(spark, sf):
     """A table loaded twice: the second load replaces the first."""
     wh, spec = _warehouse(spark), MARKET_TABLES["fact_macro_rate"]
     wh.create({spec.name: spec}, M.source_a, M.source_b)
-    rates = bridge.fact_macro_rate(spark, sf)
+    rates = bridge.MarketTables(spark, sf)["fact_macro_rate"]
     for run_id, df in (("first", rates.where("value < 100000")), ("second", rates)):
         wh.stage(df, run_id, "raw", spec.name)
         wh.publish(run_id, "raw", spec.name)
@@ -792,7 +790,7 @@ def audit_append(spark, sf):
 def control_partition_replace(spark, sf):
     """Control rows of one date written twice with different figures, and of a
     date whose second report lists no ticker."""
-    wh, tables = _warehouse(spark), bridge.market_tables(spark, sf)
+    wh, tables = _warehouse(spark), bridge.MarketTables(spark, sf)
     wh.create({}, M.source_a, M.source_b)
     rows = _by_ticker(tables).select(
         "ticker", "flagged", "compared",
@@ -815,10 +813,11 @@ def bi_measures(spark, sf):
     loads = mk.latest_run(log, log, "loaded_at").withColumn(
         "fingerprint_match", F.col("rows_loaded") > 60
     )
-    returns = _returns(spark, sf)
+    tables = bridge.MarketTables(spark, sf)
+    returns = _returns(tables)
     return rounded(
         mk.measures(
-            returns, mk.latest_price(returns, M), _summary(spark, sf), _all_results(spark, sf), loads, M
+            returns, mk.latest_price(returns, M), _summary(tables), _all_results(tables), loads, M
         ),
         6,
     )

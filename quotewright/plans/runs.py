@@ -12,7 +12,7 @@ from enum import IntEnum
 from functools import partial, reduce
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from quotewright.operators.control import control_results
 from quotewright.operators.fingerprint import fingerprint, load_log, load_problems
@@ -104,16 +104,38 @@ def build_marts(wh: Warehouse, tables: mk.Tables, run_id: str, m: mk.Market) ->
     return built
 
 
-def model_views(spark: SparkSession, tables: mk.Tables, m: mk.Market) -> None:
-    """Register the models as session views model_<name>."""
-    models = {
-        "price_daily": mk.price_daily(tables),
-        "price_trusted": mk.price_trusted(tables, m),
-        "corporate_action": mk.corporate_action(tables),
-        "macro_rate": mk.macro_rate(tables),
+def create_views(wh: Warehouse, m: mk.Market) -> None:
+    """Catalog views for SQL users: the models over RAW, which follow each publish,
+    and the latest-run rows of the audit tables."""
+    raw, mart = (lambda t: wh.name("raw", t)), (lambda t: wh.name("mart", t))
+    security = f"JOIN {raw('dim_security')} s ON s.security_key = f.security_key"
+    day = f"JOIN {raw('dim_date')} d ON d.date_key = f.date_key"
+    flags = ", ".join(
+        f"cast(coalesce(array_contains(split(f.sources_available, '[|]'), '{s}'), false) AS int) AS has_{s}"
+        for s in (m.source_a, m.source_b)
+    )
+    newest = f"(SELECT max(struct(loaded_at_utc, run_id)).run_id FROM {mart('load_log')})"
+    views = {
+        wh.name("model", "price_daily"): f"""
+            SELECT f.security_key, s.ticker, s.gics_sector, f.date_key, d.date AS trade_date,
+                   f.* EXCEPT (security_key, date_key)
+            FROM {raw('fact_price_daily')} f {security} {day}""",
+        wh.name("model", "price_trusted"): f"""
+            SELECT f.security_key, s.ticker, s.gics_sector, f.date_key, d.date AS trade_date,
+                   f.* EXCEPT (security_key, date_key), {flags}
+            FROM {raw('fact_price_daily_consensus')} f {security} {day}""",
+        wh.name("model", "corporate_action"): f"""
+            SELECT f.security_key, s.ticker, f.date_key, d.date AS action_date,
+                   f.* EXCEPT (security_key, date_key)
+            FROM {raw('fact_corporate_action')} f {security} {day}""",
+        wh.name("model", "macro_rate"): f"""
+            SELECT f.date_key, d.date AS rate_date, f.* EXCEPT (date_key)
+            FROM {raw('fact_macro_rate')} f {day}""",
+        mart("v_load_latest"): f"SELECT * FROM {mart('load_log')} WHERE run_id = {newest}",
+        mart("v_dq_latest"): f"SELECT * FROM {mart('dq_results')} WHERE run_id = {newest}",
     }
-    for name, df in models.items():
-        df.createOrReplaceTempView(f"model_{name}")
+    for name, sql in views.items():
+        wh.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {sql}")
 
 
 def load_control(wh: Warehouse, parsed: ParsedReports) -> date:
@@ -135,9 +157,8 @@ def build_and_check(
     m: mk.Market,
     parsed: ParsedReports | None = None,
 ) -> DataFrame:
-    """Models, marts, checks and the optional report control; returns this run's
+    """Marts, checks and the optional report control; returns this run's
     results, read back from the audit table and ordered by name."""
-    model_views(wh.spark, tables, m)
     marts = build_marts(wh, tables, run_id, m)
     checked = {**tables, "recon_pairs": marts["recon_pair_counts"]}
     wh.append(run_checks(mk.market_checks(m), checked, run_id, at), "dq_results")
@@ -184,21 +205,12 @@ def run_market(
         return RunResult(Outcome.LOAD_NOT_VERIFIED, run_id, problems)
     for name in MARKET_TABLES:
         wh.publish(run_id, "raw", name)
+    create_views(wh, m)
     results = build_and_check(wh, staged, run_id, at, m, parsed)
     failed = bool(results.where("status = 'FAIL'").limit(1).collect())
     return RunResult(Outcome.CHECK_FAILED if failed else Outcome.OK, run_id, [], results)
 
 
-def load_latest(wh: Warehouse) -> DataFrame:
-    log = wh.table("mart", "load_log")
-    return mk.latest_run(log, log)
-
-
-def dq_latest(wh: Warehouse) -> DataFrame:
-    """Checks of the newest load; empty when that load was not verified."""
-    return mk.latest_run(wh.table("mart", "load_log"), wh.table("mart", "dq_results"))
-
-
 def inspect(wh: Warehouse) -> dict[str, DataFrame]:
     """The listings shown after a run."""
     tables = {name: wh.table("raw", name) for name in MARKET_TABLES}

@@ -13,7 +13,7 @@ from quotewright.schemas import CONTROL_TICKER, DQ_RESULTS, LOAD_LOG, TableSpec,
 
 
 class Warehouse:
-    """Databases raw and mart (with an optional name prefix) under ``root``.
+    """Databases raw, model and mart (with an optional name prefix) under ``root``.
 
     New data goes to a folder of its run first. ``publish`` then points the table
     at that folder, a catalog change readers see at once or not at all.
@@ -33,7 +33,7 @@ class Warehouse:
 
     def create(self, specs: Mapping[str, TableSpec], source_a: str, source_b: str) -> None:
         """Databases, empty typed RAW tables and audit tables, where missing."""
-        for layer in ("raw", "mart"):
+        for layer in ("raw", "model", "mart"):
             home = f"{self.root}/tables/{layer}"
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}{layer} LOCATION '{home}'")
         for spec in specs.values():

@@ -95,9 +95,9 @@ def test_clean_run_passes_errors_and_warns_on_real_properties(loaded):
         "ohlc_high_ge_low": ("WARN", 1),
         "ohlc_low_le_close": ("WARN", 1),
     }
-    log = runs.load_latest(wh).collect()
+    log = wh.table("mart", "v_load_latest").collect()
     assert len(log) == 6 and all(r.fingerprint_match and r.mismatch_detail is None for r in log)
-    assert runs.dq_latest(wh).count() == 40
+    assert wh.table("mart", "v_dq_latest").count() == 40
 
 
 def test_reconciliation_equals_plain_counts(loaded):
@@ -169,6 +169,18 @@ def test_marts_over_returns(loaded, raw):
     assert mk.corporate_action(raw).count() == 2 and mk.macro_rate(raw).count() == 10
 
 
+def test_catalog_views_equal_the_models(loaded, raw):
+    wh, _ = loaded
+    models = {
+        "price_daily": mk.price_daily(raw), "price_trusted": mk.price_trusted(raw, M),
+        "corporate_action": mk.corporate_action(raw), "macro_rate": mk.macro_rate(raw),
+    }
+    for name, df in models.items():
+        view = wh.table("model", name)
+        assert view.columns == df.columns
+        assert view.exceptAll(df).isEmpty() and df.exceptAll(view).isEmpty()
+
+
 def test_listings_and_measures(loaded):
     wh, _ = loaded
     shown = runs.inspect(wh)
@@ -180,7 +192,7 @@ def test_listings_and_measures(loaded):
         r.measure: r.value
         for r in mk.measures(
             tables["price_returns"], tables["v_latest_price"], tables["v_recon_summary"],
-            runs.dq_latest(wh), runs.load_latest(wh), M,
+            wh.table("mart", "v_dq_latest"), wh.table("mart", "v_load_latest"), M,
         ).collect()
     }
     assert (got["securities"], got["observations"], got["compared_pairs"]) == (4, 249, 180)
@@ -239,7 +251,7 @@ def test_failed_load_keeps_the_published_tables(spark, loaded, export, tmp_path)
     where = wh.table("raw", "dim_date").select(F.input_file_name().alias("f")).first().f
     assert f"/runs/{good.run_id}/" in where
     # the newest load has no checks
-    assert runs.dq_latest(wh).count() == 0
+    assert wh.table("mart", "v_dq_latest").count() == 0
     # and a good load afterwards is the latest again (same second: larger id wins)
     again = runs.run_market(wh, export, M)
     assert again.outcome is runs.Outcome.OK and again.results.count() == 33

@@ -1,0 +1,418 @@
+"""Operators against brute force in plain Python, on skewed and awkward inputs."""
+
+import math
+import random
+import statistics
+from collections import defaultdict
+from datetime import date, timedelta
+from decimal import Decimal
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import Row
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from quotewright.functions import columns as c
+from quotewright.operators import clean, control, fingerprint, quality, quantile, recon, series, star
+from quotewright.sources import exports
+
+FEW = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
+# ----------------------------------------------------------------- columns
+
+
+def _one(spark, column, **values):
+    return spark.createDataFrame([Row(**values)]).select(column).first()[0]
+
+
+@pytest.mark.parametrize(
+    "number, text",
+    [("1.500000", "1.5"), ("0.000000", "0"), ("-0.000000", "0"), ("100", "100"), ("-7.250000", "-7.25"),
+     ("123456789012.123456", "123456789012.123456"), ("0.000001", "0.000001")],
+)
+def test_plain_number(spark, number, text):
+    assert _one(spark, c.plain_number("x"), x=Decimal(number)) == text
+
+
+def test_plain_number_of_null(spark):
+    assert spark.sql("select cast(null as decimal(38,6)) x").select(c.plain_number("x")).first()[0] is None
+
+
+def test_tokens_match_whole_names(spark):
+    df = spark.createDataFrame([("tiingo|yfinance",), ("tiingo2",), ("",), (None,)], "s string")
+    assert [r[0] for r in df.select(c.has_token("s", "tiingo")).collect()] == [1, 0, 0, 0]
+
+
+def test_divisions_by_zero_give_null(spark):
+    df = spark.createDataFrame([(0.0, 0.0), (1.0, -1.0), (1.0, 0.0), (3.0, 1.0)], "a double, b double")
+    out = df.select(c.sym_pct_diff("a", "b").alias("d"), c.simple_return("a", "b").alias("r"))
+    assert [tuple(r) for r in out.collect()] == [(None, None), (None, -2.0), (2.0, None), (1.0, 2.0)]
+    flags = out.select(c.beyond_tolerance("d", 1.0).alias("f")).collect()
+    assert [r.f for r in flags] == [0, 0, 1, 0]
+
+
+def test_first_violated_keeps_priority(spark):
+    df = spark.sql("select 1 a, 2 b union all select 5, 2 union all select null, 2")
+    rules = [("late", "a > b"), ("low", "a < b")]
+    assert [r[0] for r in df.select(c.first_violated(rules)).collect()] == ["low", "late", None]
+
+
+# ---------------------------------------------------------------- cleaning
+
+
+def test_clean_matches_names_without_case_and_counts_nan(spark):
+    schema = T.StructType.fromDDL("k INT, px DECIMAL(18,6), tags STRING")
+    df = spark.createDataFrame(
+        [(["a", "b"], float("nan"), 1), (["a"], 1.0000005, 2), (None, None, 3)], "TAGS array<string>, Px double, K int"
+    )
+    got = [tuple(r) for r in clean.clean_decimals(df, schema).orderBy("k").collect()]
+    assert got == [(1, None, "a|b"), (2, Decimal("1.000001"), "a"), (3, None, None)]
+    census = clean.schema_nan_census(df, schema).collect()
+    assert [(r.column_name, r.nan_count) for r in census] == [("Px", 1)]
+
+
+def test_conform_raises_on_a_value_that_does_not_fit(spark):
+    df = spark.createDataFrame([("x",)], "k string")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        clean.conform(df, T.StructType.fromDDL("k INT")).collect()
+
+
+# ------------------------------------------------------------ star, calendar
+
+
+def test_calendar_parts(spark):
+    bounds = spark.createDataFrame([(date(2023, 12, 30), date(2024, 3, 1))], "first date, last date")
+    rows = star.calendar(bounds).orderBy("date").collect()
+    assert len(rows) == 63
+    for r in rows:
+        d = r.date
+        assert (r.date_key, r.year, r.month, r.day) == (d.year * 10000 + d.month * 100 + d.day, d.year, d.month, d.day)
+        assert (r.quarter, r.day_of_week) == ((d.month - 1) // 3 + 1, d.weekday())
+        assert (r.month_name, r.day_name, r.is_weekday) == (d.strftime("%B"), d.strftime("%A"), d.weekday() < 5)
+
+
+def test_consensus_of_copies_zero_and_opposite_prices(spark):
+    rows = [
+        (1, "a", "10"), (1, "a", "10"), (1, "b", "10.02"),
+        (2, "a", "10"), (2, "b", "10.2"),
+        (3, "b", "7"), (4, "a", None), (4, "b", "5"), (5, "c", "1"),
+        (6, "a", "-5"), (6, "b", "5.000001"),
+    ]
+    df = spark.createDataFrame(rows, "k int, s string, v string").withColumn("v", F.col("v").cast("decimal(18,6)"))
+    got = {r.k: r for r in star.consensus(df, ["k"], "s", "a", "b", "v", 0.005).collect()}
+    assert set(got) == {1, 2, 3, 4, 6}
+    assert (got[1].reconciliation_flag, got[1].sources_available) == ("agreed", "a|b")
+    assert got[1].pct_diff == Decimal("0.001998")
+    assert got[2].reconciliation_flag == "disagreed"
+    assert (got[3].primary_source, got[3].reconciliation_flag, got[3].pct_diff) == ("b", "single_source", None)
+    assert (got[4].primary_source, got[4].sources_available) == ("b", "b")
+    # a mean near zero gives a difference beyond the stored type: flagged, not stored
+    assert (got[6].reconciliation_flag, got[6].pct_diff) == ("disagreed", None)
+
+
+# ------------------------------------------------------------------ series
+
+
+def _brute_returns(points, gap, window):
+    out = {}
+    by_key = defaultdict(list)
+    for k, d, v in points:
+        by_key[k].append((d, v))
+    for k, rows in by_key.items():
+        rows.sort()
+        usable = []
+        for i, (d, v) in enumerate(rows):
+            days = (d - rows[i - 1][0]).days if i else None
+            r = v / rows[i - 1][1] - 1 if i else None
+            usable.append(r if i and days <= gap else None)
+            frame = usable[max(0, i - window + 1): i + 1]
+            full = len(frame) == window and None not in frame
+            out[k, d] = (days, r, statistics.stdev(frame) * math.sqrt(252) if full else None)
+    return out
+
+
+@FEW
+@given(
+    seed=st.integers(0, 10_000), gap=st.integers(1, 6), window=st.integers(2, 6),
+    extra=st.integers(1, 40), hot=st.sampled_from([0, 400]),
+)
+def test_spans_equal_the_whole_series(spark, seed, gap, window, extra, hot):
+    rnd = random.Random(seed)
+    points = []
+    for k in range(4):
+        d = date(1965, 1, 1) + timedelta(rnd.randrange(3000))
+        for _ in range(hot if k == 0 and hot else rnd.randrange(1, 60)):
+            d += timedelta(rnd.choice([1, 1, 1, 2, 3, gap, gap + 1, rnd.randrange(1, 200)]))
+            points.append((k, d, round(rnd.uniform(1, 100), 2)))
+    df = spark.createDataFrame(points, "k int, d date, v double")
+    out = series.returns(df, "k", "d", "v", gap_days=gap, window=window, span_days=gap * window + extra)
+    brute = _brute_returns(points, gap, window)
+    rows = out.collect()
+    assert len(rows) == len(points)
+    for r in rows:
+        days, ret, vol = brute[r.k, r.d]
+        assert r.days_since_prev == days and r.is_gap_return == int(days is not None and days > gap)
+        assert (r.daily_return is None) if ret is None else r.daily_return == pytest.approx(ret, rel=1e-12, abs=1e-12)
+        got = r[f"vol_{window}d_ann"]
+        assert (got is None) if vol is None else got == pytest.approx(vol, rel=1e-9, abs=1e-9)
+
+
+def test_span_must_exceed_the_halo(spark):
+    df = spark.createDataFrame([], "k int, d date, v double")
+    with pytest.raises(ValueError, match="span_days"):
+        series.returns(df, "k", "d", "v", gap_days=5, window=21, span_days=105)
+
+
+def test_a_hot_series_is_spread_over_tasks(spark):
+    days = spark.range(20_000).select(
+        F.lit(1).alias("k"), F.expr("date_add(date'1970-01-01', cast(id as int))").alias("d"),
+        (F.col("id") % 7 + 1).cast("double").alias("v"),
+    )
+    out = series.returns(days, "k", "d", "v", span_days=365)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(k" in plan and "_span" in plan
+    assert out.count() == 20_000
+    assert out.where("vol_21d_ann is not null").count() == 20_000 - 21
+
+
+def test_zero_and_missing_prices_do_not_stop_a_series(spark):
+    rows = [(1, date(2024, 1, 1), 0.0), (1, date(2024, 1, 2), 5.0), (1, date(2024, 1, 3), None),
+            (1, date(2024, 1, 4), 2.0), (1, date(2024, 1, 5), -2.0), (1, date(2024, 1, 6), 4.0)]
+    df = spark.createDataFrame(rows, "k int, d date, v double")
+    got = series.returns(df, "k", "d", "v").orderBy("d").collect()
+    assert [r.daily_return for r in got] == [None, None, None, None, -2.0, -3.0]
+    assert got[4].log_return is None and got[5].log_return is None
+
+
+def test_latest_row_is_limited_before_the_shuffle(spark):
+    df = spark.createDataFrame([(1, date(2024, 1, 1), "x"), (1, date(2024, 1, 2), "y"), (2, None, "z")], "k int, d date, v string")
+    out = series.latest_per_key(df, "k", "d")
+    assert out._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") == 2
+    assert sorted(r.v for r in out.collect()) == ["y", "z"]
+
+
+# ------------------------------------------------------------------ median
+
+
+@FEW
+@given(
+    groups=st.dictionaries(
+        st.integers(0, 5),
+        st.lists(
+            st.tuples(
+                st.one_of(st.sampled_from([0.0, 0.5, 0.5000001, -3.0, 1e12]),
+                          st.floats(-1e9, 1e9, allow_nan=False, allow_subnormal=False)),
+                st.integers(1, 4),
+            ),
+            min_size=1, max_size=30,
+        ),
+        min_size=1, max_size=4,
+    )
+)
+def test_grouped_median(spark, groups):
+    rows = [(k, v, w) for k, vs in groups.items() for v, w in vs]
+    df = spark.createDataFrame(rows, "k int, v double, w int")
+    got = {r.k: r.median_v for r in quantile.grouped_median(df, ["k"], "v", "w").collect()}
+    expected = {k: statistics.median([v for v, w in vs for _ in range(w)]) for k, vs in groups.items()}
+    assert got == {k: pytest.approx(v, rel=1e-12, abs=1e-12) for k, v in expected.items()}
+
+
+def test_median_of_a_narrow_hot_group(spark):
+    # all values within one coarse cell, one group with most rows, one of a single value
+    df = spark.range(50_000).select(
+        F.when(F.col("id") < 49_000, 1).otherwise(2).alias("k"),
+        F.when(F.col("id") < 49_000, 0.03 + ((F.col("id") * 7919) % 49_000) * 1e-12).otherwise(0.25).alias("v"),
+        F.lit(1).alias("w"),
+    )
+    got = {r.k: r.median_v for r in quantile.grouped_median(df, ["k"], "v", "w").collect()}
+    assert got[1] == pytest.approx(0.03 + 24_499.5e-12, abs=1e-15) and got[2] == 0.25
+
+
+# ---------------------------------------------------------- reconciliation
+
+
+@FEW
+@given(
+    rows=st.lists(
+        st.tuples(st.integers(1, 3), st.integers(1, 2), st.sampled_from("abc"),
+                  st.one_of(st.none(), st.integers(-2, 6))),
+        max_size=40,
+    )
+)
+def test_weighted_pairs_equal_the_plain_self_join(spark, rows):
+    df = spark.createDataFrame(rows, "k int, d int, s string, v int").withColumn("v", F.col("v").cast("decimal(18,6)"))
+    pairs = recon.weighted_pairs(df, ["k", "d"], "s", "a", "b", "v", 0.3)
+    brute = []
+    for k, d, s, v in rows:
+        for k2, d2, s2, v2 in rows:
+            if (k, d, s, s2) == (k2, d2, "a", "b") and v is not None and v2 is not None:
+                mean = (v + v2) / 2
+                diff = abs(v - v2) / mean if mean else None
+                brute.append((k, d, float(v), float(v2), diff, int(diff is not None and diff > 0.3)))
+    key = lambda r: tuple((x is None, x or 0) for x in r)
+    got = sorted((tuple(r) for r in recon.recon_pairs(pairs).collect()), key=key)
+    assert got == [tuple(r) for r in sorted(brute, key=key)]
+
+
+def test_copies_are_counted_not_paired(spark):
+    n = 30_000
+    side = spark.range(n).select(F.lit(1).alias("k"), F.lit("a").alias("s"), F.lit(1).cast("decimal(18,6)").alias("v"))
+    other = side.withColumn("s", F.lit("b")).withColumn("v", F.lit(2).cast("decimal(18,6)"))
+    pairs = recon.weighted_pairs(side.unionByName(other), ["k"], "s", "a", "b", "v", 0.005)
+    rows = pairs.collect()
+    assert [(r.pairs, r.is_flagged) for r in rows] == [(n * n, 1)]
+    dated = pairs.withColumn("day", F.lit("2024-01-01").cast("date"))
+    r = recon.recon_by_entity(dated, "k", "day").first()
+    assert (r.compared, r.flagged, r.median_pct_diff) == (n * n, n * n, pytest.approx(2 / 3))
+    assert recon.top_discrepancies(pairs, ["k"], 10).count() == 10
+
+
+def test_pairs_are_written_out_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(recon, "_BLOCK", 3)
+    df = spark.createDataFrame([(1, 7), (2, 3), (3, 1)], "k int, pairs bigint")
+    got = recon.recon_pairs(df).groupBy("k").count().orderBy("k").collect()
+    assert [(r.k, r["count"]) for r in got] == [(1, 7), (2, 3), (3, 1)]
+
+
+def test_summary_of_nothing(spark):
+    prices = spark.createDataFrame([], "k int, d int, s string, v decimal(18,6)")
+    pairs = recon.weighted_pairs(prices, ["k", "d"], "s", "a", "b", "v", 0.005)
+    trusted = spark.createDataFrame([], "k int, has_a int, has_b int")
+    r = recon.recon_summary(pairs, recon.recon_coverage(trusted, ["k"], "a", "b"), "k", "a", "b").first()
+    assert (r.compared_pairs, r.flagged_pairs, r.flagged_pct, r.only_a, r.only_b) == (0, 0, None, 0, 0)
+    assert (r.tickers_compared, r.tickers_affected) == (0, 0)
+
+
+# ------------------------------------------------------------ fingerprints
+
+
+def test_missing_metric_equals_null_and_text_is_sorted(spark):
+    schema = "table_name string, metric string, value decimal(38,6)"
+    e = spark.createDataFrame(
+        [("t", "row_count", Decimal(3)), ("t", "b", Decimal(1)), ("t", "a", Decimal("0.5")), ("t", "gone", None)], schema
+    )
+    o = spark.createDataFrame([("t", "row_count", Decimal(2)), ("t", "b", Decimal(1)), ("t", "a", None)], schema)
+    assert {r.metric for r in fingerprint.compare_fingerprints(e, o).collect()} == {"row_count", "a"}
+    from quotewright.plans.runs import new_run
+
+    r = fingerprint.load_log(e, o, *new_run()).first()
+    assert (r.rows_expected, r.rows_loaded, r.fingerprint_match) == (3, 2, False)
+    assert r.mismatch_detail == "row_count: expected 3, got 2; a: expected 0.5, got NULL"
+
+
+def test_empty_table_fingerprints_match(spark):
+    from quotewright.schemas import MARKET_TABLES
+
+    spec = MARKET_TABLES["fact_price_daily"]
+    empty = spark.createDataFrame([], spec.schema)
+    a = fingerprint.fingerprint(empty, spec.name, spec.fingerprints)
+    assert fingerprint.compare_fingerprints(a, a).isEmpty()
+    assert a.where("metric = 'sum_adj_close'").first().value is None
+
+
+def test_big_volumes_do_not_overflow(spark):
+    from quotewright.schemas import MARKET_TABLES
+
+    big = spark.sql(f"select cast({2**63 - 1} as bigint) volume from range(3)")
+    got = fingerprint.fingerprint(big, "t", {"s": MARKET_TABLES["fact_price_daily"].metrics["sum_volume"]})
+    assert got.first().value == 3 * (2**63 - 1)
+
+
+# ------------------------------------------------------------------ writes
+
+
+def test_write_guard_raises(spark, tmp_path):
+    df = spark.range(10)
+    path = str(tmp_path / "t")
+    written = exports.write_ordered(df, path, ["id"]).get["rows"]
+    exports.guard_write(spark, path, df.schema, 10, written)
+    with pytest.raises(exports.WriteGuardError, match="counted 11, wrote 10, files hold 10"):
+        exports.guard_write(spark, path, df.schema, 11, written)
+
+
+def test_copies_of_one_key_spread_over_files(spark, tmp_path):
+    df = spark.range(200_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id") % 10).alias("k"), "id"
+    )
+    path = str(tmp_path / "t")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        exports.write_ordered(df, path, ["k"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    out = spark.read.parquet(path).withColumn("f", F.input_file_name())
+    assert out.where("k = 5").select("f").distinct().count() > 1
+    files = out.groupBy("f").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).orderBy("lo", "hi").collect()
+    assert all(a.hi <= b.lo for a, b in zip(files, files[1:]))
+    assert out.count() == 200_000
+
+
+# ----------------------------------------------------------------- quality
+
+
+def test_null_keys_follow_sql(spark):
+    child = spark.createDataFrame([(1,), (2,), (2,), (None,), (None,)], "k int")
+    parent = spark.createDataFrame([(1,), (None,)], "k int")
+    from quotewright.plans.runs import new_run
+
+    got = {
+        r.check_name: (r.status, r.failing_count, r.checked_rows)
+        for r in quality.run_checks(
+            [
+                quality.ForeignKey("fk", "c", "warn", "", parent="p", key="k"),
+                quality.Unique("u", "c", "error", "", keys=("k",)),
+                quality.DistinctForeignKey("d", "p", "error", "", child="c", keys=("k",)),
+                quality.RowRule("r", "c", "error", "", fails="k > 1"),
+                quality.Unique("none", "p", "error", "", "k > 5", ("k",)),
+            ],
+            {"c": child, "p": parent},
+            *new_run(),
+        ).collect()
+    }
+    assert got == {
+        "fk": ("WARN", 4, 5), "u": ("FAIL", 2, 5), "d": ("FAIL", 2, 3), "r": ("FAIL", 2, 5), "none": ("PASS", 0, 0),
+    }
+
+
+@pytest.mark.parametrize(
+    "failing, severity, status",
+    [(0, "error", "PASS"), (0, "warn", "PASS"), (3, "error", "FAIL"), (3, "warn", "WARN"), (None, "error", "FAIL")],
+)
+def test_status(spark, failing, severity, status):
+    df = spark.createDataFrame([(failing, severity)], "f bigint, s string")
+    assert df.select(quality.status_of("f", "s")).first()[0] == status
+
+
+# ----------------------------------------------------------------- control
+
+FIGURES = ("compared_pairs", "flagged_pairs")
+
+
+def _control(spark, published, tickers, day="2024-01-31"):
+    from quotewright.plans.runs import new_run
+
+    summary = spark.createDataFrame([(180, 20)], "compared_pairs bigint, flagged_pairs bigint")
+    by_ticker = spark.createDataFrame([("AAA", 0), ("BBB", 20)], "ticker string, flagged bigint")
+    head = spark.createDataFrame(published, "d string, compared_pairs bigint, flagged_pairs bigint")
+    rows = spark.createDataFrame(tickers, "d string, ticker string, flagged bigint")
+    dated = [x.withColumn("report_ingest_date", F.to_date("d")) for x in (head, rows)]
+    out = control.control_results(summary, by_ticker, *dated, FIGURES, date.fromisoformat(day), *new_run())
+    return {r.check_name.removeprefix("report_control__"): (r.status, r.failing_count, r.checked_rows) for r in out.collect()}
+
+
+def test_control_passes_and_fails(spark):
+    day = "2024-01-31"
+    ok = _control(spark, [(day, 180, 20)], [(day, "BBB", 20)])
+    assert ok == {"compared_pairs": ("PASS", 0, 180), "flagged_pairs": ("PASS", 0, 20), "per_ticker_flagged": ("PASS", 0, 1)}
+    bad = _control(spark, [(day, 185, 20)], [(day, "BBB", 19), (day, "CCC", 1)])
+    assert bad["compared_pairs"] == ("FAIL", 5, 180) and bad["flagged_pairs"][0] == "PASS"
+    assert bad["per_ticker_flagged"] == ("FAIL", 2, 2)
+
+
+def test_missing_control_fails_with_null(spark):
+    got = _control(spark, [("2024-01-30", 180, 20)], [])
+    assert got["compared_pairs"] == ("FAIL", None, 180)
+    assert got["per_ticker_flagged"] == ("FAIL", 1, 0)

@@ -1,17 +1,22 @@
 """Declarative data-quality checks.
 
-Every check yields a failing and a checked count. Row rules and checked counts of
-one table share one aggregate over one scan; the other kinds first aggregate by
-their key, so only distinct keys are shuffled and hot keys collapse map-side.
+Every check yields a failing and a checked count, and none needs a join. Row rules
+and checked counts of one table share one aggregate over one scan. Checks on keys
+state what each of their tables counts per key; all checks on the same key columns
+then share one grouped aggregate over the union of those counts. Counts combine
+map-side, so a hot key is one row per task.
+
 Predicates are SQL text and count rows where they are true.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
+from operator import or_
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +24,14 @@ from pyspark.sql import functions as F
 Tables = Mapping[str, DataFrame]
 
 
+class Count(NamedTuple):
+    """Per key: the sum of ``value`` over the rows of ``table`` where ``where``."""
+
+    table: str
+    where: str = "true"
+    value: str = "1"
+
+
 @dataclass(frozen=True)
 class Check:
     """Base of all kinds. ``rows`` restricts the checked rows of ``table``."""
@@ -38,142 +51,190 @@ class RowRule(Check):
 
 
 @dataclass(frozen=True)
-class Unique(Check):
-    """Key values held by more than one row. NULL is a key value."""
+class KeyCheck(Check):
+    """Base of the checks on keys.
+
+    ``counts`` are summed per key. ``failing`` and ``checked`` aggregate over the
+    keys; they get the sums in that order (NULL where a key has no such row) and
+    whether a key column is NULL. Checked rows None means: count ``rows``.
+    """
 
     keys: tuple[str, ...] = ()
 
+    def counts(self) -> tuple[Count, ...]:
+        raise NotImplementedError
+
+    def failing(self, sums: Sequence[Column], null_key: Column) -> Column:
+        raise NotImplementedError
+
+    def checked(self, sums: Sequence[Column]) -> Column | None:
+        return None
+
+
+@dataclass(frozen=True)
+class Unique(KeyCheck):
+    """Key values held by more than one row. NULL is a key value."""
+
+    def counts(self):
+        return (Count(self.table, self.rows),)
+
+    def failing(self, sums, null_key):
+        return F.count_if(sums[0] > 1)
+
 
 @dataclass(frozen=True)
-class ForeignKey(Check):
-    """Rows without a row in ``parent`` sharing ``key``. A NULL key has none."""
+class ForeignKey(KeyCheck):
+    """Rows without a row in ``parent`` sharing the key. A NULL key has none."""
 
     parent: str = ""
-    key: str = ""
+
+    def counts(self):
+        return Count(self.table, self.rows), Count(self.parent)
+
+    def failing(self, sums, null_key):
+        rows, parents = sums
+        return F.sum(F.when(parents.isNull() | null_key, rows))
 
 
 @dataclass(frozen=True)
-class JoinRule(Check):
-    """Rows joined on ``key`` to rows of ``other`` where ``fails`` is true."""
+class JoinRule(KeyCheck):
+    """Rows times the rows of ``other`` on their key where ``fails`` is true, as an
+    inner join would give them."""
 
     other: str = ""
-    key: str = ""
     fails: str = "false"
 
+    def counts(self):
+        return Count(self.table, self.rows), Count(self.other, self.fails)
+
+    def failing(self, sums, null_key):
+        rows, others = sums
+        return F.sum(F.when(~null_key, rows * others))
+
 
 @dataclass(frozen=True)
-class DistinctForeignKey(Check):
-    """Distinct ``keys`` of ``child`` missing from ``table``; checks those keys."""
+class DistinctForeignKey(KeyCheck):
+    """Distinct keys of ``child`` missing from ``table``; checks those keys."""
 
     child: str = ""
-    keys: tuple[str, ...] = ()
 
+    def counts(self):
+        return Count(self.child), Count(self.table)
 
-@dataclass(frozen=True)
-class PairCount(Check):
-    """Absolute difference between compared pairs and rows matching ``expected``."""
+    def failing(self, sums, null_key):
+        child, held = sums
+        return F.count_if(child.isNotNull() & (held.isNull() | null_key))
 
-    pairs: str = ""
-    expected: str = "true"
+    def checked(self, sums):
+        return F.count(sums[0])
 
 
 @dataclass(frozen=True)
-class PairFlag(Check):
-    """Pairs whose flag differs from the stored one, given by ``stored``."""
+class PairCount(KeyCheck):
+    """Absolute difference between compared pairs and rows matching ``expected``."""
 
     pairs: str = ""
-    keys: tuple[str, ...] = ()
-    stored: str = "false"
+    expected: str = "true"
 
+    def counts(self):
+        return Count(self.pairs, value="pairs"), Count(self.table, self.expected)
 
-# ---- plans of the kinds; each returns (check_name, failing_count, checked_rows)
+    def failing(self, sums, null_key):
+        pairs, rows = (F.coalesce(F.sum(s), F.lit(0)) for s in sums)
+        return F.abs(pairs - rows)
 
+    def checked(self, sums):
+        return F.coalesce(F.sum(sums[0]), F.lit(0))
 
-def _result(df: DataFrame, check: Check, failing: Column, checked: Column | None = None) -> DataFrame:
-    checked = F.lit(None) if checked is None else checked
-    return df.agg(
-        F.coalesce(failing, F.lit(0)).cast("bigint").alias("failing_count"),
-        checked.cast("bigint").alias("checked_rows"),
-    ).select(F.lit(check.name).alias("check_name"), "failing_count", "checked_rows")
 
+@dataclass(frozen=True)
+class PairFlag(KeyCheck):
+    """Pairs whose flag differs from the stored one, given by ``stored``."""
 
-def _shared_counts(table: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """Row rules and checked counts of one table, in one scan."""
-    nothing = F.lit(None).cast("bigint")
+    pairs: str = ""
+    stored: str = "false"
 
-    def row(c: Check) -> Column:
-        failing = F.count_if(F.expr(c.fails)) if isinstance(c, RowRule) else nothing
-        checked = F.count(F.lit(1)) if c.rows == "true" else F.count_if(F.expr(c.rows))
-        return F.struct(
-            F.lit(c.name).alias("check_name"),
-            failing.alias("failing_count"),
-            checked.alias("checked_rows"),
+    def counts(self):
+        return (
+            Count(self.pairs, "is_flagged = 1", "pairs"),
+            Count(self.pairs, "is_flagged = 0", "pairs"),
+            Count(self.table, self.stored),
+            Count(self.table, f"not coalesce({self.stored}, false)"),
         )
 
-    return table.agg(F.array(*[row(c) for c in checks]).alias("all")).select(F.inline("all"))
-
+    def failing(self, sums, null_key):
+        flagged, plain, stored, not_stored = (F.coalesce(s, F.lit(0)) for s in sums)
+        return F.sum(flagged * not_stored + plain * stored)
 
-def _unique(c: Unique, t: Tables) -> DataFrame:
-    groups = t[c.table].where(c.rows).groupBy(*c.keys).agg(F.count(F.lit(1)).alias("n"))
-    return _result(groups.where("n > 1"), c, F.count(F.lit(1)))
+    def checked(self, sums):
+        flagged, plain = (F.coalesce(F.sum(s), F.lit(0)) for s in sums[:2])
+        return flagged + plain
 
 
-def _foreign_key(c: ForeignKey, t: Tables) -> DataFrame:
-    held = t[c.table].where(c.rows).groupBy(c.key).agg(F.count(F.lit(1)).alias("n"))
-    return _result(held.join(t[c.parent].select(c.key).distinct(), c.key, "left_anti"), c, F.sum("n"))
-
-
-def _join_rule(c: JoinRule, t: Tables) -> DataFrame:
-    held = t[c.table].where(c.rows).groupBy(c.key).agg(F.count(F.lit(1)).alias("n"))
-    return _result(held.join(t[c.other].where(c.fails).select(c.key), c.key), c, F.sum("n"))
+def _row(check: Check, failing: Column | None, checked: Column | None) -> Column:
+    failing = F.lit(None) if failing is None else F.coalesce(failing, F.lit(0))
+    checked = F.lit(None) if checked is None else checked
+    return F.struct(
+        F.lit(check.name).alias("check_name"),
+        failing.cast("bigint").alias("failing_count"),
+        checked.cast("bigint").alias("checked_rows"),
+    )
 
 
-def _distinct_foreign_key(c: DistinctForeignKey, t: Tables) -> DataFrame:
-    have = t[c.table].select(*c.keys).distinct().withColumn("_have", F.lit(1))
-    joined = t[c.child].select(*c.keys).distinct().join(have, list(c.keys), "left")
-    return _result(joined, c, F.count_if(F.col("_have").isNull()), F.count(F.lit(1)))
+def _rows(df: DataFrame, rows: Sequence[Column]) -> DataFrame:
+    """The aggregates of ``rows`` over ``df``, one result row each."""
+    return df.agg(F.array(*rows).alias("all")).select(F.inline("all"))
 
 
-def _pair_count(c: PairCount, t: Tables) -> DataFrame:
-    counts = t[c.pairs].agg(F.sum("pairs").alias("p")).unionByName(
-        t[c.table].agg(F.count_if(F.expr(c.expected)).alias("r")), allowMissingColumns=True
-    )
-    p, r = F.coalesce(F.sum("p"), F.lit(0)), F.coalesce(F.sum("r"), F.lit(0))
-    return _result(counts, c, F.abs(p - r), p)
+def _by_rows(table: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Row rules and checked counts of one table, in one scan."""
 
+    def row(c: Check) -> Column:
+        failing = F.count_if(F.expr(c.fails)) if isinstance(c, RowRule) else None
+        return _row(c, failing, F.count_if(F.expr(c.rows)))
 
-def _pair_flag(c: PairFlag, t: Tables) -> DataFrame:
-    # stored rows per key and flag value, so that the join is one to one
-    stored = t[c.table].groupBy(*c.keys).agg(
-        F.count_if(F.expr(c.stored)).alias("yes"), F.count_if(~F.coalesce(F.expr(c.stored), F.lit(False))).alias("no")
-    )
-    joined = t[c.pairs].join(stored, list(c.keys), "left")
-    against = F.when(F.col("is_flagged") == 1, F.col("no")).otherwise(F.col("yes"))
-    return _result(
-        joined, c, F.sum(F.col("pairs") * against), F.coalesce(F.sum("pairs"), F.lit(0))
-    )
+    return _rows(table, [row(c) for c in checks])
 
 
-_PLANS: dict[type, Callable[..., DataFrame]] = {
-    Unique: _unique,
-    ForeignKey: _foreign_key,
-    JoinRule: _join_rule,
-    DistinctForeignKey: _distinct_foreign_key,
-    PairCount: _pair_count,
-    PairFlag: _pair_flag,
-}
-# kinds whose checked count is not a count over ``table``
-_OWN_CHECKED = (DistinctForeignKey, PairCount, PairFlag)
+def _by_key(keys: tuple[str, ...], checks: Sequence[KeyCheck], tables: Tables) -> DataFrame:
+    """All checks on the same key columns, in one grouped aggregate."""
+    names: dict[Count, str] = {}
+    for c in checks:
+        for count in c.counts():
+            names.setdefault(count, f"_{len(names)}")
+
+    def part(table: str) -> DataFrame:
+        mine = {count: n for count, n in names.items() if count.table == table}
+        counted = reduce(or_, [F.expr(count.where) for count in mine])
+        columns = [
+            F.when(F.expr(count.where), F.expr(count.value).cast("bigint")).alias(n)
+            for count, n in mine.items()
+        ]
+        return tables[table].where(counted).select(*keys, *columns)
+
+    parts = [part(t) for t in dict.fromkeys(count.table for count in names)]
+    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    per_key = union.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in names.values()])
+
+    null_key = reduce(or_, [F.col(k).isNull() for k in keys], F.lit(False))
+    rows = []
+    for c in checks:
+        sums = [F.col(names[count]) for count in c.counts()]
+        rows.append(_row(c, c.failing(sums, null_key), c.checked(sums)))
+    return _rows(per_key, rows)
 
 
 def check_counts(checks: Sequence[Check], tables: Tables) -> DataFrame:
     """(check_name, failing_count, checked_rows) of every check."""
-    parts = [_PLANS[type(c)](c, tables) for c in checks if type(c) in _PLANS]
+    by_key: dict[tuple[str, ...], list[KeyCheck]] = {}
     by_table: dict[str, list[Check]] = {}
     for c in checks:
-        if not isinstance(c, _OWN_CHECKED):
+        if isinstance(c, KeyCheck):
+            by_key.setdefault(c.keys, []).append(c)
+        if not isinstance(c, (DistinctForeignKey, PairCount, PairFlag)):
             by_table.setdefault(c.table, []).append(c)
-    parts += [_shared_counts(tables[name], cs) for name, cs in by_table.items()]
+    parts = [_by_key(keys, cs, tables) for keys, cs in by_key.items()]
+    parts += [_by_rows(tables[name], cs) for name, cs in by_table.items()]
     # a check may have its failing count in one part and its checked count in another
     return (
         reduce(DataFrame.unionByName, parts)

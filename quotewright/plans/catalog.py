@@ -441,10 +441,10 @@ def dq_foreign_key(spark, sf):
     fk, t = quality.ForeignKey, _order_tables(spark, sf)
     return _checked(
         [
-            fk("line_order", "lines", "error", "", parent="orders", key="l_orderkey"),
-            fk("order_customer", "orders", "error", "", parent="good_customer", key="c_custkey"),
-            fk("event_customer", "events", "warn", "", "value > 10", "good_customer", "c_custkey"),
-            fk("customer_orders", "customer", "warn", "", "c_acctbal > 0", "orders", "c_custkey"),
+            fk("line_order", "lines", "error", "", keys=("l_orderkey",), parent="orders"),
+            fk("order_customer", "orders", "error", "", keys=("c_custkey",), parent="good_customer"),
+            fk("event_customer", "events", "warn", "", "value > 10", ("c_custkey",), "good_customer"),
+            fk("customer_orders", "customer", "warn", "", "c_acctbal > 0", ("c_custkey",), "orders"),
         ],
         t,
     )
@@ -468,9 +468,9 @@ def dq_join_rules(spark, sf):
     rule, t = quality.JoinRule, _order_tables(spark, sf)
     return _checked(
         [
-            rule("line_of_open_order", "lines", "warn", "", other="orders", key="l_orderkey",
+            rule("line_of_open_order", "lines", "warn", "", keys=("l_orderkey",), other="orders",
                  fails="o_orderstatus = 'O'"),
-            rule("event_of_debtor", "events", "warn", "", other="customer", key="c_custkey",
+            rule("event_of_debtor", "events", "warn", "", keys=("c_custkey",), other="customer",
                  fails="not (c_acctbal >= 0)"),
         ],
         t,

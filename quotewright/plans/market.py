@@ -300,7 +300,7 @@ def market_checks(m: Market) -> list[q.Check]:
     def fk(kind: str, table: str, parent: str, key: str) -> q.Check:
         return q.ForeignKey(
             f"fk_{kind}__{table}", table, "error", f"rows whose {key} has no row in {parent}",
-            parent=parent, key=key,
+            keys=(key,), parent=parent,
         )
 
     out += [fk("security", f, "dim_security", "security_key") for f in facts]
@@ -347,12 +347,12 @@ def market_checks(m: Market) -> list[q.Check]:
                    pairs="recon_pairs", keys=PAIR_KEYS, stored="reconciliation_flag = 'disagreed'"),
         q.DistinctForeignKey("consensus_covers_price_keys", cons, "error",
                              "priced (security_key, date_key) without a consensus row",
-                             child=price, keys=PAIR_KEYS),
+                             keys=PAIR_KEYS, child=price),
         q.ForeignKey("security_without_prices", "dim_security", "warn", "current securities without a price",
-                     "is_current", parent=price, key="security_key"),
+                     "is_current", keys=("security_key",), parent=price),
         q.ForeignKey("trading_day_without_prices", "dim_date", "warn", "trading days without a price",
-                     "is_trading_day", parent=price, key="date_key"),
+                     "is_trading_day", keys=("date_key",), parent=price),
         q.JoinRule("price_on_non_trading_day", price, "warn", "prices on non-trading days",
-                   other="dim_date", key="date_key", fails="not is_trading_day"),
+                   keys=("date_key",), other="dim_date", fails="not is_trading_day"),
     ]
     return out

@@ -362,7 +362,7 @@ def test_null_keys_follow_sql(spark):
         r.check_name: (r.status, r.failing_count, r.checked_rows)
         for r in quality.run_checks(
             [
-                quality.ForeignKey("fk", "c", "warn", "", parent="p", key="k"),
+                quality.ForeignKey("fk", "c", "warn", "", keys=("k",), parent="p"),
                 quality.Unique("u", "c", "error", "", keys=("k",)),
                 quality.DistinctForeignKey("d", "p", "error", "", child="c", keys=("k",)),
                 quality.RowRule("r", "c", "error", "", fails="k > 1"),

@@ -723,7 +723,7 @@ def export_files(spark, sf):
     folder = new_folder(spark)
     manifest = _exported(spark, sf, folder).select("table_name", "files", "bytes")
     again = [
-        exports.file_hashes(spark, f"{folder}/{t}").select(F.lit(t).alias("table_name"), "file", "sha256")
+        exports.file_hashes(spark, f"{folder}/{t}.parquet").select(F.lit(t).alias("table_name"), "file", "sha256")
         for t in MARKET_TABLES
     ]
     listed = [

@@ -196,7 +196,7 @@ def run_market(
 
     manifest = read_manifest(spark, export_dir)
     copies = together(
-        partial(wh.stage, read_typed(spark, f"{export_dir}/{s.name}", s.schema), run_id, "raw", s.name)
+        partial(wh.stage, read_typed(spark, f"{export_dir}/{s.name}.parquet", s.schema), run_id, "raw", s.name)
         for s in MARKET_TABLES.values()
     )
     staged = dict(zip(MARKET_TABLES, copies))

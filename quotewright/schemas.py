@@ -12,6 +12,11 @@ from pyspark.sql import types as T
 PRICE_FIELDS = ("open", "high", "low", "close", "adj_open", "adj_high", "adj_low", "adj_close")
 
 
+def tally(condition: str) -> str:
+    """Rows where the condition is true; NULL, like any sum, over an empty table."""
+    return f"sum(case when {condition} then 1 else 0 end)"
+
+
 @dataclass(frozen=True)
 class TableSpec:
     """A typed table: its schema, its declared grain and its fingerprint metrics."""
@@ -30,7 +35,7 @@ class TableSpec:
     @property
     def fingerprints(self) -> dict[str, str]:
         """Metric name to SQL aggregate: row count, listed metrics, null counts."""
-        nulls = {f"null_{c}": f"count_if({c} is null)" for c in self.decimals}
+        nulls = {f"null_{c}": tally(f"{c} is null") for c in self.decimals}
         return {"row_count": "count(1)", **self.metrics, **nulls}
 
 
@@ -63,7 +68,7 @@ MARKET_TABLES: dict[str, TableSpec] = {
             {
                 "min_date_key": "min(date_key)",
                 "max_date_key": "max(date_key)",
-                "trading_days": "count_if(is_trading_day)",
+                "trading_days": tally("is_trading_day"),
             },
             "date",
         ),
@@ -77,7 +82,7 @@ MARKET_TABLES: dict[str, TableSpec] = {
             ("security_key",),
             {
                 "distinct_tickers": "count(distinct ticker)",
-                "current_rows": "count_if(is_current)",
+                "current_rows": tally("is_current"),
                 "max_security_key": "max(security_key)",
             },
             "effective_from",
@@ -109,8 +114,8 @@ MARKET_TABLES: dict[str, TableSpec] = {
             {
                 "sum_adj_close": "sum(adj_close)",
                 "sum_pct_diff": "sum(pct_diff)",
-                "disagreed_rows": "count_if(reconciliation_flag = 'disagreed')",
-                "single_source_rows": "count_if(reconciliation_flag = 'single_source')",
+                "disagreed_rows": tally("reconciliation_flag = 'disagreed'"),
+                "single_source_rows": tally("reconciliation_flag = 'single_source'"),
             },
             "date_key",
         ),
@@ -121,7 +126,7 @@ MARKET_TABLES: dict[str, TableSpec] = {
                 source=TEXT,
             ),
             ("security_key", "date_key", "action_type", "source"),
-            {"sum_value": "sum(value)", "split_rows": "count_if(action_type = 'split')"},
+            {"sum_value": "sum(value)", "split_rows": tally("action_type = 'split'")},
             "date_key",
         ),
         TableSpec(
@@ -158,11 +163,15 @@ CONTROL_TICKER = _schema(
     report_ingest_date=DATE, ticker=TEXT, flagged=BIG, compared=BIG, first_flagged=DATE,
     last_flagged=DATE,
 )
+# The manifest is one document. ``file`` names the table's file or folder; a folder
+# has its hashes in the listing, and no sha256 of its own.
 MANIFEST = _schema(
-    table_name=TEXT, rows=BIG, path=TEXT, files=BIG, bytes=BIG,
-    nan_to_null=T.MapType(TEXT, BIG), fingerprints=T.MapType(TEXT, TEXT),
     exported_at_utc=TEXT,
-)
-MANIFEST_FILES = _schema(
-    table_name=TEXT, file=TEXT, bytes=BIG, sha256=TEXT,
+    tables=T.MapType(
+        TEXT,
+        _schema(
+            rows=BIG, file=TEXT, bytes=BIG, sha256=TEXT, nan_to_null=T.MapType(TEXT, BIG),
+            fingerprints=T.MapType(TEXT, TEXT), files=BIG,
+        ),
+    ),
 )

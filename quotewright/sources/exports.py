@@ -93,12 +93,13 @@ def profile(df: DataFrame, spec: TableSpec) -> DataFrame:
     return wide.agg(*metric_columns(spec.fingerprints), *[F.count_if(f).alias(f) for f in flags])
 
 
-def export_table(df: DataFrame, spec: TableSpec, out_dir: str, at: datetime) -> Row:
-    """Export one table under its name and return its manifest row.
+def export_table(df: DataFrame, spec: TableSpec, out_dir: str) -> Row:
+    """Export one table to ``<name>.parquet`` and return its manifest entry.
 
     Only the profile (one row of figures) and the file totals reach the driver.
     """
-    spark, path = df.sparkSession, f"{out_dir}/{spec.name}"
+    spark, file = df.sparkSession, f"{spec.name}.parquet"
+    path = f"{out_dir}/{file}"
     metrics = list(spec.fingerprints)
     nans = [f"_nan_{c}" for c in spec.decimals]
     before = (
@@ -111,38 +112,39 @@ def export_table(df: DataFrame, spec: TableSpec, out_dir: str, at: datetime) ->
     guard_write(spark, path, spec.schema, rows, int(written.get["rows"]))
     totals = write_listing(file_hashes(spark, path), spec.name, f"{out_dir}/manifest_files/{spec.name}")
     return Row(
-        table_name=spec.name,
         rows=rows,
-        path=spec.name,
-        files=totals["files"],
+        file=file,
         bytes=totals["bytes"] or 0,
+        sha256=None,
         nan_to_null={c: before[f"_nan_{c}"] for c in spec.decimals if before[f"_nan_{c}"]},
         fingerprints={m: before[m] for m in metrics if m != "row_count"},
-        exported_at_utc=at.isoformat(timespec="seconds"),
+        files=totals["files"],
     )
 
 
 def export_all(
     tables: Mapping[str, DataFrame], specs: Mapping[str, TableSpec], out_dir: str, at: datetime
 ) -> DataFrame:
-    """Export every table and write ``manifest``; returns the manifest.
+    """Export every table and write ``manifest.json``; returns its entries.
 
     The snapshot is what the given DataFrames read: list their files once, or
     point them at a versioned copy, before calling.
     """
     spark = next(iter(tables.values())).sparkSession
-    rows = together(
-        partial(export_table, tables[name], spec, out_dir, at) for name, spec in specs.items()
-    )
-    manifest = spark.createDataFrame(rows, MANIFEST)
-    manifest.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(
-        f"{out_dir}/manifest"
-    )
-    return manifest
+    entries = together(partial(export_table, tables[name], spec, out_dir) for name, spec in specs.items())
+    document = (at.isoformat(timespec="seconds"), dict(zip(specs, entries)))
+    spark.createDataFrame([document], MANIFEST).coalesce(1).write.mode("overwrite").option(
+        "ignoreNullFields", "false"
+    ).json(f"{out_dir}/manifest.json")
+    return read_manifest(spark, out_dir)
 
 
 def read_manifest(spark: SparkSession, export_dir: str) -> DataFrame:
-    return spark.read.schema(MANIFEST).json(f"{export_dir}/manifest")
+    """One row per table of ``manifest.json``, a file or a folder."""
+    document = spark.read.schema(MANIFEST).option("multiLine", True).json(f"{export_dir}/manifest.json")
+    return document.select("exported_at_utc", F.explode("tables").alias("table_name", "t")).select(
+        "exported_at_utc", "table_name", "t.*"
+    )
 
 
 def manifest_fingerprints(manifest: DataFrame) -> DataFrame:

@@ -4,8 +4,10 @@ import json
 import math
 import statistics
 from dataclasses import replace
+from decimal import Decimal
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -31,7 +33,7 @@ def export(spark, tmp_path_factory):
 
 @pytest.fixture(scope="session")
 def raw(spark, export):
-    return {s.name: read_typed(spark, f"{export}/{s.name}", s.schema) for s in MARKET_TABLES.values()}
+    return {s.name: read_typed(spark, f"{export}/{s.name}.parquet", s.schema) for s in MARKET_TABLES.values()}
 
 
 @pytest.fixture(scope="session")
@@ -70,7 +72,7 @@ def test_manifest_counts_rows_nan_and_files(spark, export):
 
 
 def test_export_is_typed_and_ordered(spark, export):
-    df = spark.read.parquet(f"{export}/fact_price_daily")
+    df = spark.read.parquet(f"{export}/fact_price_daily.parquet")
     assert [(f.name, f.dataType) for f in df.schema] == [
         (f.name, f.dataType) for f in MARKET_TABLES["fact_price_daily"].schema
     ]
@@ -237,15 +239,13 @@ def test_dropped_rows_and_invented_values_are_caught(spark, audit, export, raw):
 
 def test_failed_load_keeps_the_published_tables(spark, loaded, export, tmp_path):
     wh, good = loaded
-    bad = tmp_path / "bad"
-    (bad / "manifest").mkdir(parents=True)
-    rows = [json.loads(r) for r in spark.read.text(f"{export}/manifest").toPandas()["value"]]
-    for r in rows:
-        r["rows"] += r["table_name"] == "dim_date"
-    (bad / "manifest" / "part.json").write_text("\n".join(map(json.dumps, rows)))
+    # the manifest as a plain, indented file
+    document = json.loads(spark.read.text(f"{export}/manifest.json").first()[0])
+    document["tables"]["dim_date"]["rows"] += 1
+    (tmp_path / "manifest.json").write_text(json.dumps(document, indent=2))
     for t in MARKET_TABLES:
-        (bad / t).symlink_to(Path(export) / t)
-    result = runs.run_market(wh, str(bad), M)
+        (tmp_path / f"{t}.parquet").symlink_to(Path(export) / f"{t}.parquet")
+    result = runs.run_market(wh, str(tmp_path), M)
     assert result.outcome is runs.Outcome.LOAD_NOT_VERIFIED and result.results is None
     assert result.problems == [("dim_date", "row_count: expected 90, got 89")]
     where = wh.table("raw", "dim_date").select(F.input_file_name().alias("f")).first().f
@@ -260,7 +260,7 @@ def test_failed_load_keeps_the_published_tables(spark, loaded, export, tmp_path)
 def test_missing_column_stops_a_load(spark, export):
     spec = MARKET_TABLES["dim_date"]
     with pytest.raises(ValueError, match="year"):
-        clean_decimals(spark.read.parquet(f"{export}/dim_date").drop("year"), spec.schema)
+        clean_decimals(spark.read.parquet(f"{export}/dim_date.parquet").drop("year"), spec.schema)
 
 
 # ------------------------------------------------------ every check can fire
@@ -364,3 +364,21 @@ def test_checked_rows(clean_checks):
     assert clean_checks["recon_flag_mismatch"][2] == clean_checks["recon_pair_count_match"][2] == 180
     assert clean_checks["consensus_covers_price_keys"][2] == 249
     assert clean_checks["trading_day_without_prices"][2] == 64
+
+
+def test_single_file_exports_load_too(spark, raw, tmp_path):
+    """One Parquet file per table with plain columns and an indented manifest."""
+    tables = {}
+    for spec in MARKET_TABLES.values():
+        df = raw[spec.name]
+        file = f"{spec.name}.parquet"
+        pq.write_table(df.toArrow(), tmp_path / file)
+        figures = df.agg(*[F.expr(sql).alias(m) for m, sql in spec.fingerprints.items()]).first().asDict()
+        rows = figures.pop("row_count")
+        texts = {m: None if v is None else format(Decimal(str(v)).normalize(), "f") for m, v in figures.items()}
+        tables[spec.name] = dict(rows=rows, file=file, bytes=1, sha256="x", nan_to_null={}, fingerprints=texts)
+    document = {"exported_at_utc": "2026-09-08T00:00:00+00:00", "server_version": "16", "tables": tables}
+    (tmp_path / "manifest.json").write_text(json.dumps(document, indent=2))
+    wh = Warehouse(spark, str(tmp_path / "wh"), "t3_")
+    result = runs.run_market(wh, str(tmp_path), M)
+    assert result.problems == [] and result.outcome is runs.Outcome.OK

@@ -19,6 +19,7 @@ from quotewright.operators import star
 from quotewright.operators.clean import conform
 from quotewright.plans.market import Market
 from quotewright.schemas import MARKET_TABLES
+from quotewright.session import keep
 
 MARKET = Market(
     source_a="click", source_b="view", printed_a="click", printed_b="view",
@@ -35,18 +36,22 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 class MarketTables(Mapping):
     """The six tables by name. Each is put together when first asked for, and each
-    given table is opened once."""
+    given table is opened once. ``kept`` writes the two price tables out, for
+    queries that read them in many branches."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, kept: bool = False):
         self.given = cache(partial(read, spark, sf_dir))
+        self.kept = kept
         self._made: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._made:
             if name == "fact_price_daily_consensus":
-                self._made[name] = consensus(self["fact_price_daily"])
+                made = consensus(self["fact_price_daily"])
             else:
-                self._made[name] = _BUILDERS[name](self.given)
+                made = _BUILDERS[name](self.given)
+            written = self.kept and name.startswith("fact_price_daily")
+            self._made[name] = keep(made) if written else made
         return self._made[name]
 
     def __iter__(self):

@@ -20,7 +20,7 @@ from quotewright.operators import clean, control, fingerprint, quality, quantile
 from quotewright.plans import bridge, runs
 from quotewright.plans import market as mk
 from quotewright.schemas import MARKET_TABLES, TableSpec
-from quotewright.session import shared_dir
+from quotewright.session import keep, new_folder
 from quotewright.sources import exports, reports
 from quotewright.sources.warehouse import Warehouse
 
@@ -46,10 +46,6 @@ def rounded(df: DataFrame, digits: int = 9, deviation: int = 5) -> DataFrame:
     return df.withColumns({c: F.round(c, places(c)) for c in doubles})
 
 
-def new_folder(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/quotewright/{uuid4().hex}"
-
-
 def _returns(tables) -> DataFrame:
     return mk.price_returns(mk.price_trusted(tables, M), M)
 
@@ -208,10 +204,13 @@ def recon_pairs_with_copies(spark, sf):
     )
 
 
+def _by_ticker(tables) -> DataFrame:
+    return mk.recon_by_ticker(tables, keep(mk.recon_pairs(tables, M)))
+
+
 @query
 def recon_by_entity(spark, sf):
-    tables = bridge.MarketTables(spark, sf)
-    return rounded(mk.recon_by_ticker(tables, mk.recon_pairs(tables, M)))
+    return rounded(_by_ticker(bridge.MarketTables(spark, sf)))
 
 
 @query
@@ -505,23 +504,23 @@ def dq_abs_diff(spark, sf):
 
 
 def _all_results(tables) -> DataFrame:
-    checked = {**tables, "recon_pairs": mk.recon_pairs(tables, M)}
+    checked = {**tables, "recon_pairs": keep(mk.recon_pairs(tables, M))}
     return quality.run_checks(mk.market_checks(M), checked, *RUN)
 
 
 @query
 def dq_results_all(spark, sf):
-    return _all_results(bridge.MarketTables(spark, sf)).select(*_SHOWN)
+    return _all_results(bridge.MarketTables(spark, sf, kept=True)).select(*_SHOWN)
 
 
 @query
 def dq_status_tally(spark, sf):
-    return quality.status_tally(_all_results(bridge.MarketTables(spark, sf)))
+    return quality.status_tally(_all_results(bridge.MarketTables(spark, sf, kept=True)))
 
 
 @query
 def dq_not_passed(spark, sf):
-    return quality.not_passed(_all_results(bridge.MarketTables(spark, sf)))
+    return quality.not_passed(_all_results(bridge.MarketTables(spark, sf, kept=True)))
 
 
 # -------------------------------------------------- audit rows and control
@@ -566,25 +565,21 @@ def _looser(tables) -> tuple[DataFrame, DataFrame]:
 
 @query
 def control_compare_headline(spark, sf):
-    tables = bridge.MarketTables(spark, sf)
+    tables = bridge.MarketTables(spark, sf, kept=True)
     return control.headline_differences(
         _summary(tables), _looser(tables)[0], M.control_figures
     )
 
 
-def _by_ticker(tables) -> DataFrame:
-    return mk.recon_by_ticker(tables, mk.recon_pairs(tables, M))
-
-
 @query
 def control_compare_by_entity(spark, sf):
-    tables = bridge.MarketTables(spark, sf)
+    tables = bridge.MarketTables(spark, sf, kept=True)
     return control.entity_differences(_by_ticker(tables), _looser(tables)[1], "ticker")
 
 
 @query
 def control_results(spark, sf):
-    tables = bridge.MarketTables(spark, sf)
+    tables = bridge.MarketTables(spark, sf, kept=True)
     head, by_ticker = _looser(tables)
     out = control.control_results(
         _summary(tables), _by_ticker(tables), head, by_ticker, M.control_figures,
@@ -596,7 +591,7 @@ def control_results(spark, sf):
 @query
 def control_results_without_report(spark, sf):
     """No control row for the date: the figures fail with a NULL count."""
-    tables = bridge.MarketTables(spark, sf)
+    tables = bridge.MarketTables(spark, sf, kept=True)
     head, by_ticker = _looser(tables)
     out = control.control_results(
         _summary(tables), _by_ticker(tables), head, by_ticker, M.control_figures,
@@ -611,7 +606,7 @@ def control_results_without_report(spark, sf):
 def _report_texts(spark, sf) -> DataFrame:
     """One published report per security, in the layout the parser reads. The row
     of a security flagged on every compared day is left out of its report."""
-    tables = bridge.MarketTables(spark, sf)
+    tables = bridge.MarketTables(spark, sf, kept=True)
     a, b = M.source_a, M.source_b
     coverage = mk.recon_coverage(mk.price_trusted(tables, M), M)
     seen = _by_ticker(tables).drop("ticker", "gics_sector")
@@ -792,7 +787,7 @@ def control_partition_replace(spark, sf):
     date whose second report lists no ticker."""
     wh, tables = _warehouse(spark), bridge.MarketTables(spark, sf)
     wh.create({}, M.source_a, M.source_b)
-    rows = _by_ticker(tables).select(
+    rows = keep(_by_ticker(tables)).select(
         "ticker", "flagged", "compared",
         F.col("first_flagged_date").alias("first_flagged"), F.col("last_flagged_date").alias("last_flagged"),
     )
@@ -813,8 +808,8 @@ def bi_measures(spark, sf):
     loads = mk.latest_run(log, log, "loaded_at").withColumn(
         "fingerprint_match", F.col("rows_loaded") > 60
     )
-    tables = bridge.MarketTables(spark, sf)
-    returns = _returns(tables)
+    tables = bridge.MarketTables(spark, sf, kept=True)
+    returns = keep(_returns(tables))
     return rounded(
         mk.measures(
             returns, mk.latest_price(returns, M), _summary(tables), _all_results(tables), loads, M

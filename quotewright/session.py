@@ -5,9 +5,11 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from functools import cache
 from typing import TypeVar
+from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Joins with a hot key are split at run time even when that costs one more shuffle.
 SETTINGS = {
@@ -53,14 +55,30 @@ def together(actions: Iterable[Callable[[], _T]], at_once: int = 8) -> list[_T]:
         return [f.result() for f in [pool.submit(a) for a in actions]]
 
 
+@cache
+def _local_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"quotewright-{application}-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` when the
     cluster names one. Only a local session (tests) falls back to its own."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
+    context = spark.sparkContext
+    named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix="quotewright-")
+    return _local_dir(context.applicationId)
+
+
+def new_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/quotewright/{uuid4().hex}"
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """Write an intermediate that several branches read, and read it back: it is
+    computed once, and a lost executor costs only its own tasks."""
+    folder = new_folder(df.sparkSession)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

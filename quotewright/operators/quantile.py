@@ -29,9 +29,10 @@ def _holding_middle(cells: DataFrame, parts: Sequence[str], order: str, start: C
 def grouped_median(df: DataFrame, keys: Sequence[str], value: str, weight: str) -> DataFrame:
     """Median of ``value`` (a double, each row counting ``weight`` times) per key.
 
-    Key columns hold no NULL, as columns that were joined on never do. Two rounds of counting narrow each group to the cells around its middle; only
+    Two rounds of counting narrow each group to the cells around its middle; only
     the distinct values of those cells are ranked. Each round shuffles counts, not
-    rows, so a group with a third of all rows costs what the others cost.
+    rows, so a group with a third of all rows costs what the others cost. Key
+    columns hold no NULL, as columns that were joined on never do.
     """
     keys = list(keys)
     rows = df.where(F.col(value).isNotNull()).select(
@@ -42,28 +43,31 @@ def grouped_median(df: DataFrame, keys: Sequence[str], value: str, weight: str)
         rows.groupBy(*keys, "_c")
         .agg(F.sum("_w").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
         .withColumn("_total", total)
-        .withColumns({"_lo": F.floor((F.col("_total") + 1) / 2), "_hi": F.floor(F.col("_total") / 2) + 1})
+        .withColumns({"_lo": F.expr("(_total + 1) div 2"), "_hi": F.expr("_total div 2 + 1")})
     )
     coarse = _holding_middle(coarse, keys, "_c", F.lit(0)).select(
         *keys, "_c", "_lo", "_hi", F.col("_before").alias("_start"), "_min", "_max"
     )
 
     at = F.try_divide(F.col("_v") - F.col("_min"), F.col("_max") - F.col("_min"))
-    near = rows.join(coarse, [*keys, "_c"]).withColumn(
-        "_f", F.coalesce(F.floor(at * _FINE), F.lit(0).cast("bigint"))
-    )
-    fine = near.groupBy(*keys, "_c", "_f").agg(
-        F.sum("_w").alias("_n"), *[F.first(c).alias(c) for c in ("_lo", "_hi", "_start")]
+    cell = F.coalesce(F.floor(at * _FINE), F.lit(0).cast("bigint"))
+    bounds = ("_lo", "_hi", "_min", "_max")
+    fine = (
+        rows.join(coarse, [*keys, "_c"])
+        .groupBy(*keys, "_c", cell.alias("_f"))
+        .agg(F.sum("_w").alias("_n"), *[F.first(c).alias(c) for c in (*bounds, "_start")])
     )
     fine = _holding_middle(fine, [*keys, "_c"], "_f", F.col("_start")).select(
-        *keys, "_c", "_f", F.col("_before").alias("_base")
+        *keys, "_c", "_f", *bounds, F.col("_before").alias("_start")
     )
 
+    # at most two fine cells per coarse one: the join keeps a row's own
     exact = (
-        near.join(fine, [*keys, "_c", "_f"])
+        rows.join(fine, [*keys, "_c"])
+        .where(cell == F.col("_f"))
         .groupBy(*keys, "_c", "_f", "_v")
-        .agg(F.sum("_w").alias("_n"), *[F.first(c).alias(c) for c in ("_lo", "_hi", "_base")])
+        .agg(F.sum("_w").alias("_n"), *[F.first(c).alias(c) for c in ("_lo", "_hi", "_start")])
     )
-    exact = _holding_middle(exact, [*keys, "_c", "_f"], "_v", F.col("_base"))
+    exact = _holding_middle(exact, [*keys, "_c", "_f"], "_v", F.col("_start"))
     # the two middle ranks fall on one value or on two neighbours
     return exact.groupBy(*keys).agg(((F.min("_v") + F.max("_v")) / 2).alias(f"median_{value}"))

@@ -25,7 +25,7 @@ def _spans(df: DataFrame, key: str, order: str, value: str, span_days: int, halo
     near_end = F.lit(span_days - halo_days)
     rows = df.withColumn(
         "_span", F.explode(F.when(at >= near_end, F.array(span, span + 1)).otherwise(F.array(span)))
-    ).withColumn("_own", F.col("_span") == span)
+    ).withColumn("_own", F.col("_span").eqNullSafe(span))
 
     # Last row of each span, then of the span before it: one row per entity and
     # span, combined map-side.
@@ -64,7 +64,8 @@ def returns(
     of the volatility. Volatility needs ``window`` non-gap returns in a row, so
     its rows all lie within ``window * gap_days`` days; that makes the halo of
     ``_spans`` exact. ``span_days=None`` computes each series in one piece.
-    ``order`` is a date, unique within ``key``.
+    ``order`` is a date, unique within ``key``; a row without one is kept, and has
+    no previous row.
     """
     halo_days = window * gap_days
     if span_days is None:

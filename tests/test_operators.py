@@ -187,6 +187,11 @@ def test_zero_and_missing_prices_do_not_stop_a_series(spark):
     assert got[4].log_return is None and got[5].log_return is None
 
 
+def test_rows_without_a_date_are_kept(spark):
+    df = spark.createDataFrame([(1, date(2024, 1, 1), 1.0), (1, None, 2.0), (None, date(2024, 1, 2), 3.0)], "k int, d date, v double")
+    assert series.returns(df, "k", "d", "v").count() == 3
+
+
 def test_latest_row_is_limited_before_the_shuffle(spark):
     df = spark.createDataFrame([(1, date(2024, 1, 1), "x"), (1, date(2024, 1, 2), "y"), (2, None, "z")], "k int, d date, v string")
     out = series.latest_per_key(df, "k", "d")

@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame
 from quotewright.operators.control import control_results
 from quotewright.operators.fingerprint import fingerprint, load_log, load_problems
 from quotewright.operators.quality import run_checks
-from quotewright.operators.recon import recon_pairs
 from quotewright.plans import market as mk
 from quotewright.schemas import MARKET_TABLES
 from quotewright.session import together
@@ -94,7 +93,6 @@ def build_marts(wh: Warehouse, tables: mk.Tables, run_id: str, m: mk.Market) ->
             "v_latest_price": mk.latest_price(returns, m),
             "v_security_summary": mk.security_summary(returns, m),
             "v_sector_daily_return": mk.sector_daily_return(returns),
-            "v_recon_pairs": recon_pairs(pairs),
             "v_recon_by_ticker": mk.recon_by_ticker(tables, pairs),
             "v_recon_summary": mk.recon_summary(pairs, coverage, m),
         }
@@ -106,7 +104,7 @@ def build_marts(wh: Warehouse, tables: mk.Tables, run_id: str, m: mk.Market) ->
 
 def create_views(wh: Warehouse, m: mk.Market) -> None:
     """Catalog views for SQL users: the models over RAW, which follow each publish,
-    and the latest-run rows of the audit tables."""
+    the compared pairs one by one, and the latest-run rows of the audit tables."""
     raw, mart = (lambda t: wh.name("raw", t)), (lambda t: wh.name("mart", t))
     security = f"JOIN {raw('dim_security')} s ON s.security_key = f.security_key"
     day = f"JOIN {raw('dim_date')} d ON d.date_key = f.date_key"
@@ -131,6 +129,11 @@ def create_views(wh: Warehouse, m: mk.Market) -> None:
         wh.name("model", "macro_rate"): f"""
             SELECT f.date_key, d.date AS rate_date, f.* EXCEPT (date_key)
             FROM {raw('fact_macro_rate')} f {day}""",
+        # written out only when read: copies of a price may stand for many pairs
+        mart("v_recon_pairs"): f"""
+            SELECT p.* EXCEPT (pairs) FROM {mart('recon_pair_counts')} p
+            LATERAL VIEW explode(sequence(0, (pairs - 1) div 10000)) AS block
+            LATERAL VIEW explode(sequence(1, least(10000, pairs - block * 10000))) AS copy""",
         mart("v_load_latest"): f"SELECT * FROM {mart('load_log')} WHERE run_id = {newest}",
         mart("v_dq_latest"): f"SELECT * FROM {mart('dq_results')} WHERE run_id = {newest}",
     }
@@ -160,6 +163,7 @@ def build_and_check(
     """Marts, checks and the optional report control; returns this run's
     results, read back from the audit table and ordered by name."""
     marts = build_marts(wh, tables, run_id, m)
+    create_views(wh, m)
     checked = {**tables, "recon_pairs": marts["recon_pair_counts"]}
     wh.append(run_checks(mk.market_checks(m), checked, run_id, at), "dq_results")
     if parsed is not None:
@@ -205,7 +209,6 @@ def run_market(
         return RunResult(Outcome.LOAD_NOT_VERIFIED, run_id, problems)
     for name in MARKET_TABLES:
         wh.publish(run_id, "raw", name)
-    create_views(wh, m)
     results = build_and_check(wh, staged, run_id, at, m, parsed)
     failed = bool(results.where("status = 'FAIL'").limit(1).collect())
     return RunResult(Outcome.CHECK_FAILED if failed else Outcome.OK, run_id, [], results)

@@ -664,7 +664,8 @@ def report_rejects(spark, sf):
 
 
 def _exported(spark, sf, folder: str) -> DataFrame:
-    return exports.export_all(bridge.MarketTables(spark, sf), MARKET_TABLES, folder, RUN[1])
+    tables = exports.snapshot(bridge.MarketTables(spark, sf))
+    return exports.export_all(tables, MARKET_TABLES, folder, RUN[1])
 
 
 @query

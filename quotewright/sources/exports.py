@@ -14,7 +14,7 @@ from quotewright.functions.columns import plain_number
 from quotewright.operators.clean import clean_columns, clean_decimals, conform, is_nan, resolve
 from quotewright.operators.fingerprint import VALUE, metric_columns
 from quotewright.schemas import MANIFEST, TableSpec
-from quotewright.session import together
+from quotewright.session import keep, together
 
 # Files stay small enough to be hashed as one binary value.
 ROWS_PER_FILE = 2_000_000
@@ -122,13 +122,19 @@ def export_table(df: DataFrame, spec: TableSpec, out_dir: str) -> Row:
     )
 
 
+def snapshot(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """One consistent copy of every source, read once. Needed where the source can
+    change or is costly to read: an export reads its input several times."""
+    return dict(zip(tables, together(partial(keep, df) for df in tables.values())))
+
+
 def export_all(
     tables: Mapping[str, DataFrame], specs: Mapping[str, TableSpec], out_dir: str, at: datetime
 ) -> DataFrame:
     """Export every table and write ``manifest.json``; returns its entries.
 
-    The snapshot is what the given DataFrames read: list their files once, or
-    point them at a versioned copy, before calling.
+    All reads of an input must see the same rows: pass Parquet that does not change,
+    or a ``snapshot`` of anything else.
     """
     spark = next(iter(tables.values())).sparkSession
     entries = together(partial(export_table, tables[name], spec, out_dir) for name, spec in specs.items())

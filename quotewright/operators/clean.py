@@ -62,7 +62,7 @@ def nan_census(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """One row per column holding NaN: (column_name, nan_count). One pass."""
     pairs = [F.struct(F.lit(c).alias("column_name"), F.count_if(is_nan(df, c)).alias("nan_count")) for c in columns]
     if not pairs:
-        return df.sparkSession.createDataFrame([], "column_name string, nan_count bigint")
+        return df.sparkSession.sql("select '' column_name, 0L nan_count").limit(0)
     return df.agg(F.array(*pairs).alias("census")).select(F.inline("census")).where("nan_count > 0")
 
 

@@ -53,21 +53,27 @@ def control_results(
     entities = control_entity.where(on_date)
     heads = headline_differences(summary, control.where(on_date), figures).select(
         F.concat(F.lit("report_control__"), "figure").alias("check_name"),
+        F.concat(F.lit("recomputed "), "figure", F.lit(" against the published figure")).alias("description"),
         F.col("difference").alias("failing_count"),
         F.col("computed").alias("checked_rows"),
     )
-    per_entity = "report_control__per_ticker_flagged"
     # two one-row counts, merged
-    counts = (
+    per_entity = (
         entity_differences(by_entity, entities, "ticker")
         .agg(F.count(F.lit(1)).alias("failing_count"))
         .unionByName(entities.agg(F.count(F.lit(1)).alias("checked_rows")), allowMissingColumns=True)
         .agg(F.max("failing_count").alias("failing_count"), F.max("checked_rows").alias("checked_rows"))
-        .select(F.lit(per_entity).alias("check_name"), "failing_count", "checked_rows")
+        .select(
+            F.lit("report_control__per_ticker_flagged").alias("check_name"),
+            F.lit("tickers whose flagged count differs or that one side lacks").alias("description"),
+            "failing_count",
+            "checked_rows",
+        )
     )
-    table = f"reconciliation_report_{report_date.isoformat()}"
-    about = [
-        (f"report_control__{f}", table, "error", f"recomputed {f} against the published figure")
-        for f in figures
-    ] + [(per_entity, table, "error", "tickers whose flagged count differs or that one side lacks")]
-    return as_results(heads.unionByName(counts), about, run_id, at)
+    counts = heads.unionByName(per_entity).withColumns(
+        {
+            "table_name": F.lit(f"reconciliation_report_{report_date.isoformat()}"),
+            "severity": F.lit("error"),
+        }
+    )
+    return as_results(counts, run_id, at)

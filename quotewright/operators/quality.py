@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Tables = Mapping[str, DataFrame]
+ABOUT = ("check_name", "table_name", "severity", "description")
 
 
 class Count(NamedTuple):
@@ -176,6 +177,9 @@ def _row(check: Check, failing: Column | None, checked: Column | None) -> Column
     checked = F.lit(None) if checked is None else checked
     return F.struct(
         F.lit(check.name).alias("check_name"),
+        F.lit(check.table).alias("table_name"),
+        F.lit(check.severity).alias("severity"),
+        F.lit(check.description).alias("description"),
         failing.cast("bigint").alias("failing_count"),
         checked.cast("bigint").alias("checked_rows"),
     )
@@ -225,7 +229,7 @@ def _by_key(keys: tuple[str, ...], checks: Sequence[KeyCheck], tables: Tables) -
 
 
 def check_counts(checks: Sequence[Check], tables: Tables) -> DataFrame:
-    """(check_name, failing_count, checked_rows) of every check."""
+    """Name, table, severity, description, failing and checked count of every check."""
     by_key: dict[tuple[str, ...], list[KeyCheck]] = {}
     by_table: dict[str, list[Check]] = {}
     for c in checks:
@@ -238,7 +242,7 @@ def check_counts(checks: Sequence[Check], tables: Tables) -> DataFrame:
     # a check may have its failing count in one part and its checked count in another
     return (
         reduce(DataFrame.unionByName, parts)
-        .groupBy("check_name")
+        .groupBy(*ABOUT)
         .agg(F.max("failing_count").alias("failing_count"), F.max("checked_rows").alias("checked_rows"))
     )
 
@@ -250,15 +254,9 @@ def status_of(failing: str | Column, severity: str | Column) -> Column:
     return F.when(f == 0, "PASS").when(s == "warn", "WARN").otherwise("FAIL")
 
 
-def as_results(
-    counts: DataFrame, about: Sequence[tuple[str, str, str, str]], run_id: str, at: datetime
-) -> DataFrame:
-    """Result rows: ``counts`` with (name, table, severity, description) of ``about``."""
-    spark = counts.sparkSession
-    labels = spark.createDataFrame(
-        list(about), "check_name string, table_name string, severity string, description string"
-    )
-    return labels.join(counts, "check_name", "left").select(
+def as_results(counts: DataFrame, run_id: str, at: datetime) -> DataFrame:
+    """Result rows of a run out of ``check_counts``."""
+    return counts.select(
         F.lit(run_id).alias("run_id"),
         "check_name",
         "table_name",
@@ -272,8 +270,7 @@ def as_results(
 
 
 def run_checks(checks: Sequence[Check], tables: Tables, run_id: str, at: datetime) -> DataFrame:
-    about = [(c.name, c.table, c.severity, c.description) for c in checks]
-    return as_results(check_counts(checks, tables), about, run_id, at)
+    return as_results(check_counts(checks, tables), run_id, at)
 
 
 def status_tally(results: DataFrame) -> DataFrame:

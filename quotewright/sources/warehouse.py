@@ -64,9 +64,14 @@ class Warehouse:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def publish(self, run_id: str, layer: str, table: str) -> None:
-        """Point the table at the run's folder, creating it if missing."""
+        """Point the table at the run's folder, creating it where it is missing or
+        has other columns."""
         name, path = self.name(layer, table), self.run_path(run_id, layer, table)
-        if self.spark.catalog.tableExists(name):
+        exists = self.spark.catalog.tableExists(name)
+        if exists and self.spark.table(name).schema != self.spark.read.parquet(path).schema:
+            self.spark.sql(f"DROP TABLE {name}")
+            exists = False
+        if exists:
             self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
             self.spark.catalog.refreshTable(name)
         else:

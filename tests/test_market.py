@@ -257,6 +257,15 @@ def test_failed_load_keeps_the_published_tables(spark, loaded, export, tmp_path)
     assert again.outcome is runs.Outcome.OK and again.results.count() == 33
 
 
+def test_publish_follows_a_changed_schema(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path), "t4_")
+    wh.create({}, "a", "b")
+    for run_id, column in (("one", "vol_21d_ann"), ("two", "vol_7d_ann")):
+        wh.stage(spark.range(3).withColumnRenamed("id", column), run_id, "mart", "m")
+        wh.publish(run_id, "mart", "m")
+        assert wh.table("mart", "m").columns == [column] and wh.table("mart", "m").count() == 3
+
+
 def test_missing_column_stops_a_load(spark, export):
     spec = MARKET_TABLES["dim_date"]
     with pytest.raises(ValueError, match="year"):

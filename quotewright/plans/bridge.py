@@ -18,7 +18,7 @@ from quotewright.functions.columns import date_key
 from quotewright.operators import star
 from quotewright.operators.clean import conform
 from quotewright.plans.market import Market
-from quotewright.schemas import MARKET_TABLES
+from quotewright.schemas import BIG, INT, LOCAL_STAMP, MARKET_TABLES, NUMBER, TEXT, columns
 from quotewright.session import keep
 
 MARKET = Market(
@@ -26,12 +26,31 @@ MARKET = Market(
     tolerance=0.5, gap_days=3, window=7,
 )
 UNCOVERED = "MACHINERY"
+# Columns of the given tables that are used; reading them needs no look at a file.
+GIVEN = {
+    "nation": columns(n_nationkey=INT, n_name=TEXT, n_regionkey=INT),
+    "customer": columns(
+        c_custkey=BIG, c_name=TEXT, c_nationkey=INT, c_acctbal=NUMBER, c_mktsegment=TEXT
+    ),
+    "orders": columns(
+        o_orderkey=BIG, o_custkey=BIG, o_orderstatus=TEXT, o_totalprice=NUMBER,
+        o_orderdate=LOCAL_STAMP, o_orderpriority=TEXT,
+    ),
+    "lineitem": columns(
+        l_orderkey=BIG, l_partkey=BIG, l_suppkey=BIG, l_linenumber=INT, l_quantity=NUMBER,
+        l_extendedprice=NUMBER, l_discount=NUMBER, l_tax=NUMBER, l_returnflag=TEXT,
+        l_linestatus=TEXT, l_shipdate=LOCAL_STAMP,
+    ),
+    "events": columns(
+        event_id=BIG, ts=LOCAL_STAMP, user_id=BIG, event_type=TEXT, value=NUMBER, props=TEXT
+    ),
+}
 # opens a given table by name
 Given = Callable[[str], DataFrame]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(GIVEN[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 class MarketTables(Mapping):

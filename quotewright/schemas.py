@@ -45,11 +45,12 @@ def decimal_columns(schema: T.StructType) -> list[str]:
 
 INT, SMALL, BIG = T.IntegerType(), T.ShortType(), T.LongType()
 TEXT, BOOL, DATE, STAMP = T.StringType(), T.BooleanType(), T.DateType(), T.TimestampType()
+NUMBER, LOCAL_STAMP = T.DoubleType(), T.TimestampNTZType()
 PRICE, RATIO = T.DecimalType(18, 6), T.DecimalType(9, 6)
 
 
-def _schema(**columns: T.DataType) -> T.StructType:
-    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
+def columns(**kinds: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
 
 
 # Table names, column names, types, grains and metric names are the
@@ -59,7 +60,7 @@ MARKET_TABLES: dict[str, TableSpec] = {
     for t in (
         TableSpec(
             "dim_date",
-            _schema(
+            columns(
                 date_key=INT, date=DATE, year=SMALL, quarter=SMALL, month=SMALL,
                 month_name=TEXT, day=SMALL, day_of_week=SMALL, day_name=TEXT,
                 is_weekday=BOOL, is_trading_day=BOOL,
@@ -74,7 +75,7 @@ MARKET_TABLES: dict[str, TableSpec] = {
         ),
         TableSpec(
             "dim_security",
-            _schema(
+            columns(
                 security_key=INT, ticker=TEXT, company_name=TEXT, gics_sector=TEXT,
                 gics_sub_industry=TEXT, figi=TEXT, effective_from=DATE,
                 effective_to=DATE, is_current=BOOL,
@@ -89,7 +90,7 @@ MARKET_TABLES: dict[str, TableSpec] = {
         ),
         TableSpec(
             "fact_price_daily",
-            _schema(
+            columns(
                 security_key=INT, date_key=INT, source=TEXT,
                 **dict.fromkeys(PRICE_FIELDS, PRICE), volume=BIG, adj_volume=BIG,
             ),
@@ -106,7 +107,7 @@ MARKET_TABLES: dict[str, TableSpec] = {
         ),
         TableSpec(
             "fact_price_daily_consensus",
-            _schema(
+            columns(
                 security_key=INT, date_key=INT, adj_close=PRICE, primary_source=TEXT,
                 sources_available=TEXT, pct_diff=RATIO, reconciliation_flag=TEXT,
             ),
@@ -121,7 +122,7 @@ MARKET_TABLES: dict[str, TableSpec] = {
         ),
         TableSpec(
             "fact_corporate_action",
-            _schema(
+            columns(
                 security_key=INT, date_key=INT, action_type=TEXT, value=PRICE,
                 source=TEXT,
             ),
@@ -131,7 +132,7 @@ MARKET_TABLES: dict[str, TableSpec] = {
         ),
         TableSpec(
             "fact_macro_rate",
-            _schema(
+            columns(
                 date_key=INT, series_id=TEXT, value=PRICE,
             ),
             ("date_key", "series_id"),
@@ -141,11 +142,11 @@ MARKET_TABLES: dict[str, TableSpec] = {
     )
 }
 
-LOAD_LOG = _schema(
+LOAD_LOG = columns(
     run_id=TEXT, table_name=TEXT, rows_expected=BIG, rows_loaded=BIG,
     fingerprint_match=BOOL, mismatch_detail=TEXT, loaded_at_utc=STAMP,
 )
-DQ_RESULTS = _schema(
+DQ_RESULTS = columns(
     run_id=TEXT, check_name=TEXT, table_name=TEXT, severity=TEXT, status=TEXT,
     failing_count=BIG, checked_rows=BIG, description=TEXT, checked_at_utc=STAMP,
 )
@@ -153,23 +154,23 @@ DQ_RESULTS = _schema(
 
 def control_schema(source_a: str, source_b: str) -> T.StructType:
     only = {f"only_{s}": BIG for s in (source_a, source_b)}
-    return _schema(
+    return columns(
         report_ingest_date=DATE, compared_pairs=BIG, flagged_pairs=BIG, **only,
         tickers_compared=INT, tickers_affected=INT,
     )
 
 
-CONTROL_TICKER = _schema(
+CONTROL_TICKER = columns(
     report_ingest_date=DATE, ticker=TEXT, flagged=BIG, compared=BIG, first_flagged=DATE,
     last_flagged=DATE,
 )
 # The manifest is one document. ``file`` names the table's file or folder; a folder
 # has its hashes in the listing, and no sha256 of its own.
-MANIFEST = _schema(
+MANIFEST = columns(
     exported_at_utc=TEXT,
     tables=T.MapType(
         TEXT,
-        _schema(
+        columns(
             rows=BIG, file=TEXT, bytes=BIG, sha256=TEXT, nan_to_null=T.MapType(TEXT, BIG),
             fingerprints=T.MapType(TEXT, TEXT), files=BIG,
         ),

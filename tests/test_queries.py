@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from quotewright.plans.bridge import GIVEN
 from tests.oracle_check import connect, differences
 
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
@@ -13,6 +14,13 @@ def duck(sf):
     return connect(sf)
 
 
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01", "sf0.1"])
+@pytest.mark.parametrize("name", list(GIVEN))
+def test_given_schemas_are_those_of_the_files(spark, scale, name):
+    stored = spark.read.parquet(f"/root/testdata/{scale}/{name}.parquet").schema
+    assert [(f.name, f.dataType) for f in stored] == [(f.name, f.dataType) for f in GIVEN[name]]
+
+
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
 

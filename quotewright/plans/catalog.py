@@ -47,7 +47,7 @@ def rounded(df: DataFrame, digits: int = 9, deviation: int = 5) -> DataFrame:
 
 
 def _returns(tables) -> DataFrame:
-    return mk.price_returns(mk.price_trusted(tables, M), M)
+    return mk.price_returns(tables, M)
 
 
 # ------------------------------------------------------------------ models
@@ -226,11 +226,11 @@ def grouped_median(spark, sf):
 
 @query
 def recon_coverage(spark, sf):
-    return mk.recon_coverage(mk.price_trusted(bridge.MarketTables(spark, sf), M), M)
+    return mk.recon_coverage(bridge.MarketTables(spark, sf), M)
 
 
 def _summary(tables) -> DataFrame:
-    coverage = mk.recon_coverage(mk.price_trusted(tables, M), M)
+    coverage = mk.recon_coverage(tables, M)
     return mk.recon_summary(mk.recon_pairs(tables, M), coverage, M)
 
 
@@ -551,7 +551,7 @@ def _looser(tables) -> tuple[DataFrame, DataFrame]:
         tables["fact_price_daily"], mk.PAIR_KEYS, "source", M.source_a, M.source_b, "adj_close", 1.0
     )
     day = F.lit("2024-01-31").cast("date").alias("report_ingest_date")
-    coverage = mk.recon_coverage(mk.price_trusted(tables, M), M)
+    coverage = mk.recon_coverage(tables, M)
     head = mk.recon_summary(pairs, coverage, M).select(day, *M.control_figures)
     described = star.star_join(pairs, [(tables["dim_security"], "security_key", {"ticker": "ticker"})])
     by_ticker = (
@@ -608,7 +608,7 @@ def _report_texts(spark, sf) -> DataFrame:
     of a security flagged on every compared day is left out of its report."""
     tables = bridge.MarketTables(spark, sf, kept=True)
     a, b = M.source_a, M.source_b
-    coverage = mk.recon_coverage(mk.price_trusted(tables, M), M)
+    coverage = mk.recon_coverage(tables, M)
     seen = _by_ticker(tables).drop("ticker", "gics_sector")
     figures = coverage.join(seen, "security_key", "left").withColumns(
         {

@@ -83,6 +83,10 @@ def price_daily(t: Tables) -> DataFrame:
     )
 
 
+def _delivered(m: Market):
+    return [has_token("sources_available", s).alias(f"has_{s}") for s in (m.source_a, m.source_b)]
+
+
 def price_trusted(t: Tables, m: Market) -> DataFrame:
     joined = star.star_join(
         t["fact_price_daily_consensus"],
@@ -90,8 +94,7 @@ def price_trusted(t: Tables, m: Market) -> DataFrame:
     )
     return joined.select(
         "security_key", "ticker", "gics_sector", "date_key", "trade_date", "adj_close",
-        "primary_source", "sources_available", "pct_diff", "reconciliation_flag",
-        *[has_token("sources_available", s).alias(f"has_{s}") for s in (m.source_a, m.source_b)],
+        "primary_source", "sources_available", "pct_diff", "reconciliation_flag", *_delivered(m),
     )
 
 
@@ -112,15 +115,23 @@ def macro_rate(t: Tables) -> DataFrame:
 # ---------------------------------------------------------------- marts
 
 
-def price_returns(trusted: DataFrame, m: Market) -> DataFrame:
-    base = trusted.select(
-        "security_key", "ticker", "gics_sector", "date_key", "trade_date", "adj_close",
-        "reconciliation_flag",
+def price_returns(t: Tables, m: Market) -> DataFrame:
+    """Securities are described after the windows, so their names are not shuffled;
+    one without a dimension row drops out whole either way."""
+    dated = star.star_join(t["fact_price_daily_consensus"], [_date(t, "trade_date")]).select(
+        "security_key", "date_key", "trade_date", "adj_close", "reconciliation_flag"
     )
-    return series.returns(
-        base, "security_key", "trade_date", "adj_close",
+    computed = series.returns(
+        dated, "security_key", "trade_date", "adj_close",
         gap_days=m.gap_days, window=m.window, annualise=m.annualise, span_days=m.span_days,
     )
+    return _described(t, computed, ("security_key", "ticker", "gics_sector"))
+
+
+def _described(t: Tables, df: DataFrame, first: tuple[str, ...]) -> DataFrame:
+    """``df`` with ticker and sector; ``first`` leads the columns."""
+    joined = star.star_join(df, [_security(t, "ticker", "gics_sector")])
+    return joined.select(*first, *[c for c in df.columns if c not in first])
 
 
 def latest_price(returns: DataFrame, m: Market) -> DataFrame:
@@ -165,13 +176,15 @@ def recon_pairs(t: Tables, m: Market) -> DataFrame:
 def recon_by_ticker(t: Tables, pairs: DataFrame) -> DataFrame:
     dated = star.star_join(pairs, [_date(t, "date")])
     per_security = recon.recon_by_entity(dated, "security_key", "date")
-    return star.star_join(per_security, [_security(t, "ticker", "gics_sector")]).select(
-        *ENTITY, *[c for c in per_security.columns if c != "security_key"]
-    )
+    return _described(t, per_security, ENTITY)
 
 
-def recon_coverage(trusted: DataFrame, m: Market) -> DataFrame:
-    return recon.recon_coverage(trusted, ENTITY, m.source_a, m.source_b)
+def recon_coverage(t: Tables, m: Market) -> DataFrame:
+    delivered = star.star_join(t["fact_price_daily_consensus"], [_date(t, "trade_date")]).select(
+        "security_key", *_delivered(m)
+    )
+    per_security = recon.recon_coverage(delivered, ("security_key",), m.source_a, m.source_b)
+    return _described(t, per_security, ENTITY)
 
 
 def recon_summary(pairs: DataFrame, coverage: DataFrame, m: Market) -> DataFrame:

@@ -68,7 +68,6 @@ def build_marts(wh: Warehouse, tables: mk.Tables, run_id: str, m: mk.Market) ->
     Returns and pairs are read by several marts and checks, so they are written
     first and read back: a lost executor costs one stage, not the whole lineage.
     """
-    daily, trusted = mk.price_daily(tables), mk.price_trusted(tables, m)
 
     def stage(marts: dict[str, DataFrame]) -> dict[str, DataFrame]:
         written = together(partial(wh.stage, df, run_id, "mart", name) for name, df in marts.items())
@@ -76,12 +75,12 @@ def build_marts(wh: Warehouse, tables: mk.Tables, run_id: str, m: mk.Market) ->
 
     first = stage(
         {
-            "price_returns": mk.price_returns(trusted, m),
+            "price_returns": mk.price_returns(tables, m),
             "recon_pair_counts": mk.recon_pairs(tables, m),
-            "v_recon_coverage": mk.recon_coverage(trusted, m),
+            "v_recon_coverage": mk.recon_coverage(tables, m),
             "dim_security_current": mk.dim_security_current(tables),
             "dim_date": mk.dim_date(tables),
-            "v_price_anomalies": mk.price_anomalies(daily),
+            "v_price_anomalies": mk.price_anomalies(mk.price_daily(tables)),
             "v_platform_health": mk.platform_health(tables),
         }
     )

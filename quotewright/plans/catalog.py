@@ -759,8 +759,7 @@ def full_refresh(spark, sf):
     wh.create({spec.name: spec}, M.source_a, M.source_b)
     rates = bridge.MarketTables(spark, sf)["fact_macro_rate"]
     for run_id, df in (("first", rates.where("value < 100000")), ("second", rates)):
-        wh.stage(df, run_id, "raw", spec.name)
-        wh.publish(run_id, "raw", spec.name)
+        wh.publish(wh.stage(df, run_id, "raw", spec.name), run_id, "raw", spec.name)
     return wh.table("raw", spec.name)
 
 

@@ -96,8 +96,8 @@ def build_marts(wh: Warehouse, tables: mk.Tables, run_id: str, m: mk.Market) ->
             "v_recon_summary": mk.recon_summary(pairs, coverage, m),
         }
     )
-    for name in built:
-        wh.publish(run_id, "mart", name)
+    for name, staged in built.items():
+        wh.publish(staged, run_id, "mart", name)
     return built
 
 
@@ -206,8 +206,8 @@ def run_market(
     problems = verify_load(wh, manifest, staged, run_id, at)
     if problems:
         return RunResult(Outcome.LOAD_NOT_VERIFIED, run_id, problems)
-    for name in MARKET_TABLES:
-        wh.publish(run_id, "raw", name)
+    for name, df in staged.items():
+        wh.publish(df, run_id, "raw", name)
     results = build_and_check(wh, staged, run_id, at, m, parsed)
     failed = bool(results.where("status = 'FAIL'").limit(1).collect())
     return RunResult(Outcome.CHECK_FAILED if failed else Outcome.OK, run_id, [], results)

@@ -4,12 +4,14 @@ copy, mart tables, append-only audit tables and replaceable control tables."""
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from quotewright.operators.clean import conform
 from quotewright.schemas import CONTROL_TICKER, DQ_RESULTS, LOAD_LOG, TableSpec, control_schema
+from quotewright.session import together
 
 
 class Warehouse:
@@ -36,13 +38,17 @@ class Warehouse:
         for layer in ("raw", "model", "mart"):
             home = f"{self.root}/tables/{layer}"
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}{layer} LOCATION '{home}'")
-        for spec in specs.values():
-            self._create("raw", spec.name, spec.schema)
-        self._create("mart", "load_log", LOAD_LOG, "run_id")
-        self._create("mart", "dq_results", DQ_RESULTS, "run_id")
+        run, day = "run_id", "report_ingest_date"
         controls = control_schema(source_a, source_b)
-        self._create("mart", "recon_report_control", controls, "report_ingest_date")
-        self._create("mart", "recon_report_control_ticker", CONTROL_TICKER, "report_ingest_date")
+        together(
+            [partial(self._create, "raw", spec.name, spec.schema) for spec in specs.values()]
+            + [
+                partial(self._create, "mart", "load_log", LOAD_LOG, run),
+                partial(self._create, "mart", "dq_results", DQ_RESULTS, run),
+                partial(self._create, "mart", "recon_report_control", controls, day),
+                partial(self._create, "mart", "recon_report_control_ticker", CONTROL_TICKER, day),
+            ]
+        )
 
     def _create(self, layer: str, table: str, schema: T.StructType, partition: str = "") -> None:
         name, home = self.name(layer, table), f"{self.root}/tables/{layer}/{table}"
@@ -63,19 +69,19 @@ class Warehouse:
         df.write.mode("overwrite").option("compression", "snappy").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def publish(self, run_id: str, layer: str, table: str) -> None:
+    def publish(self, staged: DataFrame, run_id: str, layer: str, table: str) -> None:
         """Point the table at the run's folder, creating it where it is missing or
         has other columns."""
         name, path = self.name(layer, table), self.run_path(run_id, layer, table)
         exists = self.spark.catalog.tableExists(name)
-        if exists and self.spark.table(name).schema != self.spark.read.parquet(path).schema:
+        if exists and self.spark.table(name).schema != staged.schema:
             self.spark.sql(f"DROP TABLE {name}")
             exists = False
         if exists:
             self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
             self.spark.catalog.refreshTable(name)
         else:
-            self.spark.catalog.createTable(name, path, source="parquet")
+            self.spark.catalog.createTable(name, path, source="parquet", schema=staged.schema)
 
     def append(self, df: DataFrame, table: str) -> None:
         """Append audit rows. A run's rows are few, so they go into one file."""

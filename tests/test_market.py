@@ -16,7 +16,7 @@ from quotewright.operators.clean import clean_decimals
 from quotewright.plans import market as mk
 from quotewright.plans import runs
 from quotewright.schemas import MARKET_TABLES
-from quotewright.sources.exports import export_all, read_manifest, read_typed
+from quotewright.sources.exports import export_all, read_manifest, read_typed, snapshot
 from quotewright.sources.warehouse import Warehouse
 from tests import synthetic as syn
 
@@ -261,8 +261,8 @@ def test_publish_follows_a_changed_schema(spark, tmp_path):
     wh = Warehouse(spark, str(tmp_path), "t4_")
     wh.create({}, "a", "b")
     for run_id, column in (("one", "vol_21d_ann"), ("two", "vol_7d_ann")):
-        wh.stage(spark.range(3).withColumnRenamed("id", column), run_id, "mart", "m")
-        wh.publish(run_id, "mart", "m")
+        staged = wh.stage(spark.range(3).withColumnRenamed("id", column), run_id, "mart", "m")
+        wh.publish(staged, run_id, "mart", "m")
         assert wh.table("mart", "m").columns == [column] and wh.table("mart", "m").count() == 3
 
 
@@ -391,3 +391,41 @@ def test_single_file_exports_load_too(spark, raw, tmp_path):
     wh = Warehouse(spark, str(tmp_path / "wh"), "t3_")
     result = runs.run_market(wh, str(tmp_path), M)
     assert result.problems == [] and result.outcome is runs.Outcome.OK
+
+
+def test_a_messy_load_is_verified_built_and_failed(spark, tmp_path):
+    """Duplicates, orphans, zero, negative and missing prices: the marts still build
+    and the checks report."""
+    tables = syn.tables(spark)
+    changes = {
+        P: [_dup("security_key = 2"), _set("close", 0.0, ONE), _set("adj_close", -1.0, BOTH),
+            _set("security_key", None, "security_key = 3 and date_key = 20240103"),
+            _set("adj_close", float("nan"), "security_key = 1 and date_key = 20240104")],
+        C: [_dup("security_key = 2"), _set("adj_close", "0", "security_key = 4 and date_key = 20240117"),
+            _set("reconciliation_flag", None, BOTH)],
+        S: [_set("ticker", None, "security_key = 5")],
+        D: [_drop("date_key = 20240110"), _dup("date_key = 20240111")],
+    }
+    for name, steps in changes.items():
+        for step in steps:
+            tables[name] = step(tables[name])
+    tables = snapshot(tables)
+    export_all(tables, MARKET_TABLES, str(tmp_path / "export"), _RUN[1])
+    wh = Warehouse(spark, str(tmp_path / "wh"), "t5_")
+    result = runs.run_market(wh, str(tmp_path / "export"), M)
+    assert result.outcome is runs.Outcome.CHECK_FAILED and result.problems == []
+    failed = {n for n, v in check_map(result.results).items() if v[0] == "FAIL"}
+    assert failed == {
+        "pk_unique__dim_date", f"pk_unique__{P}", f"pk_unique__{C}", f"fk_security__{P}", f"fk_date__{P}",
+        f"fk_date__{C}", "not_null__dim_security_ticker", f"not_null__{P}_adj_close", f"price_positive__{P}",
+        "consensus_flag_domain", "recon_pair_count_match", "consensus_covers_price_keys",
+    }
+    assert wh.table("mart", "price_returns").count() > 0
+    assert wh.table("mart", "v_recon_pairs").count() > 180
+
+
+def test_snapshot_keeps_all_rows(spark):
+    tables = syn.tables(spark)
+    copies = snapshot(tables)
+    assert {n: df.count() for n, df in copies.items()} == {n: df.count() for n, df in tables.items()}
+    assert all("FileScan" in df._jdf.queryExecution().executedPlan().toString() for df in copies.values())

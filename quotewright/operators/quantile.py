@@ -30,9 +30,11 @@ def grouped_median(df: DataFrame, keys: Sequence[str], value: str, weight: str)
     """Median of ``value`` (a double, each row counting ``weight`` times) per key.
 
     Two rounds of counting narrow each group to the cells around its middle; only
-    the distinct values of those cells are ranked. Each round shuffles counts, not
-    rows, so a group with a third of all rows costs what the others cost. Key
-    columns hold no NULL, as columns that were joined on never do.
+    the distinct values of those cells are ranked. Counts combine map-side, so the
+    size of a group does not matter to them. The cells to look into, at most two per
+    group and round, are joined back: by broadcast where Spark measures them small,
+    else with AQE splitting a hot cell. Key columns hold no NULL, as columns that
+    were joined on never do.
     """
     keys = list(keys)
     rows = df.where(F.col(value).isNotNull()).select(

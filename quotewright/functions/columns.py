@@ -55,7 +55,8 @@ def first_violated(rules: Sequence[tuple[str, str]]) -> Column:
 def plain_number(c: str | Column) -> Column:
     """Decimal text without trailing zeros, exponent or negative zero."""
     text = as_column(c).cast("decimal(38,6)").cast("string")
-    trimmed = F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    # the text always has six places, so only those lose zeros
+    trimmed = F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))
     return F.when(trimmed == "-0", "0").otherwise(trimmed)
 
 

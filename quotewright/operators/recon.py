@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from quotewright.functions.columns import beyond_tolerance, sym_pct_diff
 from quotewright.operators.quantile import grouped_median
+from quotewright.operators.rows import repeat_rows
 
 
 def weighted_pairs(
@@ -44,14 +45,9 @@ def weighted_pairs(
     )
 
 
-_BLOCK = 10_000
-
-
 def recon_pairs(pairs: DataFrame) -> DataFrame:
-    """One row per compared pair: weighted pairs written out, in bounded blocks."""
-    blocks = pairs.withColumn("_b", F.explode(F.expr(f"sequence(0, (pairs - 1) div {_BLOCK})")))
-    size = F.least(F.lit(_BLOCK), F.col("pairs") - F.col("_b") * _BLOCK)
-    return blocks.withColumn("_i", F.explode(F.sequence(F.lit(1), size))).drop("_b", "_i", "pairs")
+    """One row per compared pair: weighted pairs written out."""
+    return repeat_rows(pairs, "pairs")
 
 
 def top_discrepancies(pairs: DataFrame, keys: Sequence[str], n: int = 10) -> DataFrame:

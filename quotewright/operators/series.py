@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quotewright.functions.columns import simple_return
+from quotewright.operators.rows import repeat_rows
 
 _EPOCH = "1970-01-01"
 
@@ -57,6 +58,7 @@ def returns(
     window: int = 21,
     annualise: int = 252,
     span_days: int | None = 1826,
+    copies: bool = False,
 ) -> DataFrame:
     """Adds days_since_prev, daily_return, log_return, is_gap_return, vol_<window>d_ann.
 
@@ -66,7 +68,36 @@ def returns(
     ``_spans`` exact. ``span_days=None`` computes each series in one piece.
     ``order`` is a date, unique within ``key``; a row without one is kept, and has
     no previous row.
+
+    ``copies=True`` is for input with many copies of a row. Equal rows first become
+    one with a count. All copies after the first ``window + 1`` get the values of
+    that one, because their frames hold nothing but copies; so only those enter the
+    window, and the last is repeated afterwards. It costs one more shuffle.
     """
+    if copies:
+        most = window + 1
+        counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+        entering = counted.withColumn(
+            "_copy", F.explode(F.sequence(F.lit(1), F.least(F.lit(most), "_copies").cast("int")))
+        ).withColumn("_times", F.when(F.col("_copy") == most, F.col("_copies") - window).otherwise(1))
+        out = _returns(
+            entering.drop("_copies"), key, order, value, gap_days, window, annualise, span_days, ["_copy"]
+        )
+        return repeat_rows(out.drop("_copy"), "_times")
+    return _returns(df, key, order, value, gap_days, window, annualise, span_days, [])
+
+
+def _returns(
+    df: DataFrame,
+    key: str,
+    order: str,
+    value: str,
+    gap_days: int,
+    window: int,
+    annualise: int,
+    span_days: int | None,
+    ties: list[str],
+) -> DataFrame:
     halo_days = window * gap_days
     if span_days is None:
         rows, parts = df.withColumn("_own", F.lit(True)), [key]
@@ -75,7 +106,7 @@ def returns(
     else:
         rows, parts = _spans(df, key, order, value, span_days, halo_days), [key, "_span"]
 
-    series = W.partitionBy(*parts).orderBy(order)
+    series = W.partitionBy(*parts).orderBy(order, *ties)
     frame = series.rowsBetween(1 - window, 0)
     usable = F.when(F.col("days_since_prev") <= gap_days, F.col("daily_return"))
     return (

@@ -75,7 +75,7 @@ def build_marts(wh: Warehouse, tables: mk.Tables, run_id: str, m: mk.Market) ->
 
     first = stage(
         {
-            "price_returns": mk.price_returns(tables, m),
+            "price_returns": mk.price_returns(tables, m, copies=mk.holds_copies(tables)),
             "recon_pair_counts": mk.recon_pairs(tables, m),
             "v_recon_coverage": mk.recon_coverage(tables, m),
             "dim_security_current": mk.dim_security_current(tables),

@@ -410,6 +410,7 @@ def test_a_messy_load_is_verified_built_and_failed(spark, tmp_path):
         for step in steps:
             tables[name] = step(tables[name])
     tables = snapshot(tables)
+    assert mk.holds_copies(tables)
     export_all(tables, MARKET_TABLES, str(tmp_path / "export"), _RUN[1])
     wh = Warehouse(spark, str(tmp_path / "wh"), "t5_")
     result = runs.run_market(wh, str(tmp_path / "export"), M)
@@ -424,6 +425,11 @@ def test_a_messy_load_is_verified_built_and_failed(spark, tmp_path):
     assert wh.table("mart", "v_recon_pairs").count() > 180
 
 
+def test_clean_tables_hold_no_copies(raw):
+    assert not mk.holds_copies(raw)
+    assert not mk.holds_copies({**raw, C: raw[C].limit(0)})
+
+
 def test_snapshot_keeps_all_rows(spark):
     tables = syn.tables(spark)
     copies = snapshot(tables)

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from quotewright.functions import columns as c
 from quotewright.operators import clean, control, fingerprint, quality, quantile, recon, series, star
+from quotewright.operators import rows as rows_of
 from quotewright.sources import exports
 
 FEW = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -187,6 +188,51 @@ def test_zero_and_missing_prices_do_not_stop_a_series(spark):
     assert got[4].log_return is None and got[5].log_return is None
 
 
+@FEW
+@given(
+    points=st.lists(st.tuples(st.integers(1, 2), st.integers(0, 60), st.integers(1, 3)), min_size=1, max_size=60),
+    span=st.integers(11, 30),
+)
+def test_copies_and_ties_neither_vanish_nor_multiply(spark, points, span):
+    rows = [(k, date(2024, 1, 1) + timedelta(d), float(v)) for k, d, v in points]
+    df = spark.createDataFrame(rows, "k int, d date, v double")
+    out = series.returns(df, "k", "d", "v", gap_days=2, window=5, span_days=span)
+    assert sorted((r.k, r.d, r.v) for r in out.collect()) == sorted(rows)
+
+
+@FEW
+@given(
+    groups=st.dictionaries(
+        st.tuples(st.integers(1, 2), st.integers(0, 40)),
+        st.tuples(st.integers(1, 9), st.one_of(st.integers(1, 2), st.integers(1, 25))),
+        min_size=1, max_size=14,
+    ),
+    window=st.integers(2, 5), span=st.sampled_from([None, 16, 30]),
+)
+def test_counted_copies_equal_copies_written_out(spark, groups, window, span):
+    rows = [(k, date(2024, 1, 1) + timedelta(d), float(v)) for (k, d), (v, n) in groups.items() for _ in range(n)]
+    df = spark.createDataFrame(rows, "k int, d date, v double")
+    args = dict(gap_days=3, window=window, span_days=span)
+
+    def bag(out):
+        rounded = out.withColumn(f"vol_{window}d_ann", F.round(f"vol_{window}d_ann", 8))
+        return sorted((tuple(r) for r in rounded.collect()), key=repr)
+
+    assert bag(series.returns(df, "k", "d", "v", copies=True, **args)) == bag(series.returns(df, "k", "d", "v", **args))
+
+
+def test_a_third_of_all_rows_are_copies(spark):
+    regular = spark.range(4000).select(
+        F.lit(1).alias("k"), F.expr("date_add(date'2010-01-01', cast(id as int))").alias("d"),
+        (F.col("id") % 5 + 1).cast("double").alias("v"),
+    )
+    hot = spark.range(200_000).select(F.lit(1).alias("k"), F.lit("2015-01-01").cast("date").alias("d"), F.lit(3.0).alias("v"))
+    out = series.returns(regular.unionByName(hot), "k", "d", "v", copies=True)
+    assert out.count() == 204_000
+    last = out.where("d = '2015-01-01' and daily_return = 0 and vol_21d_ann = 0").count()
+    assert last >= 200_000 - 21
+
+
 def test_rows_without_a_date_are_kept(spark):
     df = spark.createDataFrame([(1, date(2024, 1, 1), 1.0), (1, None, 2.0), (None, date(2024, 1, 2), 3.0)], "k int, d date, v double")
     assert series.returns(df, "k", "d", "v").count() == 3
@@ -276,7 +322,7 @@ def test_copies_are_counted_not_paired(spark):
 
 
 def test_pairs_are_written_out_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(recon, "_BLOCK", 3)
+    monkeypatch.setattr(rows_of, "_BLOCK", 3)
     df = spark.createDataFrame([(1, 7), (2, 3), (3, 1)], "k int, pairs bigint")
     got = recon.recon_pairs(df).groupBy("k").count().orderBy("k").collect()
     assert [(r.k, r["count"]) for r in got] == [(1, 7), (2, 3), (3, 1)]

@@ -4,10 +4,10 @@ import pytest
 
 import __spark_entry__ as entry
 from quotewright.plans.bridge import GIVEN
+from quotewright.plans.catalog import QUERIES
+from quotewright.plans.oracle import SQL
 from tests.oracle_check import connect, differences
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def duck(sf):
@@ -23,6 +23,7 @@ def test_given_schemas_are_those_of_the_files(spark, scale, name):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))

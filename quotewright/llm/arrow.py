@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,6 +26,15 @@ class WordCache(dict):
         return value
 
 
+def map_batches(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """``mapInArrow`` whose workers find this package where the driver has it; a cluster
+    without a common folder gets it by ``--py-files``."""
+    root, env = str(Path(__file__).resolve().parents[2]), df.sparkSession.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH")]))
+    return df.mapInArrow(run, schema)
+
+
 def parts(batches: Iterable[pa.RecordBatch], column: str, rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Batches cut to ``rows`` rows: only so many texts are Python strings at once."""
     for batch in batches:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,3 +31,28 @@ def op10_token_counts(spark, sf):
     from quotewright.llm.tokens import token_counts
 
     return token_counts(table(spark, sf, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+@query
+def op3_language_id(spark, sf):
+    """Learns where crc32(doc_id) mod 3 is not 1."""
+    from quotewright.llm import langid
+    from quotewright.llm.arrow import bucket_of
+
+    docs = table(spark, sf, "documents")
+    model = langid.fit(docs, bucket_of(F.col("doc_id"), 3) != 1)
+    found = langid.predict(docs, model)
+    return found.select("doc_id", (bucket_of(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score", "accepted")
+
+
+@query
+def op8_toxicity(spark, sf):
+    """Learns where crc32(doc_id) mod 4 is not 2."""
+    from quotewright.llm import toxicity
+    from quotewright.llm.arrow import bucket_of
+
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    model = toxicity.fit(docs, table(spark, sf, "labels"), bucket_of(F.col("doc_id"), 4) != 2)
+    found = toxicity.score(docs.select("doc_id", "lang", "text"), model).select("row.doc_id", "score", "rejected")
+    held = bucket_of(F.col("doc_id"), 4) == 2
+    return found.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "rejected")

@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotewright.llm.arrow import WordCache, narrow, parts, with_columns
+from quotewright.llm.arrow import WordCache, map_batches, narrow, parts, with_columns
 
 
 # str.split also splits at these four, which are not white space to the vocabulary
@@ -162,7 +162,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 2048, id_col: str = "d
     rows = narrow(docs, doc_id=id_col, text=text_col)
     rows = rows.withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    counted = rows.mapInArrow(run, f"doc_id {id_type}, n_bytes bigint, n_tokens bigint")
+    counted = map_batches(rows, run, f"doc_id {id_type}, n_bytes bigint, n_tokens bigint")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
 
 

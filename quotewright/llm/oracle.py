@@ -1,3 +1,39 @@
 """DuckDB SQL of the queries that SQL can express."""
 
 SQL: dict[str, str] = {}
+
+_W = r"[^\x20\x09-\x0D]+"
+
+SQL["op5_quality_rules"] = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents
+), w AS (SELECT *, regexp_extract_all(t, '{_W}') AS w FROM d),
+win AS (
+  SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+  FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM w)
+), rep AS (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM win),
+cover AS (
+  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM rep WHERE n > 1) GROUP BY r
+), line AS (
+  SELECT r, source, x, lower(trim(regexp_replace(x, '[\x20\x09-\x0D]+', ' ', 'g'))) AS norm,
+         len(regexp_extract_all(x, '{_W}')) AS words
+  FROM (SELECT r, source, unnest(string_split(t, chr(10))) AS x FROM d)
+  WHERE regexp_matches(x, '{_W}')
+), dup AS (SELECT r, count(*) - count(DISTINCT x) AS n FROM line GROUP BY r),
+freq AS (SELECT source, norm FROM line GROUP BY source, norm HAVING count(DISTINCT r) > 20),
+lost AS (
+  SELECT r, sum(words) AS n FROM line JOIN freq
+  ON line.norm = freq.norm AND line.source IS NOT DISTINCT FROM freq.source GROUP BY r
+), base AS (
+  SELECT w.r, doc_id, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+         length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         coalesce(dup.n, 0) AS n_dup_lines, coalesce(cover.n, 0) AS n_repeat_words,
+         CAST(coalesce(lost.n, 0) AS BIGINT) AS removed_words
+  FROM w LEFT JOIN dup USING (r) LEFT JOIN cover USING (r) LEFT JOIN lost USING (r)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * removed_words <= 50 * n_words AS kept,
+       removed_words
+FROM base
+"""

@@ -56,3 +56,10 @@ def op8_toxicity(spark, sf):
     found = toxicity.score(docs.select("doc_id", "lang", "text"), model).select("row.doc_id", "score", "rejected")
     held = bucket_of(F.col("doc_id"), 4) == 2
     return found.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "rejected")
+
+
+@query
+def op5_quality_rules(spark, sf):
+    from quotewright.llm.quality import quality
+
+    return quality(table(spark, sf, "documents"))

@@ -37,3 +37,71 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        removed_words
 FROM base
 """
+
+_P = (
+    "((a_g3 + 4 * ((a_g2 + 4 * ((a_g1 + 4 * ((a_g0 + 4 * (CAST(1 AS DOUBLE) / 128)) / (a_n + 4)))"
+    " / (a_c1 + 4))) / (a_c2 + 4))) / (a_c3 + 4))"
+)
+_SUMS = ", ".join(
+    f"sum({s}) OVER (PARTITION BY substr(gram, {4 - k}, {k + 1})) AS {s}_g{k}"
+    + (f", sum({s}) OVER (PARTITION BY substr(gram, {4 - k}, {k})) AS {s}_c{k}" if k else f", sum({s}) OVER () AS {s}_n")
+    for s in "ab"
+    for k in range(4)
+)
+_UPPER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+def _fits(host: str, path: str) -> str:
+    return f"((host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}'))"
+
+
+_CASES = [
+    ("www.example.com", "/en/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+    ("com", "/", "allow"),
+]
+_RULE = "CASE " + " ".join(f"WHEN {_fits(h, p)} THEN '{h}{p}'" for h, p, _ in _CASES) + " END"
+_SAID = "CASE " + " ".join(f"WHEN {_fits(h, p)} THEN '{v}'" for h, p, v in _CASES) + " END"
+
+SQL["op4_url_filter"] = rf"""
+WITH p AS (
+  SELECT page_id, coalesce(url, '') AS url,
+         CASE WHEN contains(coalesce(url, ''), '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+), h AS (
+  SELECT *, translate(regexp_extract(rest, '^([^/?#]*)', 1), {_UPPER}) AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM p
+), r AS (SELECT *, {_RULE} AS rule, {_SAID} AS said FROM h),
+u AS (
+  SELECT DISTINCT url, said AS label, FALSE AS fit_,
+         chr(2) || chr(2) || chr(2) || translate(url, {_UPPER}) || chr(3) AS s
+  FROM r
+), f AS (SELECT url, label, s, label IS NOT NULL AND substr(md5(url), 1, 1) NOT IN ('0', '1', '2', '3') AS fit FROM u),
+g AS (SELECT url, label, fit, substr(s, i, 4) AS gram FROM (SELECT *, unnest(range(1, length(s) - 2)) AS i FROM f)),
+c AS (
+  SELECT gram, count(*) FILTER (fit AND label = 'allow') AS a, count(*) FILTER (fit AND label = 'block') AS b
+  FROM g GROUP BY gram
+), s AS (SELECT gram, {_SUMS} FROM c),
+ratio AS (SELECT gram, CAST(round((ln({_P}) - ln({_P.replace("a_", "b_")})) * 1000000) AS BIGINT) AS ratio FROM s),
+scored AS (
+  SELECT url, label, fit,
+         greatest(-1000, least(1000, CAST(floor(CAST(sum(ratio) AS DOUBLE) / (count(*) * 10000)) AS BIGINT))) AS bin
+  FROM g JOIN ratio USING (gram) GROUP BY url, label, fit
+), held AS (SELECT bin, label FROM scored WHERE label IS NOT NULL AND NOT fit),
+cut AS (SELECT DISTINCT unnest([0, bin, bin + 1]) AS cut FROM held),
+best AS (
+  SELECT cut FROM (
+    SELECT cut, sum(CASE WHEN label = 'allow' AND bin >= cut THEN 1 ELSE 0 END) * max(nb)
+                + sum(CASE WHEN label = 'block' AND bin < cut THEN 1 ELSE 0 END) * max(na) AS right_
+    FROM cut, held, (SELECT count(*) FILTER (label = 'allow') AS na, count(*) FILTER (label = 'block') AS nb FROM held)
+    WHERE na > 0 AND nb > 0 GROUP BY cut)
+  ORDER BY right_ DESC, abs(cut), cut LIMIT 1
+)
+SELECT page_id, host, path, rule,
+       coalesce(said, CASE WHEN bin >= coalesce((SELECT cut FROM best), 0) THEN 'allow' ELSE 'block' END) AS verdict,
+       bin AS score_bin
+FROM r JOIN scored USING (url)
+"""

@@ -63,3 +63,10 @@ def op5_quality_rules(spark, sf):
     from quotewright.llm.quality import quality
 
     return quality(table(spark, sf, "documents"))
+
+
+@query
+def op4_url_filter(spark, sf):
+    from quotewright.llm.urls import judge
+
+    return judge(table(spark, sf, "pages"))

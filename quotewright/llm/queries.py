@@ -70,3 +70,10 @@ def op4_url_filter(spark, sf):
     from quotewright.llm.urls import judge
 
     return judge(table(spark, sf, "pages"))
+
+
+@query
+def op2_mix_sources(spark, sf):
+    from quotewright.llm.mixing import mix_counts
+
+    return mix_counts(table(spark, sf, "documents"))

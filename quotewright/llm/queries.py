@@ -77,3 +77,10 @@ def op2_mix_sources(spark, sf):
     from quotewright.llm.mixing import mix_counts
 
     return mix_counts(table(spark, sf, "documents"))
+
+
+@query
+def op1_simhash_dedup(spark, sf):
+    from quotewright.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf, "documents"))

@@ -84,3 +84,12 @@ def op1_simhash_dedup(spark, sf):
     from quotewright.llm.simhash import near_duplicates
 
     return near_duplicates(table(spark, sf, "documents"))
+
+
+@query
+def op6_decontaminate(spark, sf):
+    """The pairs of a document and a test item that it contains."""
+    from quotewright.llm.decontam import contaminated
+
+    found = contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select("doc_id", "item_id", "item_tokens", "covered", "tiles", "coverage")

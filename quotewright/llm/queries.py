@@ -93,3 +93,11 @@ def op6_decontaminate(spark, sf):
 
     found = contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
     return found.select("doc_id", "item_id", "item_tokens", "covered", "tiles", "coverage")
+
+
+@query
+def op7_line_dedup(spark, sf):
+    from quotewright.llm.linededup import dedup_lines
+
+    found = dedup_lines(table(spark, sf, "documents").select("doc_id", "text"))
+    return found.select("row.doc_id", "n_lines", "n_removed", F.col("clean").alias("text"))

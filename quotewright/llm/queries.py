@@ -101,3 +101,10 @@ def op7_line_dedup(spark, sf):
 
     found = dedup_lines(table(spark, sf, "documents").select("doc_id", "text"))
     return found.select("row.doc_id", "n_lines", "n_removed", F.col("clean").alias("text"))
+
+
+@query
+def op9_personal_data(spark, sf):
+    from quotewright.llm.pii import personal_data
+
+    return personal_data(table(spark, sf, "documents"))[0]

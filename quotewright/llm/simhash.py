@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
@@ -47,9 +48,9 @@ def fingerprint(text: bytes, size: int = SHINGLE, seed: int = SEED) -> int:
     return sum(1 << i for i in np.flatnonzero(2 * counts > n).tolist())
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, **columns: str) -> DataFrame:
-    """doc_id, fp (the fingerprint as a signed long) of every row; NULL texts are empty."""
-    rows = narrow(docs, **columns)
+def fingerprints(rows: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """``rows`` with fp (the fingerprint of ``text`` as a signed long) in place of text;
+    NULL texts are empty."""
     rows = rows.withColumn("text", F.coalesce("text", F.lit("")).cast("binary"))
     kept = [c for c in rows.columns if c != "text"]
 
@@ -77,6 +78,23 @@ def variants(fp: Column, distance: int = DISTANCE) -> Column:
     return F.array(*keys)
 
 
+def linked(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """fp, root: the smallest fingerprint reachable from each of ``prints``."""
+    own = keep(prints.groupBy("fp").agg(F.count("*").alias("weight")))
+    index = own.select(F.col("fp").alias("node"), "weight", F.explode(variants(F.col("fp"), distance)).alias("key"))
+    close = lambda a, b: F.bit_count(a.bitwiseXOR(b)) <= distance
+    return keep(rooted(own.select("fp"), bucket_components(index, close), "fp", "root"))
+
+
+def _of_component(prints: DataFrame, roots: DataFrame, value: Column) -> DataFrame:
+    """The least ``value`` (an aggregate's argument) of each component, as ``least``, by
+    every fingerprint ``f`` of it. Copies combine by fingerprint first."""
+    by_print = prints.groupBy("fp").agg(F.min(value).alias("least")).withColumnRenamed("fp", "p")
+    named = roots.join(by_print, roots["fp"] == by_print["p"])
+    by_root = named.groupBy("root").agg(F.min("least").alias("least")).withColumnRenamed("root", "r")
+    return roots.join(by_root, roots["root"] == by_root["r"]).select(F.col("fp").alias("f"), "least")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, id_col="doc_id", text_col="text") -> DataFrame:
     """doc_id, fingerprint, component_id of every row.
 
@@ -85,13 +103,22 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     never name a component that has another; repeated rows stay; an empty table gives no
     rows.
     """
-    prints = keep(fingerprints(docs, shingle, doc_id=id_col, text=text_col))
-    own = keep(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")))
-    index = own.select(F.col("fp").alias("node"), F.col("copies").alias("weight"), F.explode(variants(F.col("fp"), distance)).alias("key"))
-    close = lambda a, b: F.bit_count(a.bitwiseXOR(b)) <= distance
-    roots = bucket_components(index, close)
-    named = rooted(own, roots, "fp", "root")
-    least = named.groupBy("root").agg(F.min("least").alias("component_id")).withColumnRenamed("root", "r")
-    ids = named.join(least, named["root"] == least["r"]).select(F.col("fp").alias("f"), "component_id")
+    prints = keep(fingerprints(narrow(docs, doc_id=id_col, text=text_col), shingle))
+    ids = _of_component(prints, linked(prints, distance), F.col("doc_id"))
     out = prints.join(ids, prints["fp"] == ids["f"])
-    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("least").alias("component_id"))
+
+
+def one_per_group(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, id_col="doc_id", text_col="text") -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest id (NULL last; then
+    by a hash of id and text). Of rows equal in both any one stays. All columns as they are."""
+    text = F.col(f"`{text_col}`")
+    k1, k2 = F.xxhash64(F.col(f"`{id_col}`").cast("string"), text), F.hash(text)
+    rows = narrow(docs, doc_id=id_col, text=text_col)
+    keyed = rows.select("doc_id", "text", F.xxhash64(F.col("doc_id").cast("string"), "text").alias("k1"), F.hash("text").alias("k2"))
+    prints = keep(fingerprints(keyed, shingle))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")
+    first = _of_component(prints, linked(prints, distance), place).select("least.k1", "least.k2").distinct()
+    packed = docs.select(F.struct("*").alias("row"), k1.alias("k1"), k2.alias("k2")).join(first, ["k1", "k2"])
+    nth = F.row_number().over(W.partitionBy("k1", "k2").orderBy("k1"))
+    return packed.withColumn("nth", nth).where("nth = 1").select("row.*")

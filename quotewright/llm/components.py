@@ -50,45 +50,49 @@ def rooted(nodes: DataFrame, roots: DataFrame, node: str, name: str) -> DataFram
 
 
 def bucket_components(
-    index: DataFrame,
+    nodes: DataFrame,
     close: Callable[[Column, Column], Column],
     verify: Callable[[DataFrame], DataFrame] = lambda pairs: pairs,
     salt: int = 4096,
 ) -> DataFrame:
-    """node, root over all pairs that share a bucket of ``index`` (key, node, weight) and
-    are close: the links' components, without making all pairs of a bucket.
+    """node, root over all pairs of ``nodes`` (node, weight, keys: the buckets it is in)
+    that share a bucket and are close: the links' components, without making all pairs.
 
     ``close`` is a cheap exact or necessary test on two nodes, part of the joins;
     ``verify`` keeps the linked ones of distinct pairs (a, b).
 
     First every member meets its bucket's heaviest node only; that links most of a group
-    of near copies. Then, in buckets of three and more, members whose component is not
-    that of the heaviest node meet the other components' members: exactly the pairs that
-    could still join two components. Large buckets are salted into blocks of ``salt``
-    members for this. So no link is lost, and pairs within a component cost nothing.
+    of near copies. Then, in buckets of three and more that hold several components,
+    members outside the heaviest node's component meet the other components' members:
+    exactly the pairs that could still join two components. Large buckets are salted into
+    blocks of ``salt`` members for this. So no link is lost, and pairs within a component
+    cost nothing.
     """
+    index = nodes.select("node", "weight", F.explode("keys").alias("key"))
     heaviest = F.max(F.struct("weight", "node"))["node"]
-    stats = keep(index.groupBy("key").agg(F.count("*").alias("n"), heaviest.alias("rep")).where("n > 1"))
-    s = stats.select(F.col("key").alias("s_key"), "n", "rep")
+    stats = index.groupBy("key").agg(F.count("*").alias("n"), heaviest.alias("rep")).where("n > 1")
+    s = stats.select(F.col("key").alias("s_key"), "rep")
     near = (index["key"] == s["s_key"]) & (index["node"] != s["rep"]) & close(index["node"], s["rep"])
     star = index.join(s, near).select(F.col("node").alias("a"), F.col("rep").alias("b")).distinct()
     first = keep(components(verify(star)))
 
-    s = s.where("n > 2")
-    large = keep(index.join(s, index["key"] == s["s_key"]).select("key", "node", "rep", "n"))
-    large = rooted(rooted(large, first, "node", "root"), first, "rep", "rep_root")
+    # roots join the nodes, not their many index entries
+    index = rooted(nodes, first, "node", "root").select("node", "weight", "root", F.explode("keys").alias("key"))
+    top = F.max(F.struct("weight", "node", "root"))
+    mixed = index.groupBy("key").agg(F.count("*").alias("n"), top.alias("top"), F.min("root").alias("r1"), F.max("root").alias("r2"))
+    mixed = mixed.where("n > 2 and r1 <> r2").select(F.col("key").alias("m_key"), "n", "top.node", "top.root").toDF("m_key", "n", "rep", "rep_root")
+    large = keep(index.join(mixed, index["key"] == mixed["m_key"]).select("key", "node", "root", "rep", "rep_root", "n"))
     block = F.ceil(F.col("n") / salt)
     minor = large.where("root <> rep_root").select(
         "key", F.col("node").alias("a"), F.col("root").alias("a_root"), F.explode(F.sequence(F.lit(0).cast("long"), block - 1)).alias("salt")
     )
-    other = large.select(
-        F.col("key").alias("o_key"), F.col("node").alias("b"), F.col("root").alias("b_root"), F.pmod(F.xxhash64("node"), block).alias("o_salt"), "rep"
+    other = large.where("node <> rep").select(
+        F.col("key").alias("o_key"), F.col("node").alias("b"), F.col("root").alias("b_root"), F.pmod(F.xxhash64("node"), block).alias("o_salt")
     )
     meet = (
         (minor["key"] == other["o_key"])
         & (minor["salt"] == other["o_salt"])
         & (minor["a_root"] != other["b_root"])
-        & (other["b"] != other["rep"])
         & close(minor["a"], other["b"])
     )
     pairs = minor.join(other, meet).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

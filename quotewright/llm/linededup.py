@@ -185,8 +185,8 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
     lines = keep(
         seen.groupBy("line").agg(F.count("*").alias("weight"), F.min(place).alias("place"), F.any_value("bands", True).alias("bands"))
     )
-    index = lines.select(F.explode("bands").alias("key"), F.col("line").alias("node"), "weight")
-    roots = bucket_components(index, lambda a, b: F.lit(True), verified(docs))
+    nodes = lines.select(F.col("line").alias("node"), "weight", F.col("bands").alias("keys"))
+    roots = bucket_components(nodes, lambda a, b: F.lit(True), verified(docs))
     named = rooted(lines.select("line", "weight", "place"), roots, "line", "root")
     # only lines that repeat, or that others resemble, can go
     linked = roots.select(F.col("node").alias("line"))

@@ -81,9 +81,9 @@ def variants(fp: Column, distance: int = DISTANCE) -> Column:
 def linked(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """fp, root: the smallest fingerprint reachable from each of ``prints``."""
     own = keep(prints.groupBy("fp").agg(F.count("*").alias("weight")))
-    index = own.select(F.col("fp").alias("node"), "weight", F.explode(variants(F.col("fp"), distance)).alias("key"))
+    nodes = own.select(F.col("fp").alias("node"), "weight").withColumn("keys", variants(F.col("node"), distance))
     close = lambda a, b: F.bit_count(a.bitwiseXOR(b)) <= distance
-    return keep(rooted(own.select("fp"), bucket_components(index, close), "fp", "root"))
+    return keep(rooted(own.select("fp"), bucket_components(nodes, close), "fp", "root"))
 
 
 def _of_component(prints: DataFrame, roots: DataFrame, value: Column) -> DataFrame:

@@ -79,7 +79,7 @@ class ToxicityModel:
         reach = len(self.filters) - 1
         for start in range(0, len(ids), _SLICE):
             x = self.embed(ids[start : start + _SLICE + reach])
-            most = np.maximum(most, np.concatenate([z.max(axis=0) for z in self.convolve(x)]))
+            most = np.maximum(most, np.concatenate([z[:_SLICE].max(axis=0) for z in self.convolve(x)]))
         return float(most @ self.out + self.base)
 
     def score(self, ids: np.ndarray) -> float:

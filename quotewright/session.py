@@ -76,9 +76,19 @@ def new_folder(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/quotewright/{uuid4().hex}"
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def keep(df: DataFrame) -> DataFrame:
     """Write an intermediate that several branches read, and read it back: it is
-    computed once, and a lost executor costs only its own tasks."""
-    folder = new_folder(df.sparkSession)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    computed once, and a lost executor costs only its own tasks. The shuffle files of the
+    writing are dropped when it is done, not when the driver next collects garbage."""
+    spark = df.sparkSession
+    folder = new_folder(spark)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(folder)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(folder)

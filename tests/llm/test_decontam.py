@@ -91,6 +91,6 @@ def test_reordered_and_partial_passages(spark, frame):
 
 def test_bitmap_holds_exactly_the_seeds(spark):
     seeds = spark.range(0, 5000, 7).selectExpr("(id - 1000) * 104729 as seed")
-    bits = np.unpackbits(D.bitmap(seeds, 1 << 16), bitorder="little")
+    bits = np.unpackbits(D.bitmap(seeds, "seed", 1 << 16), bitorder="little")
     expected = {((i - 1000) * 104729) % (1 << 16) for i in range(0, 5000, 7)}
     assert set(np.flatnonzero(bits).tolist()) == expected

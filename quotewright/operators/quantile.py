@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -12,8 +14,19 @@ _FINE = 4096  # linear cells inside one coarse cell
 
 
 def _coarse(value: Column) -> Column:
-    """A cell number that never falls as the value rises; 64 cells per e-fold."""
-    return F.floor(F.signum(value) * F.log1p(F.abs(value) * 1e9) * 64)
+    """A cell number that never falls as the value rises; 64 cells per e-fold. The
+    infinities have cells of their own, and NaN, the largest value, the last."""
+    inner = F.floor(F.signum(value) * F.log1p(F.abs(value) * 1e9) * 64)
+    far = F.lit(1 << 40)
+    edge = F.when(F.isnan(value), far + 1).when(value == float("inf"), far).when(value == float("-inf"), -far)
+    return F.coalesce(edge, inner)
+
+
+def _same(rows: DataFrame, cells: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Rows joined to cells on equal columns, NULL equal to NULL."""
+    other = cells.withColumnsRenamed({c: f"_r_{c}" for c in names})
+    on = reduce(and_, (rows[c].eqNullSafe(other[f"_r_{c}"]) for c in names))
+    return rows.join(other, on).drop(*(f"_r_{c}" for c in names))
 
 
 def _holding_middle(cells: DataFrame, parts: Sequence[str], order: str, start: Column) -> DataFrame:
@@ -33,8 +46,10 @@ def grouped_median(df: DataFrame, keys: Sequence[str], value: str, weight: str)
     the distinct values of those cells are ranked. Counts combine map-side, so the
     size of a group does not matter to them. The cells to look into, at most two per
     group and round, are joined back: by broadcast where Spark measures them small,
-    else with AQE splitting a hot cell. Key columns hold no NULL, as columns that
-    were joined on never do.
+    else with AQE splitting a hot cell. NULL keys are groups like others; NaN counts as
+    the largest value, as it does in Spark's order. The last ranking holds the distinct
+    values of a fine cell: many only where very many values lie closer together than
+    1/4096 of their coarse cell's extent.
     """
     keys = list(keys)
     rows = df.where(F.col(value).isNotNull()).select(
@@ -52,10 +67,10 @@ def grouped_median(df: DataFrame, keys: Sequence[str], value: str, weight: str)
     )
 
     at = F.try_divide(F.col("_v") - F.col("_min"), F.col("_max") - F.col("_min"))
-    cell = F.coalesce(F.floor(at * _FINE), F.lit(0).cast("bigint"))
+    cell = F.when(F.isnan(at), 0).otherwise(F.coalesce(F.floor(at * _FINE), F.lit(0).cast("bigint")))
     bounds = ("_lo", "_hi", "_min", "_max")
     fine = (
-        rows.join(coarse, [*keys, "_c"])
+        _same(rows, coarse, [*keys, "_c"])
         .groupBy(*keys, "_c", cell.alias("_f"))
         .agg(F.sum("_w").alias("_n"), *[F.first(c).alias(c) for c in (*bounds, "_start")])
     )
@@ -65,7 +80,7 @@ def grouped_median(df: DataFrame, keys: Sequence[str], value: str, weight: str)
 
     # at most two fine cells per coarse one: the join keeps a row's own
     exact = (
-        rows.join(fine, [*keys, "_c"])
+        _same(rows, fine, [*keys, "_c"])
         .where(cell == F.col("_f"))
         .groupBy(*keys, "_c", "_f", "_v")
         .agg(F.sum("_w").alias("_n"), *[F.first(c).alias(c) for c in ("_lo", "_hi", "_start")])

@@ -7,45 +7,57 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quotewright.functions.columns import simple_return
-from quotewright.operators.rows import repeat_rows
+from quotewright.session import keep
 
-_EPOCH = "1970-01-01"
 
+def _ranges(df: DataFrame, key: str, order: str, ties: Sequence[str], ranges: int | None) -> DataFrame:
+    """The rows with ``_part``, their range in the order (key, order, ties), written once.
+
+    A hot series, a hot day and many copies of one row all spread over ranges: copies are
+    told apart by the task that read them, which a repeated task does not change.
+    """
+    by = [key, order, *ties, "_slice"]
+    sliced = df.withColumn("_slice", F.spark_partition_id())
+    placed = sliced.repartitionByRange(ranges, *by) if ranges else sliced.repartitionByRange(*by)
+    return keep(placed.withColumn("_part", F.spark_partition_id()).drop("_slice"))
 
-def _spans(df: DataFrame, key: str, order: str, value: str, span_days: int, halo_days: int) -> DataFrame:
-    """Cut every series into spans of ``span_days`` that can be computed apart.
 
-    Each span also gets, as rows with ``_own`` false, the last ``halo_days`` days
-    of the span before it and, when those hold nothing, the last earlier row of
-    the series. So a hot entity is spread over many tasks.
+def _before(placed: DataFrame, key: str, order: str, ties: Sequence[str], window: int) -> DataFrame:
+    """For each range of a series that is not its first: the last ``window`` rows before it.
+
+    Only series of several ranges matter, of which there are fewer than ranges, and only
+    the last ``window`` rows of each range, which Spark limits before the shuffle.
     """
-    day = F.datediff(F.col(order), F.lit(_EPOCH).cast("date"))
-    span, at = F.floor(day / span_days), F.pmod(day, F.lit(span_days))
-    near_end = F.lit(span_days - halo_days)
-    rows = df.withColumn(
-        "_span", F.explode(F.when(at >= near_end, F.array(span, span + 1)).otherwise(F.array(span)))
-    ).withColumn("_own", F.col("_span").eqNullSafe(span))
-
-    # Last row of each span, then of the span before it: one row per entity and
-    # span, combined map-side.
-    by_span = W.partitionBy(key).orderBy("_span")
-    previous = (
-        df.groupBy(key, span.alias("_span"))
-        .agg(F.max(order).alias("_day"), F.max_by(value, order).alias("_value"))
-        .select(
-            key,
-            "_span",
-            F.lag("_span").over(by_span).alias("_before"),
-            F.lag("_day").over(by_span).alias(order),
-            F.lag("_value").over(by_span).alias(value),
+    dated = placed.where(F.col(order).isNotNull())
+    along = W.partitionBy(key).orderBy("_part")
+    parts = (
+        dated.groupBy(key, "_part")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumns(
+            {
+                "_nth": F.row_number().over(along),
+                "_start": F.sum("_n").over(along) - F.col("_n"),
+                "_parts": F.count(F.lit(1)).over(W.partitionBy(key)),
+            }
         )
+        .where("_parts > 1")
+        .withColumnRenamed(key, "_key")
     )
-    carried = previous.where(
-        F.col("_before").isNotNull() & ((F.col("_before") < F.col("_span") - 1) | (at < near_end))
-    ).select(key, order, value, "_span", F.lit(False).alias("_own"))
-    return rows.unionByName(carried, allowMissingColumns=True)
+    backwards = W.partitionBy(key, "_part").orderBy(F.desc(order), *map(F.desc, ties))
+    tails = dated.withColumn("_back", F.row_number().over(backwards)).where(F.col("_back") <= window)
+    own = parts.select("_key", F.col("_part").alias("_own_part"), "_nth", (F.col("_start") + F.col("_n")).alias("_end"))
+    tails = tails.join(own, tails[key].eqNullSafe(own["_key"]) & (tails["_part"] == own["_own_part"])).drop("_key", "_part")
+    # a later range takes the row while it is among the last ``window`` before it; every
+    # range between holds a row, so it is at most ``window`` ranges away
+    tails = tails.withColumn("_to", F.explode(F.sequence(F.col("_nth") + 1, F.col("_nth") + window)))
+    later = parts.select("_key", "_part", F.col("_nth").alias("_at"), "_start")
+    near = tails[key].eqNullSafe(later["_key"]) & (tails["_to"] == later["_at"])
+    position = F.col("_end") - F.col("_back")
+    taken = tails.join(later, near).where(F.col("_start") - position <= window)
+    return taken.select(*placed.columns, F.lit(False).alias("_own"))
 
 
 def returns(
@@ -57,62 +69,31 @@ def returns(
     gap_days: int = 5,
     window: int = 21,
     annualise: int = 252,
-    span_days: int | None = 1826,
-    copies: bool = False,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Adds days_since_prev, daily_return, log_return, is_gap_return, vol_<window>d_ann.
 
     A return over more than ``gap_days`` days is a gap return: kept, but left out
-    of the volatility. Volatility needs ``window`` non-gap returns in a row, so
-    its rows all lie within ``window * gap_days`` days; that makes the halo of
-    ``_spans`` exact. ``span_days=None`` computes each series in one piece.
-    ``order`` is a date, unique within ``key``; a row without one is kept, and has
-    no previous row.
-
-    ``copies=True`` is for input with many copies of a row. Equal rows first become
-    one with a count. All copies after the first ``window + 1`` get the values of
-    that one, because their frames hold nothing but copies; so only those enter the
-    window, and the last is repeated afterwards. It costs one more shuffle.
+    of the volatility, which needs ``window`` non-gap returns in a row. ``order`` is a
+    date. Rows of one day follow each other by their other columns in turn (NULL first),
+    so copies are contiguous and the result is the same on every run. A row without a date
+    is kept; it has no previous row and is none.
+
+    All rows take one path. They are cut into ranges of the whole order (``ranges``, or
+    as many as a shuffle has), and every range of a series gets the ``window`` rows before
+    it: a return looks back one row and a volatility ``window - 1`` returns, so each range
+    is computed apart and exactly, however long the series, its days or its copies.
     """
-    if copies:
-        most = window + 1
-        counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-        entering = counted.withColumn(
-            "_copy", F.explode(F.sequence(F.lit(1), F.least(F.lit(most), "_copies").cast("int")))
-        ).withColumn("_times", F.when(F.col("_copy") == most, F.col("_copies") - window).otherwise(1))
-        out = _returns(
-            entering.drop("_copies"), key, order, value, gap_days, window, annualise, span_days, ["_copy"]
-        )
-        return repeat_rows(out.drop("_copy"), "_times")
-    return _returns(df, key, order, value, gap_days, window, annualise, span_days, [])
-
-
-def _returns(
-    df: DataFrame,
-    key: str,
-    order: str,
-    value: str,
-    gap_days: int,
-    window: int,
-    annualise: int,
-    span_days: int | None,
-    ties: list[str],
-) -> DataFrame:
-    halo_days = window * gap_days
-    if span_days is None:
-        rows, parts = df.withColumn("_own", F.lit(True)), [key]
-    elif span_days <= halo_days:
-        raise ValueError(f"span_days must exceed window * gap_days = {halo_days}")
-    else:
-        rows, parts = _spans(df, key, order, value, span_days, halo_days), [key, "_span"]
-
-    series = W.partitionBy(*parts).orderBy(order, *ties)
+    ties = sorted(f.name for f in df.schema if f.name not in (key, order) and not isinstance(f.dataType, T.MapType))
+    placed = _ranges(df, key, order, ties, ranges)
+    rows = placed.withColumn("_own", F.lit(True)).unionByName(_before(placed, key, order, ties, window))
+    dated = F.col(order).isNotNull()
+    # the rows before a range come first among equals
+    series = W.partitionBy(key, "_part", dated).orderBy(order, *ties, "_own")
     frame = series.rowsBetween(1 - window, 0)
     usable = F.when(F.col("days_since_prev") <= gap_days, F.col("daily_return"))
     return (
-        rows.withColumns(
-            {"_prev": F.lag(value).over(series), "_prev_day": F.lag(order).over(series)}
-        )
+        rows.withColumns({"_prev": F.when(dated, F.lag(value).over(series)), "_prev_day": F.lag(order).over(series)})
         .withColumns(
             {
                 "days_since_prev": F.datediff(order, "_prev_day"),
@@ -136,7 +117,7 @@ def _returns(
             f"vol_{window}d_ann", F.when(F.col("_n") == window, F.col("_sd") * F.sqrt(F.lit(float(annualise))))
         )
         .where("_own")
-        .drop("_prev", "_prev_day", "_usable", "_n", "_sd", "_own", "_span")
+        .drop("_prev", "_prev_day", "_usable", "_n", "_sd", "_own", "_part")
     )
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from quotewright.functions.columns import first_violated, has_token, plain_number
 from quotewright.operators import clean, control, fingerprint, quality, quantile, recon, series, star
+from quotewright.operators.rows import repeat_rows
 from quotewright.plans import bridge, runs
 from quotewright.plans import market as mk
 from quotewright.schemas import MARKET_TABLES, TableSpec
@@ -142,24 +143,44 @@ def series_returns(spark, sf):
 
 @query
 def rolling_volatility(spark, sf):
-    """Long series cut into spans of a year."""
+    """Series cut into several ranges each."""
     out = series.returns(
         bridge.shipped_prices(partial(bridge.read, spark, sf)), "supplier", "day", "price",
-        gap_days=10, window=21, annualise=252, span_days=365,
+        gap_days=10, window=21, annualise=252, ranges=9,
     )
     return rounded(out, deviation=4)
 
 
 @query
 def rolling_volatility_whole_series(spark, sf):
-    """The same without spans, with a shorter window."""
+    """The same in one range, with a shorter window."""
     out = series.returns(
         bridge.shipped_prices(partial(bridge.read, spark, sf)), "supplier", "day", "price",
-        gap_days=5, window=5, annualise=252, span_days=None,
+        gap_days=5, window=5, annualise=252, ranges=1,
     )
     return rounded(out, deviation=4)
 
 
+@query
+def series_returns_with_copies(spark, sf):
+    """Order lines as three hot series with many copies and different rows a day."""
+    lines = bridge.read(spark, sf, "lineitem").select(
+        F.col("l_returnflag").alias("flag"), F.col("l_shipdate").cast("date").alias("day"),
+        F.col("l_quantity").cast("decimal(18,6)").alias("price"), "l_linestatus",
+    )
+    out = series.returns(lines, "flag", "day", "price", gap_days=3, window=6, annualise=252, ranges=7)
+    return rounded(out, deviation=3)
+
+
+@query
+def repeated_rows(spark, sf):
+    """Order lines as often as their tax says in percent: up to eight times, or never."""
+    lines = bridge.read(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.round(F.col("l_tax") * 100).cast("bigint").alias("times")
+    )
+    return repeat_rows(lines, "times").groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("copies"))
+
+
 @query
 def latest_per_entity(spark, sf):
     return rounded(mk.latest_price(_returns(bridge.MarketTables(spark, sf)), M))
@@ -224,6 +245,15 @@ def grouped_median(spark, sf):
     )
 
 
+@query
+def grouped_median_null_key(spark, sf):
+    """Groups by a status that is NULL for a part of the lines."""
+    lines = bridge.read(spark, sf, "lineitem").select(
+        F.when(F.col("l_linenumber") < 5, F.col("l_returnflag")).alias("flag"), "l_extendedprice", F.lit(1).alias("rows")
+    )
+    return rounded(quantile.grouped_median(lines, ["flag"], "l_extendedprice", "rows"), 6)
+
+
 @query
 def recon_coverage(spark, sf):
     return mk.recon_coverage(bridge.MarketTables(spark, sf), M)

@@ -44,7 +44,7 @@ class Market:
     gap_days: int = 5
     window: int = 21
     annualise: int = 252
-    span_days: int | None = 1826
+    ranges: int | None = None
 
     @property
     def vol(self) -> str:
@@ -115,15 +115,7 @@ def macro_rate(t: Tables) -> DataFrame:
 # ---------------------------------------------------------------- marts
 
 
-def holds_copies(t: Tables) -> bool:
-    """Whether a security has more consensus rows than there are days, so that some
-    must share a day. If not, no series is longer than the calendar."""
-    rows = t["fact_price_daily_consensus"].groupBy("security_key").agg(F.count(F.lit(1)).alias("n"))
-    longest = rows.agg(F.max("n")).first()[0] or 0
-    return longest > t["dim_date"].count()
-
-
-def price_returns(t: Tables, m: Market, copies: bool = False) -> DataFrame:
+def price_returns(t: Tables, m: Market) -> DataFrame:
     """Securities are described after the windows, so their names are not shuffled;
     one without a dimension row drops out whole either way."""
     dated = star.star_join(t["fact_price_daily_consensus"], [_date(t, "trade_date")]).select(
@@ -131,8 +123,7 @@ def price_returns(t: Tables, m: Market, copies: bool = False) -> DataFrame:
     )
     computed = series.returns(
         dated, "security_key", "trade_date", "adj_close",
-        gap_days=m.gap_days, window=m.window, annualise=m.annualise, span_days=m.span_days,
-        copies=copies,
+        gap_days=m.gap_days, window=m.window, annualise=m.annualise, ranges=m.ranges,
     )
     return _described(t, computed, ("security_key", "ticker", "gics_sector"))
 

@@ -714,6 +714,29 @@ def _volatility(gap: int, window: int) -> str:
 
 SQL["rolling_volatility"] = _volatility(10, 21)
 SQL["rolling_volatility_whole_series"] = _volatility(5, 5)
+SQL["series_returns_with_copies"] = """
+  WITH prices AS (
+    SELECT l_returnflag AS flag, CAST(l_shipdate AS DATE) AS day, CAST(l_quantity AS DECIMAL(18,6)) AS price,
+           l_linestatus FROM lineitem),
+  stepped AS (
+    SELECT *, row_number() OVER s AS nth,
+           CAST(date_diff('day', lag(day) OVER s, day) AS INTEGER) AS days_since_prev,
+           CAST(price AS DOUBLE) / NULLIF(CAST(lag(price) OVER s AS DOUBLE), 0) - 1 AS daily_return
+    FROM prices WINDOW s AS (PARTITION BY flag ORDER BY day, l_linestatus, price)),
+  usable AS (SELECT *, CASE WHEN days_since_prev <= 3 THEN daily_return END AS u FROM stepped)
+  SELECT flag, day, price, l_linestatus, days_since_prev, round(daily_return, 9) + 0.0 AS daily_return,
+         round(CASE WHEN daily_return > -1 THEN ln(1 + daily_return) END, 7) + 0.0 AS log_return,
+         CASE WHEN days_since_prev > 3 THEN 1 ELSE 0 END AS is_gap_return,
+         round(CASE WHEN count(u) OVER f = 6 THEN stddev_samp(u) OVER f * sqrt(252) END, 3) AS vol_6d_ann
+  FROM usable
+  WINDOW f AS (PARTITION BY flag ORDER BY nth ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)"""
+SQL["repeated_rows"] = """
+  SELECT l_orderkey, l_linenumber, CAST(sum(CAST(round(l_tax * 100) AS BIGINT)) AS BIGINT) AS copies
+  FROM lineitem WHERE round(l_tax * 100) > 0 GROUP BY 1, 2"""
+SQL["grouped_median_null_key"] = """
+  SELECT CASE WHEN l_linenumber < 5 THEN l_returnflag END AS flag,
+         round(median(l_extendedprice), 6) AS median_l_extendedprice
+  FROM lineitem GROUP BY 1"""
 SQL["recon_pairs_with_copies"] = """
   WITH lines AS (SELECT l_partkey, l_returnflag, l_quantity AS q FROM lineitem),
   p AS (SELECT a.l_partkey, abs(a.q - b.q) / NULLIF((a.q + b.q) / 2, 0) AS diff

@@ -21,7 +21,7 @@ from quotewright.plans import market as mk
 from quotewright.schemas import MARKET_TABLES
 from quotewright.session import together
 from quotewright.sources.exports import manifest_fingerprints, read_manifest, read_typed
-from quotewright.sources.reports import ParsedReports, parse_reports, read_reports, refuse_unparsed
+from quotewright.sources.reports import ParsedReports, only_date, parse_reports, read_reports, refuse_unparsed
 from quotewright.sources.warehouse import Warehouse
 
 
@@ -75,7 +75,7 @@ def build_marts(wh: Warehouse, tables: mk.Tables, run_id: str, m: mk.Market) ->
 
     first = stage(
         {
-            "price_returns": mk.price_returns(tables, m, copies=mk.holds_copies(tables)),
+            "price_returns": mk.price_returns(tables, m),
             "recon_pair_counts": mk.recon_pairs(tables, m),
             "v_recon_coverage": mk.recon_coverage(tables, m),
             "dim_security_current": mk.dim_security_current(tables),
@@ -111,6 +111,7 @@ def create_views(wh: Warehouse, m: mk.Market) -> None:
         f"cast(coalesce(array_contains(split(f.sources_available, '[|]'), '{s}'), false) AS int) AS has_{s}"
         for s in (m.source_a, m.source_b)
     )
+    tasks = wh.spark.conf.get("spark.sql.shuffle.partitions")
     newest = f"(SELECT max(struct(loaded_at_utc, run_id)).run_id FROM {mart('load_log')})"
     views = {
         wh.name("model", "price_daily"): f"""
@@ -130,8 +131,10 @@ def create_views(wh: Warehouse, m: mk.Market) -> None:
             FROM {raw('fact_macro_rate')} f {day}""",
         # written out only when read: copies of a price may stand for many pairs
         mart("v_recon_pairs"): f"""
-            SELECT p.* EXCEPT (pairs) FROM {mart('recon_pair_counts')} p
-            LATERAL VIEW explode(sequence(0, (pairs - 1) div 10000)) AS block
+            SELECT p.* EXCEPT (pairs, block) FROM (
+              SELECT /*+ REPARTITION({tasks}) */ * FROM {mart('recon_pair_counts')}
+              LATERAL VIEW explode(sequence(0, (pairs - 1) div 10000, 1)) AS block
+              WHERE pairs > 0) p
             LATERAL VIEW explode(sequence(1, least(10000, pairs - block * 10000))) AS copy""",
         mart("v_load_latest"): f"SELECT * FROM {mart('load_log')} WHERE run_id = {newest}",
         mart("v_dq_latest"): f"SELECT * FROM {mart('dq_results')} WHERE run_id = {newest}",
@@ -140,15 +143,10 @@ def create_views(wh: Warehouse, m: mk.Market) -> None:
         wh.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {sql}")
 
 
-def load_control(wh: Warehouse, parsed: ParsedReports) -> date:
-    """Replace the control rows of the report's date, and return that date."""
-    days = parsed.headline.select("report_ingest_date").limit(2).collect()
-    if len(days) != 1:
-        raise ValueError("a run takes the report of exactly one date")
-    day = days[0][0]
+def load_control(wh: Warehouse, parsed: ParsedReports, day: date) -> None:
+    """Replace the control rows of the report's date."""
     wh.replace(parsed.headline, "recon_report_control", "report_ingest_date", str(day))
     wh.replace(parsed.entities, "recon_report_control_ticker", "report_ingest_date", str(day))
-    return day
 
 
 def build_and_check(
@@ -158,6 +156,7 @@ def build_and_check(
     at: datetime,
     m: mk.Market,
     parsed: ParsedReports | None = None,
+    report_date: date | None = None,
 ) -> DataFrame:
     """Marts, checks and the optional report control; returns this run's
     results, read back from the audit table and ordered by name."""
@@ -166,7 +165,7 @@ def build_and_check(
     checked = {**tables, "recon_pairs": marts["recon_pair_counts"]}
     wh.append(run_checks(mk.market_checks(m), checked, run_id, at), "dq_results")
     if parsed is not None:
-        report_date = load_control(wh, parsed)
+        load_control(wh, parsed, report_date)
         wh.append(
             control_results(
                 marts["v_recon_summary"],
@@ -186,14 +185,15 @@ def build_and_check(
 def run_market(
     wh: Warehouse, export_dir: str, m: mk.Market = mk.Market(), report: str | None = None
 ) -> RunResult:
-    """A full run over an export. The report is read first, so an unreadable one
-    stops the run before any table is written."""
+    """A full run over an export. The report is read first: one that cannot be read
+    whole, or several, stop the run before any table or folder is made."""
     spark = wh.spark
-    parsed = None
+    parsed = report_date = None
     if report is not None:
         texts = read_reports(spark, report)
         parsed = parse_reports(texts, (m.source_a, m.printed_a), (m.source_b, m.printed_b))
         refuse_unparsed(parsed)
+        report_date = only_date(parsed)
     run_id, at = new_run()
     wh.create(MARKET_TABLES, m.source_a, m.source_b)
 
@@ -208,7 +208,7 @@ def run_market(
         return RunResult(Outcome.LOAD_NOT_VERIFIED, run_id, problems)
     for name, df in staged.items():
         wh.publish(df, run_id, "raw", name)
-    results = build_and_check(wh, staged, run_id, at, m, parsed)
+    results = build_and_check(wh, staged, run_id, at, m, parsed, report_date)
     failed = bool(results.where("status = 'FAIL'").limit(1).collect())
     return RunResult(Outcome.CHECK_FAILED if failed else Outcome.OK, run_id, [], results)
 

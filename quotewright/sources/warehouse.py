@@ -87,7 +87,7 @@ class Warehouse:
         """Append audit rows. A run's rows are few, so they go into one file."""
         name = self.name("mart", table)
         target = self.spark.table(name).schema
-        conform(df, target).coalesce(1).write.mode("append").insertInto(name)
+        conform(df, target).repartition(1).write.mode("append").insertInto(name)
 
     def replace(self, df: DataFrame, table: str, column: str, value: str) -> None:
         """Replace the rows of one partition value, also when ``df`` has none."""

@@ -149,7 +149,7 @@ def test_spans_equal_the_whole_series(spark, seed, gap, window, extra, hot):
             d += timedelta(rnd.choice([1, 1, 1, 2, 3, gap, gap + 1, rnd.randrange(1, 200)]))
             points.append((k, d, round(rnd.uniform(1, 100), 2)))
     df = spark.createDataFrame(points, "k int, d date, v double")
-    out = series.returns(df, "k", "d", "v", gap_days=gap, window=window, span_days=gap * window + extra)
+    out = series.returns(df, "k", "d", "v", gap_days=gap, window=window, ranges=1 + extra % 6)
     brute = _brute_returns(points, gap, window)
     rows = out.collect()
     assert len(rows) == len(points)
@@ -161,22 +161,22 @@ def test_spans_equal_the_whole_series(spark, seed, gap, window, extra, hot):
         assert (got is None) if vol is None else got == pytest.approx(vol, rel=1e-9, abs=1e-9)
 
 
-def test_span_must_exceed_the_halo(spark):
-    df = spark.createDataFrame([], "k int, d date, v double")
-    with pytest.raises(ValueError, match="span_days"):
-        series.returns(df, "k", "d", "v", gap_days=5, window=21, span_days=105)
-
-
 def test_a_hot_series_is_spread_over_tasks(spark):
+    """A series, a day and copies of one row that each hold a large share of all rows."""
     days = spark.range(20_000).select(
         F.lit(1).alias("k"), F.expr("date_add(date'1970-01-01', cast(id as int))").alias("d"),
         (F.col("id") % 7 + 1).cast("double").alias("v"),
     )
-    out = series.returns(days, "k", "d", "v", span_days=365)
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(k" in plan and "_span" in plan
-    assert out.count() == 20_000
-    assert out.where("vol_21d_ann is not null").count() == 20_000 - 21
+    hot = spark.range(30_000).select(F.lit(1).alias("k"), F.lit("1990-01-01").cast("date").alias("d"), (F.col("id") % 3 + 1.0).alias("v"))
+    df = days.unionByName(hot).repartition(8)
+    placed = series._ranges(df, "k", "d", ["v"], 16)
+    sizes = [r["count"] for r in placed.groupBy("_part").count().collect()]
+    assert len(sizes) >= 10 and max(sizes) < 50_000 / 6
+    out = series.returns(df, "k", "d", "v", ranges=16)
+    assert out.count() == 50_000
+    # the hot day's copies follow each other: two steps up, and no other change
+    day = out.where("d = '1990-01-01'").groupBy(F.round("daily_return", 6)).count().collect()
+    assert sorted(r["count"] for r in day)[-1] >= 30_000 - 3 and len(day) <= 5
 
 
 def test_zero_and_missing_prices_do_not_stop_a_series(spark):
@@ -190,52 +190,46 @@ def test_zero_and_missing_prices_do_not_stop_a_series(spark):
 
 @FEW
 @given(
-    points=st.lists(st.tuples(st.integers(1, 2), st.integers(0, 60), st.integers(1, 3)), min_size=1, max_size=60),
-    span=st.integers(11, 30),
-)
-def test_copies_and_ties_neither_vanish_nor_multiply(spark, points, span):
-    rows = [(k, date(2024, 1, 1) + timedelta(d), float(v)) for k, d, v in points]
-    df = spark.createDataFrame(rows, "k int, d date, v double")
-    out = series.returns(df, "k", "d", "v", gap_days=2, window=5, span_days=span)
-    assert sorted((r.k, r.d, r.v) for r in out.collect()) == sorted(rows)
-
-
-@FEW
-@given(
-    groups=st.dictionaries(
-        st.tuples(st.integers(1, 2), st.integers(0, 40)),
-        st.tuples(st.integers(1, 9), st.one_of(st.integers(1, 2), st.integers(1, 25))),
+    rows=st.lists(
+        st.tuples(st.integers(1, 2), st.integers(0, 25), st.integers(1, 3), st.sampled_from(["x", "y"]), st.integers(1, 12)),
         min_size=1, max_size=14,
     ),
-    window=st.integers(2, 5), span=st.sampled_from([None, 16, 30]),
+    window=st.integers(2, 5), ranges=st.integers(1, 7),
 )
-def test_counted_copies_equal_copies_written_out(spark, groups, window, span):
-    rows = [(k, date(2024, 1, 1) + timedelta(d), float(v)) for (k, d), (v, n) in groups.items() for _ in range(n)]
-    df = spark.createDataFrame(rows, "k int, d date, v double")
-    args = dict(gap_days=3, window=window, span_days=span)
-
-    def bag(out):
-        rounded = out.withColumn(f"vol_{window}d_ann", F.round(f"vol_{window}d_ann", 8))
-        return sorted((tuple(r) for r in rounded.collect()), key=repr)
-
-    assert bag(series.returns(df, "k", "d", "v", copies=True, **args)) == bag(series.returns(df, "k", "d", "v", **args))
+def test_ties_and_copies_follow_each_other(spark, rows, window, ranges):
+    """Several values a day, each in several copies: a plain walk over the sorted rows."""
+    rows = [(k, date(2024, 1, 1) + timedelta(d), float(v), t) for k, d, v, t, n in rows for _ in range(n)]
+    df = spark.createDataFrame(rows, "k int, d date, v double, t string").repartition(3)
+    got = series.returns(df, "k", "d", "v", gap_days=3, window=window, ranges=ranges)
+    expected = []
+    for key in (1, 2):
+        own = sorted((r for r in rows if r[0] == key), key=lambda r: (r[1], r[3], r[2]))
+        rets, usable = [], []
+        for i, r in enumerate(own):
+            days = (r[1] - own[i - 1][1]).days if i else None
+            ret = r[2] / own[i - 1][2] - 1 if i else None
+            usable.append(ret if i and days <= 3 else None)
+            rets.append((days, ret))
+            frame = usable[max(0, i - window + 1): i + 1]
+            vol = statistics.stdev(frame) * math.sqrt(252) if len(frame) == window and None not in frame else None
+            expected.append((*r, days, ret and round(ret, 9), vol if vol is None else round(vol, 6)))
+    vol = f"vol_{window}d_ann"
+    got = [(r.k, r.d, r.v, r.t, r.days_since_prev, r.daily_return and round(r.daily_return, 9), None if r[vol] is None else round(r[vol], 6)) for r in got.collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, expected))
 
 
-def test_a_third_of_all_rows_are_copies(spark):
-    regular = spark.range(4000).select(
-        F.lit(1).alias("k"), F.expr("date_add(date'2010-01-01', cast(id as int))").alias("d"),
-        (F.col("id") % 5 + 1).cast("double").alias("v"),
-    )
-    hot = spark.range(200_000).select(F.lit(1).alias("k"), F.lit("2015-01-01").cast("date").alias("d"), F.lit(3.0).alias("v"))
-    out = series.returns(regular.unionByName(hot), "k", "d", "v", copies=True)
-    assert out.count() == 204_000
-    last = out.where("d = '2015-01-01' and daily_return = 0 and vol_21d_ann = 0").count()
-    assert last >= 200_000 - 21
+def test_repeated_rows(spark):
+    df = spark.createDataFrame([(1, 25_000), (2, 1), (3, 0), (4, -2), (5, None)], "k int, n bigint")
+    out = rows_of.repeat_rows(df, "n")
+    assert {r.k: r["count"] for r in out.groupBy("k").count().collect()} == {1: 25_000, 2: 1}
+    tasks = out.where("k = 1").groupBy(F.spark_partition_id()).count().count()
+    assert tasks > 1
 
 
 def test_rows_without_a_date_are_kept(spark):
     df = spark.createDataFrame([(1, date(2024, 1, 1), 1.0), (1, None, 2.0), (None, date(2024, 1, 2), 3.0)], "k int, d date, v double")
-    assert series.returns(df, "k", "d", "v").count() == 3
+    got = {r.v: r for r in series.returns(df, "k", "d", "v").collect()}
+    assert len(got) == 3 and got[2.0].daily_return is None and got[1.0].daily_return is None
 
 
 def test_latest_row_is_limited_before_the_shuffle(spark):

@@ -31,8 +31,16 @@ CLUSTER_SETTINGS = {
 }
 
 
-def build_session(app: str = "quotewright", master: str | None = None, **extra: str) -> SparkSession:
-    """A session with ``SETTINGS`` and, without a local master, ``CLUSTER_SETTINGS``;
+def partitions_for(input_bytes: int, each: int = 256 << 20, least: int = 200) -> int:
+    """Shuffle partitions for an input: about ``each`` bytes of it in one."""
+    return max(least, -(-input_bytes // each))
+
+
+def build_session(
+    app: str = "quotewright", master: str | None = None, input_bytes: int | None = None, **extra: str
+) -> SparkSession:
+    """A session with ``SETTINGS`` and, without a local master, ``CLUSTER_SETTINGS``, whose
+    number of partitions follows ``input_bytes`` where that is given (100 TB: 372,530);
     ``extra`` keys use ``__`` for dots and win over both."""
     builder = SparkSession.builder.appName(app)
     if master:
@@ -40,6 +48,10 @@ def build_session(app: str = "quotewright", master: str | None = None, **extra:
     local = master is not None and master.startswith("local")
     for key, value in {**SETTINGS, **({} if local else CLUSTER_SETTINGS)}.items():
         builder = builder.config(key, value)
+    if input_bytes is not None and not local:
+        n = str(partitions_for(input_bytes))
+        for key in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"):
+            builder = builder.config(key, n)
     for key, value in extra.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
-from functools import partial
+from functools import partial, reduce
+from operator import add
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +17,10 @@ from quotewright.operators.fingerprint import VALUE, metric_columns
 from quotewright.schemas import MANIFEST, TableSpec
 from quotewright.session import keep, together
 
-# Files stay small enough to be hashed as one binary value.
+# Files stay small enough to be hashed as one binary value: so many rows, and fewer where
+# texts make them wide, that a file's plain values hold about so many bytes.
 ROWS_PER_FILE = 2_000_000
+BYTES_PER_FILE = 512 << 20
 
 
 class WriteGuardError(RuntimeError):
@@ -84,13 +87,22 @@ def write_listing(hashes: DataFrame, table: str, path: str) -> dict:
     return totals.get
 
 
+def listing_digest(spark: SparkSession, path: str) -> str:
+    """One hash of a table: of its files' hashes in order, one to a line."""
+    hashes = spark.read.schema("sha256 STRING").json(path)
+    joined = F.array_join(F.array_sort(F.collect_list("sha256")), "\n")
+    return hashes.agg(F.sha2(joined, 256).alias("digest")).first()["digest"]
+
+
 def profile(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """One row: fingerprints of the cleaned table and NaN counts of the raw one,
-    from a single scan."""
+    """One row: fingerprints of the cleaned table, NaN counts of the raw one and the mean
+    bytes of a row's texts, from a single scan."""
     names = resolve(df, spec.schema)
     flags = {f"_nan_{c}": is_nan(df, names[c]) for c in spec.decimals}
     wide = df.select(*clean_columns(df, spec.schema), *[c.alias(f) for f, c in flags.items()])
-    return wide.agg(*metric_columns(spec.fingerprints), *[F.count_if(f).alias(f) for f in flags])
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in spec.schema if isinstance(f.dataType, T.StringType)]
+    width = F.avg(reduce(add, texts, F.lit(0))).alias("_text_bytes")
+    return wide.agg(*metric_columns(spec.fingerprints), *[F.count_if(f).alias(f) for f in flags], width)
 
 
 def export_table(df: DataFrame, spec: TableSpec, out_dir: str) -> Row:
@@ -104,18 +116,21 @@ def export_table(df: DataFrame, spec: TableSpec, out_dir: str) -> Row:
     nans = [f"_nan_{c}" for c in spec.decimals]
     before = (
         profile(df, spec)
-        .select(*[plain_number(m).alias(m) for m in metrics], *nans)
+        .select(*[plain_number(m).alias(m) for m in metrics], *nans, "_text_bytes")
         .first()
     )
     rows = int(before["row_count"])
-    written = write_ordered(clean_decimals(df, spec.schema), path, spec.key)
+    width = 16 * len(spec.schema) + (before["_text_bytes"] or 0)
+    most = max(1, min(ROWS_PER_FILE, int(BYTES_PER_FILE / width)))
+    written = write_ordered(clean_decimals(df, spec.schema), path, spec.key, most)
     guard_write(spark, path, spec.schema, rows, int(written.get["rows"]))
-    totals = write_listing(file_hashes(spark, path), spec.name, f"{out_dir}/manifest_files/{spec.name}")
+    listing = f"{out_dir}/manifest_files/{spec.name}"
+    totals = write_listing(file_hashes(spark, path), spec.name, listing)
     return Row(
         rows=rows,
         file=file,
         bytes=totals["bytes"] or 0,
-        sha256=None,
+        sha256=listing_digest(spark, listing),
         nan_to_null={c: before[f"_nan_{c}"] for c in spec.decimals if before[f"_nan_{c}"]},
         fingerprints={m: before[m] for m in metrics if m != "row_count"},
         files=totals["files"],
@@ -123,8 +138,9 @@ def export_table(df: DataFrame, spec: TableSpec, out_dir: str) -> Row:
 
 
 def snapshot(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """One consistent copy of every source, read once. Needed where the source can
-    change or is costly to read: an export reads its input several times."""
+    """A copy of every source, each read once: an export reads its input several times.
+    The tables are copied side by side, not at one moment; sources that change while
+    they are copied need a snapshot of their own (a table version, a read transaction)."""
     return dict(zip(tables, together(partial(keep, df) for df in tables.values())))
 
 

@@ -1,5 +1,6 @@
 """End to end on the synthetic market: export, load, verify, marts, checks, control."""
 
+import hashlib
 import json
 import math
 import statistics
@@ -10,12 +11,14 @@ from pathlib import Path
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quotewright.operators import quality as q
 from quotewright.operators.clean import clean_decimals
 from quotewright.plans import market as mk
 from quotewright.plans import runs
-from quotewright.schemas import MARKET_TABLES
+from quotewright.schemas import MARKET_TABLES, TableSpec
+from quotewright.sources import exports
 from quotewright.sources.exports import export_all, read_manifest, read_typed, snapshot
 from quotewright.sources.warehouse import Warehouse
 from tests import synthetic as syn
@@ -68,7 +71,18 @@ def test_manifest_counts_rows_nan_and_files(spark, export):
     assert rows["fact_price_daily"].fingerprints["null_adj_open"] == "1"
     files = spark.read.json(f"{export}/manifest_files/fact_price_daily").collect()
     assert sum(f.bytes for f in files) == rows["fact_price_daily"].bytes
-    assert all(len(f.sha256) == 64 for f in files)
+    own = {f.name: hashlib.sha256(f.read_bytes()).hexdigest() for f in Path(export, "fact_price_daily.parquet").glob("*.parquet")}
+    assert {f.file: f.sha256 for f in files} == own
+    assert rows["fact_price_daily"].sha256 == hashlib.sha256("\n".join(sorted(own.values())).encode()).hexdigest()
+    assert all(len(r.sha256) == 64 for r in rows.values())
+
+
+def test_wide_rows_make_more_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(exports, "BYTES_PER_FILE", 10_000)
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("t", T.StringType())])
+    spec = TableSpec("wide", schema, ("k",))
+    exports.export_table(spark.range(40).selectExpr("id as k", "repeat('x', 1000) as t").coalesce(1), spec, str(tmp_path))
+    assert len(list((tmp_path / "wide.parquet").glob("*.parquet"))) >= 4
 
 
 def test_export_is_typed_and_ordered(spark, export):

@@ -313,6 +313,12 @@ def price_anomalies(spark, sf):
     return mk.price_anomalies(daily.withColumn("high", F.col("open")))
 
 
+@query
+def first_price_anomalies(spark, sf):
+    """The earliest ten of ``price_anomalies``, by the operator of the run's listing."""
+    return mk.first_anomalies(price_anomalies(spark, sf))
+
+
 @query
 def platform_health(spark, sf):
     return mk.platform_health(bridge.MarketTables(spark, sf))
@@ -863,3 +869,24 @@ def market_run_listings(spark, sf):
     _exported(spark, sf, folder)
     runs.run_market(wh, folder, M)
     return rounded(runs.inspect(wh)["reconciliation"])
+
+
+@query
+def market_run_lists(spark, sf):
+    """The three lists an inspection shows beside the totals, in one long form."""
+    folder, wh = new_folder(spark), _warehouse(spark)
+    _exported(spark, sf, folder)
+    runs.run_market(wh, folder, M)
+    shown = runs.inspect(wh)
+
+    def listed(name: str, **columns) -> DataFrame:
+        none = F.lit(None).cast("string")
+        wanted = [columns.get(c, none).cast("string").alias(c) for c in ("source", "detail")]
+        return shown[name].select(F.lit(name).alias("listing"), "ticker", *wanted)
+
+    lists = [
+        listed("null_prices", source=F.col("source"), detail=F.col("n_rows")),
+        listed("securities_without_prices"),
+        listed("anomalies", source=F.col("source"), detail=F.concat_ws(" ", "trade_date", "violated_rule")),
+    ]
+    return reduce(DataFrame.unionByName, lists)

@@ -231,6 +231,29 @@ _market(
              CASE WHEN low > open THEN 'low>open' WHEN open < low THEN 'high<low'
                   WHEN open < close THEN 'high<close' ELSE 'low>close' END AS violated_rule
       FROM price_daily WHERE low > open OR open < close OR low > close""",
+    first_price_anomalies="""
+      SELECT ticker, trade_date, source,
+             CASE WHEN low > open THEN 'low>open' WHEN open < low THEN 'high<low'
+                  WHEN open < close THEN 'high<close' ELSE 'low>close' END AS violated_rule
+      FROM price_daily WHERE low > open OR open < close OR low > close
+      ORDER BY trade_date, ticker, source, violated_rule LIMIT 10""",
+    market_run_lists="""
+      SELECT 'null_prices' AS listing, ticker, source, CAST(count(*) AS VARCHAR) AS detail
+      FROM price_daily
+      WHERE open IS NULL OR high IS NULL OR low IS NULL OR close IS NULL OR adj_open IS NULL
+         OR adj_high IS NULL OR adj_low IS NULL OR adj_close IS NULL
+      GROUP BY ticker, source
+      UNION ALL
+      SELECT 'securities_without_prices', ticker, NULL, NULL FROM dim_security
+      WHERE is_current AND security_key NOT IN (SELECT security_key FROM fact_price_daily)
+      UNION ALL
+      SELECT 'anomalies', ticker, source, CAST(trade_date AS VARCHAR) || ' ' || rule FROM (
+        SELECT ticker, trade_date, source,
+               CASE WHEN low > open THEN 'low>open' WHEN high < low THEN 'high<low' WHEN high < open THEN 'high<open'
+                    WHEN high < close THEN 'high<close' WHEN low > close THEN 'low>close' END AS rule
+        FROM price_daily)
+      WHERE rule IS NOT NULL
+      QUALIFY row_number() OVER (ORDER BY trade_date, ticker, source, rule) <= 10""",
     platform_health="""
       SELECT 'dim_date' AS table_name, count(*) AS row_count, CAST(max(date) AS VARCHAR) AS latest_value
       FROM dim_date

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,46 +54,58 @@ def bucket_components(
     close: Callable[[Column, Column], Column],
     verify: Callable[[DataFrame], DataFrame] = lambda pairs: pairs,
     salt: int = 4096,
+    sketch: Sequence[str] = (),
+    alike: Callable[[list[Column], list[Column]], Column] = lambda a, b: F.lit(True),
 ) -> DataFrame:
     """node, root over all pairs of ``nodes`` (node, weight, keys: the buckets it is in)
     that share a bucket and are close: the links' components, without making all pairs.
 
     ``close`` is a cheap exact or necessary test on two nodes, part of the joins;
-    ``verify`` keeps the linked ones of distinct pairs (a, b).
+    ``verify`` keeps the linked ones of distinct pairs (a, b). Columns ``sketch`` of the
+    nodes, where given, go into the second join below for a further test, ``alike``.
 
     First every member meets its bucket's heaviest node only; that links most of a group
-    of near copies. Then, in buckets of three and more that hold several components,
-    members outside the heaviest node's component meet the other components' members:
-    exactly the pairs that could still join two components. Large buckets are salted into
+    of near copies. Then, in buckets of three and more, members outside the heaviest node's
+    component meet all members of other components but that node: exactly the pairs that
+    could still join two components. Large buckets are salted into
     blocks of ``salt`` members for this. So no link is lost, and pairs within a component
     cost nothing.
     """
+    # a node has many index entries: few nodes a task, so that its entries fit in memory
+    nodes = nodes.repartition(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     index = nodes.select("node", "weight", F.explode("keys").alias("key"))
-    heaviest = F.max(F.struct("weight", "node"))["node"]
-    stats = index.groupBy("key").agg(F.count("*").alias("n"), heaviest.alias("rep")).where("n > 1")
-    s = stats.select(F.col("key").alias("s_key"), "rep")
-    near = (index["key"] == s["s_key"]) & (index["node"] != s["rep"]) & close(index["node"], s["rep"])
-    star = index.join(s, near).select(F.col("node").alias("a"), F.col("rep").alias("b")).distinct()
+    stats = index.groupBy("key").agg(F.count("*").alias("n"), F.max_by("node", "weight").alias("rep")).where("n > 1")
+    stats = keep(stats.withColumnRenamed("key", "s_key"))
+    near = (index["key"] == stats["s_key"]) & (index["node"] != stats["rep"]) & close(index["node"], stats["rep"])
+    star = index.join(stats, near).select(F.col("node").alias("a"), F.col("rep").alias("b")).distinct()
     first = keep(components(verify(star)))
 
     # roots join the nodes, not their many index entries
-    index = rooted(nodes, first, "node", "root").select("node", "weight", "root", F.explode("keys").alias("key"))
-    top = F.max(F.struct("weight", "node", "root"))
-    mixed = index.groupBy("key").agg(F.count("*").alias("n"), top.alias("top"), F.min("root").alias("r1"), F.max("root").alias("r2"))
-    mixed = mixed.where("n > 2 and r1 <> r2").select(F.col("key").alias("m_key"), "n", "top.node", "top.root").toDF("m_key", "n", "rep", "rep_root")
-    large = keep(index.join(mixed, index["key"] == mixed["m_key"]).select("key", "node", "root", "rep", "rep_root", "n"))
-    block = F.ceil(F.col("n") / salt)
-    minor = large.where("root <> rep_root").select(
-        "key", F.col("node").alias("a"), F.col("root").alias("a_root"), F.explode(F.sequence(F.lit(0).cast("long"), block - 1)).alias("salt")
+    index = rooted(nodes, first, "node", "root").select("node", "root", *sketch, F.explode("keys").alias("key"))
+    large = rooted(stats.where("n > 2"), first, "rep", "rep_root").withColumn("blocks", F.ceil(F.col("n") / salt))
+    apart = (index["key"] == large["s_key"]) & (index["root"] != large["rep_root"])
+    minor = keep(index.join(large, apart).drop("s_key", "rep_root", "n"))
+    keys = minor.select(F.col("key").alias("m_key"), "blocks", "rep").distinct()
+    other = index.join(keys, (index["key"] == keys["m_key"]) & (index["node"] != keys["rep"])).select(
+        F.col("m_key").alias("o_key"),
+        F.col("node").alias("b"),
+        F.col("root").alias("b_root"),
+        F.pmod(F.xxhash64("node"), "blocks").alias("o_salt"),
+        *(F.col(c).alias(f"b_{c}") for c in sketch),
     )
-    other = large.where("node <> rep").select(
-        F.col("key").alias("o_key"), F.col("node").alias("b"), F.col("root").alias("b_root"), F.pmod(F.xxhash64("node"), block).alias("o_salt")
+    minor = minor.select(
+        "key",
+        F.col("node").alias("a"),
+        F.col("root").alias("a_root"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("salt"),
+        *(F.col(c).alias(f"a_{c}") for c in sketch),
     )
     meet = (
         (minor["key"] == other["o_key"])
         & (minor["salt"] == other["o_salt"])
         & (minor["a_root"] != other["b_root"])
         & close(minor["a"], other["b"])
+        & alike([minor[f"a_{c}"] for c in sketch], [other[f"b_{c}"] for c in sketch])
     )
     pairs = minor.join(other, meet).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     bridges = rooted(rooted(verify(pairs), first, "a", "ra"), first, "b", "rb")

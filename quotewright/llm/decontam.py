@@ -21,12 +21,11 @@ from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
 from quotewright.llm.arrow import WordCache, map_batches, narrow, parts
+from quotewright.llm.bitmap import bitmap, may_hold
 from quotewright.session import keep
 
 LEAST = 5
 COVERAGE = 0.5
-BITMAP_BITS = 1 << 23
-_PAGE = 1 << 13
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -148,21 +147,9 @@ def seeds(benchmark: DataFrame, id_col="item_id", text_col="text") -> DataFrame:
     return map_batches(items, run, schema)
 
 
-def bitmap(seed: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
-    """The seeds' bits, ``bits`` / 8 bytes whatever their number: pages of the bitmap are
-    made on the executors from the different set bits, and at most all pages are fetched."""
-    place = F.pmod("seed", F.lit(bits))
-    pages = seed.select(place.alias("p")).distinct().groupBy(F.floor(F.col("p") / _PAGE).alias("page"))
-    out = np.zeros(bits, bool)
-    for row in pages.agg(F.collect_list((F.col("p") % _PAGE).cast("short")).alias("at")).toLocalIterator():
-        out[row.page * _PAGE + np.array(row.at, np.int64)] = True
-    return np.packbits(out, bitorder="little")
-
-
 def suspects(docs: DataFrame, bits: np.ndarray) -> DataFrame:
     """doc_id, h, at, seed, tokens of the windows of documents that the bitmap has."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
-    total = np.uint64(len(bits) * 8)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, held = Tokens(), shared.value
@@ -171,8 +158,7 @@ def suspects(docs: DataFrame, bits: np.ndarray) -> DataFrame:
             for i, text in enumerate(batch.column("text")):
                 t = tokens.of(text.as_py())
                 w = windows(t)
-                p = (w % total).astype(np.int64)
-                hit = np.flatnonzero(held[p >> 3] >> (p & 7).astype(np.uint8) & 1)
+                hit = np.flatnonzero(may_hold(held, w))
                 rows += [i] * len(hit)
                 at.append(hit)
                 seed.append(w[hit])
@@ -234,7 +220,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     """
     items = keep(seeds(benchmark))
     seed = items.select("item_id", F.explode("seeds").alias("seed")).distinct()
-    found = suspects(keyed(docs, id_col, text_col), bitmap(seed))
+    found = suspects(keyed(docs, id_col, text_col), bitmap(seed, "seed"))
     hits = keep(found.join(seed.withColumnRenamed("seed", "s"), F.col("seed") == F.col("s")).drop("s", "seed"))
     groups = hits.groupBy("doc_id", "h", "item_id").agg(F.collect_set(F.struct("at", "tokens")).alias("hits"))
     item = items.select(F.col("item_id").alias("i"), F.col("tokens").alias("item"), F.size("tokens").cast("long").alias("n")).distinct()

@@ -52,7 +52,7 @@ def test_names_do_not_travel_through_the_windows(spark, sf):
     tables = bridge.MarketTables(spark, sf)
     plan = _plan(mk.price_returns(tables, bridge.MARKET), "simple")
     window = plan[plan.index("Window"):]
-    spans = [line for line in window.splitlines() if "Exchange hashpartitioning" in line and "_span" in line]
+    spans = [line for line in window.splitlines() if "Exchange hashpartitioning" in line and "_part" in line]
     assert spans and "ticker" not in window.split("Union")[0]
 
 

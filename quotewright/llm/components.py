@@ -81,19 +81,25 @@ def bucket_components(
     first = keep(components(verify(star)))
 
     # roots join the nodes, not their many index entries
-    index = rooted(nodes, first, "node", "root").select("node", "root", *sketch, F.explode("keys").alias("key"))
+    index = rooted(nodes, first, "node", "root").select("node", "root", F.explode("keys").alias("key"))
     large = rooted(stats.where("n > 2"), first, "rep", "rep_root").withColumn("blocks", F.ceil(F.col("n") / salt))
     apart = (index["key"] == large["s_key"]) & (index["root"] != large["rep_root"])
     minor = keep(index.join(large, apart).drop("s_key", "rep_root", "n"))
+    # sketches join the few members that are left, not the index
+    drawn = nodes.select(F.col("node").alias("d_node"), *sketch)
+
+    def sketched(df: DataFrame) -> DataFrame:
+        return df.join(drawn, df["node"] == drawn["d_node"]) if sketch else df
+
     keys = minor.select(F.col("key").alias("m_key"), "blocks", "rep").distinct()
-    other = index.join(keys, (index["key"] == keys["m_key"]) & (index["node"] != keys["rep"])).select(
+    other = sketched(index.join(keys, (index["key"] == keys["m_key"]) & (index["node"] != keys["rep"]))).select(
         F.col("m_key").alias("o_key"),
         F.col("node").alias("b"),
         F.col("root").alias("b_root"),
         F.pmod(F.xxhash64("node"), "blocks").alias("o_salt"),
         *(F.col(c).alias(f"b_{c}") for c in sketch),
     )
-    minor = minor.select(
+    minor = sketched(minor).select(
         "key",
         F.col("node").alias("a"),
         F.col("root").alias("a_root"),

@@ -10,9 +10,10 @@ all others go.
 
 Texts are scanned once. Copies of a line are one row with a count before any join, and
 groups of near copies are linked through their most frequent line first, so neither makes
-all pairs. Lines of different components in one bucket are compared only if 256 further
-bits of their MinHashes differ in 45 at most; at similarity 0.8 they differ in 26, with a
-standard deviation of 5.
+all pairs. Lines of different components in one bucket are compared exactly unless the
+parities of their shingles in 256 classes rule similarity 0.8 out: every parity that
+differs takes a shingle that only one of the two has, and of those there may be a ninth of
+their shingles at most. So no pair that the bands find is lost, however full its bucket.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ SHINGLE, BANDS, ROWS, SIMILARITY = 8, 12, 4, 0.8
 BINS = BANDS * ROWS
 _BAND_NAMES = [f"b{i}" for i in range(BANDS)]
 SKETCH_WORDS, SKETCH_LIMIT = 4, 45
-_SKETCH_NAMES = [f"s{i}" for i in range(SKETCH_WORDS)]
+_SKETCH_NAMES = ["places", *(f"s{i}" for i in range(SKETCH_WORDS))]
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _SKETCH_BINS = 64 * SKETCH_WORDS
@@ -96,8 +97,8 @@ def _minima(h: np.ndarray, line: np.ndarray, lines: int, bins: int) -> np.ndarra
 
 
 def signatures(lines: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """The bins of each line, shape (lines, BINS), and its sketch, one bit of each of
-    further bins, shape (lines, SKETCH_WORDS)."""
+    """The bins of each line, shape (lines, BINS), and one bit of each of further bins,
+    shape (lines, SKETCH_WORDS): an estimate of similarity that decides nothing here."""
     h, line = _hashes(lines, size)
     bins = _minima(h, line, len(lines), BINS)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -106,8 +107,28 @@ def signatures(lines: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.nd
     return bins, np.packbits(bits, axis=1).view(np.int64)
 
 
+def parities(h: np.ndarray, line: np.ndarray, lines: int) -> np.ndarray:
+    """The places of shingles of each line and, for each class of shingles (the upper bits
+    of their hashes), whether it has an odd number of different ones: shape
+    (lines, 1 + SKETCH_WORDS)."""
+    out = np.empty((lines, 1 + SKETCH_WORDS), np.int64)
+    out[:, 0] = np.bincount(line, minlength=lines)
+    for start in range(0, lines, 4096):
+        n = min(4096, lines - start)
+        own = slice(*np.searchsorted(line, (start, start + n)))
+        key = np.unique((line[own] - start).astype(np.uint64) << np.uint64(48) | h[own] >> np.uint64(16))
+        at = (key >> np.uint64(48)) * np.uint64(_SKETCH_BINS) + (key >> np.uint64(40)) % np.uint64(_SKETCH_BINS)
+        odd = np.bincount(at.astype(np.int64), minlength=n * _SKETCH_BINS).astype(np.uint8) & 1
+        out[start : start + n, 1:] = np.packbits(odd.reshape(n, _SKETCH_BINS), axis=1).view(np.int64)
+    return out
+
+
 def sketch_alike(a: list[Column], b: list[Column]) -> Column:
-    return reduce(add, (F.bit_count(x.bitwiseXOR(y)) for x, y in zip(a, b))) <= SKETCH_LIMIT
+    """Holds for all pairs that reach the similarity: at s, of x and y shingles at most
+    (1 - s) / (1 + s) * (x + y) are in one line only. In whole numbers, as it must hold at s."""
+    tenths = round(10 * SIMILARITY)
+    differing = reduce(add, (F.bit_count(x.bitwiseXOR(y)) for x, y in zip(a[1:], b[1:])))
+    return differing * (10 + tenths) <= (a[0] + b[0]) * (10 - tenths)
 
 
 def bands(signature: np.ndarray) -> np.ndarray:
@@ -126,8 +147,8 @@ def _line_hash(line: str) -> int:
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """doc_id, h, at, line, b0, ..., s0, ..., normal: every line with a word; the keys of
-    its bands, its sketch and its text only where it is first met in a batch."""
+    """doc_id, h, at, line, b0, ..., places, s0, ..., normal: every line with a word; the
+    keys of its bands, its parities and its text only where it is first met in a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches, "text", 64):
@@ -145,8 +166,9 @@ def occurrences(docs: DataFrame) -> DataFrame:
             if not rows:
                 continue
             texts = pa.array(list(met), pa.string())
-            bins, sketch = signatures(list(met))
-            columns = np.concatenate([bands(bins), sketch], axis=1)
+            h, of = _hashes(list(met), SHINGLE)
+            bins = _minima(h, of, len(met), BINS)
+            columns = np.concatenate([bands(bins), parities(h, of, len(met))], axis=1)
             # the rank of a new line among the new ones picks its keys; others pick none
             new_ = np.array(new)
             which = pa.array(np.where(new_, np.cumsum(new_) - 1, 0), mask=~new_)

@@ -4,8 +4,10 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quotewright.llm import linededup as L
+from quotewright.llm.components import bucket_components
 from tests.llm.test_components import roots_of
 
 
@@ -96,3 +98,24 @@ def test_signature_of_a_line_is_its_own():
         one, bits = L.signatures([x])
         assert (one[0] == bins[i]).all() and (bits[0] == sketch[i]).all()
     assert (bins != np.uint64(0xFFFFFFFFFFFFFFFF)).all()
+
+
+def test_no_short_link_is_lost_in_a_crowded_bucket(frame):
+    """Lines of 8 to 30 characters, all in one bucket whose heaviest line is like none."""
+    rng = random.Random(14)
+    lines = {"a heavy line that no other one is like"}
+    for _ in range(400):
+        a = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randrange(8, 31)))
+        # at 12 characters, one more or less is a similarity of exactly 0.8 or just above
+        lines |= {a, a + rng.choice("0123456789"), a[:12], a[:11], a[:16] + "#", a[:16]}
+    lines = sorted(lines)
+    sets = [L.shingles(x) for x in lines]
+    near = [(i, j) for i in range(len(lines)) for j in range(i) if L.similarity(sets[i], sets[j]) >= 0.8]
+    assert len(near) > 500
+    docs = frame([(i, x, "en", "s") for i, x in enumerate(lines)]).withColumn("h", F.xxhash64("text"))
+    seen = L.keep(L.occurrences(docs))
+    weight = F.when(F.col("normal").startswith("a heavy"), 9).otherwise(1)
+    nodes = seen.select(F.col("line").alias("node"), weight.alias("weight"), F.array(F.lit(0)).alias("keys"), *L._SKETCH_NAMES)
+    roots = bucket_components(nodes, lambda a, b: F.lit(True), L.verified(seen), salt=256, sketch=L._SKETCH_NAMES, alike=L.sketch_alike)
+    node = {r.normal: r.line for r in seen.select("normal", "line").collect()}
+    assert {r.node: r.root for r in roots.collect()} == roots_of([(node[lines[i]], node[lines[j]]) for i, j in near])

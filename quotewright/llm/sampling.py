@@ -4,18 +4,23 @@ from __future__ import annotations
 
 from itertools import chain
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _PARTS = 1 << 20
 
 
+def order_of(*keys: str) -> Column:
+    """The hash of the keys that decides which rows a sample has."""
+    return F.xxhash64(*(F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys))
+
+
 def per_class(df: DataFrame, label: str, most: int, *keys: str) -> tuple[DataFrame, dict]:
     """About ``most`` rows of each class (all rows of smaller ones), chosen by a hash of
     ``keys``, and the number of rows by class. One counting pass, no shuffle of texts;
     the driver sees one row a class. A column ``_order`` holds the hash."""
     counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
-    order = F.xxhash64(*(F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys))
+    order = order_of(*keys)
     df = df.withColumn("_order", order)
     if not counts:
         return df, counts

@@ -4,8 +4,9 @@ Words are embedded by two hashes (the word, and its first letters, so that infle
 forms share), filters of several widths slide over the whole text, each keeps its
 maximum, and a linear layer scores the maxima. Three fifths of the sample give the first
 coordinates of the embeddings (log-odds of the buckets), four fifths train everything by
-stochastic gradient descent, the last fifth calibrates: the scores to probabilities, and one
-threshold for each language. The language chooses a threshold; it never enters a score.
+stochastic gradient descent, the last fifth calibrates the scores to probabilities. One
+threshold for each language follows from counts of the scores of all labelled rows that did
+not train. The language chooses a threshold; it never enters a score.
 """
 
 from __future__ import annotations
@@ -22,9 +23,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotewright.llm.arrow import WordCache, map_batches, narrow, parts, with_columns
-from quotewright.llm.sampling import per_class
+from quotewright.llm.sampling import order_of, per_class
 
 THRESHOLD = 0.3
+GRID = np.round(np.arange(0.05, 0.951, 0.05), 2)
 _SLICE = 1 << 15
 
 
@@ -86,11 +88,15 @@ class ToxicityModel:
         return float(1 / (1 + np.exp(-np.clip(self.scale * self.logit(ids) + self.shift, -30, 30))))
 
 
-def sample_words(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int, words: dict, id_col="doc_id", text_col="text", lang_col="lang", label_col="toxic"):
-    """Words, label and language of about ``per_label`` labelled rows a class; NULL labels
-    teach nothing, and of several labels of one id the largest counts."""
+def _marked(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    """doc_id, label: NULL labels teach nothing, and of several of one id the largest counts."""
     marked = narrow(labels, doc_id=id_col, label=label_col).where("label is not null and doc_id is not null")
-    marked = marked.groupBy("doc_id").agg((F.max("label") > 0).cast("int").alias("label"))
+    return marked.groupBy("doc_id").agg((F.max("label") > 0).cast("int").alias("label"))
+
+
+def sample_words(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int, words: dict, id_col="doc_id", text_col="text", lang_col="lang", label_col="toxic"):
+    """Order, words, label and language of about ``per_label`` labelled rows a class."""
+    marked = _marked(labels, id_col, label_col)
     rows = narrow(docs.where(learn), doc_id=id_col, text=text_col, lang=lang_col)
     chosen, counts = per_class(marked.join(rows.select("doc_id"), "doc_id"), "label", per_label, "doc_id")
     chosen = chosen.select("doc_id", "label", "_order").distinct()  # ids only; texts join once, for the sample
@@ -120,12 +126,12 @@ def fit(
     rate: float = 0.05,
     **columns: str,
 ) -> ToxicityModel:
-    """Train on about ``per_label`` rows of each class (the bound of the sample). With no
+    """Train on about ``per_label`` rows of each class (the bound of the sample); the
+    thresholds come from all labelled rows (``score_counts``, ``thresholds``). With no
     labelled rows of one class the score is the same for all texts: 0 without any
     positive row, and 1 without any negative one."""
     data, counts = sample_words(docs, labels, learn, per_label, {"buckets": buckets, "stem": stem}, **columns)
     y = np.array(data.column("label").to_pylist(), np.int64)
-    langs = data.column("lang").to_pylist()
     ids = [np.asarray(x.values) for x in data.column("ids")]
     rng = np.random.default_rng(11)
     model = ToxicityModel(
@@ -149,13 +155,51 @@ def fit(
     # rows of a class stand for as many rows as the class has
     weight = np.array([counts.get(int(c), 1) / max(1, (y == c).sum()) for c in (0, 1)])[y[check]]
     model.scale, model.shift = _platt(logits, y[check], weight)
-    scores = 1 / (1 + np.exp(-np.clip(model.scale * logits + model.shift, -30, 30)))
-    for lang in sorted({x for x in langs if x is not None}):
-        own = np.array([langs[i] == lang for i in check])
-        model.thresholds[lang] = best_threshold(scores[own], y[check][own], weight[own])
+    order = data.column("_order").to_numpy()
+    model.thresholds = thresholds(score_counts(docs, labels, learn, model, order[part != 4], **columns))
     return model
 
 
+def score_counts(docs: DataFrame, labels: DataFrame, learn: Column, model: ToxicityModel, trained: np.ndarray, id_col="doc_id", text_col="text", lang_col="lang", label_col="toxic") -> list:
+    """Rows (lang, label, trained, step, n) over all labelled rows with a language: how many
+    scores reach so many steps of ``GRID``. ``trained``: hashes of the ids that trained.
+    Texts are scored where they lie; only ids and steps meet the labels."""
+    shared = docs.sparkSession.sparkContext.broadcast((model, np.unique(trained)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, known = shared.value
+        split = Words(len(m.word), m.prefix)
+        for batch in parts(batches, "text"):
+            found = np.array([m.score(split.of(t.as_py())) for t in batch.column("text")])
+            step = pa.array(np.searchsorted(GRID, found, side="right").astype(np.int32))
+            own = pa.array(np.isin(batch.column("_order").to_numpy(), known))
+            yield with_columns(batch, ["doc_id", "lang"], trained=own, step=step)
+
+    rows = narrow(docs.where(learn), doc_id=id_col, text=text_col, lang=lang_col)
+    rows = rows.where("doc_id is not null and lang is not null").withColumn("_order", order_of("doc_id"))
+    schema = T.StructType([rows.schema["doc_id"], *T._parse_datatype_string("lang string, trained boolean, step int")])
+    scored = map_batches(rows, run, schema)
+    joined = scored.join(_marked(labels, id_col, label_col), "doc_id")
+    return joined.groupBy("lang", "label", "trained", "step").agg(F.count("*").alias("n")).collect()
+
+
+def thresholds(counts: list) -> dict[str, float]:
+    """By language, from ``score_counts``: the rows that did not train, standing for all of
+    their class and language. Where all rows of a class trained, they have to serve."""
+    tables: dict[str, np.ndarray] = {}
+    for lang, label, trained, step, n in counts:
+        tables.setdefault(lang, np.zeros((2, 2, len(GRID) + 1)))[int(trained), label, step] += n
+    out = {}
+    y = np.repeat([0, 1], len(GRID) + 1)
+    scores = np.tile([0.0, *GRID], 2)
+    for lang in sorted(tables):
+        every, free = tables[lang].sum(axis=0), tables[lang][0]
+        rows = free.sum(axis=1, keepdims=True)
+        weight = np.where(rows > 0, free * every.sum(axis=1, keepdims=True) / np.maximum(rows, 1), every).ravel()
+        out[lang] = best_threshold(scores[weight > 0], y[weight > 0], weight[weight > 0])
+    return out
+
+
 def _log_odds(model: ToxicityModel, ids: list[np.ndarray], y: np.ndarray, least: int = 3) -> None:
     """First coordinates: half the log-odds of the buckets that at least ``least`` texts have."""
     for k, (table, part) in enumerate(((model.word, lambda a: a >> 32), (model.stem, lambda a: a & 0xFFFFFFFF))):
@@ -237,7 +281,7 @@ def best_threshold(scores: np.ndarray, y: np.ndarray, weight: np.ndarray, defaul
     if len(set(y.tolist())) < 2:
         return default
     best = (-1.0, 0.0, default)
-    for t in np.round(np.arange(0.05, 0.951, 0.05), 2):
+    for t in GRID:
         hit = scores >= t
         right = (weight * (hit & (y == 1))).sum()
         f1 = 2 * right / max(1e-12, (weight * hit).sum() + (weight * (y == 1)).sum())

@@ -137,3 +137,45 @@ def test_thresholds():
     assert toxicity.best_threshold(s, np.array([0, 0, 1, 1]), one) == 0.3
     assert toxicity.best_threshold(s, np.array([0, 1, 1, 1]), one) == 0.2
     assert toxicity.best_threshold(s, np.zeros(4, int), one) == toxicity.THRESHOLD
+
+
+def test_thresholds_cover_all_labelled_rows(spark, frame, toxic):
+    """A rare language has few rows in the sample; its threshold is the best on all of its
+    rows that did not train."""
+    rows, labels = toxic
+    rng = random.Random(4)
+    words = ["".join(rng.choices("tuvwxyz", k=5)) for _ in range(300)]
+    extra, marks = [], []
+    for i in range(5000, 5300):
+        y = int(i % 3 == 0)
+        # the rare language has mild words in half of its bad texts and a few good ones
+        text = rng.choices(words, k=30) + (["vilea"] if y and i % 2 else ["grim"] * int(rng.random() < 0.1))
+        extra.append((i, " ".join(text), "xx", "s"))
+        marks.append((i, y, ""))
+    docs = frame(rows + extra)
+    marked = spark.createDataFrame([*labels, *marks], "doc_id long, toxic int, text string")
+    learn = F.lit(True)
+    columns = {"per_label": 60, "buckets": 1 << 12}
+    model = toxicity.fit(docs, marked, learn, **columns)
+    data, _ = toxicity.sample_words(docs, marked, learn, 60, {"buckets": 1 << 12, "stem": 5})
+    order = data.column("_order").to_numpy()
+    counts = toxicity.score_counts(docs, marked, learn, model, order[np.arange(len(order)) % 5 != 4])
+    assert sum(r.n for r in counts) == len(rows) + len(extra)
+    assert sum(r.n for r in counts if r.trained) == (np.arange(len(order)) % 5 != 4).sum()
+    y = {i: t for i, t, _ in [*labels, *marks]}
+    scored = toxicity.score(docs, model).select("row.doc_id", "row.lang", "score", F.xxhash64(F.col("row.doc_id").cast("string")).alias("o")).collect()
+    trained = set(order[np.arange(len(order)) % 5 != 4].tolist())
+    for lang in ("en", "de", "xx"):
+        own = [r for r in scored if r.lang == lang]
+        free = [r for r in own if r.o not in trained]
+        total = [sum(y[r.doc_id] == c for r in own) for c in (0, 1)]
+        left = [sum(y[r.doc_id] == c for r in free) for c in (0, 1)]
+        assert min(left) > 20
+        label = np.array([y[r.doc_id] for r in free])
+        weight = np.array([total[c] / left[c] for c in label])
+        assert model.thresholds[lang] == toxicity.best_threshold(np.array([r.score for r in free]), label, weight)
+
+
+def test_threshold_where_all_rows_of_a_class_trained():
+    counts = [("a", 0, False, 4, 50), ("a", 1, True, 12, 3), ("b", 0, False, 2, 9), ("c", 0, False, 1, 80), ("c", 0, False, 9, 20), ("c", 1, False, 12, 5)]
+    assert toxicity.thresholds(counts) == {"a": 0.3, "b": 0.3, "c": 0.5}

@@ -215,17 +215,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     pairs whose coverage reaches the threshold.
 
     Rows of equal id and text are one document. NULL and empty texts match nothing; nor
-    do items of fewer than five tokens; rows with a NULL id are told apart by their text.
+    do items of fewer than five tokens. Items of one id, or with a NULL id, are told apart by
+    their tokens, documents by their text.
     An empty benchmark gives no rows.
     """
-    items = keep(seeds(benchmark))
-    seed = items.select("item_id", F.explode("seeds").alias("seed")).distinct()
+    # an id can be NULL or repeat: the tokens' hash tells its rows apart
+    items = keep(seeds(benchmark).withColumn("passage", F.xxhash64("tokens")))
+    seed = items.select("item_id", "passage", F.explode("seeds").alias("seed")).distinct()
     found = suspects(keyed(docs, id_col, text_col), bitmap(seed, "seed"))
     hits = keep(found.join(seed.withColumnRenamed("seed", "s"), F.col("seed") == F.col("s")).drop("s", "seed"))
-    groups = hits.groupBy("doc_id", "h", "item_id").agg(F.collect_set(F.struct("at", "tokens")).alias("hits"))
-    item = items.select(F.col("item_id").alias("i"), F.col("tokens").alias("item"), F.size("tokens").cast("long").alias("n")).distinct()
+    groups = hits.groupBy("doc_id", "h", "item_id", "passage").agg(F.collect_set(F.struct("at", "tokens")).alias("hits"))
+    item = items.select(F.col("item_id").alias("i"), F.col("passage").alias("p"), F.col("tokens").alias("item"), F.size("tokens").cast("long").alias("n")).distinct()
+    same = groups["item_id"].eqNullSafe(item["i"]) & (groups["passage"] == item["p"])
     # no more tokens can be covered than the windows hold: most chance pairs end here
-    pairs = groups.join(item, groups["item_id"] == item["i"]).where(F.size("hits") * LEAST >= coverage * F.col("n")).drop("i")
+    pairs = groups.join(item, same).where(F.size("hits") * LEAST >= coverage * F.col("n")).drop("i", "p")
     head = [pairs.schema[c] for c in ("doc_id", "h", "item_id", "n")]
     schema = T.StructType([*head, T.StructField("covered", T.LongType()), T.StructField("tiles", T.LongType())])
     done = map_batches(pairs.select("doc_id", "h", "item_id", "n", "item", "hits"), _tiled, schema)

@@ -94,3 +94,15 @@ def test_bitmap_holds_exactly_the_seeds(spark):
     bits = np.unpackbits(D.bitmap(seeds, "seed", 1 << 16), bitorder="little")
     expected = {((i - 1000) * 104729) % (1 << 16) for i in range(0, 5000, 7)}
     assert set(np.flatnonzero(bits).tolist()) == expected
+
+
+def test_items_without_an_id(spark, frame):
+    """Passages with a NULL id, and two of one id, are each found on their own."""
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghijkl", k=5)) for _ in range(400)]
+    items = [" ".join(rng.sample(words, 20)) for _ in range(4)]
+    bench = spark.createDataFrame([(None, items[0]), (None, items[1]), (7, items[2]), (7, items[3]), (None, None)], "item_id long, text string")
+    docs = frame([(i, f"start {t} end", "en", "s") for i, t in enumerate([*items, "no item in this text"])] + [(None, items[0], "en", "s")])
+    got = sorted(((r.doc_id, r.item_id, r.covered, r.coverage) for r in D.contaminated(docs, bench).collect()), key=str)
+    assert got == sorted([(0, None, 20, 1.0), (1, None, 20, 1.0), (2, 7, 20, 1.0), (3, 7, 20, 1.0), (None, None, 20, 1.0)], key=str)
+    assert [r.doc_id for r in D.decontaminate(docs, bench).collect()] == [4]

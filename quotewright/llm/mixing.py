@@ -21,7 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quotewright.llm.arrow import narrow
-from quotewright.llm.words import word_array, word_count
+from quotewright.llm.words import first_words, word_count
 from quotewright.session import keep
 
 WEIGHTS = (3, 1, 2)
@@ -207,13 +207,13 @@ def mix_counts(docs: DataFrame, shards: int = 16, seed: int = 17, **columns: str
 def mix(docs: DataFrame, shards: int = 16, seed: int = 17, id_col="doc_id", text_col="text", source_col="source") -> DataFrame:
     """The mix itself: the columns of ``docs``, once for each time a document is taken,
     with mix_shard, mix_place (its order within the shard), mix_pass and mix_words. A
-    document cut by the end of its source's target keeps its first words, one blank
-    apart; others are whole. Rows of one shard are together and in order."""
+    document cut by the end of its source's target keeps its text up to the last word
+    taken; others are whole. Rows of one shard are together and in order."""
     whole = keep(docs.select(F.struct("*").alias("doc"), *(F.col(f"`{c}`").alias(n) for n, c in (("id", id_col), ("text", text_col), ("source", source_col)))))
     rows = whole.select("doc", "source", word_count(F.col("text")).alias("size"), F.xxhash64(F.col("id").cast("string"), "text").alias("key"))
     taken = plan(rows, shards, seed).select("doc", "size", "order", F.explode("takes").alias("t"))
     place = F.xxhash64(F.lit(seed), F.lit("place"), "order", "t.pass")
-    cut = F.array_join(F.slice(word_array(F.col(f"doc.`{text_col}`")), F.lit(1), F.col("t.words").cast("int")), " ")
+    cut = first_words(F.col(f"doc.`{text_col}`"), F.col("t.words").cast("int"))
     text = F.when(F.col("t.words") < F.col("size"), cut).otherwise(F.col(f"doc.`{text_col}`"))
     fields = [f.name for f in docs.schema]
     out = taken.select(

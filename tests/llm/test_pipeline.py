@@ -78,3 +78,18 @@ def test_stages_of_an_empty_table(spark, folder):
     for _, stage in P.STAGES:
         docs = P.keep(stage(spark, docs, path))
         assert docs.count() == 0
+
+
+def test_mixed_texts_are_verbatim_and_counted(spark, folder):
+    """A document cut at its source's target keeps its line breaks, and n_chars is its own."""
+    path, rows, _ = folder
+    texts = {(i, t) for i, t, _, _ in rows}
+    given = {}
+    for i, t in texts:
+        given.setdefault(i, []).append(t or "")
+    cut = 0
+    for r in P.mix_sources(spark, spark.read.parquet(f"{path}/documents.parquet"), path).collect():
+        assert r.n_chars == len(r.text)
+        assert any(t.startswith(r.text) for t in given[r.doc_id])
+        cut += (r.doc_id, r.text) not in texts
+    assert cut

@@ -1,4 +1,4 @@
-"""The ten operators as registered queries over the given tables."""
+"""The operators as registered queries over the given tables."""
 
 from __future__ import annotations
 
@@ -108,3 +108,10 @@ def op9_personal_data(spark, sf):
     from quotewright.llm.pii import personal_data
 
     return personal_data(table(spark, sf, "documents"))[0]
+
+
+@query
+def op12_sentencepiece(spark, sf):
+    from quotewright.llm.pieces import piece_digests
+
+    return piece_digests(table(spark, sf, "documents"), tokenizer_path("piece_bpe_32k.model"))

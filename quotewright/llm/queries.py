@@ -115,3 +115,10 @@ def op12_sentencepiece(spark, sf):
     from quotewright.llm.pieces import piece_digests
 
     return piece_digests(table(spark, sf, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+@query
+def op13_whiten(spark, sf):
+    from quotewright.llm.whitening import whiten
+
+    return whiten(table(spark, sf, "embeddings"))

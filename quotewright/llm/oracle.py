@@ -105,3 +105,44 @@ SELECT page_id, host, path, rule,
        bin AS score_bin
 FROM r JOIN scored USING (url)
 """
+
+# DuckDB has no CRC-32: its table of 256 remainders, then a byte at a time
+SQL["op11_prefix_trie"] = """
+WITH crc AS (
+  SELECT list(v ORDER BY i) AS tab FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                          lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM (SELECT unnest(range(256)) AS i))
+), t AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, m) AS k, m, b
+  FROM (
+    SELECT conv_id, turn, octet_length(encode(coalesce(text, ''))) AS b,
+           md5(CAST(length(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, '')) AS m
+    FROM conversations WHERE conv_id IS NOT NULL)
+), convs AS (
+  SELECT c, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+                            lambda a, x: xor(a >> 8, list_extract(tab, CAST(xor(a, x) & 255 AS INTEGER) + 1))), 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT c FROM t), crc
+), turns AS (
+  SELECT convs.c, t.k AS k, m, b FROM convs JOIN t ON t.c = convs.c - convs.c % 5 WHERE t.k <= h
+  UNION ALL SELECT convs.c, 8 + t.k, m, b FROM convs JOIN t ON t.c = convs.c WHERE t.k > h
+), paths AS (
+  SELECT c, row_number() OVER w AS depth, string_agg(m, '') OVER w AS path, b FROM turns WINDOW w AS (PARTITION BY c ORDER BY k)
+  UNION ALL SELECT c, 0, '', 0 FROM convs
+), node AS (
+  SELECT depth, path, left(path, 32 * (depth - 1)) AS up, min(c) AS conv_id, count(*) AS n_convs, min(b) AS b FROM paths GROUP BY depth, path
+), kids AS (SELECT up, count(*) AS n FROM node WHERE depth > 0 GROUP BY up),
+own AS (
+  SELECT node.*, coalesce(kids.n, 0) AS n_children, (n_convs - 1) * b AS saved, CASE WHEN kids.n IS NULL THEN 1 ELSE 0 END AS leaf
+  FROM node LEFT JOIN kids ON kids.up = node.path
+), sums AS (
+  SELECT left(path, 32 * j) AS top, CAST(sum(saved) AS BIGINT) AS saved_tokens, CAST(sum(leaf) AS BIGINT) AS n_leaves
+  FROM (SELECT path, saved, leaf, unnest(range(0, depth + 1)) AS j FROM own) GROUP BY top
+), tip AS (SELECT c, max_by(path, depth) AS path FROM paths GROUP BY c),
+ends AS (SELECT path, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS digest FROM tip GROUP BY path)
+SELECT own.conv_id, own.depth, p.conv_id AS parent_conv_id, own.n_convs, own.n_children, n_leaves, saved_tokens,
+       coalesce(digest, sha256('')) AS ends_sha256
+FROM own JOIN sums ON sums.top = own.path
+LEFT JOIN node p ON own.depth > 0 AND p.path = own.up AND p.depth = own.depth - 1
+LEFT JOIN ends ON ends.path = own.path
+"""

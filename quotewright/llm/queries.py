@@ -122,3 +122,10 @@ def op13_whiten(spark, sf):
     from quotewright.llm.whitening import whiten
 
     return whiten(table(spark, sf, "embeddings"))
+
+
+@query
+def op11_prefix_trie(spark, sf):
+    from quotewright.llm.trie import conversation_trie
+
+    return conversation_trie(table(spark, sf, "conversations"))

@@ -6,7 +6,9 @@ import os
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,11 +37,19 @@ def map_batches(df: DataFrame, run: Callable, schema) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def parts(batches: Iterable[pa.RecordBatch], column: str, rows: int = 256) -> Iterator[pa.RecordBatch]:
-    """Batches cut to ``rows`` rows: only so many texts are Python strings at once."""
+def parts(batches: Iterable[pa.RecordBatch], column: str, rows: int = 256, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches cut to ``rows`` rows and, where ``column`` is text, to ``size`` bytes of it
+    (a longer text is a batch of its own): only so much is Python strings at once."""
     for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
+        values = batch.column(column)
+        text = pa.types.is_string(values.type) or pa.types.is_binary(values.type)
+        ends = np.cumsum(pc.fill_null(pc.binary_length(values), 0).to_numpy()) if text else np.zeros(batch.num_rows)
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = min(start + rows, max(start + 1, int(np.searchsorted(ends, before + size, "right"))))
+            yield batch.slice(start, min(stop, batch.num_rows) - start)
+            start = stop
 
 
 def with_columns(batch: pa.RecordBatch, keep: list[str], **new: pa.Array) -> pa.RecordBatch:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotewright.session import keep
@@ -120,3 +120,81 @@ def bucket_components(
     # nodes that only the second round linked
     new = second.join(first, "node", "left_anti")
     return keep(joined.unionAll(new.select("node", "root")))
+
+
+def sized(df: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """``df`` (written, a few numbers a row) marked for broadcast if it has ``most`` rows or
+    fewer; a larger one is joined by a shuffle."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
+def carried_components(
+    indexes: Iterable[DataFrame],
+    prepare: Callable[[DataFrame], tuple[Callable[[DataFrame], DataFrame], DataFrame]],
+    alike: Callable[[list[Column], list[Column]], Column],
+    spark: SparkSession,
+    salt: int = 4096,
+) -> DataFrame:
+    """node, root over all verified pairs that share a key in some index (node, weight, key),
+    as ``bucket_components`` finds them, one index after the other: what one has joined costs
+    the next nothing, and only one index is shuffled at a time.
+
+    ``prepare`` gets the nodes of buckets that still hold several components and returns
+    the verification of pairs (a, b, ...) and a table (node, sketch columns) for ``alike``.
+    """
+    roots = spark.createDataFrame([], "node bigint, root bigint")
+    for index in indexes:
+        roots = _with_links(roots, index, prepare, alike, salt)
+    return roots
+
+
+def _mapped(df: DataFrame, column: str, new: DataFrame) -> DataFrame:
+    """``column``, a root, replaced by the root that ``new`` (node, root) gives it."""
+    n = new.select(F.col("node").alias("_old"), F.col("root").alias("_new"))
+    return df.join(n, df[column] == n["_old"], "left").withColumn(column, F.coalesce("_new", column)).drop("_old", "_new")
+
+
+def _with_links(roots, index, prepare, alike, salt) -> DataFrame:
+    several = index.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
+    several = sized(keep(several.select(F.col("key").alias("s_key"))))
+    members = index.join(several, index["key"] == several["s_key"]).drop("s_key")
+    members = keep(rooted(members, roots, "node", "root"))
+    rep = F.max_by(F.struct("node", "root"), F.struct("weight", "node")).alias("rep")
+    ends = (F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+    open_ = members.groupBy("key").agg(rep, *ends).where("low <> high")
+    open_ = open_.select(F.col("key").alias("o_key"), F.col("rep.node").alias("rep"), F.col("rep.root").alias("rep_root"), "n")
+    live = keep(members.join(open_, members["key"] == open_["o_key"]).drop("o_key", "weight"))
+    if live.isEmpty():
+        return roots
+    verify, sketches = prepare(live.select("node").distinct())
+    star = live.where("root <> rep_root").select(
+        F.col("node").alias("a"), F.col("rep").alias("b"), F.col("root").alias("ra"), F.col("rep_root").alias("rb")
+    )
+    joined = keep(components(verify(star.distinct()).select(F.col("ra").alias("a"), F.col("rb").alias("b"))))
+
+    left = keep(_mapped(_mapped(live.where("n > 2"), "root", joined), "rep_root", joined).where("node <> rep"))
+    minor = left.where("root <> rep_root")
+    if not minor.isEmpty():
+        names = [c for c in sketches.columns if c != "node"]
+        drawn = sketches.withColumnRenamed("node", "d_node")
+        left = left.join(drawn, left["node"] == drawn["d_node"]).drop("d_node").withColumn("blocks", F.ceil(F.col("n") / salt))
+        left = keep(left)
+        keys = minor.select("key").distinct()
+        other = left.join(keys, "key", "left_semi").select(
+            F.col("key").alias("o_key"), F.col("node").alias("b"), F.col("root").alias("rb"),
+            F.pmod(F.xxhash64("node"), "blocks").alias("o_salt"), *(F.col(c).alias(f"b_{c}") for c in names),
+        )
+        minor = left.where("root <> rep_root").select(
+            "key", F.col("node").alias("a"), F.col("root").alias("ra"),
+            F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("salt"), *(F.col(c).alias(f"a_{c}") for c in names),
+        )
+        meet = (minor["key"] == other["o_key"]) & (minor["salt"] == other["o_salt"]) & (minor["ra"] != other["rb"])
+        meet = meet & alike([minor[f"a_{c}"] for c in names], [other[f"b_{c}"] for c in names])
+        ordered = F.when(F.col("a") < F.col("b"), F.struct("a", "b", "ra", "rb")).otherwise(
+            F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("rb").alias("ra"), F.col("ra").alias("rb"))
+        )
+        pairs = minor.join(other, meet).select(ordered.alias("p")).select("p.*").distinct()
+        second = keep(components(verify(pairs).select(F.col("ra").alias("a"), F.col("rb").alias("b"))))
+        joined = _mapped(joined, "root", second).unionAll(second.join(joined.select("node"), "node", "left_anti"))
+    before = _mapped(roots, "root", joined)
+    return keep(before.unionAll(joined.join(roots.select("node"), "node", "left_anti").select("node", "root")))

@@ -8,9 +8,11 @@ twelve bands are candidates: a pair of similarity 0.8 is missed once in 500 time
 linked lines. Of each component the first occurrence stays (by document id, then place);
 all others go.
 
-Texts are scanned once. Copies of a line are one row with a count before any join, and
-groups of near copies are linked through their most frequent line first, so neither makes
-all pairs. Lines of different components in one bucket are compared exactly unless the
+Texts are scanned once. Copies of a line are one row with a count before any join. The
+bands follow one another, with the components found so far carried on: each shuffles its
+own index only, and lines that are joined meet no more. Within a bucket, groups of near
+copies are linked through their most frequent line first, so they do not make all pairs.
+Lines of different components in one bucket are compared exactly unless the
 parities of their shingles in 256 classes rule similarity 0.8 out: every parity that
 differs takes a shingle that only one of the two has, and of those there may be a ninth of
 their shingles at most. So no pair that the bands find is lost, however full its bucket.
@@ -29,19 +31,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from quotewright.llm.arrow import map_batches, narrow, parts
-from quotewright.llm.components import bucket_components
+from quotewright.llm.arrow import map_batches, narrow, parts, with_columns
+from quotewright.llm.components import carried_components, sized
 from quotewright.session import keep
 
 SHINGLE, BANDS, ROWS, SIMILARITY = 8, 12, 4, 0.8
 BINS = BANDS * ROWS
+# bands whose index is shuffled at once: the first ones alone, as they join most lines
+ROUNDS = ((0,), (1,), (2, 3), (4, 5, 6, 7), (8, 9, 10, 11))
+SKETCH_WORDS = 4
 _BAND_NAMES = [f"b{i}" for i in range(BANDS)]
-SKETCH_WORDS, SKETCH_LIMIT = 4, 45
 _SKETCH_NAMES = ["places", *(f"s{i}" for i in range(SKETCH_WORDS))]
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _SKETCH_BINS = 64 * SKETCH_WORDS
-_DONORS = {n: np.random.default_rng(23).integers(0, n, (4096, n)) for n in (BINS, _SKETCH_BINS)}
+_DONORS = np.random.default_rng(23).integers(0, BINS, (4096, BINS))
+_AT_ONCE = 1 << 20
+# what str.split parts words at
+_SPACE = r"\x09-\x0D\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 
 
 def normal(line: str) -> str:
@@ -77,16 +84,35 @@ def _hashes(lines: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
     return h, line
 
 
-def _minima(h: np.ndarray, line: np.ndarray, lines: int, bins: int) -> np.ndarray:
-    """The least hash in each bin, shape (lines, bins). An empty bin takes the value of
-    the first filled bin in its own random order."""
-    at = ((h >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
-    out = np.full(lines * bins, _EMPTY, np.uint64)
-    np.minimum.at(out, line * bins + at, h & np.uint64(0xFFFFFFFF))
-    out = out.reshape(lines, bins)
+def _pieces(lines: list[str], size: int) -> Iterator[tuple[list[str], list[int]]]:
+    """The lines in groups of a bounded number of characters, longer ones in pieces that
+    overlap so that no shingle is lost; and the number of each piece's line."""
+    group, owners, held = [], [], 0
+    for i, line in enumerate(lines):
+        for start in range(0, max(1, len(line) - size + 1), _AT_ONCE):
+            piece = line[start : start + _AT_ONCE + size - 1]
+            group.append(piece)
+            owners.append(i)
+            held += len(piece)
+            if held >= _AT_ONCE:
+                yield group, owners
+                group, owners, held = [], [], 0
+    if group:
+        yield group, owners
+
+
+def signatures(lines: list[str], size: int = SHINGLE) -> np.ndarray:
+    """The least hash in each bin, shape (lines, BINS). An empty bin takes the value of the
+    first filled bin in its own random order."""
+    out = np.full(len(lines) * BINS, _EMPTY, np.uint64)
+    for pieces, owners in _pieces(lines, size):
+        h, piece = _hashes(pieces, size)
+        at = ((h >> np.uint64(32)) * np.uint64(BINS) >> np.uint64(32)).astype(np.int64)
+        np.minimum.at(out, np.array(owners)[piece] * BINS + at, h & np.uint64(0xFFFFFFFF))
+    out = out.reshape(len(lines), BINS)
     row, col = np.nonzero(out == _EMPTY)
     first = out.copy()
-    for donors in _DONORS[bins]:
+    for donors in _DONORS:
         if not len(row):
             break
         value = first[row, donors[col]]
@@ -96,31 +122,12 @@ def _minima(h: np.ndarray, line: np.ndarray, lines: int, bins: int) -> np.ndarra
     return out
 
 
-def signatures(lines: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """The bins of each line, shape (lines, BINS), and one bit of each of further bins,
-    shape (lines, SKETCH_WORDS): an estimate of similarity that decides nothing here."""
-    h, line = _hashes(lines, size)
-    bins = _minima(h, line, len(lines), BINS)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    low = _minima(h, line, len(lines), _SKETCH_BINS)
-    bits = ((low * _ODD) >> np.uint64(63)).astype(np.uint8)
-    return bins, np.packbits(bits, axis=1).view(np.int64)
-
-
-def parities(h: np.ndarray, line: np.ndarray, lines: int) -> np.ndarray:
-    """The places of shingles of each line and, for each class of shingles (the upper bits
-    of their hashes), whether it has an odd number of different ones: shape
-    (lines, 1 + SKETCH_WORDS)."""
-    out = np.empty((lines, 1 + SKETCH_WORDS), np.int64)
-    out[:, 0] = np.bincount(line, minlength=lines)
-    for start in range(0, lines, 4096):
-        n = min(4096, lines - start)
-        own = slice(*np.searchsorted(line, (start, start + n)))
-        key = np.unique((line[own] - start).astype(np.uint64) << np.uint64(48) | h[own] >> np.uint64(16))
-        at = (key >> np.uint64(48)) * np.uint64(_SKETCH_BINS) + (key >> np.uint64(40)) % np.uint64(_SKETCH_BINS)
-        odd = np.bincount(at.astype(np.int64), minlength=n * _SKETCH_BINS).astype(np.uint8) & 1
-        out[start : start + n, 1:] = np.packbits(odd.reshape(n, _SKETCH_BINS), axis=1).view(np.int64)
-    return out
+def parities(line: str, size: int = SHINGLE) -> list[int]:
+    """The number of a line's different shingles and, for each class of them (by their
+    hashes), whether it has an odd number: 1 + SKETCH_WORDS longs."""
+    h = np.unique(_hashes([line], size)[0])
+    odd = np.bincount((h >> np.uint64(40)).astype(np.int64) % _SKETCH_BINS, minlength=_SKETCH_BINS) & 1
+    return [len(h), *np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()]
 
 
 def sketch_alike(a: list[Column], b: list[Column]) -> Column:
@@ -147,8 +154,8 @@ def _line_hash(line: str) -> int:
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """doc_id, h, at, line, b0, ..., places, s0, ..., normal: every line with a word; the
-    keys of its bands, its parities and its text only where it is first met in a batch."""
+    """doc_id, h, at, line, b0, ..., normal: every line with a word; the keys of its bands and
+    its text only where it is first met in a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches, "text", 64):
@@ -166,9 +173,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
             if not rows:
                 continue
             texts = pa.array(list(met), pa.string())
-            h, of = _hashes(list(met), SHINGLE)
-            bins = _minima(h, of, len(met), BINS)
-            columns = np.concatenate([bands(bins), parities(h, of, len(met))], axis=1)
+            columns = bands(signatures(list(met)))
             # the rank of a new line among the new ones picks its keys; others pick none
             new_ = np.array(new)
             which = pa.array(np.where(new_, np.cumsum(new_) - 1, 0), mask=~new_)
@@ -182,19 +187,26 @@ def occurrences(docs: DataFrame) -> DataFrame:
                     *(pa.array(columns[:, b]).take(which) for b in range(columns.shape[1])),
                     texts.take(which),
                 ],
-                names=["doc_id", "h", "at", "line", *_BAND_NAMES, *_SKETCH_NAMES, "normal"],
+                names=["doc_id", "h", "at", "line", *_BAND_NAMES, "normal"],
             )
 
-    longs = ", ".join(f"{b} bigint" for b in (*_BAND_NAMES, *_SKETCH_NAMES))
-    fields = f"h bigint, at int, line bigint, {longs}, normal string"
-    schema = T.StructType([docs.schema["doc_id"], *T._parse_datatype_string(fields)])
+    longs = ", ".join(f"{b} bigint" for b in _BAND_NAMES)
+    schema = T.StructType([docs.schema["doc_id"], *T.StructType.fromDDL(f"h bigint, at int, line bigint, {longs}, normal string")])
     return map_batches(docs.select("doc_id", "h", "text"), run, schema)
 
 
+def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in parts(batches, "normal"):
+        columns = list(zip(*(parities(t.as_py()) for t in batch.column("normal")))) or [[]] * len(_SKETCH_NAMES)
+        sketch = {c: pa.array(v, pa.int64()) for c, v in zip(_SKETCH_NAMES, columns)}
+        yield with_columns(batch, ["line", "normal"], **sketch)
+
+
 def line_texts(seen: DataFrame, wanted: DataFrame) -> DataFrame:
-    """line, normal (its text) of the wanted lines (column line)."""
+    """line, normal (its text) and its parities, of the wanted lines (column line)."""
     texts = seen.where("normal is not null").select("line", "normal")
-    return texts.join(wanted, "line", "left_semi").groupBy("line").agg(F.any_value("normal").alias("normal"))
+    texts = texts.join(sized(keep(wanted)), "line", "left_semi").groupBy("line").agg(F.any_value("normal").alias("normal"))
+    return map_batches(texts, _sketched, "line bigint, normal string, " + ", ".join(f"{c} bigint" for c in _SKETCH_NAMES))
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,31 +220,36 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if t not in known:
                     known[t] = shingles(t)
             linked.append(similarity(known[x], known[y]) >= SIMILARITY)
-        yield batch.select(["a", "b"]).filter(pa.array(linked))
+        yield batch.select(["a", "b", "ra", "rb"]).filter(pa.array(linked, pa.bool_()))
 
 
-def verified(seen: DataFrame):
-    """Keeps the pairs (a, b) of lines whose exact similarity reaches the threshold."""
+def prepared(seen: DataFrame):
+    """For ``carried_components``: fetches the texts of the lines that may still be joined,
+    once for an index, and keeps the pairs (a, b, ra, rb) whose exact similarity reaches
+    the threshold."""
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        pairs = keep(pairs)
-        wanted = pairs.select(F.col("a").alias("line")).unionAll(pairs.select("b")).distinct()
-        texts = keep(line_texts(seen, wanted))
+    def prepare(live: DataFrame):
+        texts = keep(line_texts(seen, live.select(F.col("node").alias("line"))))
         x = texts.select(F.col("line").alias("_x"), F.col("normal").alias("x"))
         y = texts.select(F.col("line").alias("_y"), F.col("normal").alias("y"))
-        both = pairs.join(x, pairs["a"] == x["_x"]).join(y, pairs["b"] == y["_y"])
-        return map_batches(both.select("a", "b", "x", "y"), _similar, "a bigint, b bigint")
 
-    return verify
+        def verify(pairs: DataFrame) -> DataFrame:
+            both = pairs.join(x, pairs["a"] == x["_x"]).join(y, pairs["b"] == y["_y"])
+            return map_batches(both.select("a", "b", "ra", "rb", "x", "y"), _similar, "a bigint, b bigint, ra bigint, rb bigint")
+
+        return verify, texts.select(F.col("line").alias("node"), *_SKETCH_NAMES)
+
+    return prepare
 
 
 def duplicate_lines(docs: DataFrame) -> DataFrame:
     """doc_id, h, gone: for each document (id and hash of its text) the places (from 0,
     between line feeds) of the lines that repeat or resemble an earlier one."""
     seen = keep(occurrences(docs))
-    lines = keep(seen.groupBy("line").agg(F.count("*").alias("weight"), *(F.max(b).alias(b) for b in (*_BAND_NAMES, *_SKETCH_NAMES))))
-    nodes = lines.select(F.col("line").alias("node"), "weight", F.array(*_BAND_NAMES).alias("keys"), *_SKETCH_NAMES)
-    roots = bucket_components(nodes, lambda a, b: F.lit(True), verified(seen), sketch=_SKETCH_NAMES, alike=sketch_alike)
+    lines = keep(seen.groupBy("line").agg(F.count("*").alias("weight"), *(F.max(b).alias(b) for b in _BAND_NAMES)))
+    index = lambda names: lines.select(F.col("line").alias("node"), "weight", F.explode(F.array(*names)).alias("key"))
+    indexes = (index([_BAND_NAMES[b] for b in numbers]) for numbers in ROUNDS)
+    roots = carried_components(indexes, prepared(seen), sketch_alike, docs.sparkSession)
     # only lines that repeat, or that others resemble, can go
     linked = F.col("_node").isNotNull()
     r = roots.select(F.col("node").alias("_node"), "root")
@@ -262,7 +279,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     cut = joined.withColumn("_lines", F.split(own, "\n"))
     stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "gone")
     left = F.array_join(F.transform(stay, lambda i: F.get(F.col("_lines"), i)), "\n")
-    counted = F.size(F.filter("_lines", lambda x: x.rlike(r"\S")))
+    counted = F.size(F.filter("_lines", lambda x: x.rlike(f"[^{_SPACE}]")))
     return cut.select(
         "row",
         F.when(F.col("gone").isNull(), own).otherwise(left).alias("clean"),

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from quotewright.llm.components import bucket_components, components
+from quotewright.llm.components import bucket_components, carried_components, components
 
 
 def roots_of(edges):
@@ -48,3 +48,24 @@ def test_bucket_components_lose_no_link(spark):
     df = spark.createDataFrame(index, "node long, weight long, keys array<long>")
     got = bucket_components(df, lambda a, b: F.abs(a - b) <= 2, salt=16)
     assert {r.node: r.root for r in got.collect()} == roots_of(edges)
+
+
+def test_carried_components_lose_no_link(spark):
+    """Three indexes one after the other; nodes link when their values differ by at most 2."""
+    rng = random.Random(12)
+    nodes = rng.sample(range(3000), 260)
+    rows = [(n, rng.randrange(1, 4), k, n // 40 if k else n % 2) for n in nodes for k in range(3)]
+    edges = {(a, b) for a, _, i, j in rows for b, _, k, m in rows if (i, j) == (k, m) and a < b and b - a <= 2}
+    df = spark.createDataFrame(rows, "node long, weight long, i int, key long")
+    calls = []
+
+    def prepare(live):
+        calls.append(live.count())
+        return lambda pairs: pairs.where("abs(a - b) <= 2"), live.withColumn("x", F.col("node"))
+
+    indexes = (df.where(F.col("i") == k).select("node", "weight", "key") for k in range(3))
+    got = carried_components(indexes, prepare, lambda a, b: F.abs(a[0] - b[0]) <= 2, spark, salt=16)
+    assert {r.node: r.root for r in got.collect()} == roots_of(edges)
+    assert len(calls) == 3
+    nothing = carried_components([df.where("i = 5").select("node", "weight", "key")], prepare, lambda a, b: F.lit(True), spark)
+    assert nothing.count() == 0 and len(calls) == 3

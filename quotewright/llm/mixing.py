@@ -2,16 +2,18 @@
 
 Each source has a target in words. Its documents, in an order permuted by a hash, are
 dealt to about sqrt(n) blocks; a pass over the source is its blocks one after the other,
-and the source's quota is the exact number of blocks that reach the target, the last of
-them cut. A binary tree splits the quotas among the output shards: at each node the
-blocks of the left half are drawn without replacement from those of all sources, one
-hypergeometric draw after the other, so every shard has its exact share of blocks and
-each source its exact quota. The shards then take disjoint runs of each source's blocks in
-permuted order, and a hash orders the documents within a shard.
-
-Texts are read once for their sizes. No window or task holds more than about sqrt(n)
-blocks of a source or sqrt(n) documents of a block; the list of sources (not of
-documents) is held in one row.
+and the source's quota is the exact number of blocks that reach the target. Of the last
+one, documents are taken in their order as long as that brings the words nearer to the
+target: all documents are taken whole, none is cut. A binary tree splits the quotas among
+the output shards: at each node the blocks of the left half are drawn without replacement
+from those of all sources, one hypergeometric draw after the other, so every shard has its
+exact share of blocks and each source its exact quota. The shards then take disjoint runs
+of each source's blocks in permuted order, and a hash orders the documents in a shard.
+
+The plan is a table of blocks, made from sizes and hashes alone; texts are shuffled once,
+to their place in the output. No window or task holds more than about sqrt(n) blocks of a
+source or sqrt(n) documents of its last block; the list of sources (not of documents) is
+held in one row.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quotewright.llm.arrow import narrow
-from quotewright.llm.words import first_words, word_count
+from quotewright.llm.words import word_count
 from quotewright.session import keep
 
 WEIGHTS = (3, 1, 2)
@@ -136,91 +138,124 @@ def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
     return ordered.select("rank", until.alias("ends"))
 
 
-def plan(docs: DataFrame, shards: int = 16, seed: int = 17, weights=WEIGHTS, share=1.5, most=2.0) -> DataFrame:
-    """A row for each row of ``docs`` (columns doc, source, size, key): with target,
-    source_size, and ``takes``: (pass, shard, words) for each time the mix takes it."""
-    sources = keep(targets(docs, weights, share, most))
-    # the source's blocks: as many as the root of its documents, so that both stay small
-    spread = sources.select(F.col("source").alias("s"), "rank", "source_size", "target", F.ceil(F.sqrt("docs")).cast("long").alias("blocks"))
-    wanted = F.round("target").cast("long")
-    size = F.col("source_size")
-    spread = spread.withColumns(
-        {
-            "passes": F.when(size > 0, F.floor(wanted / size)).otherwise(0).cast("long"),
-            "part": F.when(size > 0, wanted % F.greatest(size, F.lit(1))).otherwise(0).cast("long"),
-        }
-    )
-    order = F.xxhash64(F.lit(seed), F.col("key"))
-    dealt = docs.join(spread, docs["source"].eqNullSafe(spread["s"])).drop("s")
-    dealt = dealt.withColumns({"order": order}).withColumn("block", F.pmod("order", "blocks"))
-    own = dealt.groupBy("rank", "block").agg(
-        F.sum("size").alias("words"), *(F.first(c).alias(c) for c in ("passes", "part"))
-    )
+SHARD_WORDS, PIECES = 16_000_000, 4
+
+
+def plan(sizes: DataFrame, shards: int | None = None, seed: int = 17, weights=WEIGHTS, share=1.5, most=2.0) -> tuple[DataFrame, DataFrame, int]:
+    """Of rows (source, size, key), which must be written: the sources (source, rank,
+    source_size, target, blocks), the units drawn from each block (rank, block, drawn: a list
+    of pass, shard and the last place that is taken, NULL for all), and the number of
+    shards, which follows the words of the mix unless it is given."""
+    sources = targets(sizes, weights, share, most)
+    # as many blocks as the root of the source's documents, so that both stay small
+    sources = sources.withColumn("blocks", F.ceil(F.sqrt("docs")).cast("long"))
+    sources = keep(sources)
+    if shards is None:
+        words = sources.agg(F.sum("target")).first()[0] or 0
+        shards = max(16, -(-int(words) // SHARD_WORDS))
+    wanted, size = F.round("target").cast("long"), F.col("source_size")
+    spread = sources.select(
+        F.col("source").alias("s"), "rank", "blocks",
+        F.when(size > 0, F.floor(wanted / size)).otherwise(0).cast("long").alias("passes"),
+        F.when(size > 0, wanted % F.greatest(size, F.lit(1))).otherwise(0).cast("long").alias("part"),
+    )
+    dealt = sizes.join(spread, sizes["source"].eqNullSafe(spread["s"])).withColumn("place", place_of(seed))
+    dealt = dealt.withColumn("block", F.pmod("place", "blocks"))
+    own = dealt.groupBy("rank", "block").agg(F.sum("size").alias("words"), *(F.first(c).alias(c) for c in ("passes", "part")))
     before = F.coalesce(F.sum("words").over(W.partitionBy("rank").orderBy("block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    own = own.withColumn("cut", F.greatest(F.lit(0), F.least(F.col("words"), F.col("part") - before)))
+    own = keep(own.withColumn("cut", F.greatest(F.lit(0), F.least(F.col("words"), F.col("part") - before))))
+    # in the block where a source's target ends: its documents up to the nearest border
+    ending = own.where("cut > 0 and cut < words").select(F.col("rank").alias("e_rank"), F.col("block").alias("e_block"), "cut")
+    inside = dealt.join(ending, (dealt["rank"] == ending["e_rank"]) & (dealt["block"] == ending["e_block"]))
+    inside = inside.groupBy("rank", "place").agg(F.sum("size").alias("size"), F.first("cut").alias("cut"))
+    prior = F.coalesce(F.sum("size").over(W.partitionBy("rank").orderBy("place").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    near = inside.withColumn("prior", prior).where(2 * (F.col("cut") - F.col("prior")) >= F.col("size"))
+    last = near.groupBy("rank").agg(F.max("place").alias("upto")).withColumnRenamed("rank", "l_rank")
+    own = own.join(last, (own["rank"] == last["l_rank"]) & (F.col("cut") < F.col("words")), "left")
     # a block is drawn once whole for each full pass, and once up to its cut
     passes = F.when(F.col("passes") > 0, F.sequence(F.lit(0).cast("long"), F.col("passes") - 1)).otherwise(F.array().cast("array<bigint>"))
-    whole = F.transform(passes, lambda p: F.struct(p.alias("pass"), F.col("words").alias("limit")))
-    last = F.when(F.col("cut") > 0, F.array(F.struct(F.col("passes").alias("pass"), F.col("cut").alias("limit")))).otherwise(
-        F.array().cast("array<struct<pass:bigint,limit:bigint>>")
+    whole = F.transform(passes, lambda p: F.struct(p.alias("pass"), F.lit(None).cast("long").alias("upto")))
+    taken = (F.col("cut") > 0) & ((F.col("cut") >= F.col("words")) | F.col("upto").isNotNull())
+    rest = F.when(taken, F.array(F.struct(F.col("passes").alias("pass"), "upto"))).otherwise(
+        F.array().cast("array<struct<pass:bigint,upto:bigint>>")
     )
-    units = keep(own.select("rank", "block", F.explode(F.concat(whole, last)).alias("u")).select("rank", "block", "u.pass", "u.limit"))
+    units = keep(own.where("words > 0").select("rank", "block", F.explode(F.concat(whole, rest)).alias("u")).select("rank", "block", "u.pass", "u.upto"))
     ends = split_quotas(units.groupBy("rank").agg(F.count("*").alias("quota")), shards, seed)
     turn = W.partitionBy("rank").orderBy(F.xxhash64(F.lit(seed), F.lit("block"), "rank", "block", "pass"), "block", "pass")
     numbered = units.withColumn("n", F.row_number().over(turn)).join(ends, "rank")
     shard = F.size(F.filter("ends", lambda e: e < F.col("n"))).alias("shard")
-    drawn = numbered.select("rank", "block", F.struct("pass", shard, "limit").alias("u"))
-    drawn = drawn.groupBy("rank", "block").agg(F.array_sort(F.collect_list("u")).alias("drawn"))
-    prior = W.partitionBy("rank", "block").orderBy("order", "size").rowsBetween(W.unboundedPreceding, -1)
-    placed = dealt.withColumn("prior", F.coalesce(F.sum("size").over(prior), F.lit(0))).join(drawn, ["rank", "block"], "left")
-    takes = F.transform(
-        F.coalesce("drawn", F.array().cast("array<struct<pass:bigint,shard:int,limit:bigint>>")),
-        lambda u: F.struct(
-            u["pass"].alias("pass"),
-            u["shard"].alias("shard"),
-            F.greatest(F.lit(0), F.least(F.col("size"), u["limit"] - F.col("prior"))).cast("long").alias("words"),
-        ),
-    )
-    takes = F.filter(takes, lambda t: t["words"] > 0)
-    return placed.select("doc", "source", "size", "order", "source_size", "target", takes.alias("takes"))
+    drawn = numbered.groupBy("rank", "block").agg(F.array_sort(F.collect_list(F.struct("pass", shard, "upto"))).alias("drawn"))
+    return sources, keep(drawn), shards
+
+
+def place_of(seed: int) -> Column:
+    """The place of a row in its source's permuted order, from its key."""
+    return F.xxhash64(F.lit(seed), F.col("key"))
+
+
+def takes(rows: DataFrame, sources: DataFrame, drawn: DataFrame, seed: int) -> DataFrame:
+    """``rows`` (source, size, key and any others) with source_size, target, place and
+    takes: (pass, shard) of each time the mix takes the row. Both joins are to small tables,
+    one row a source and one a block; rows move only where these are not small."""
+    found = sources.select(F.col("source").alias("s_source"), F.col("rank").alias("s_rank"), "source_size", "target", "blocks")
+    placed = rows.join(found, rows["source"].eqNullSafe(found["s_source"])).withColumn("place", place_of(seed))
+    units = drawn.select(F.col("rank").alias("d_rank"), F.col("block").alias("d_block"), "drawn")
+    own = (placed["s_rank"] == units["d_rank"]) & (F.pmod(placed["place"], placed["blocks"]) == units["d_block"])
+    placed = placed.join(units, own, "left")
+    fits = F.filter("drawn", lambda u: (F.col("size") > 0) & (u["upto"].isNull() | (F.col("place") <= u["upto"])))
+    none = F.array().cast("array<struct<pass:bigint,shard:int>>")
+    picked = F.transform(F.coalesce(fits, F.filter("drawn", lambda u: F.lit(False))), lambda u: F.struct(u["pass"].alias("pass"), u["shard"].alias("shard")))
+    return placed.withColumn("takes", F.coalesce(picked, none)).drop("s_source", "s_rank", "blocks", "d_rank", "d_block", "drawn")
 
 
 def sized(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source") -> DataFrame:
     """doc, source, size and a key by which rows are permuted: of the id and the text."""
     rows = narrow(docs, doc=id_col, text=text_col, source=source_col)
-    return rows.select("doc", "source", word_count(F.col("text")).alias("size"), F.xxhash64(F.col("doc").cast("string"), "text").alias("key"))
+    return rows.select("doc", "source", word_count(F.col("text")).alias("size"), _key("doc", "text"))
 
 
-def mix_counts(docs: DataFrame, shards: int = 16, seed: int = 17, **columns: str) -> DataFrame:
+def _key(doc: str, text: str) -> Column:
+    return F.xxhash64(F.col(doc).cast("string"), F.col(text)).alias("key")
+
+
+def mix_counts(docs: DataFrame, shards: int | None = None, seed: int = 17, **columns: str) -> DataFrame:
     """doc_id, size, source_size, target, taken, shards of every row.
 
-    ``taken`` counts the words of all passes; a source's sum is its target rounded to a
-    word. NULL texts have size 0 and are never taken; NULL sources are one source, last
-    in order. Equal rows share a place in the permuted order, so reruns agree row for
-    row up to which of the equal rows is first. An empty table gives no rows.
+    ``taken`` counts the words of all passes, whole documents each; a source's sum is as
+    near its target as the documents at its end allow, half a document's words off at
+    most. NULL texts have size 0 and are never taken; NULL sources are one source, last in
+    order. Rows equal in id and text share a place and are taken alike, so reruns agree.
+    Other columns are not read; an empty table gives no rows.
     """
-    rows = plan(keep(sized(docs, **columns)), shards, seed)
-    taken = F.aggregate("takes", F.lit(0).cast("long"), lambda a, t: a + t["words"])
-    return rows.select(F.col("doc").alias("doc_id"), "size", "source_size", "target", taken.alias("taken"), F.transform("takes", lambda t: t["shard"]).alias("shards"))
-
-
-def mix(docs: DataFrame, shards: int = 16, seed: int = 17, id_col="doc_id", text_col="text", source_col="source") -> DataFrame:
-    """The mix itself: the columns of ``docs``, once for each time a document is taken,
-    with mix_shard, mix_place (its order within the shard), mix_pass and mix_words. A
-    document cut by the end of its source's target keeps its text up to the last word
-    taken; others are whole. Rows of one shard are together and in order."""
-    whole = keep(docs.select(F.struct("*").alias("doc"), *(F.col(f"`{c}`").alias(n) for n, c in (("id", id_col), ("text", text_col), ("source", source_col)))))
-    rows = whole.select("doc", "source", word_count(F.col("text")).alias("size"), F.xxhash64(F.col("id").cast("string"), "text").alias("key"))
-    taken = plan(rows, shards, seed).select("doc", "size", "order", F.explode("takes").alias("t"))
-    place = F.xxhash64(F.lit(seed), F.lit("place"), "order", "t.pass")
-    cut = first_words(F.col(f"doc.`{text_col}`"), F.col("t.words").cast("int"))
-    text = F.when(F.col("t.words") < F.col("size"), cut).otherwise(F.col(f"doc.`{text_col}`"))
-    fields = [f.name for f in docs.schema]
-    out = taken.select(
-        *((text if c == text_col else F.col(f"doc.`{c}`")).alias(c) for c in fields),
-        F.col("t.shard").alias("mix_shard"),
-        place.alias("mix_place"),
-        F.col("t.pass").alias("mix_pass"),
-        F.col("t.words").alias("mix_words"),
-    )
-    return out.repartition(shards, "mix_shard").sortWithinPartitions("mix_shard", "mix_place")
+    rows = keep(sized(docs, **columns))
+    sources, drawn, _ = plan(rows, shards, seed)
+    found = takes(rows, sources, drawn, seed)
+    taken = F.size("takes") * F.col("size")
+    return found.select(F.col("doc").alias("doc_id"), "size", "source_size", "target", taken.alias("taken"), F.transform("takes", lambda t: t["shard"]).alias("shards"))
+
+
+ADDED = ("mix_shard", "mix_place", "mix_pass", "mix_words")
+
+
+def mix(docs: DataFrame, shards: int | None = None, seed: int = 17, id_col="doc_id", text_col="text", source_col="source") -> DataFrame:
+    """The mix itself: the rows of ``docs``, once for each time a row is taken, whole, with
+    mix_shard, mix_place (its order in the shard), mix_pass and mix_words after their columns.
+    Columns of ``docs`` of these names are replaced.
+
+    A shard is ``PIECES`` tasks, each with a range of its places in order. NULL and empty
+    texts and those of blanks are never taken; NULL sources are one source; rows equal in id
+    and text are taken alike, each of them; an empty table gives no rows. ``docs`` is read
+    twice and must not change meanwhile.
+    """
+    sources, drawn, shards = plan(keep(sized(docs, id_col, text_col, source_col).drop("doc")), shards, seed)
+    text, own = F.col(f"doc.`{text_col}`"), [c for c in docs.columns if c not in ADDED]
+    rows = docs.select(F.struct("*").alias("doc")).select("doc", F.col(f"doc.`{source_col}`").alias("source"), word_count(text).alias("size"), _key(f"doc.`{id_col}`", f"doc.`{text_col}`"))
+    taken = takes(rows, sources, drawn, seed).where(F.size("takes") > 0)
+    taken = taken.select("doc", "size", "place", F.explode("takes").alias("t"))
+    place = F.xxhash64(F.lit(seed), F.lit("place"), "place", "t.pass").alias("at")
+    taken = taken.select("doc", "size", F.col("t.shard").alias("shard"), F.col("t.pass").alias("pass"), place)
+    # the upper bits of a place say which piece of the shard it is in
+    piece = F.shiftright("at", 62) + PIECES // 2
+    dealt = taken.repartitionById(shards * PIECES, (F.col("shard") * PIECES + piece).cast("int")).sortWithinPartitions("shard", "at")
+    added = (F.col(c).alias(n) for c, n in zip(("shard", "at", "pass", "size"), ADDED))
+    return dealt.select(*(F.col(f"doc.`{c}`").alias(c) for c in own), *added)

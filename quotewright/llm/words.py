@@ -19,12 +19,6 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def first_words(text: Column, n: Column) -> Column:
-    """The text up to the end of its ``n``th word, blanks and line feeds as they are."""
-    between = F.slice(F.split(text, r"[^\x20\x09-\x0D]+"), F.lit(1), n)
-    return F.array_join(F.zip_with(between, F.slice(word_array(text), F.lit(1), n), lambda x, y: F.concat(x, y)), "")
-
-
 def char_count(text: Column, characters: str, keep: bool = False) -> Column:
     """How many of the characters a text has; with ``keep``, how many others."""
     others = F.length(F.translate(text, characters, ""))

@@ -69,7 +69,8 @@ def test_stages(spark, folder, monkeypatch):
         taken[r.source] += r.mix_words
         assert len(WORD.findall(r.text)) == r.mix_words
     target = plain_targets(dict(size))
-    assert all(abs(taken[s] - target[s]) <= 0.51 for s in size)
+    longest = max(len(WORD.findall(t or "")) for _, t in clean)
+    assert all(abs(taken[s] - target[s]) <= longest / 2 + 0.51 for s in size)
 
 
 def test_stages_of_an_empty_table(spark, folder):
@@ -80,16 +81,8 @@ def test_stages_of_an_empty_table(spark, folder):
         assert docs.count() == 0
 
 
-def test_mixed_texts_are_verbatim_and_counted(spark, folder):
-    """A document cut at its source's target keeps its line breaks, and n_chars is its own."""
+def test_mixed_texts_are_whole(spark, folder):
     path, rows, _ = folder
-    texts = {(i, t) for i, t, _, _ in rows}
-    given = {}
-    for i, t in texts:
-        given.setdefault(i, []).append(t or "")
-    cut = 0
-    for r in P.mix_sources(spark, spark.read.parquet(f"{path}/documents.parquet"), path).collect():
-        assert r.n_chars == len(r.text)
-        assert any(t.startswith(r.text) for t in given[r.doc_id])
-        cut += (r.doc_id, r.text) not in texts
-    assert cut
+    texts = {(i, t, None if t is None else len(t)) for i, t, _, _ in rows}
+    mixed = P.mix_sources(spark, spark.read.parquet(f"{path}/documents.parquet"), path).collect()
+    assert mixed and all((r.doc_id, r.text, r.n_chars) in texts for r in mixed)

@@ -111,6 +111,9 @@ class Codec:
         # what no piece holds parts a text: a blank after another character, a strange character
         inside = f"[{one}{BLANK}]+" if any(map(crossing.search, vocabulary.ids)) else f"{BLANK}*[{one}]+|{BLANK}+"
         self.words = re.compile(f"{inside}|[^{one}{BLANK}]", re.DOTALL).findall
+        # of each token its ids joined by commas, and the text they decode to
+        self._joined = {t: ",".join(map(str, self._token_ids(t))).encode() for t in known | set(vocabulary.ids)}
+        self._shown = {t: self._surfaces(self._token_ids(t)) for t in self._joined}
         self._histories: dict[str, tuple | None] = {}
         self._pairs: dict[tuple[str, str], bool] = {}
         self._met: dict[str, tuple[int, bytes, bytes]] = {}
@@ -178,19 +181,21 @@ class Codec:
                 table[at + 1] = token
         return table
 
-    def _word_ids(self, word: str) -> list[int]:
-        table, at, tokens = self.last_tokens(word), len(word), []
-        if not table[at]:  # a character that no piece holds
-            return self._strange(word)
+    def tokens(self, word: str) -> list[str]:
+        """A word's tokens, read off the table backwards; a character in no piece is one."""
+        table, at, out = self.last_tokens(word), len(word), []
+        if not table[at]:
+            return [word]
         while at:
-            tokens.append(table[at])
-            at -= len(table[at])
-        ids = self.v.ids
-        out: list[int] = []
-        for token in reversed(tokens):
-            out.extend([ids[token]] if token in ids else self._strange(token))
+            token = table[at]
+            out.append(token)
+            at -= len(token)
+        out.reverse()
         return out
 
+    def _token_ids(self, token: str) -> list[int]:
+        return [self.v.ids[token]] if token in self.v.ids else self._strange(token)
+
     def _strange(self, character: str) -> list[int]:
         if not self.v.byte_ids:
             return [self.v.unknown]
@@ -200,7 +205,7 @@ class Codec:
         return self.v.prefix + text.replace(" ", BLANK) if text else ""
 
     def encode(self, text: str) -> list[int]:
-        return [i for word in self.words(self._plain(text)) for i in self._word_ids(word)]
+        return [i for word in self.words(self._plain(text)) for t in self.tokens(word) for i in self._token_ids(t)]
 
     def _surfaces(self, ids: Iterable[int]) -> bytes:
         """Blanks for their mark; bytes as they are, not yet checked."""
@@ -234,8 +239,13 @@ class Codec:
         which a bounded number is remembered."""
         found = self._met.get(word)
         if found is None:
-            ids = self._word_ids(word)
-            found = (len(ids), ",".join(map(str, ids)).encode(), self._surfaces(ids))
+            tokens = self.tokens(word)
+            if tokens[0] in self._joined:
+                ids, text = b",".join([self._joined[t] for t in tokens]), b"".join([self._shown[t] for t in tokens])
+            else:
+                strange = self._strange(word)
+                ids, text = ",".join(map(str, strange)).encode(), self._surfaces(strange)
+            found = (ids.count(b",") + 1, ids, text)
             if len(word) <= _LONGEST:
                 if len(self._met) >= _MOST:
                     self._met.clear()

@@ -155,7 +155,7 @@ def _mapped(df: DataFrame, column: str, new: DataFrame) -> DataFrame:
 
 
 def _with_links(roots, index, prepare, alike, salt) -> DataFrame:
-    several = index.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
+    several = index.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     several = sized(keep(several.select(F.col("key").alias("s_key"))))
     members = index.join(several, index["key"] == several["s_key"]).drop("s_key")
     members = keep(rooted(members, roots, "node", "root"))
@@ -167,15 +167,18 @@ def _with_links(roots, index, prepare, alike, salt) -> DataFrame:
     if live.isEmpty():
         return roots
     verify, sketches = prepare(live.select("node").distinct())
+    names = [c for c in sketches.columns if c != "node"]
     star = live.where("root <> rep_root").select(
         F.col("node").alias("a"), F.col("rep").alias("b"), F.col("root").alias("ra"), F.col("rep_root").alias("rb")
     )
-    joined = keep(components(verify(star.distinct()).select(F.col("ra").alias("a"), F.col("rb").alias("b"))))
+    sides = [sketches.select(F.col("node").alias(f"{x}_node"), *(F.col(c).alias(f"{x}_{c}") for c in names)) for x in "ab"]
+    star = star.distinct().join(sides[0], F.col("a") == F.col("a_node")).join(sides[1], F.col("b") == F.col("b_node"))
+    star = star.where(alike(*([F.col(f"{x}_{c}") for c in names] for x in "ab"))).select("a", "b", "ra", "rb")
+    joined = keep(components(verify(star).select(F.col("ra").alias("a"), F.col("rb").alias("b"))))
 
     left = keep(_mapped(_mapped(live.where("n > 2"), "root", joined), "rep_root", joined).where("node <> rep"))
     minor = left.where("root <> rep_root")
     if not minor.isEmpty():
-        names = [c for c in sketches.columns if c != "node"]
         drawn = sketches.withColumnRenamed("node", "d_node")
         left = left.join(drawn, left["node"] == drawn["d_node"]).drop("d_node").withColumn("blocks", F.ceil(F.col("n") / salt))
         left = keep(left)
@@ -193,7 +196,7 @@ def _with_links(roots, index, prepare, alike, salt) -> DataFrame:
         ordered = F.when(F.col("a") < F.col("b"), F.struct("a", "b", "ra", "rb")).otherwise(
             F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("rb").alias("ra"), F.col("ra").alias("rb"))
         )
-        pairs = minor.join(other, meet).select(ordered.alias("p")).select("p.*").distinct()
+        pairs = keep(minor.join(other, meet).select(ordered.alias("p")).select("p.*").distinct())
         second = keep(components(verify(pairs).select(F.col("ra").alias("a"), F.col("rb").alias("b"))))
         joined = _mapped(joined, "root", second).unionAll(second.join(joined.select("node"), "node", "left_anti"))
     before = _mapped(roots, "root", joined)

@@ -13,8 +13,8 @@ bands follow one another, with the components found so far carried on: each shuf
 own index only, and lines that are joined meet no more. Within a bucket, groups of near
 copies are linked through their most frequent line first, so they do not make all pairs.
 Lines of different components in one bucket are compared exactly unless the
-parities of their shingles in 256 classes rule similarity 0.8 out: every parity that
-differs takes a shingle that only one of the two has, and of those there may be a ninth of
+sizes or the parities of their shingles in 1,024 classes rule similarity 0.8 out: every
+parity that differs takes a shingle that only one of the two has, and of those there may be a ninth of
 their shingles at most. So no pair that the bands find is lost, however full its bucket.
 """
 
@@ -38,8 +38,8 @@ from quotewright.session import keep
 SHINGLE, BANDS, ROWS, SIMILARITY = 8, 12, 4, 0.8
 BINS = BANDS * ROWS
 # bands whose index is shuffled at once: the first ones alone, as they join most lines
-ROUNDS = ((0,), (1,), (2, 3), (4, 5, 6, 7), (8, 9, 10, 11))
-SKETCH_WORDS = 4
+ROUNDS = ((0,), (1,), (2, 3), (4, 5), (6, 7), (8, 9), (10, 11))
+SKETCH_WORDS = 16
 _BAND_NAMES = [f"b{i}" for i in range(BANDS)]
 _SKETCH_NAMES = ["places", *(f"s{i}" for i in range(SKETCH_WORDS))]
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -131,11 +131,13 @@ def parities(line: str, size: int = SHINGLE) -> list[int]:
 
 
 def sketch_alike(a: list[Column], b: list[Column]) -> Column:
-    """Holds for all pairs that reach the similarity: at s, of x and y shingles at most
-    (1 - s) / (1 + s) * (x + y) are in one line only. In whole numbers, as it must hold at s."""
+    """Holds for all pairs that reach the similarity: at s, of x and y shingles the fewer are
+    s times the more at least, and at most (1 - s) / (1 + s) * (x + y) are in one line only.
+    In whole numbers, as it must hold at s."""
     tenths = round(10 * SIMILARITY)
+    sizes = F.least(a[0], b[0]) * 10 >= F.greatest(a[0], b[0]) * tenths
     differing = reduce(add, (F.bit_count(x.bitwiseXOR(y)) for x, y in zip(a[1:], b[1:])))
-    return differing * (10 + tenths) <= (a[0] + b[0]) * (10 - tenths)
+    return sizes & (differing * (10 + tenths) <= (a[0] + b[0]) * (10 - tenths))
 
 
 def bands(signature: np.ndarray) -> np.ndarray:

@@ -10,16 +10,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-_FINE = 4096  # linear cells inside one coarse cell
+_BITS = 16  # of a value's image are decided in a round
+_LEAST = 2.0**-1022  # the smallest double of full precision
 
 
-def _coarse(value: Column) -> Column:
-    """A cell number that never falls as the value rises; 64 cells per e-fold. The
-    infinities have cells of their own, and NaN, the largest value, the last."""
-    inner = F.floor(F.signum(value) * F.log1p(F.abs(value) * 1e9) * 64)
-    far = F.lit(1 << 40)
-    edge = F.when(F.isnan(value), far + 1).when(value == float("inf"), far).when(value == float("-inf"), -far)
-    return F.coalesce(edge, inner)
+def ordered_image(value: Column) -> Column:
+    """A long that rises exactly as the double does: its bits, negated for values below
+    zero. Both zeros are 0; NaN, the largest value, has the largest image."""
+    size = F.abs(value)
+    finite = F.coalesce(size < float("inf"), F.lit(False)) & ~F.isnan(value)
+    a = F.when(finite, size).otherwise(1.0)
+    b = F.greatest(a, F.lit(_LEAST))
+    # the logarithm may miss the exponent by one; comparing with exact powers mends it
+    guess = F.least(F.floor(F.log2(b)), F.lit(1023))
+    low = F.pow(F.lit(2.0), guess.cast("double"))
+    power = guess + F.when(b < low, -1).when(b / 2 >= low, 1).otherwise(0)
+    power = F.least(F.greatest(power, F.lit(-1022)), F.lit(1023))
+    fraction = (b / F.pow(F.lit(2.0), power.cast("double")) - 1) * 2.0**52
+    normal = (power + 1023) * F.lit(1 << 52) + fraction.cast("long")
+    image = F.when(a < _LEAST, (a / 5e-324).cast("long")).otherwise(normal)
+    signed = F.when(value < 0, -image).otherwise(image)
+    infinite = F.when(value > 0, F.lit(2047 << 52)).otherwise(F.lit(-(2047 << 52)))
+    return F.when(F.isnan(value), F.lit((1 << 63) - 1)).when(finite, signed).otherwise(infinite)
 
 
 def _same(rows: DataFrame, cells: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -42,49 +54,30 @@ def _holding_middle(cells: DataFrame, parts: Sequence[str], order: str, start: C
 def grouped_median(df: DataFrame, keys: Sequence[str], value: str, weight: str) -> DataFrame:
     """Median of ``value`` (a double, each row counting ``weight`` times) per key.
 
-    Two rounds of counting narrow each group to the cells around its middle; only
-    the distinct values of those cells are ranked. Counts combine map-side, so the
-    size of a group does not matter to them. The cells to look into, at most two per
-    group and round, are joined back: by broadcast where Spark measures them small,
-    else with AQE splitting a hot cell. NULL keys are groups like others; NaN counts as
-    the largest value, as it does in Spark's order. The last ranking holds the distinct
-    values of a fine cell: many only where very many values lie closer together than
-    1/4096 of their coarse cell's extent.
+    Radix selection: a value's 64-bit image is decided 16 bits a round, from the highest.
+    Each of the four rounds counts the cells of the prefixes that still hold a middle rank,
+    at most two a group, so a group has at most 65,536 cells in each (twice as many where
+    its middle ranks part) whatever its values are. Counts combine map-side, so the size of
+    a group does not matter. Prefixes are joined back: by broadcast where Spark measures
+    them small, else with AQE splitting a hot one. NULL keys are groups like others; NaN
+    counts as the largest value, as it does in Spark's order; NULL values and groups of no
+    others are left out.
     """
     keys = list(keys)
-    rows = df.where(F.col(value).isNotNull()).select(
-        *keys, F.col(value).alias("_v"), F.col(weight).alias("_w"), _coarse(F.col(value)).alias("_c")
-    )
-    total = F.sum("_n").over(W.partitionBy(*keys))
-    coarse = (
-        rows.groupBy(*keys, "_c")
-        .agg(F.sum("_w").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
-        .withColumn("_total", total)
-        .withColumns({"_lo": F.expr("(_total + 1) div 2"), "_hi": F.expr("_total div 2 + 1")})
-    )
-    coarse = _holding_middle(coarse, keys, "_c", F.lit(0)).select(
-        *keys, "_c", "_lo", "_hi", F.col("_before").alias("_start"), "_min", "_max"
-    )
-
-    at = F.try_divide(F.col("_v") - F.col("_min"), F.col("_max") - F.col("_min"))
-    cell = F.when(F.isnan(at), 0).otherwise(F.coalesce(F.floor(at * _FINE), F.lit(0).cast("bigint")))
-    bounds = ("_lo", "_hi", "_min", "_max")
-    fine = (
-        _same(rows, coarse, [*keys, "_c"])
-        .groupBy(*keys, "_c", cell.alias("_f"))
-        .agg(F.sum("_w").alias("_n"), *[F.first(c).alias(c) for c in (*bounds, "_start")])
-    )
-    fine = _holding_middle(fine, [*keys, "_c"], "_f", F.col("_start")).select(
-        *keys, "_c", "_f", *bounds, F.col("_before").alias("_start")
-    )
-
-    # at most two fine cells per coarse one: the join keeps a row's own
-    exact = (
-        _same(rows, fine, [*keys, "_c"])
-        .where(cell == F.col("_f"))
-        .groupBy(*keys, "_c", "_f", "_v")
-        .agg(F.sum("_w").alias("_n"), *[F.first(c).alias(c) for c in ("_lo", "_hi", "_start")])
-    )
-    exact = _holding_middle(exact, [*keys, "_c", "_f"], "_v", F.col("_start"))
+    image = ordered_image(F.col(value))
+    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"), F.col(weight).alias("_w"), image.alias("_x"))
+    prefix = lambda bits: F.shiftright("_x", 64 - bits)
+    cells = rows.groupBy(*keys, prefix(_BITS).alias("_p")).agg(F.sum("_w").alias("_n"))
+    cells = cells.withColumn("_total", F.sum("_n").over(W.partitionBy(*keys)))
+    cells = cells.withColumns({"_lo": F.expr("(_total + 1) div 2"), "_hi": F.expr("_total div 2 + 1")})
+    held = _holding_middle(cells, keys, "_p", F.lit(0))
+    for bits in range(2 * _BITS, 65, _BITS):
+        held = held.select(*keys, "_p", "_lo", "_hi", F.col("_before").alias("_start"))
+        own = _same(rows.withColumn("_p", prefix(bits - _BITS)), held, [*keys, "_p"])
+        last = [F.min("_v").alias("_v")] if bits == 64 else []
+        cells = own.groupBy(*keys, "_p", prefix(bits).alias("_next")).agg(
+            F.sum("_w").alias("_n"), *(F.first(c).alias(c) for c in ("_lo", "_hi", "_start")), *last
+        )
+        held = _holding_middle(cells, [*keys, "_p"], "_next", F.col("_start")).drop("_p").withColumnRenamed("_next", "_p")
     # the two middle ranks fall on one value or on two neighbours
-    return exact.groupBy(*keys).agg(((F.min("_v") + F.max("_v")) / 2).alias(f"median_{value}"))
+    return held.groupBy(*keys).agg(((F.min("_v") + F.max("_v")) / 2).alias(f"median_{value}"))

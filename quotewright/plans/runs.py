@@ -57,7 +57,7 @@ def verify_load(
     """Compare staged tables with the manifest, append the load log and return the
     mismatches (none means every table is exact)."""
     log = load_log(manifest_fingerprints(manifest), observed_fingerprints(staged), run_id, at)
-    wh.append(log, "load_log")
+    wh.record(log, "load_log", run_id)
     stored = wh.table("mart", "load_log").where(f"run_id = '{run_id}'")
     return [tuple(r) for r in load_problems(stored).orderBy("table_name").collect()]
 
@@ -163,10 +163,10 @@ def build_and_check(
     marts = build_marts(wh, tables, run_id, m)
     create_views(wh, m)
     checked = {**tables, "recon_pairs": marts["recon_pair_counts"]}
-    wh.append(run_checks(mk.market_checks(m), checked, run_id, at), "dq_results")
+    results = run_checks(mk.market_checks(m), checked, run_id, at)
     if parsed is not None:
         load_control(wh, parsed, report_date)
-        wh.append(
+        results = results.unionByName(
             control_results(
                 marts["v_recon_summary"],
                 marts["v_recon_by_ticker"],
@@ -176,9 +176,9 @@ def build_and_check(
                 report_date,
                 run_id,
                 at,
-            ),
-            "dq_results",
+            )
         )
+    wh.record(results, "dq_results", run_id)
     return wh.table("mart", "dq_results").where(f"run_id = '{run_id}'").orderBy("check_name")
 
 

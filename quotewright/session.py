@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 from functools import cache
+from threading import Lock
 from typing import TypeVar
 from uuid import uuid4
 
@@ -64,7 +67,7 @@ def together(actions: Iterable[Callable[[], _T]], at_once: int = 8) -> list[_T]:
     """Run independent Spark actions side by side, so that the jobs of small tables
     use the cores a large one leaves idle. Results in order; errors raise."""
     with ThreadPoolExecutor(at_once) as pool:
-        return [f.result() for f in [pool.submit(a) for a in actions]]
+        return [f.result() for f in [pool.submit(copy_context().run, a) for a in actions]]
 
 
 @cache
@@ -84,23 +87,71 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dir(context.applicationId)
 
 
+# the folders made in the innermost open scope, in this thread and those it starts
+_scope: ContextVar[list[str] | None] = ContextVar("scope", default=None)
+
+
 def new_folder(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/quotewright/{uuid4().hex}"
+    folder = f"{shared_dir(spark)}/quotewright/{uuid4().hex}"
+    made = _scope.get()
+    if made is not None:
+        made.append(folder)
+    return folder
 
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_lock = Lock()
+_writers: dict[int, list] = {}  # by session: how many write, and its own setting
+
+
+@contextmanager
+def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go when a query ends. The first writer of a session changes its
+    setting and the last one restores it, so threads do not restore each other's value."""
+    with _lock:
+        state = _writers.setdefault(id(spark), [0, spark.conf.get(_CLEANUP, None)])
+        state[0] += 1
+        spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        with _lock:
+            state[0] -= 1
+            if not state[0]:
+                del _writers[id(spark)]
+                if state[1] is None:
+                    spark.conf.unset(_CLEANUP)
+                else:
+                    spark.conf.set(_CLEANUP, state[1])
 
 
 def keep(df: DataFrame) -> DataFrame:
     """Write an intermediate that several branches read, and read it back: it is
     computed once, and a lost executor costs only its own tasks. The shuffle files of the
     writing are dropped when it is done, not when the driver next collects garbage."""
+    return _write(df, new_folder(df.sparkSession))
+
+
+def _write(df: DataFrame, folder: str) -> DataFrame:
     spark = df.sparkSession
-    folder = new_folder(spark)
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
-    try:
+    with _shuffles_dropped(spark):
         df.write.parquet(folder)
-    finally:
-        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+def finished(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
+    """What ``make`` returns, written and read back; then every folder that ``keep`` made for
+    it is deleted, also if it fails. Only its result stays, in the scope around this one."""
+    folder, made = new_folder(spark), []
+    token = _scope.set(made)
+    try:
+        return _write(make(), folder)
+    finally:
+        _scope.reset(token)
+        for each in made:
+            drop_folder(spark, each)
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -15,7 +15,7 @@ from quotewright.functions.columns import plain_number
 from quotewright.operators.clean import clean_columns, clean_decimals, conform, is_nan, resolve
 from quotewright.operators.fingerprint import VALUE, metric_columns
 from quotewright.schemas import MANIFEST, TableSpec
-from quotewright.session import keep, together
+from quotewright.session import drop_folder, keep, new_folder, together
 
 # Files stay small enough to be hashed as one binary value: so many rows, and fewer where
 # texts make them wide, that a file's plain values hold about so many bytes.
@@ -23,6 +23,10 @@ ROWS_PER_FILE = 2_000_000
 BYTES_PER_FILE = 512 << 20
 
 
+class SourceChangedError(RuntimeError):
+    """Files of a source changed while its snapshot was taken."""
+
+
 class WriteGuardError(RuntimeError):
     """Rows written, rows counted before and rows read back do not agree."""
 
@@ -139,11 +143,61 @@ def export_table(df: DataFrame, spec: TableSpec, out_dir: str) -> Row:
 
 def snapshot(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """A copy of every source, each read once: an export reads its input several times.
-    The tables are copied side by side, not at one moment; sources that change while
-    they are copied need a snapshot of their own (a table version, a read transaction)."""
+    The tables are copied side by side; ``pinned_snapshot`` refuses sources that
+    change while they are copied."""
     return dict(zip(tables, together(partial(keep, df) for df in tables.values())))
 
 
+def listing(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
+    """source, path, length, modified of every file of the sources; contents are not read."""
+    parts = []
+    for name, path in paths.items():
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        columns = ("path", "length", F.col("modificationTime").alias("modified"))
+        parts.append(files.select(F.lit(name).alias("source"), *columns))
+    return reduce(DataFrame.unionAll, parts)
+
+
+def pinned_snapshot(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
+    """Copies of Parquet sources (name to path) as they were at one moment.
+
+    The files of all sources (path, length, time of modification) are listed before the
+    first copy and again after the last. As nothing changed between the two listings, all
+    copies show the moment of the first; if a file was added, removed or rewritten
+    meanwhile, in whichever source, all copies are deleted and the snapshot is refused.
+    """
+    pinned = keep(listing(spark, paths))
+    copies: dict[str, str] = {name: new_folder(spark) for name in paths}
+
+    def copy(name: str) -> DataFrame:
+        source = spark.read.parquet(paths[name])
+        source.write.parquet(copies[name])
+        return spark.read.schema(source.schema).parquet(copies[name])
+
+    def changes() -> list[str]:
+        now = keep(listing(spark, paths))
+        differing = pinned.exceptAll(now).unionAll(now.exceptAll(pinned))
+        return [f"{r.source}: {r.path}" for r in differing.select("source", "path").distinct().orderBy("source", "path").limit(5).collect()]
+
+    changed: list[str] = []
+    try:
+        out = dict(zip(paths, together(partial(copy, name) for name in paths)))
+        changed = changes()
+    except Exception as e:
+        # a file that went while it was read is a change as well
+        changed = changes()
+        if not changed:
+            raise
+        raise SourceChangedError(f"changed during the snapshot: {changed}") from e
+    finally:
+        if changed:
+            for folder in copies.values():
+                drop_folder(spark, folder)
+    if changed:
+        raise SourceChangedError(f"changed during the snapshot: {changed}")
+    return out
+
+
 def export_all(
     tables: Mapping[str, DataFrame], specs: Mapping[str, TableSpec], out_dir: str, at: datetime
 ) -> DataFrame:

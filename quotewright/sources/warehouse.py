@@ -89,13 +89,19 @@ class Warehouse:
         target = self.spark.table(name).schema
         conform(df, target).repartition(1).write.mode("append").insertInto(name)
 
+    def record(self, df: DataFrame, table: str, run_id: str) -> None:
+        """All audit rows of a run in a table, in place of any it already has there: a
+        repeated or restarted run records the same rows once."""
+        self.replace(df.repartition(1), table, "run_id", run_id)
+
     def replace(self, df: DataFrame, table: str, column: str, value: str) -> None:
         """Replace the rows of one partition value, also when ``df`` has none."""
         name = self.name("mart", table)
         target = self.spark.table(name).schema
         kept = T.StructType([f for f in target if f.name != column])
-        kind = target[column].dataType.simpleString()
+        kind = target[column].dataType
+        literal = f"'{value}'" if isinstance(kind, T.StringType) else f"{kind.simpleString()} '{value}'"
         self.spark.sql(
-            f"INSERT OVERWRITE TABLE {name} PARTITION ({column} = {kind} '{value}') SELECT * FROM {{rows}}",
+            f"INSERT OVERWRITE TABLE {name} PARTITION ({column} = {literal}) SELECT * FROM {{rows}}",
             rows=conform(df, kept),
         )

@@ -6,9 +6,11 @@ Long form throughout: (table_name, metric, value decimal(38,6)).
 from __future__ import annotations
 
 from datetime import datetime
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quotewright.functions.columns import plain_number
 
@@ -24,6 +26,37 @@ def fingerprint(df: DataFrame, table: str, metrics: dict[str, str]) -> DataFrame
     return unpivot_metrics(df.agg(*metric_columns(metrics)), table, list(metrics))
 
 
+def content_digest(df: DataFrame) -> DataFrame:
+    """One row: rows, and 254 bits of their content, digest: the sums (modulo 2^63) and the
+    exclusive ors of two hashes of every row over all columns in the order of their names.
+
+    Rows in another order, other files or other partitions give the same digest; a value
+    moved from one row to another, NULL against an empty text, or a row repeated gives
+    another. Map types are hashed as sorted entries. One aggregate over one scan.
+    """
+    columns = []
+    for f in sorted(df.schema, key=lambda f: f.name):
+        c = F.col(f"`{f.name}`")
+        c = F.array_sort(F.map_entries(c)) if isinstance(f.dataType, T.MapType) else c
+        # the hash passes over NULL, so that it is said apart
+        columns += [c.isNull(), c]
+    one, two = F.xxhash64(F.lit(1), *columns), F.xxhash64(F.lit(2), *reversed(columns))
+    whole = F.lit(1 << 32)
+    parts = []
+    for i, h in enumerate((one, two)):
+        # halves are summed as decimals, which no number of rows overflows
+        low, high = F.pmod(h, whole), F.shiftright(h, 32)
+        parts += [F.sum(low.cast("decimal(20,0)")).alias(f"low{i}"), F.sum(high.cast("decimal(20,0)")).alias(f"high{i}"), F.bit_xor(h).alias(f"xor{i}")]
+    sums = df.agg(F.count(F.lit(1)).alias("rows"), *parts)
+    hexed = []
+    for i in range(2):
+        total = F.coalesce(F.col(f"high{i}"), F.lit(0)) * whole + F.coalesce(F.col(f"low{i}"), F.lit(0))
+        total = F.pmod(total.cast("decimal(38,0)"), F.lit(Decimal(1 << 63))).cast("long")
+        hexed += [F.lpad(F.hex(total), 16, "0")]
+        hexed += [F.lpad(F.hex(F.coalesce(f"xor{i}", F.lit(0).cast("long"))), 16, "0")]
+    return sums.select("rows", F.lower(F.concat(*hexed)).alias("digest"))
+
+
 def unpivot_metrics(wide: DataFrame, table: str, metrics: list[str]) -> DataFrame:
     pairs = [F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in metrics]
     return wide.select(F.lit(table).alias("table_name"), F.inline(F.array(*pairs)))

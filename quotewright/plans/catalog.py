@@ -12,11 +12,12 @@ from functools import partial, reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotewright.functions.columns import first_violated, has_token, plain_number
-from quotewright.operators import clean, control, fingerprint, quality, quantile, recon, series, star
+from quotewright.operators import clean, control, fingerprint, history, quality, quantile, recon, series, star
 from quotewright.operators.rows import repeat_rows
 from quotewright.plans import bridge, runs
 from quotewright.plans import market as mk
@@ -817,6 +818,58 @@ def audit_append(spark, sf):
     )
 
 
+@query
+def audit_record_twice(spark, sf):
+    """Load log rows of the runs, each run recorded by two writers: the last one counts."""
+    wh = _warehouse(spark)
+    wh.create({}, M.source_a, M.source_b)
+    stamped = keep(_daily_runs(spark, sf).groupBy(F.substring("run_id", -2, 1).alias("run_id"), "table_name").agg(
+        F.sum("rows_loaded").alias("rows_loaded"), F.max("loaded_at").alias("loaded_at_utc")
+    ))
+    rows = stamped.select(
+        "run_id", "table_name", F.col("rows_loaded").alias("rows_expected"), "rows_loaded",
+        F.lit(True).alias("fingerprint_match"), F.lit(None).alias("mismatch_detail"), "loaded_at_utc",
+    )
+    runs_ = [r.run_id for r in rows.select("run_id").distinct().orderBy("run_id").collect()]
+    for run_id in runs_ + runs_:
+        wh.record(rows.where(F.col("run_id") == run_id), "load_log", run_id)
+    return wh.table("mart", "load_log").select("run_id", "table_name", "rows_expected", "rows_loaded", "fingerprint_match")
+
+
+@query
+def pinned_snapshot(spark, sf):
+    """Rows and figures of copies of three tables at one moment."""
+    copies = exports.pinned_snapshot(spark, {t: f"{sf}/{t}.parquet" for t in ("customer", "lineitem", "orders")})
+    sums = {"customer": F.sum("c_nationkey"), "lineitem": F.sum("l_linenumber"), "orders": F.sum("o_custkey")}
+    counted = [copies[t].agg(F.count("*").alias("n_rows"), s.cast("long").alias("total")).select(F.lit(t).alias("table_name"), "*") for t, s in sums.items()]
+    return reduce(DataFrame.unionAll, counted)
+
+
+@query
+def state_history(spark, sf):
+    """Ranges of months in which a customer's orders show the same priority and status."""
+    orders = bridge.read(spark, sf, "orders").select(
+        "o_custkey", F.trunc("o_orderdate", "MM").alias("month"), F.col("o_orderstatus").alias("status"),
+        F.when(F.substring("o_orderpriority", 1, 1) < "4", F.substring("o_orderpriority", 1, 1)).alias("priority"),
+    )
+    return history.state_history(orders, ["o_custkey"], "month", ["priority", "status"])
+
+
+@query
+def content_digests(spark, sf):
+    """Whether the digest of each table is that of its rows in another order and layout, and
+    whether it tells them from rows two of whose columns were exchanged between rows."""
+    parts = []
+    for name, key, moved in (("orders", "o_orderkey", "o_orderpriority"), ("customer", "c_custkey", "c_mktsegment")):
+        rows = bridge.read(spark, sf, name)
+        shuffled = rows.select(*reversed(rows.columns)).repartition(7, key)
+        ranks = W.partitionBy(F.pmod(key, F.lit(50))).orderBy(key)
+        swapped = rows.withColumn(moved, F.coalesce(F.lead(moved).over(ranks), F.lit("")))
+        a, b, c = (fingerprint.content_digest(d).select(F.col("rows").alias(f"r{i}"), F.col("digest").alias(f"d{i}"), F.lit(name).alias("table_name")) for i, d in enumerate((rows, shuffled, swapped)))
+        parts.append(a.join(b, "table_name").join(c, "table_name").select("table_name", F.col("r0").alias("n_rows"), (F.col("d0") == F.col("d1")).alias("same"), (F.col("d0") != F.col("d2")).alias("told_apart")))
+    return parts[0].unionAll(parts[1])
+
+
 @query
 def control_partition_replace(spark, sf):
     """Control rows of one date written twice with different figures, and of a

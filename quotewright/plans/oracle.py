@@ -670,6 +670,43 @@ SQL["latest_run_rows"] = f"{_RUNS} SELECT run_id, table_name, rows_loaded FROM l
 SQL["audit_append"] = f"""{_RUNS}
   SELECT run_id, table_name, rows_loaded AS rows_expected, rows_loaded, true AS fingerprint_match FROM log"""
 
+SQL["audit_record_twice"] = f"""{_RUNS}
+  SELECT substr(run_id, -2, 1) AS run_id, table_name, CAST(sum(rows_loaded) AS BIGINT) AS rows_expected,
+         CAST(sum(rows_loaded) AS BIGINT) AS rows_loaded, true AS fingerprint_match
+  FROM log GROUP BY 1, 2"""
+SQL["pinned_snapshot"] = """
+  SELECT 'customer' AS table_name, count(*) AS n_rows, CAST(sum(c_nationkey) AS BIGINT) AS total FROM customer
+  UNION ALL SELECT 'lineitem', count(*), CAST(sum(l_linenumber) AS BIGINT) FROM lineitem
+  UNION ALL SELECT 'orders', count(*), CAST(sum(o_custkey) AS BIGINT) FROM orders"""
+SQL["content_digests"] = """
+  SELECT 'orders' AS table_name, count(*) AS n_rows, true AS same, true AS told_apart FROM orders
+  UNION ALL SELECT 'customer', count(*), true, true FROM customer"""
+SQL["state_history"] = """
+  WITH o AS (
+    SELECT o_custkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, o_orderstatus AS status,
+           CASE WHEN substr(o_orderpriority, 1, 1) < '4' THEN substr(o_orderpriority, 1, 1) END AS priority
+    FROM orders WHERE o_orderdate IS NOT NULL
+  ), seen AS (
+    SELECT * FROM o
+    QUALIFY row_number() OVER (PARTITION BY o_custkey, month ORDER BY priority DESC NULLS LAST, status DESC NULLS LAST) = 1
+  ), days AS (
+    SELECT month, lag(month) OVER (ORDER BY month) AS earlier, lead(month) OVER (ORDER BY month) AS later
+    FROM (SELECT DISTINCT month FROM o)
+  ), marked AS (
+    SELECT seen.*, earlier, later, lag(seen.month) OVER w AS before, lag(priority) OVER w AS p, lag(status) OVER w AS s
+    FROM seen JOIN days ON days.month = seen.month
+    WINDOW w AS (PARTITION BY o_custkey ORDER BY seen.month)
+  ), numbered AS (
+    SELECT *, sum(CASE WHEN before IS NULL OR before IS DISTINCT FROM earlier OR p IS DISTINCT FROM priority
+                            OR s IS DISTINCT FROM status THEN 1 ELSE 0 END)
+              OVER (PARTITION BY o_custkey ORDER BY month) AS version
+    FROM marked
+  )
+  SELECT o_custkey, min(priority) AS priority, min(status) AS status, CAST(version AS BIGINT) AS version,
+         min(month) AS valid_from, CASE WHEN max(month) < (SELECT max(month) FROM days) THEN max(later) END AS valid_to,
+         max(month) = (SELECT max(month) FROM days) AS is_current, count(*) AS snapshots
+  FROM numbered GROUP BY o_custkey, version"""
+
 _STATUS = _results(_market_checks(), "", "status")
 _LATEST = """(SELECT vol_7d_ann FROM price_returns
   QUALIFY row_number() OVER (PARTITION BY security_key ORDER BY trade_date DESC) = 1)"""

@@ -63,7 +63,7 @@ def verify_load(
 
 
 def build_marts(wh: Warehouse, tables: mk.Tables, run_id: str, m: mk.Market) -> dict[str, DataFrame]:
-    """Write every mart of the run and publish them together at the end.
+    """Write every mart of the run to its folders; nothing is visible yet.
 
     Returns and pairs are read by several marts and checks, so they are written
     first and read back: a lost executor costs one stage, not the whole lineage.
@@ -87,7 +87,7 @@ def build_marts(wh: Warehouse, tables: mk.Tables, run_id: str, m: mk.Market) ->
     returns, pairs, coverage = (
         first[n] for n in ("price_returns", "recon_pair_counts", "v_recon_coverage")
     )
-    built = first | stage(
+    return first | stage(
         {
             "v_latest_price": mk.latest_price(returns, m),
             "v_security_summary": mk.security_summary(returns, m),
@@ -96,9 +96,6 @@ def build_marts(wh: Warehouse, tables: mk.Tables, run_id: str, m: mk.Market) ->
             "v_recon_summary": mk.recon_summary(pairs, coverage, m),
         }
     )
-    for name, staged in built.items():
-        wh.publish(staged, run_id, "mart", name)
-    return built
 
 
 def create_views(wh: Warehouse, m: mk.Market) -> None:
@@ -158,10 +155,9 @@ def build_and_check(
     parsed: ParsedReports | None = None,
     report_date: date | None = None,
 ) -> DataFrame:
-    """Marts, checks and the optional report control; returns this run's
-    results, read back from the audit table and ordered by name."""
+    """Marts, checks, the optional report control, and then the commit and publication of
+    the run; returns its results, read back from the audit table and ordered by name."""
     marts = build_marts(wh, tables, run_id, m)
-    create_views(wh, m)
     checked = {**tables, "recon_pairs": marts["recon_pair_counts"]}
     results = run_checks(mk.market_checks(m), checked, run_id, at)
     if parsed is not None:
@@ -179,6 +175,10 @@ def build_and_check(
             )
         )
     wh.record(results, "dq_results", run_id)
+    staged = {("raw", name): tables[name] for name in MARKET_TABLES} | {("mart", name): df for name, df in marts.items()}
+    wh.commit(staged, run_id, at)
+    wh.catch_up()
+    create_views(wh, m)
     return wh.table("mart", "dq_results").where(f"run_id = '{run_id}'").orderBy("check_name")
 
 
@@ -186,7 +186,11 @@ def run_market(
     wh: Warehouse, export_dir: str, m: mk.Market = mk.Market(), report: str | None = None
 ) -> RunResult:
     """A full run over an export. The report is read first: one that cannot be read
-    whole, or several, stop the run before any table or folder is made."""
+    whole, or several, stop the run before any table or folder is made.
+
+    RAW tables and marts become the warehouse's at one moment, when the commit record of
+    the run appears. Until then a run that fails leaves all tables of the run before it;
+    after it, catalog tables that were not yet switched are, by the next run or ``catch_up``."""
     spark = wh.spark
     parsed = report_date = None
     if report is not None:
@@ -196,6 +200,7 @@ def run_market(
         report_date = only_date(parsed)
     run_id, at = new_run()
     wh.create(MARKET_TABLES, m.source_a, m.source_b)
+    wh.catch_up()
 
     manifest = read_manifest(spark, export_dir)
     copies = together(
@@ -206,20 +211,19 @@ def run_market(
     problems = verify_load(wh, manifest, staged, run_id, at)
     if problems:
         return RunResult(Outcome.LOAD_NOT_VERIFIED, run_id, problems)
-    for name, df in staged.items():
-        wh.publish(df, run_id, "raw", name)
     results = build_and_check(wh, staged, run_id, at, m, parsed, report_date)
     failed = bool(results.where("status = 'FAIL'").limit(1).collect())
     return RunResult(Outcome.CHECK_FAILED if failed else Outcome.OK, run_id, [], results)
 
 
 def inspect(wh: Warehouse) -> dict[str, DataFrame]:
-    """The listings shown after a run."""
-    tables = {name: wh.table("raw", name) for name in MARKET_TABLES}
+    """The listings shown after a run, all of the run committed last."""
+    run = wh.committed()
+    tables = {name: run["raw", name] for name in MARKET_TABLES}
     daily = mk.price_daily(tables)
     return {
-        "reconciliation": wh.table("mart", "v_recon_summary"),
+        "reconciliation": run["mart", "v_recon_summary"],
         "null_prices": mk.null_prices(daily).orderBy("n_rows", "ticker", "source", ascending=[False, True, True]),
         "securities_without_prices": mk.securities_without_prices(tables).orderBy("ticker"),
-        "anomalies": mk.first_anomalies(wh.table("mart", "v_price_anomalies")),
+        "anomalies": mk.first_anomalies(run["mart", "v_price_anomalies"]),
     }

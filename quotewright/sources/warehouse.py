@@ -3,10 +3,14 @@ copy, mart tables, append-only audit tables and replaceable control tables."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
+from datetime import datetime
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotewright.operators.clean import conform
@@ -14,6 +18,11 @@ from quotewright.schemas import CONTROL_TICKER, DQ_RESULTS, LOAD_LOG, TableSpec,
 from quotewright.session import together
 
 
+COMMIT = T.StructType(
+    [T.StructField(c, T.TimestampType() if c == "at" else T.StringType()) for c in ("run_id", "at", "layer", "table", "path", "columns")]
+)
+
+
 class Warehouse:
     """Databases raw, model and mart (with an optional name prefix) under ``root``.
 
@@ -83,6 +92,52 @@ class Warehouse:
         else:
             self.spark.catalog.createTable(name, path, source="parquet", schema=staged.schema)
 
+    def commit(self, staged: Mapping[tuple[str, str], DataFrame], run_id: str, at: datetime) -> None:
+        """Make the staged tables of a run, by (layer, table), the warehouse's: one file that
+        names them all appears at once. Its size is that of the list of tables."""
+        rows = [(run_id, at, layer, table, self.run_path(run_id, layer, table), df.schema.json()) for (layer, table), df in staged.items()]
+        record = self.spark.createDataFrame(rows, COMMIT).coalesce(1)
+        record.write.mode("overwrite").json(f"{self.root}/commits/{run_id}")
+
+    def commits(self) -> DataFrame:
+        """run_id, at, layer, table, path, columns: a row for each table of each committed run."""
+        home = f"{self.root}/commits"
+        self.spark.createDataFrame([], COMMIT).write.mode("ignore").json(f"{home}/none")
+        return self.spark.read.schema(COMMIT).option("recursiveFileLookup", "true").json(home)
+
+    def _last(self) -> list[Row]:
+        newest = F.max(F.struct("at", "run_id")).over(W.partitionBy())
+        commits = self.commits().withColumn("newest", newest).where("run_id = newest.run_id")
+        return commits.orderBy("layer", "table").collect()
+
+    def committed(self) -> dict[tuple[str, str], DataFrame]:
+        """All tables of the run committed last, by (layer, table): never of two runs. What
+        is read stays that run's, also when others are committed meanwhile."""
+        return {
+            (r.layer, r.table): self.spark.read.schema(T.StructType.fromJson(json.loads(r.columns))).parquet(r.path)
+            for r in self._last()
+        }
+
+    def catch_up(self) -> list[str]:
+        """Point the catalog's tables at the run committed last; returns those that were not.
+        A run stopped after its commit is completed by this, and one stopped before it
+        leaves nothing to do."""
+        behind = []
+        for r in self._last():
+            name = self.name(r.layer, r.table)
+            if self._location(name) != r.path:
+                staged = self.spark.read.schema(T.StructType.fromJson(json.loads(r.columns))).parquet(r.path)
+                self.publish(staged, r.run_id, r.layer, r.table)
+                behind.append(name)
+        return behind
+
+    def _location(self, name: str) -> str | None:
+        if not self.spark.catalog.tableExists(name):
+            return None
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
+        path = rows[0].data_type if rows else ""
+        return path if "://" in self.root or ":" in self.root.split("/")[0] else path.removeprefix("file:")
+
     def append(self, df: DataFrame, table: str) -> None:
         """Append audit rows. A run's rows are few, so they go into one file."""
         name = self.name("mart", table)

@@ -4,7 +4,7 @@ import math
 import random
 import struct
 from collections import defaultdict
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 from pathlib import Path
 from statistics import median
 
@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quotewright import session
+from quotewright.operators.fingerprint import content_digest
 from quotewright.operators.history import as_of, state_history
 from quotewright.operators.quantile import grouped_median, ordered_image
 from quotewright.schemas import LOAD_LOG
@@ -147,6 +148,60 @@ def test_audit_rows_of_a_run_are_recorded_once(spark, tmp_path):
     assert got == {"one": 3, "two": 4}
 
 
+def test_a_run_stopped_while_publishing_mixes_nothing(spark, tmp_path, monkeypatch):
+    wh = Warehouse(spark, str(tmp_path / "wh"), "tc_")
+    wh.create({}, "a", "b")
+    assert wh.committed() == {} and wh.catch_up() == []
+
+    def run(run_id, at, n):
+        staged = {("mart", t): wh.stage(spark.range(n).withColumn("t", F.lit(t)), run_id, "mart", t) for t in "xyz"}
+        wh.commit(staged, run_id, datetime(2024, 1, at))
+
+    def sizes(tables):
+        return {t: df.count() for t, df in tables.items()}
+
+    run("one", 1, 1)
+    assert sorted(wh.catch_up()) == ["tc_mart.x", "tc_mart.y", "tc_mart.z"] and wh.catch_up() == []
+    old = wh.committed()
+    for t in "xyz":  # stopped before its commit: nothing of it is seen
+        wh.stage(spark.range(7), "lost", "mart", t)
+    assert sizes(wh.committed()) == {("mart", t): 1 for t in "xyz"}
+
+    run("two", 2, 2)
+    publish, calls = wh.publish, []
+
+    def stops(staged, run_id, layer, table):
+        calls.append(table)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        publish(staged, run_id, layer, table)
+
+    monkeypatch.setattr(wh, "publish", stops)
+    with pytest.raises(RuntimeError, match="lost"):
+        wh.catch_up()
+    assert sizes(wh.committed()) == {("mart", t): 2 for t in "xyz"}
+    assert sizes(old) == {("mart", t): 1 for t in "xyz"}
+    monkeypatch.undo()
+    assert len(wh.catch_up()) == 2
+    assert {t: wh.table("mart", t).count() for t in "xyz"} == {"x": 2, "y": 2, "z": 2}
+
+
+def test_digest_of_content(spark, tmp_path):
+    schema = "a string, b string, c array<int>, d map<string,int>, e double"
+    rows = [("x", "p", [1], {"k": 1, "l": 2}, 0.5), ("y", "q", None, {}, None), ("y", "q", None, {}, None), (None, "", [], None, 1.0)]
+    digest = lambda data, cols=schema: tuple(content_digest(spark.createDataFrame(data, cols)).first())
+    base = digest(rows)
+    assert base[0] == 4 and len(base[1]) == 64
+    spark.createDataFrame(rows[::-1], schema).repartition(3).write.parquet(str(tmp_path / "t"))
+    assert tuple(content_digest(spark.read.parquet(str(tmp_path / "t"))).first()) == base
+    swapped = [("x", "q", *rows[0][2:]), ("y", "p", *rows[1][2:]), *rows[2:]]
+    changed = [swapped, rows[:3], [*rows, rows[1]], [*rows[:3], ("", "", [], None, 1.0)], [*rows[:3], (None, None, [], None, 1.0)]]
+    assert len({base, *map(digest, changed)}) == 6
+    # two equal rows cancel in an exclusive or, not in a sum
+    assert digest([rows[0], *rows[3:]])[1] != base[1]
+    assert digest([], schema)[0] == 0
+
+
 def test_keep_restores_the_setting_and_scopes_clean_up(spark):
     name = session._CLEANUP
     before = spark.conf.get(name, None)

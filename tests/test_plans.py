@@ -9,7 +9,7 @@ from quotewright.plans import bridge, market as mk
 
 QUERIES = entry.queries()
 # these return what they wrote, so their plans are plain scans
-WRITES = re.compile(r"export_|market_run|ordered_write|full_refresh|audit_append|control_partition")
+WRITES = re.compile(r"export_|market_run|ordered_write|full_refresh|audit_append|audit_record|pinned_|control_partition")
 LAZY = [name for name in QUERIES if not WRITES.match(name)]
 
 

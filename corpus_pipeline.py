@@ -9,12 +9,14 @@ columns of documents. ``n_chars`` follows the text.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotewright.llm import decontam, linededup, mixing, simhash, toxicity
 from quotewright.llm.arrow import bucket_of
-from quotewright.session import keep
+from quotewright.session import finished
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,8 +62,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages one after the other over documents; each result is written as Parquet
-    to the shared folder and read again as the documents of the next."""
+    to the shared folder and read again as the documents of the next; what a stage kept
+    for itself is deleted when it ends."""
     docs = _table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = keep(stage(spark, docs, sf_dir))
+        docs = finished(spark, partial(stage, spark, docs, sf_dir))
     return docs

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotewright.session import keep
+from quotewright.session import finished, keep
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -144,7 +145,7 @@ def carried_components(
     """
     roots = spark.createDataFrame([], "node bigint, root bigint")
     for index in indexes:
-        roots = _with_links(roots, index, prepare, alike, salt)
+        roots = finished(spark, partial(_with_links, roots, index, prepare, alike, salt))
     return roots
 
 

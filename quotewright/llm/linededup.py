@@ -33,7 +33,7 @@ from xxhash import xxh64_intdigest
 
 from quotewright.llm.arrow import map_batches, narrow, parts, with_columns
 from quotewright.llm.components import carried_components, sized
-from quotewright.session import keep
+from quotewright.session import finished, keep
 
 SHINGLE, BANDS, ROWS, SIMILARITY = 8, 12, 4, 0.8
 BINS = BANDS * ROWS
@@ -274,7 +274,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     text = F.col(f"`{text_col}`")
     keyed = narrow(docs, doc_id=id_col, text=text_col).withColumn("h", F.xxhash64("text"))
-    gone = keep(duplicate_lines(keyed)).select(F.col("doc_id").alias("g_id"), F.col("h").alias("g_h"), "gone")
+    gone = finished(docs.sparkSession, lambda: duplicate_lines(keyed)).select(F.col("doc_id").alias("g_id"), F.col("h").alias("g_h"), "gone")
     rows = docs.select(F.struct("*").alias("row"), F.col(f"`{id_col}`").alias("k"), F.xxhash64(text).alias("h"))
     joined = rows.join(gone, rows["k"].eqNullSafe(gone["g_id"]) & (rows["h"] == gone["g_h"]), "left")
     own = F.col(f"row.`{text_col}`")

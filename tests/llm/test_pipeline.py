@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline as P
+from quotewright.session import keep
 from tests.llm.test_linededup import expected_texts
 from tests.llm.test_native import WORD, plain_targets
 from tests.llm.test_simhash import components_of
@@ -44,7 +45,7 @@ def test_stages(spark, folder, monkeypatch):
     path, rows, items = folder
     seen = []
     for name, stage in P.STAGES:
-        docs = P.keep(stage(spark, seen[-1] if seen else spark.read.parquet(f"{path}/documents.parquet"), path))
+        docs = keep(stage(spark, seen[-1] if seen else spark.read.parquet(f"{path}/documents.parquet"), path))
         seen.append(docs)
     columns = spark.read.parquet(f"{path}/documents.parquet").columns
     assert [d.columns for d in seen[:-1]] == [columns] * 4
@@ -77,7 +78,7 @@ def test_stages_of_an_empty_table(spark, folder):
     path, _, _ = folder
     docs = spark.read.parquet(f"{path}/documents.parquet").limit(0)
     for _, stage in P.STAGES:
-        docs = P.keep(stage(spark, docs, path))
+        docs = keep(stage(spark, docs, path))
         assert docs.count() == 0
 
 

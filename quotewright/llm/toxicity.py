@@ -95,7 +95,8 @@ def _marked(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
 
 
 def sample_words(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int, words: dict, id_col="doc_id", text_col="text", lang_col="lang", label_col="toxic"):
-    """Order, words, label and language of about ``per_label`` labelled rows a class."""
+    """Order, words, label and language of about ``per_label`` labelled rows a class,
+    one row an id."""
     marked = _marked(labels, id_col, label_col)
     rows = narrow(docs.where(learn), doc_id=id_col, text=text_col, lang=lang_col)
     chosen, counts = per_class(marked.join(rows.select("doc_id"), "doc_id"), "label", per_label, "doc_id")
@@ -107,7 +108,7 @@ def sample_words(docs: DataFrame, labels: DataFrame, learn: Column, per_label: i
             ids = [split.of(t.as_py()) for t in batch.column("text")]
             yield with_columns(batch, ["_order", "label", "lang"], ids=pa.array(ids, pa.list_(pa.int64())))
 
-    sample = rows.join(chosen, "doc_id").select("_order", "label", "lang", "text")
+    sample = rows.join(chosen, "doc_id").dropDuplicates(["doc_id"]).select("_order", "label", "lang", "text")
     out = map_batches(sample, cut, "_order bigint, label int, lang string, ids array<bigint>")
     return out.toArrow().sort_by([("_order", "ascending"), ("label", "ascending")]), counts
 

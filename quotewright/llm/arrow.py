@@ -14,17 +14,20 @@ from pyspark.sql import functions as F
 
 
 class WordCache(dict):
-    """word -> value of ``compute(word)``. Emptied when full, so that a worker's memory
-    stays bounded however many different words it meets."""
+    """word -> value of ``compute(word)``. Emptied when full, and words of over ``longest``
+    characters are not remembered, so that a worker's memory stays bounded however many
+    different words it meets and however long they are."""
 
-    def __init__(self, compute: Callable[[str], object], most: int = 400_000) -> None:
+    def __init__(self, compute: Callable[[str], object], most: int = 400_000, longest: int = 128) -> None:
         super().__init__()
-        self._compute, self._most = compute, most
+        self._compute, self._most, self._longest = compute, most, longest
 
     def __missing__(self, word: str):
-        if len(self) >= self._most:
-            self.clear()
-        value = self[word] = self._compute(word)
+        value = self._compute(word)
+        if len(word) <= self._longest:
+            if len(self) >= self._most:
+                self.clear()
+            self[word] = value
         return value
 
 

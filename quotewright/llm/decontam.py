@@ -237,7 +237,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, id_col="doc_id", text_col="text") -> DataFrame:
-    """``docs`` without the documents that contain a test item; all columns as they are."""
-    bad = keep(contaminated(docs, benchmark, coverage, id_col, text_col).select(F.col("doc_id").alias("_bad"), F.col("h").alias("_h")).distinct())
-    same = F.col(f"`{id_col}`").eqNullSafe(F.col("_bad")) & (F.xxhash64(F.col(f"`{text_col}`")) == F.col("_h"))
-    return docs.join(bad, same, "left_anti")
+    """``docs`` without the documents that contain a test item; all columns as they are,
+    whatever their names. NULL and empty texts stay, as do all rows of an empty benchmark."""
+    bad = keep(contaminated(docs, benchmark, coverage, id_col, text_col).select(F.col("doc_id").alias("bad"), F.col("h").alias("bad_h")).distinct())
+    # other columns may have any name: they are one struct in the join
+    rows = docs.select(F.struct("*").alias("row"), F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("h"))
+    same = rows["id"].eqNullSafe(bad["bad"]) & (rows["h"] == bad["bad_h"])
+    return rows.join(bad, same, "left_anti").select("row.*")

@@ -9,7 +9,7 @@ SCHEMA = T.StructType(
         T.StructField("source", T.StringType()),
         T.StructField("n_chars", T.LongType()),
         # names that the operators use themselves
-        *(T.StructField(c, T.StringType()) for c in ("row", "score", "h", "key", "node", "size", "words", "host", "taken", "fp", "k1", "clean", "label")),
+        *(T.StructField(c, T.StringType()) for c in ("row", "score", "h", "key", "node", "size", "words", "host", "taken", "fp", "k1", "clean", "label", "_bad", "_h", "bad", "id")),
     ]
 )
 

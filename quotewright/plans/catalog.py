@@ -865,9 +865,14 @@ def content_digests(spark, sf):
         shuffled = rows.select(*reversed(rows.columns)).repartition(7, key)
         ranks = W.partitionBy(F.pmod(key, F.lit(50))).orderBy(key)
         swapped = rows.withColumn(moved, F.coalesce(F.lead(moved).over(ranks), F.lit("")))
-        a, b, c = (fingerprint.content_digest(d).select(F.col("rows").alias(f"r{i}"), F.col("digest").alias(f"d{i}"), F.lit(name).alias("table_name")) for i, d in enumerate((rows, shuffled, swapped)))
-        parts.append(a.join(b, "table_name").join(c, "table_name").select("table_name", F.col("r0").alias("n_rows"), (F.col("d0") == F.col("d1")).alias("same"), (F.col("d0") != F.col("d2")).alias("told_apart")))
-    return parts[0].unionAll(parts[1])
+        for kind, df in (("given", rows), ("shuffled", shuffled), ("swapped", swapped)):
+            parts.append(fingerprint.content_digest(df).select(F.lit(name).alias("table_name"), F.lit(kind).alias("kind"), "*"))
+    of = lambda kind, c: F.max(F.when(F.col("kind") == kind, F.col(c)))
+    return reduce(DataFrame.unionAll, parts).groupBy("table_name").agg(
+        of("given", "rows").alias("n_rows"),
+        (of("given", "digest") == of("shuffled", "digest")).alias("same"),
+        (of("given", "digest") != of("swapped", "digest")).alias("told_apart"),
+    )
 
 
 @query

@@ -37,8 +37,8 @@ from quotewright.session import finished, keep
 
 SHINGLE, BANDS, ROWS, SIMILARITY = 8, 12, 4, 0.8
 BINS = BANDS * ROWS
-# bands whose index is shuffled at once: the first ones alone, as they join most lines
-ROUNDS = ((0,), (1,), (2, 3), (4, 5), (6, 7), (8, 9), (10, 11))
+# bands whose index is shuffled at once: the first alone, as it joins most lines
+ROUNDS = ((0,), (1, 2, 3), (4, 5, 6, 7, 8, 9, 10, 11))
 SKETCH_WORDS = 16
 _BAND_NAMES = [f"b{i}" for i in range(BANDS)]
 _SKETCH_NAMES = ["places", *(f"s{i}" for i in range(SKETCH_WORDS))]

@@ -13,14 +13,15 @@ from functools import partial, reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from quotewright.operators.control import control_results
-from quotewright.operators.fingerprint import fingerprint, load_log, load_problems
+from quotewright.operators.fingerprint import CONTENT, fingerprint, fingerprint_with_content, load_log, load_problems
 from quotewright.operators.quality import run_checks
 from quotewright.plans import market as mk
 from quotewright.schemas import MARKET_TABLES
 from quotewright.session import together
-from quotewright.sources.exports import manifest_fingerprints, read_manifest, read_typed
+from quotewright.sources.exports import manifest_contents, manifest_fingerprints, read_manifest, read_typed
 from quotewright.sources.reports import ParsedReports, only_date, parse_reports, read_reports, refuse_unparsed
 from quotewright.sources.warehouse import Warehouse
 
@@ -46,8 +47,10 @@ def new_run() -> tuple[str, datetime]:
     return uuid4().hex[:12], datetime.now(timezone.utc).replace(microsecond=0)
 
 
-def observed_fingerprints(tables: mk.Tables) -> DataFrame:
-    parts = [fingerprint(tables[s.name], s.name, s.fingerprints) for s in MARKET_TABLES.values()]
+def observed_fingerprints(tables: mk.Tables, content: bool = False) -> DataFrame:
+    """Long-form fingerprints of all tables, with their content digests where asked for."""
+    of = fingerprint_with_content if content else fingerprint
+    parts = [of(tables[s.name], s.name, s.fingerprints) for s in MARKET_TABLES.values()]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -55,8 +58,13 @@ def verify_load(
     wh: Warehouse, manifest: DataFrame, staged: mk.Tables, run_id: str, at: datetime
 ) -> list[tuple[str, str]]:
     """Compare staged tables with the manifest, append the load log and return the
-    mismatches (none means every table is exact)."""
-    log = load_log(manifest_fingerprints(manifest), observed_fingerprints(staged), run_id, at)
+    mismatches (none means every table is exact). Contents are compared where the manifest
+    has a digest of them: values that changed rows leave all counts and sums as they are."""
+    expected = manifest_fingerprints(manifest).unionByName(manifest_contents(manifest))
+    observed = observed_fingerprints(staged, content=True)
+    plain = manifest.where("content is null").select(F.col("table_name").alias("plain"))
+    unasked = (observed["table_name"] == plain["plain"]) & observed["metric"].startswith(CONTENT)
+    log = load_log(expected, observed.join(plain, unasked, "left_anti"), run_id, at)
     wh.record(log, "load_log", run_id)
     stored = wh.table("mart", "load_log").where(f"run_id = '{run_id}'")
     return [tuple(r) for r in load_problems(stored).orderBy("table_name").collect()]

@@ -172,7 +172,7 @@ MANIFEST = columns(
         TEXT,
         columns(
             rows=BIG, file=TEXT, bytes=BIG, sha256=TEXT, nan_to_null=T.MapType(TEXT, BIG),
-            fingerprints=T.MapType(TEXT, TEXT), files=BIG,
+            fingerprints=T.MapType(TEXT, TEXT), files=BIG, content=TEXT,
         ),
     ),
 )

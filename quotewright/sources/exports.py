@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from quotewright.functions.columns import plain_number
 from quotewright.operators.clean import clean_columns, clean_decimals, conform, is_nan, resolve
-from quotewright.operators.fingerprint import VALUE, metric_columns
+from quotewright.operators.fingerprint import VALUE, content_metrics, digest_hex, digest_parts, metric_columns
 from quotewright.schemas import MANIFEST, TableSpec
 from quotewright.session import drop_folder, keep, new_folder, together
 
@@ -99,14 +99,16 @@ def listing_digest(spark: SparkSession, path: str) -> str:
 
 
 def profile(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """One row: fingerprints of the cleaned table, NaN counts of the raw one and the mean
-    bytes of a row's texts, from a single scan."""
+    """One row: fingerprints and content digest of the cleaned table, NaN counts of the raw
+    one and the mean bytes of a row's texts, from a single scan."""
     names = resolve(df, spec.schema)
     flags = {f"_nan_{c}": is_nan(df, names[c]) for c in spec.decimals}
     wide = df.select(*clean_columns(df, spec.schema), *[c.alias(f) for f, c in flags.items()])
     texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in spec.schema if isinstance(f.dataType, T.StringType)]
     width = F.avg(reduce(add, texts, F.lit(0))).alias("_text_bytes")
-    return wide.agg(*metric_columns(spec.fingerprints), *[F.count_if(f).alias(f) for f in flags], width)
+    nans = [F.count_if(f).alias(f) for f in flags]
+    figures = wide.agg(*metric_columns(spec.fingerprints), *nans, width, *digest_parts(spec.schema))
+    return figures.select(*spec.fingerprints, *flags, "_text_bytes", digest_hex().alias("_content"))
 
 
 def export_table(df: DataFrame, spec: TableSpec, out_dir: str) -> Row:
@@ -120,7 +122,7 @@ def export_table(df: DataFrame, spec: TableSpec, out_dir: str) -> Row:
     nans = [f"_nan_{c}" for c in spec.decimals]
     before = (
         profile(df, spec)
-        .select(*[plain_number(m).alias(m) for m in metrics], *nans, "_text_bytes")
+        .select(*[plain_number(m).alias(m) for m in metrics], *nans, "_text_bytes", "_content")
         .first()
     )
     rows = int(before["row_count"])
@@ -138,6 +140,7 @@ def export_table(df: DataFrame, spec: TableSpec, out_dir: str) -> Row:
         nan_to_null={c: before[f"_nan_{c}"] for c in spec.decimals if before[f"_nan_{c}"]},
         fingerprints={m: before[m] for m in metrics if m != "row_count"},
         files=totals["files"],
+        content=before["_content"],
     )
 
 
@@ -230,3 +233,10 @@ def manifest_fingerprints(manifest: DataFrame) -> DataFrame:
     )
     metrics = manifest.select("table_name", F.explode("fingerprints").alias("metric", "value"))
     return counts.unionByName(metrics.withColumn("value", F.col("value").cast(VALUE)))
+
+
+def manifest_contents(manifest: DataFrame) -> DataFrame:
+    """The content digests of the manifest in the same form; a manifest from elsewhere may
+    have none."""
+    metrics = [F.struct(F.lit(m).alias("metric"), c.alias("value")) for m, c in content_metrics(F.col("content")).items()]
+    return manifest.where("content is not null").select("table_name", F.inline(F.array(*metrics)))

@@ -254,6 +254,27 @@ def test_dropped_rows_and_invented_values_are_caught(spark, audit, export, raw):
     assert problems["fact_price_daily"] == "null_adj_open: expected 1, got 0"
 
 
+def test_values_that_changed_rows_are_caught(spark, audit, export, raw):
+    """Two days' prices in each other's place: every count and sum is as before."""
+    prices = raw["fact_price_daily"]
+    keys = MARKET_TABLES["fact_price_daily"].key
+    pick = prices.where("adj_close is not null").orderBy(*keys).limit(400).toPandas()
+    other = pick[pick["adj_close"] != pick["adj_close"].iloc[0]].iloc[0]
+    first = pick.iloc[0]
+
+    def at(row):
+        return F.expr(" and ".join(f"{k} <=> {_literal(row[k])}" for k in keys))
+
+    close = F.when(at(first), F.lit(other["adj_close"])).when(at(other), F.lit(first["adj_close"])).otherwise(F.col("adj_close"))
+    problems = _verify(spark, audit, export, {**raw, "fact_price_daily": prices.withColumn("adj_close", close.cast("decimal(18,6)"))})
+    assert list(problems) == ["fact_price_daily"]
+    assert problems["fact_price_daily"].startswith("content_1: expected ")
+
+
+def _literal(value):
+    return f"DATE'{value}'" if hasattr(value, "year") else f"'{value}'"
+
+
 def test_failed_load_keeps_the_published_tables(spark, loaded, export, tmp_path):
     wh, good = loaded
     # the manifest as a plain, indented file

@@ -6,12 +6,13 @@ benchmark), and an equality join leaves the windows that are seeds. Each pair of
 document and a test item that share a seed is tiled: the longest matches of tokens that
 are not yet marked, found by running Karp-Rabin hashes, are marked first, and so on down
 to five tokens. The share of the item's tokens under tiles is its coverage; as tiles may
-lie in any order, a reordered passage is covered as well.
+lie in any order, a reordered passage is covered as well. An item of fewer than five tokens
+has one seed, all of its tokens, and is covered where they stand together.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -130,9 +131,14 @@ def _matches(a, b, taken_a, taken_b, size) -> tuple[int, dict[int, list[tuple[in
     return longest, found
 
 
+def least_of(tokens: int) -> int:
+    """The length of the seeds, and of the least tile, of an item of so many tokens."""
+    return max(1, min(LEAST, tokens))
+
+
 def seeds(benchmark: DataFrame, id_col="item_id", text_col="text") -> DataFrame:
-    """item_id, tokens, seed: one row for every different seed of an item. Items of fewer
-    than five tokens have none: so short a text is no evidence."""
+    """item_id, tokens, seeds: the different seeds of every item; of one with fewer than five
+    tokens all of them are the seed. Items without a token have none."""
     items = narrow(benchmark, item_id=id_col, text=text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,42 +146,47 @@ def seeds(benchmark: DataFrame, id_col="item_id", text_col="text") -> DataFrame:
         for batch in parts(batches, "text"):
             own = [tokens.of(t.as_py()) for t in batch.column("text")]
             lists = [pa.array([t.view(np.int64) for t in own], pa.list_(pa.int64()))]
-            lists.append(pa.array([np.unique(windows(t)).view(np.int64) for t in own], pa.list_(pa.int64())))
+            lists.append(pa.array([np.unique(windows(t, least_of(len(t)))).view(np.int64) for t in own], pa.list_(pa.int64())))
             yield pa.RecordBatch.from_arrays([batch.column("item_id"), *lists], names=["item_id", "tokens", "seeds"])
 
-    schema = T.StructType([items.schema["item_id"], *T._parse_datatype_string("tokens array<bigint>, seeds array<bigint>")])
+    schema = T.StructType([items.schema["item_id"], *T.StructType.fromDDL("tokens array<bigint>, seeds array<bigint>")])
     return map_batches(items, run, schema)
 
 
-def suspects(docs: DataFrame, bits: np.ndarray) -> DataFrame:
-    """doc_id, h, at, seed, tokens of the windows of documents that the bitmap has."""
+def suspects(docs: DataFrame, bits: np.ndarray, sizes: Sequence[int] = (LEAST,)) -> DataFrame:
+    """doc_id, h, at, seed, tokens of the windows of documents, of the ``sizes`` that seeds
+    have, that the bitmap has. Of a window under five tokens, which alone covers its item,
+    the first in a document will do."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, held = Tokens(), shared.value
+        tokens, held, none = Tokens(), shared.value, np.zeros(0, np.int64)
         for batch in parts(batches, "text"):
             rows, at, seed, own = [], [], [], []
             for i, text in enumerate(batch.column("text")):
                 t = tokens.of(text.as_py())
-                w = windows(t)
-                hit = np.flatnonzero(may_hold(held, w))
-                rows += [i] * len(hit)
-                at.append(hit)
-                seed.append(w[hit])
-                own += [t[k : k + LEAST].view(np.int64) for k in hit]
+                for size in sizes:
+                    w = windows(t, size)
+                    hit = np.flatnonzero(may_hold(held, w))
+                    if size < LEAST:
+                        hit = hit[np.unique(w[hit], return_index=True)[1]]
+                    rows += [i] * len(hit)
+                    at.append(hit)
+                    seed.append(w[hit])
+                    own += [t[k : k + size].view(np.int64) for k in hit]
             picked = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").take(picked),
                     batch.column("h").take(picked),
-                    pa.array(np.concatenate(at), pa.int64()),
-                    pa.array(np.concatenate(seed).view(np.int64), pa.int64()),
+                    pa.array(np.concatenate([none, *at]), pa.int64()),
+                    pa.array(np.concatenate([none.view(np.uint64), *seed]).view(np.int64), pa.int64()),
                     pa.array(own, pa.list_(pa.int64())),
                 ],
                 names=["doc_id", "h", "at", "seed", "tokens"],
             )
 
-    schema = T.StructType([docs.schema["doc_id"], *T._parse_datatype_string("h bigint, at bigint, seed bigint, tokens array<bigint>")])
+    schema = T.StructType([docs.schema["doc_id"], *T.StructType.fromDDL("h bigint, at bigint, seed bigint, tokens array<bigint>")])
     return map_batches(docs.select("doc_id", "h", "text"), run, schema)
 
 
@@ -188,7 +199,7 @@ def _segments(at: list[int], tokens: list[list[int]]) -> list[list[int]]:
             out.append(list(t))
         else:
             out[-1] += t[end - a :]
-        end = a + LEAST
+        end = a + len(t)
     return out
 
 
@@ -196,7 +207,7 @@ def _tiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         covered, tiles = [], []
         for item, hits in zip(batch.column("item").to_pylist(), batch.column("hits").to_pylist()):
-            found = tile(item, _segments([x["at"] for x in hits], [x["tokens"] for x in hits]))
+            found = tile(item, _segments([x["at"] for x in hits], [x["tokens"] for x in hits]), least_of(len(item)))
             covered.append(sum(found))
             tiles.append(len(found))
         names = ["doc_id", "h", "item_id", "n"]
@@ -214,15 +225,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     """doc_id, h (hash of the text), item_id, item_tokens, covered, tiles, coverage of the
     pairs whose coverage reaches the threshold.
 
-    Rows of equal id and text are one document. NULL and empty texts match nothing; nor
-    do items of fewer than five tokens. Items of one id, or with a NULL id, are told apart by
-    their tokens, documents by their text.
+    Rows of equal id and text are one document. NULL and empty texts match nothing. An item
+    of fewer than five tokens is in every document where all of them stand together, however
+    common they are: leave out of the benchmark what is no evidence. Items of one id, or with
+    a NULL id, are told apart by their tokens, documents by their text.
     An empty benchmark gives no rows.
     """
     # an id can be NULL or repeat: the tokens' hash tells its rows apart
     items = keep(seeds(benchmark).withColumn("passage", F.xxhash64("tokens")))
     seed = items.select("item_id", "passage", F.explode("seeds").alias("seed")).distinct()
-    found = suspects(keyed(docs, id_col, text_col), bitmap(seed, "seed"))
+    sizes = items.select(F.least(F.size("tokens"), F.lit(LEAST)).alias("n")).where("n > 0").distinct()
+    sizes = sorted(r["n"] for r in sizes.collect())  # five at most
+    found = suspects(keyed(docs, id_col, text_col), bitmap(seed, "seed"), sizes)
     hits = keep(found.join(seed.withColumnRenamed("seed", "s"), F.col("seed") == F.col("s")).drop("s", "seed"))
     groups = hits.groupBy("doc_id", "h", "item_id", "passage").agg(F.collect_set(F.struct("at", "tokens")).alias("hits"))
     item = items.select(F.col("item_id").alias("i"), F.col("passage").alias("p"), F.col("tokens").alias("item"), F.size("tokens").cast("long").alias("n")).distinct()

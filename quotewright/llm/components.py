@@ -131,7 +131,7 @@ def sized(df: DataFrame, most: int = 1_000_000) -> DataFrame:
 
 def carried_components(
     indexes: Iterable[DataFrame],
-    prepare: Callable[[DataFrame], tuple[Callable[[DataFrame], DataFrame], DataFrame]],
+    prepare: Callable[[DataFrame], tuple[Callable[[DataFrame], DataFrame], DataFrame | None]],
     alike: Callable[[list[Column], list[Column]], Column],
     spark: SparkSession,
     salt: int = 4096,
@@ -141,7 +141,8 @@ def carried_components(
     the next nothing, and only one index is shuffled at a time.
 
     ``prepare`` gets the nodes of buckets that still hold several components and returns
-    the verification of pairs (a, b, ...) and a table (node, sketch columns) for ``alike``.
+    the verification of pairs (a, b, ...) and a table (node, sketch columns) for ``alike``;
+    with no such table (None) the nodes themselves are what ``alike`` compares.
     """
     roots = spark.createDataFrame([], "node bigint, root bigint")
     for index in indexes:
@@ -168,21 +169,25 @@ def _with_links(roots, index, prepare, alike, salt) -> DataFrame:
     if live.isEmpty():
         return roots
     verify, sketches = prepare(live.select("node").distinct())
-    names = [c for c in sketches.columns if c != "node"]
+    names = [c for c in sketches.columns if c != "node"] if sketches else []
     star = live.where("root <> rep_root").select(
         F.col("node").alias("a"), F.col("rep").alias("b"), F.col("root").alias("ra"), F.col("rep_root").alias("rb")
     )
-    sides = [sketches.select(F.col("node").alias(f"{x}_node"), *(F.col(c).alias(f"{x}_{c}") for c in names)) for x in "ab"]
-    star = star.distinct().join(sides[0], F.col("a") == F.col("a_node")).join(sides[1], F.col("b") == F.col("b_node"))
-    star = star.where(alike(*([F.col(f"{x}_{c}") for c in names] for x in "ab"))).select("a", "b", "ra", "rb")
+    if sketches:
+        sides = [sketches.select(F.col("node").alias(f"{x}_node"), *(F.col(c).alias(f"{x}_{c}") for c in names)) for x in "ab"]
+        star = star.distinct().join(sides[0], F.col("a") == F.col("a_node")).join(sides[1], F.col("b") == F.col("b_node"))
+        star = star.where(alike(*([F.col(f"{x}_{c}") for c in names] for x in "ab"))).select("a", "b", "ra", "rb")
+    else:
+        star = star.where(alike([F.col("a")], [F.col("b")])).distinct()
     joined = keep(components(verify(star).select(F.col("ra").alias("a"), F.col("rb").alias("b"))))
 
     left = keep(_mapped(_mapped(live.where("n > 2"), "root", joined), "rep_root", joined).where("node <> rep"))
     minor = left.where("root <> rep_root")
     if not minor.isEmpty():
-        drawn = sketches.withColumnRenamed("node", "d_node")
-        left = left.join(drawn, left["node"] == drawn["d_node"]).drop("d_node").withColumn("blocks", F.ceil(F.col("n") / salt))
-        left = keep(left)
+        if sketches:
+            drawn = sketches.withColumnRenamed("node", "d_node")
+            left = left.join(drawn, left["node"] == drawn["d_node"]).drop("d_node")
+        left = keep(left.withColumn("blocks", F.ceil(F.col("n") / salt)))
         keys = minor.select("key").distinct()
         other = left.join(keys, "key", "left_semi").select(
             F.col("key").alias("o_key"), F.col("node").alias("b"), F.col("root").alias("rb"),
@@ -193,7 +198,8 @@ def _with_links(roots, index, prepare, alike, salt) -> DataFrame:
             F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("salt"), *(F.col(c).alias(f"a_{c}") for c in names),
         )
         meet = (minor["key"] == other["o_key"]) & (minor["salt"] == other["o_salt"]) & (minor["ra"] != other["rb"])
-        meet = meet & alike([minor[f"a_{c}"] for c in names], [other[f"b_{c}"] for c in names])
+        compared = [[minor[f"a_{c}"] for c in names], [other[f"b_{c}"] for c in names]] if sketches else [[minor["a"]], [other["b"]]]
+        meet = meet & alike(*compared)
         ordered = F.when(F.col("a") < F.col("b"), F.struct("a", "b", "ra", "rb")).otherwise(
             F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("rb").alias("ra"), F.col("ra").alias("rb"))
         )

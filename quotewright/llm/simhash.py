@@ -5,6 +5,13 @@ most one. Each segment is indexed with every one of its bits as a wildcard (64 v
 in all), so two fingerprints that may link share an indexed variant; an equality join
 finds them and the differing bits are counted. Copies are one fingerprint before any
 join, and groups of near copies are linked by ``bucket_components`` without all pairs.
+
+A variant has about 20 free bits, so its bucket grows with the corpus. From ``DEEP``
+fingerprints on, a second, equal way is cheaper: where a segment has a wrong bit, at most
+three others are wrong, so of four pieces of the rest one agrees (of five, where the segment
+has none), and a variant takes the piece as well: 31 free bits, about 270 variants. The
+segments then follow one another with the components carried on, so that the variants of
+one of them are shuffled at a time.
 """
 
 from __future__ import annotations
@@ -20,10 +27,12 @@ from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
 from quotewright.llm.arrow import map_batches, narrow, parts, with_columns
-from quotewright.llm.components import bucket_components, rooted
+from quotewright.llm.components import bucket_components, carried_components, rooted
 from quotewright.session import keep
 
 BITS, DISTANCE, SHINGLE, SEED = 64, 4, 4, 42
+# fingerprints from which on a fourfold index costs less than the pairs in its buckets
+DEEP = 1 << 28
 _SHIFTS = np.arange(8, dtype=np.uint64)[:, None]
 _LOW = np.uint64(0x0101010101010101)
 
@@ -63,29 +72,72 @@ def fingerprints(rows: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return map_batches(rows, run, schema)
 
 
+def segments(distance: int = DISTANCE) -> list[tuple[int, int]]:
+    """First bit and end of each segment: with so many, one differs by at most one bit."""
+    n = distance // 2 + 1
+    if n < 2:
+        raise ValueError("two segments at least: the distance has to be 2 or more")
+    edges = [BITS * k // n for k in range(n + 1)]
+    return list(zip(edges, edges[1:]))
+
+
 def variants(fp: Column, distance: int = DISTANCE) -> Column:
     """The indexed variants, a long each: for every bit of the fingerprint its place,
     and below it its segment's value without the bit."""
-    n = distance // 2 + 1  # segments: with so many, one differs by at most one bit
-    edges = [BITS * k // n for k in range(n + 1)]
-    if n < 2:
-        raise ValueError("two segments at least: the distance has to be 2 or more")
     keys = []
-    for low, high in zip(edges, edges[1:]):
+    for low, high in segments(distance):
         for bit in range(low, high):
             mask = ((1 << (high - low)) - 1) & ~(1 << (bit - low))
             keys.append(F.shiftrightunsigned(fp, low).bitwiseAND(F.lit(mask)).bitwiseOR(F.lit(bit << 40)))
     return F.array(*keys)
 
 
-def linked(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """fp, root: the smallest fingerprint reachable from each of ``prints``."""
+def deep_variants(fp: Column, low: int, high: int, distance: int = DISTANCE) -> Column:
+    """The variants of one segment, each with a piece of the other bits: the whole segment
+    with one of ``distance + 1`` pieces, and the segment without one of its bits with one of
+    ``distance`` pieces. A long holds the segment below, the piece above it, and on top which
+    of them it is."""
+    size, others = high - low, BITS - (high - low)
+    own = F.shiftrightunsigned(fp, low).bitwiseAND(F.lit((1 << size) - 1))
+    rest = fp.bitwiseAND(F.lit((1 << low) - 1))
+    if high < BITS:
+        rest = rest.bitwiseOR(F.shiftleft(F.shiftrightunsigned(fp, high), low))
+
+    def keys(segment: Column, pieces: int, kind: int) -> list[Column]:
+        ends = [others * k // pieces for k in range(pieces + 1)]
+        cut = [F.shiftrightunsigned(rest, a).bitwiseAND(F.lit((1 << (b - a)) - 1)) for a, b in zip(ends, ends[1:])]
+        tops = [(kind * (distance + 1) + k) << 48 for k in range(pieces)]
+        return [segment.bitwiseOR(F.shiftleft(c, 32)).bitwiseOR(F.lit(top)) for c, top in zip(cut, tops)]
+
+    out = keys(own, distance + 1, 0)
+    for bit in range(size):
+        out += keys(own.bitwiseAND(F.lit(((1 << size) - 1) & ~(1 << bit))), distance, 1 + bit)
+    return F.array(*out)
+
+
+def linked(prints: DataFrame, distance: int = DISTANCE, deep: int = DEEP) -> DataFrame:
+    """fp, root: the smallest fingerprint reachable from each of ``prints``. From ``deep``
+    different fingerprints on by ``deep_variants``: the same components."""
     own = keep(prints.groupBy("fp").agg(F.count("*").alias("weight")))
+    if own.count() >= deep:
+        indexes = (
+            own.select(F.col("fp").alias("node"), "weight", F.explode(deep_variants(F.col("fp"), low, high, distance)).alias("key"))
+            for low, high in segments(distance)
+        )
+        alike = lambda a, b: F.bit_count(a[0].bitwiseXOR(b[0])) <= distance
+        roots = carried_components(indexes, lambda live: (lambda pairs: pairs, None), alike, prints.sparkSession)
+        return keep(_least_of_root(rooted(own.select("fp"), roots, "fp", "root")))
     nodes = own.select(F.col("fp").alias("node"), "weight").withColumn("keys", variants(F.col("node"), distance))
     close = lambda a, b: F.bit_count(a.bitwiseXOR(b)) <= distance
     return keep(rooted(own.select("fp"), bucket_components(nodes, close), "fp", "root"))
 
 
+def _least_of_root(prints: DataFrame) -> DataFrame:
+    """Carried roots name a component by any of its fingerprints: here by the smallest."""
+    least = prints.groupBy("root").agg(F.min("fp").alias("least")).withColumnRenamed("root", "r")
+    return prints.join(least, prints["root"] == least["r"]).select("fp", F.col("least").alias("root"))
+
+
 def _of_component(prints: DataFrame, roots: DataFrame, value: Column) -> DataFrame:
     """The least ``value`` (an aggregate's argument) of each component, as ``least``, by
     every fingerprint ``f`` of it. Copies combine by fingerprint first."""

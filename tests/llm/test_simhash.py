@@ -6,6 +6,9 @@ import re
 import pytest
 import xxhash
 
+from pyspark.sql import functions as F
+
+from quotewright.llm import simhash
 from quotewright.llm.simhash import near_duplicates, one_per_group
 
 
@@ -76,3 +79,55 @@ def test_one_row_of_each_component_stays(frame, rows):
 def test_empty_table(frame, rows):
     docs = frame([(*r, "en", "s") for r in rows[:2]]).limit(0)
     assert near_duplicates(docs).collect() == [] and one_per_group(docs).collect() == []
+
+
+def test_deep_variants_share_a_key_within_the_distance(spark):
+    """Pairs that differ by up to the distance share a key of some segment, in every way the
+    bits may fall; and the deep way gives the components of the other."""
+    rng = random.Random(6)
+    for distance in (2, 4, 5):
+        pairs = []
+        for _ in range(700):
+            a = rng.getrandbits(64)
+            b = a
+            for bit in rng.sample(range(64), rng.randrange(distance + 1)):
+                b ^= 1 << bit
+            pairs.append([x - (1 << 64) if x >> 63 else x for x in (a, b)])
+        df = spark.createDataFrame(pairs, "a long, b long")
+        shared = [
+            F.arrays_overlap(*(simhash.deep_variants(F.col(c), low, high, distance) for c in "ab")) for low, high in simhash.segments(distance)
+        ]
+        assert df.where(F.array_contains(F.array(*shared), True)).count() == len(pairs)
+        apart = spark.createDataFrame([(a, (a ^ rng.getrandbits(63))) for a, _ in pairs], "a long, b long")
+        assert apart.where(F.array_contains(F.array(*shared), True)).count() < 40
+
+
+def test_deep_way_gives_the_same_components(spark):
+    rng = random.Random(7)
+    prints = []
+    for _ in range(30):
+        a = rng.getrandbits(64)
+        for _ in range(rng.randrange(1, 25)):  # chains of near prints, some out of reach
+            prints += [a] * rng.randrange(1, 3)
+            for bit in rng.sample(range(64), rng.randrange(1, 7)):
+                a ^= 1 << bit
+    prints = [x - (1 << 64) if x >> 63 else x for x in prints + [0, 1, (1 << 64) - 1]]
+    df = spark.createDataFrame([(x,) for x in prints], "fp long")
+    deep, flat = ({r.fp: r.root for r in simhash.linked(df, deep=n).collect()} for n in (0, 1 << 40))
+    assert len(flat) == len(set(prints)) and len(set(flat.values())) < len(flat) - 50
+
+    group = {x: x for x in prints}
+    for a in group:
+        for b in group:
+            if ((a ^ b) & ((1 << 64) - 1)).bit_count() <= 4 and group[a] != group[b]:
+                old, new = sorted((group[a], group[b]), reverse=True)
+                group = {k: new if g == old else g for k, g in group.items()}
+    assert deep == flat == group
+
+
+def test_whole_operator_the_deep_way(frame, rows, monkeypatch):
+    docs = frame([(*r, "en", "s") for r in rows])
+    flat = sorted(map(str, near_duplicates(docs).collect()))
+    monkeypatch.setattr(simhash.linked, "__defaults__", (4, 0))
+    assert sorted(map(str, near_duplicates(docs).collect())) == flat
+    assert near_duplicates(docs.limit(0)).collect() == []

@@ -25,8 +25,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the labelled documents outside the held-out fold."""
-    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"), bucket_of(F.col("doc_id"), 4) != 2)
-    return toxicity.score(docs, model).where(~F.col("rejected")).select("row.*")
+    found = toxicity.judged(docs, _table(spark, sf_dir, "labels"), bucket_of(F.col("doc_id"), 4) != 2)
+    return found.where(~F.col("rejected")).select("row.*")
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -51,9 +51,9 @@ def op8_toxicity(spark, sf):
     from quotewright.llm import toxicity
     from quotewright.llm.arrow import bucket_of
 
-    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
-    model = toxicity.fit(docs, table(spark, sf, "labels"), bucket_of(F.col("doc_id"), 4) != 2)
-    found = toxicity.score(docs.select("doc_id", "lang", "text"), model).select("row.doc_id", "score", "rejected")
+    learn = bucket_of(F.col("doc_id"), 4) != 2
+    found = toxicity.judged(table(spark, sf, "documents"), table(spark, sf, "labels"), learn, ["doc_id"])
+    found = found.select("row.doc_id", "score", "rejected")
     held = bucket_of(F.col("doc_id"), 4) == 2
     return found.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "rejected")
 

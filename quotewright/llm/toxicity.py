@@ -11,7 +11,7 @@ not train. The language chooses a threshold; it never enters a score.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from itertools import chain
 from zlib import crc32
@@ -19,11 +19,14 @@ from zlib import crc32
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotewright.llm.arrow import WordCache, map_batches, narrow, parts, with_columns
+from quotewright.llm.components import sized
 from quotewright.llm.sampling import order_of, per_class
+from quotewright.session import keep
 
 THRESHOLD = 0.3
 GRID = np.round(np.arange(0.05, 0.951, 0.05), 2)
@@ -94,9 +97,10 @@ def _marked(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
     return marked.groupBy("doc_id").agg((F.max("label") > 0).cast("int").alias("label"))
 
 
-def sample_words(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int, words: dict, id_col="doc_id", text_col="text", lang_col="lang", label_col="toxic"):
+def sample_words(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int, words: dict, bytes_per_label: int = 64 << 20, id_col="doc_id", text_col="text", lang_col="lang", label_col="toxic"):
     """Order, words, label and language of about ``per_label`` labelled rows a class,
-    one row an id."""
+    one row an id, and of at most ``bytes_per_label`` of texts a class; a text of over a
+    twentieth of that is not learned from."""
     marked = _marked(labels, id_col, label_col)
     rows = narrow(docs.where(learn), doc_id=id_col, text=text_col, lang=lang_col)
     chosen, counts = per_class(marked.join(rows.select("doc_id"), "doc_id"), "label", per_label, "doc_id")
@@ -108,12 +112,18 @@ def sample_words(docs: DataFrame, labels: DataFrame, learn: Column, per_label: i
             ids = [split.of(t.as_py()) for t in batch.column("text")]
             yield with_columns(batch, ["_order", "label", "lang"], ids=pa.array(ids, pa.list_(pa.int64())))
 
-    sample = rows.join(chosen, "doc_id").dropDuplicates(["doc_id"]).select("_order", "label", "lang", "text")
+    # the sample is small: it is broadcast to the texts, which are not shuffled for it
+    sample = rows.join(sized(keep(chosen)), "doc_id").dropDuplicates(["doc_id"])
+    sample = keep(sample.withColumn("bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")))
+    so_far = F.sum("bytes").over(W.partitionBy("label").orderBy("_order", "doc_id").rowsBetween(W.unboundedPreceding, 0))
+    fit = sample.select("doc_id", "label", "_order", "bytes").where(F.col("bytes") * 20 <= bytes_per_label)
+    fit = fit.withColumn("so_far", so_far).where(F.col("so_far") <= bytes_per_label).select("doc_id")
+    sample = sample.join(fit, "doc_id", "left_semi").select("_order", "label", "lang", "text")
     out = map_batches(sample, cut, "_order bigint, label int, lang string, ids array<bigint>")
     return out.toArrow().sort_by([("_order", "ascending"), ("label", "ascending")]), counts
 
 
-def fit(
+def train(
     docs: DataFrame,
     labels: DataFrame,
     learn: Column,
@@ -126,11 +136,11 @@ def fit(
     epochs: int = 4,
     rate: float = 0.05,
     **columns: str,
-) -> ToxicityModel:
-    """Train on about ``per_label`` rows of each class (the bound of the sample); the
-    thresholds come from all labelled rows (``score_counts``, ``thresholds``). With no
-    labelled rows of one class the score is the same for all texts: 0 without any
-    positive row, and 1 without any negative one."""
+) -> tuple[ToxicityModel, np.ndarray | None]:
+    """A model without thresholds from about ``per_label`` rows of each class (the bound of
+    the sample), and the hashes of the ids that trained. With no labelled rows of one class
+    there are none, and the score is the same for all texts: 0 without any positive row,
+    and 1 without any negative one."""
     data, counts = sample_words(docs, labels, learn, per_label, {"buckets": buckets, "stem": stem}, **columns)
     y = np.array(data.column("label").to_pylist(), np.int64)
     ids = [np.asarray(x.values) for x in data.column("ids")]
@@ -146,7 +156,7 @@ def fit(
     )
     if len(set(y.tolist())) < 2:
         model.scale, model.shift = 0.0, 30.0 if len(y) and y[0] else -30.0
-        return model
+        return model, None
     part = np.arange(len(y)) % 5
     first = part < 3 if len({*y[part < 3].tolist()}) > 1 else part < 5
     _log_odds(model, [ids[i] for i in np.flatnonzero(first)], y[first])
@@ -156,8 +166,17 @@ def fit(
     # rows of a class stand for as many rows as the class has
     weight = np.array([counts.get(int(c), 1) / max(1, (y == c).sum()) for c in (0, 1)])[y[check]]
     model.scale, model.shift = _platt(logits, y[check], weight)
-    order = data.column("_order").to_numpy()
-    model.thresholds = thresholds(score_counts(docs, labels, learn, model, order[part != 4], **columns))
+    return model, data.column("_order").to_numpy()[part != 4]
+
+
+def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col="doc_id", text_col="text", lang_col="lang", label_col="toxic", **settings) -> ToxicityModel:
+    """``train``, with thresholds from the scores of all labelled rows (``score_counts``,
+    ``thresholds``): a model for other documents. ``judged`` scores those it learns from
+    once only."""
+    columns = {"id_col": id_col, "text_col": text_col, "lang_col": lang_col, "label_col": label_col}
+    model, trained = train(docs, labels, learn, **columns, **settings)
+    if trained is not None:
+        model.thresholds = thresholds(score_counts(docs, labels, learn, model, trained, **columns))
     return model
 
 
@@ -165,23 +184,67 @@ def score_counts(docs: DataFrame, labels: DataFrame, learn: Column, model: Toxic
     """Rows (lang, label, trained, step, n) over all labelled rows with a language: how many
     scores reach so many steps of ``GRID``. ``trained``: hashes of the ids that trained.
     Texts are scored where they lie; only ids and steps meet the labels."""
+    known = docs.where(learn & F.col(f"`{id_col}`").isNotNull() & F.col(f"`{lang_col}`").isNotNull())
+    return step_counts(scores(known, F.lit(True), model, trained, [], id_col, text_col, lang_col), labels, id_col, label_col)
+
+
+def step_counts(scored: DataFrame, labels: DataFrame, id_col="doc_id", label_col="toxic") -> list:
+    """The counts of ``score_counts`` over ``scores``: a row for each language, label and step."""
+    rows = scored.where("learnable and doc_id is not null and lang is not null").select("doc_id", "lang", "trained", "step")
+    joined = rows.join(_marked(labels, id_col, label_col), "doc_id")
+    return joined.groupBy("lang", "label", "trained", "step").agg(F.count("*").alias("n")).collect()
+
+
+def scores(docs: DataFrame, learn: Column, model: ToxicityModel, trained: np.ndarray, columns: Sequence[str], id_col="doc_id", text_col="text", lang_col="lang") -> DataFrame:
+    """row (a struct of ``columns``, left out if there are none), doc_id, lang, learnable,
+    trained, step (how many steps of ``GRID`` the score reaches), score: one narrow pass over
+    whole texts. ``trained``: hashes of the ids that trained."""
     shared = docs.sparkSession.sparkContext.broadcast((model, np.unique(trained)))
+    whole = text_col in columns  # then the text is in the row and not sent twice
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, known = shared.value
         split = Words(len(m.word), m.prefix)
-        for batch in parts(batches, "text"):
-            found = np.array([m.score(split.of(t.as_py())) for t in batch.column("text")])
+        for batch in parts(batches, "row" if whole else "text"):
+            texts = batch.column("row").field(text_col) if whole else batch.column("text")
+            found = np.array([m.score(split.of(t.as_py())) for t in texts])
             step = pa.array(np.searchsorted(GRID, found, side="right").astype(np.int32))
             own = pa.array(np.isin(batch.column("_order").to_numpy(), known))
-            yield with_columns(batch, ["doc_id", "lang"], trained=own, step=step)
+            yield with_columns(batch, kept, trained=own, step=step, score=pa.array(found, pa.float64()))
+
+    rows = docs.select(
+        *([F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row")] if columns else []),
+        F.col(f"`{id_col}`").alias("doc_id"),
+        F.col(f"`{lang_col}`").alias("lang"),
+        F.coalesce(learn, F.lit(False)).alias("learnable"),
+        *([] if whole else [F.col(f"`{text_col}`").alias("text")]),
+    ).withColumn("_order", order_of("doc_id"))
+    kept = [c for c in rows.columns if c not in ("text", "_order")]
+    schema = T.StructType([*(rows.schema[c] for c in kept), *T.StructType.fromDDL("trained boolean, step int, score double")])
+    return map_batches(rows, run, schema)
 
-    rows = narrow(docs.where(learn), doc_id=id_col, text=text_col, lang=lang_col)
-    rows = rows.where("doc_id is not null and lang is not null").withColumn("_order", order_of("doc_id"))
-    schema = T.StructType([rows.schema["doc_id"], *T._parse_datatype_string("lang string, trained boolean, step int")])
-    scored = map_batches(rows, run, schema)
-    joined = scored.join(_marked(labels, id_col, label_col), "doc_id")
-    return joined.groupBy("lang", "label", "trained", "step").agg(F.count("*").alias("n")).collect()
+
+def judged(docs: DataFrame, labels: DataFrame, learn: Column, columns: Sequence[str] | None = None, id_col="doc_id", text_col="text", lang_col="lang", label_col="toxic", **settings) -> DataFrame:
+    """``columns`` of ``docs`` (all if None) as a struct ``row``, with ``score`` (0 to 1) and
+    ``rejected`` (score at or above its language's threshold), by a model that learns from
+    those rows of ``docs`` that ``learn`` selects.
+
+    Every text is scored once: the rows and their scores are written, the thresholds are
+    counted from the scores, and then decide. NULL and empty texts score what a text
+    without words scores; rows of no language, or one without labels, have the threshold
+    ``THRESHOLD``; repeated rows stay; an empty table gives no rows; other columns may
+    have any name.
+    """
+    names = {"id_col": id_col, "text_col": text_col, "lang_col": lang_col}
+    model, trained = train(docs, labels, learn, **names, label_col=label_col, **settings)
+    wanted = docs.columns if columns is None else list(columns)
+    scored = keep(scores(docs, learn, model, np.zeros(0, np.int64) if trained is None else trained, wanted, **names))
+    limits = {} if trained is None else thresholds(step_counts(scored, labels, id_col, label_col))
+    limit = F.lit(THRESHOLD)
+    if limits:
+        by_language = F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in limits.items()))
+        limit = F.coalesce(F.try_element_at(by_language, F.col("lang")), limit)
+    return scored.select("row", "score", (F.col("score") >= limit).alias("rejected"))
 
 
 def thresholds(counts: list) -> dict[str, float]:

@@ -115,6 +115,45 @@ def test_toxicity_of_held_out_texts(spark, frame, toxic):
     assert {round(r.score, 6) for r in toxicity.score(docs.limit(5), none).collect()} == {0.0}
 
 
+def test_scoring_once_is_fitting_and_scoring(spark, frame, toxic):
+    """``judged`` gives the rows, scores and verdicts of ``fit`` and ``score``."""
+    rows, labels = toxic
+    odd = [(2000 + i if i else None, t, [None, "en", "fr"][i % 3], "s") for i, t in enumerate(ODD)] + [(5, rows[5][1], "en", "s")] * 2
+    docs = frame(rows + odd)
+    marked = spark.createDataFrame(labels, "doc_id long, toxic int, text string")
+    learn = bucket_of(F.col("doc_id"), 4) != 2
+    settings = {"per_label": 200, "buckets": 1 << 12}
+    expected = toxicity.score(docs, toxicity.fit(docs, marked, learn, **settings))
+    found = toxicity.judged(docs, marked, learn, **settings)
+    assert found.select("row.*").columns == docs.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+    ids = toxicity.judged(docs, marked, learn, ["doc_id"], **settings)
+    assert ids.select("row.*").columns == ["doc_id"]
+    assert sorted(map(str, ids.select("row.doc_id", "score", "rejected").collect())) == sorted(
+        map(str, expected.select("row.doc_id", "score", "rejected").collect())
+    )
+    for labelled, score in ((marked.limit(0), 0.0), (marked.where("toxic = 1"), 1.0)):
+        flat = toxicity.judged(docs, labelled, learn, **settings).select("score", "rejected").distinct().collect()
+        assert [(round(r.score, 6), r.rejected) for r in flat] == [(score, score > 0.5)]
+    assert toxicity.judged(docs.limit(0), marked, learn, **settings).collect() == []
+
+
+def test_bytes_of_a_sample_are_bounded(spark, frame, toxic):
+    rows, labels = toxic
+    huge = [(5000, "word " * 60_000, "en", "s")]
+    docs = frame(rows + huge)
+    marked = spark.createDataFrame([*labels, (5000, 1, "")], "doc_id long, toxic int, text string")
+    size = {i: len(t) for i, t, *_ in rows + huge}
+    for most in (20_000, 200_000, 64 << 20):
+        data, _ = toxicity.sample_words(docs, marked, F.lit(True), 5000, {"buckets": 1 << 12, "stem": 5}, most)
+        # words are three letters and a blank at least
+        for label in (0, 1):
+            words = sum(len(x) for x, y in zip(data.column("ids").to_pylist(), data.column("label").to_pylist()) if y == label)
+            own = [size[i] for i, y, _ in [*labels, (5000, 1, "")] if y == label and size[i] * 20 <= most]
+            assert 0 < words * 2 <= most
+            assert sum(own) > most or data.column("label").to_pylist().count(label) == len(own)
+
+
 def test_long_texts_score_in_slices_as_whole(monkeypatch):
     rng = np.random.default_rng(1)
     model = toxicity.ToxicityModel(

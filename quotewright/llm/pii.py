@@ -291,7 +291,7 @@ def scan(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
             yield with_columns(batch, ["doc_id"], found=pa.array(found, fields))
 
     rows = narrow(docs, doc_id=id_col, text=text_col)
-    schema = T.StructType([rows.schema["doc_id"], *T._parse_datatype_string(f"found array<struct<{_FOUND.replace(' ', ':').replace(',:', ',')}>>")])
+    schema = T.StructType([rows.schema["doc_id"], *T.StructType.fromDDL(f"found array<struct<{_FOUND.replace(' ', ':').replace(',:', ',')}>>")])
     return map_batches(rows, run, schema)
 
 
@@ -333,5 +333,5 @@ def personal_data(docs: DataFrame, **columns: str) -> tuple[DataFrame, SpanModel
             yield with_columns(batch, ["doc_id"], **new, base_sha256=pa.array(digests), spans=pa.array(spans, pa.string()))
 
     fields = ", ".join(f"n_{k} bigint" for k in BASE) + ", base_sha256 string, spans string"
-    schema = T.StructType([found.schema["doc_id"], *T._parse_datatype_string(fields)])
+    schema = T.StructType([found.schema["doc_id"], *T.StructType.fromDDL(fields)])
     return map_batches(found, run, schema), model

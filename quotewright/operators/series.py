@@ -10,19 +10,36 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotewright.functions.columns import simple_return
-from quotewright.session import keep
+from quotewright.session import finished, keep
+
+
+# rows of a range at most, about (ranges are cut by a sample), and of a written file: Spark
+# counts a file as 4 MB at least when it packs files into tasks, so this bounds a task's rows
+RANGE_ROWS = 500_000
+FILE_ROWS = 125_000
+_SLICE_BITS = 16
 
 
 def _ranges(df: DataFrame, key: str, order: str, ties: Sequence[str], ranges: int | None) -> DataFrame:
     """The rows with ``_part``, their range in the order (key, order, ties), written once.
 
-    A hot series, a hot day and many copies of one row all spread over ranges: copies are
-    told apart by the task that read them, which a repeated task does not change.
+    There are at least ``ranges`` ranges (or as many as a shuffle has), and more where these
+    would hold over ``RANGE_ROWS`` rows. A hot series, a hot day and many copies of one row
+    all spread over ranges: copies are told apart by the task that read them and their block
+    of rows in it, which are written before the ranges are cut.
     """
     by = [key, order, *ties, "_slice"]
-    sliced = df.withColumn("_slice", F.spark_partition_id())
-    placed = sliced.repartitionByRange(ranges, *by) if ranges else sliced.repartitionByRange(*by)
-    return keep(placed.withColumn("_part", F.spark_partition_id()).drop("_slice"))
+
+    def make() -> DataFrame:
+        sliced = df.withColumn("_slice", F.shiftright(F.monotonically_increasing_id(), _SLICE_BITS))
+        sliced = keep(sliced, FILE_ROWS)
+        needed = -(-sliced.count() // RANGE_ROWS)
+        least = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        n = max(least, needed) if ranges or needed > least else None
+        placed = sliced.repartitionByRange(n, *by) if n else sliced.repartitionByRange(*by)
+        return placed.withColumn("_part", F.spark_partition_id()).drop("_slice")
+
+    return finished(df.sparkSession, make, FILE_ROWS)
 
 
 def _before(placed: DataFrame, key: str, order: str, ties: Sequence[str], window: int) -> DataFrame:
@@ -79,14 +96,17 @@ def returns(
     so copies are contiguous and the result is the same on every run. A row without a date
     is kept; it has no previous row and is none.
 
-    All rows take one path. They are cut into ranges of the whole order (``ranges``, or
-    as many as a shuffle has), and every range of a series gets the ``window`` rows before
+    All rows take one path. They are cut into ranges of the whole order (``ranges`` at least,
+    or as many as a shuffle has; more where they would be large), and every range of a series gets the ``window`` rows before
     it: a return looks back one row and a volatility ``window - 1`` returns, so each range
     is computed apart and exactly, however long the series, its days or its copies.
     """
     ties = sorted(f.name for f in df.schema if f.name not in (key, order) and not isinstance(f.dataType, T.MapType))
     placed = _ranges(df, key, order, ties, ranges)
     rows = placed.withColumn("_own", F.lit(True)).unionByName(_before(placed, key, order, ties, window))
+    # a task computes one range; the series within it need no further shuffle
+    last = placed.agg(F.max("_part")).first()[0]
+    rows = rows.repartitionById((last or 0) + 1, "_part")
     dated = F.col(order).isNotNull()
     # the rows before a range come first among equals
     series = W.partitionBy(key, "_part", dated).orderBy(order, *ties, "_own")

@@ -125,27 +125,28 @@ def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
                     spark.conf.set(_CLEANUP, state[1])
 
 
-def keep(df: DataFrame) -> DataFrame:
+def keep(df: DataFrame, file_rows: int = 0) -> DataFrame:
     """Write an intermediate that several branches read, and read it back: it is
     computed once, and a lost executor costs only its own tasks. The shuffle files of the
-    writing are dropped when it is done, not when the driver next collects garbage."""
-    return _write(df, new_folder(df.sparkSession))
+    writing are dropped when it is done, not when the driver next collects garbage.
+    ``file_rows``, where given, are a file's rows at most."""
+    return _write(df, new_folder(df.sparkSession), file_rows)
 
 
-def _write(df: DataFrame, folder: str) -> DataFrame:
+def _write(df: DataFrame, folder: str, file_rows: int = 0) -> DataFrame:
     spark = df.sparkSession
     with _shuffles_dropped(spark):
-        df.write.parquet(folder)
+        (df.write.option("maxRecordsPerFile", file_rows) if file_rows else df.write).parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
-def finished(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
+def finished(spark: SparkSession, make: Callable[[], DataFrame], file_rows: int = 0) -> DataFrame:
     """What ``make`` returns, written and read back; then every folder that ``keep`` made for
     it is deleted, also if it fails. Only its result stays, in the scope around this one."""
     folder, made = new_folder(spark), []
     token = _scope.set(made)
     try:
-        return _write(make(), folder)
+        return _write(make(), folder, file_rows)
     finally:
         _scope.reset(token)
         for each in made:

@@ -179,6 +179,31 @@ def test_a_hot_series_is_spread_over_tasks(spark):
     assert sorted(r["count"] for r in day)[-1] >= 30_000 - 3 and len(day) <= 5
 
 
+@pytest.mark.parametrize("ranges", [None, 1, 7])
+def test_ranges_follow_the_rows(spark, monkeypatch, ranges):
+    """However few ranges are asked for, none is large: neither the tasks that write ranges
+    and files nor those that compute windows; the result is that of one range."""
+    df = spark.range(30_000).select(
+        (F.col("id") % 2).alias("k"), F.expr("date_add(date'1970-01-01', cast(id div 40 as int))").alias("d"),
+        (F.col("id") % 7 + 1).cast("double").alias("v"),
+    ).repartition(3)
+    whole = series.returns(df, "k", "d", "v", window=5, ranges=1)
+    assert whole.select(F.spark_partition_id().alias("p")).distinct().count() == 1
+    monkeypatch.setattr(series, "RANGE_ROWS", 1_000)
+    monkeypatch.setattr(series, "FILE_ROWS", 500)
+    monkeypatch.setattr(series, "_SLICE_BITS", 8)
+    placed = series._ranges(df, "k", "d", ["v"], ranges)
+    sizes = [r["count"] for r in placed.groupBy("_part").count().collect()]
+    assert len(sizes) >= 25 and max(sizes) < 3_000
+    files = placed.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+    assert files <= 500
+    out = series.returns(df, "k", "d", "v", window=5, ranges=ranges)
+    tasks = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(tasks) >= 25 and max(tasks) < 3_000
+    rounded = [df_.select("k", "d", "v", "days_since_prev", F.round("daily_return", 9), F.round("vol_5d_ann", 6)) for df_ in (whole, out)]
+    assert rounded[0].exceptAll(rounded[1]).isEmpty() and rounded[1].exceptAll(rounded[0]).isEmpty()
+
+
 def test_zero_and_missing_prices_do_not_stop_a_series(spark):
     rows = [(1, date(2024, 1, 1), 0.0), (1, date(2024, 1, 2), 5.0), (1, date(2024, 1, 3), None),
             (1, date(2024, 1, 4), 2.0), (1, date(2024, 1, 5), -2.0), (1, date(2024, 1, 6), 4.0)]

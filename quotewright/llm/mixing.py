@@ -18,6 +18,8 @@ held in one row.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -60,43 +62,64 @@ def uniform(*keys: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*keys), 11) / F.lit(float(1 << 53))
 
 
+def named(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once and stands in the plan once, however often
+    ``use`` mentions it: expressions that repeat each other's terms grow the driver's plans
+    by a multiple with every step."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def hypergeometric(total: Column, good: Column, drawn: Column, u: Column) -> Column:
     """How many of ``good`` among ``total`` are in ``drawn`` without replacement, by the
     inverse of the distribution at ``u``. Weights follow from the ratio of neighbouring
     terms, over 12 standard deviations (and 40 more) around the mean."""
-    total, good, drawn = (c.cast("double") for c in (total, good, drawn))
-    mean = F.when(total > 0, drawn * good / total).otherwise(0.0)
-    variance = F.when(total > 1, mean * (1 - good / total) * (total - drawn) / (total - 1)).otherwise(0.0)
-    reach = F.ceil(12 * F.sqrt(F.greatest(variance, F.lit(0.0)))) + 40
-    low = F.greatest(F.lit(0), (drawn + good - total).cast("long"), F.floor(mean) - reach)
-    high = F.greatest(low, F.least(good.cast("long"), drawn.cast("long"), F.floor(mean) + reach))
+    given = {"total": total.cast("double"), "good": good.cast("double"), "drawn": drawn.cast("double"), "u": u}
+    return named(F.struct(*(c.alias(n) for n, c in given.items())), _hypergeometric)
+
+
+def _hypergeometric(given: Column) -> Column:
+    total, good, drawn = (given[c] for c in ("total", "good", "drawn"))
 
     def grown(weight: Column, k: Column) -> Column:
         """The weight of k + 1 from that of k."""
         k = k.cast("double")
         return weight * ((good - k) * (drawn - k)) / ((k + 1) * (total - good - drawn + k + 1))
 
-    steps = F.when(high > low, F.sequence(low, high - 1)).otherwise(F.array().cast("array<bigint>"))
-    first = F.struct(F.lit(1.0).alias("w"), F.lit(1.0).alias("sum"))
+    def bounds(mean: Column) -> Column:
+        variance = F.when(total > 1, mean * (1 - good / total) * (total - drawn) / (total - 1)).otherwise(0.0)
+        reach = F.ceil(12 * F.sqrt(F.greatest(variance, F.lit(0.0)))) + 40
 
-    def add(acc: Column, k: Column) -> Column:
-        w = grown(acc["w"], k)
-        return F.struct(w.alias("w"), (acc["sum"] + w).alias("sum"))
+        def ends(reach: Column) -> Column:
+            low = F.greatest(F.lit(0), (drawn + good - total).cast("long"), F.floor(mean) - reach)
+            most = F.least(good.cast("long"), drawn.cast("long"), F.floor(mean) + reach)
+            return named(low, lambda low: F.struct(low.alias("low"), F.greatest(low, most).alias("high")))
 
-    whole = F.aggregate(steps, first, add, lambda acc: acc["sum"])
-    begin = F.struct(F.lit(1.0).alias("w"), F.lit(1.0).alias("sum"), low.alias("at"))
+        return named(reach, ends)
 
-    def find(goal: Column):
-        def seek(acc: Column, k: Column) -> Column:
-            w = grown(acc["w"], k)
-            at = F.when(acc["sum"] <= goal, k + 1).otherwise(acc["at"])
-            return F.struct(w.alias("w"), (acc["sum"] + w).alias("sum"), at.alias("at"))
+    def found(ends: Column) -> Column:
+        low, high = ends["low"], ends["high"]
+        steps = F.when(high > low, F.sequence(low, high - 1)).otherwise(F.array().cast("array<bigint>"))
+        return named(F.struct(low.alias("low"), steps.alias("steps")), chosen)
 
-        return seek
+    def chosen(over: Column) -> Column:
+        steps = over["steps"]
+        first = F.struct(F.lit(1.0).alias("w"), F.lit(1.0).alias("sum"))
+        begin = F.struct(F.lit(1.0).alias("w"), F.lit(1.0).alias("sum"), over["low"].alias("at"))
 
-    return F.element_at(
-        F.transform(F.array(u * whole), lambda goal: F.aggregate(steps, begin, find(goal), lambda acc: acc["at"])), 1
-    )
+        def add(acc: Column, k: Column) -> Column:
+            return named(grown(acc["w"], k), lambda w: F.struct(w.alias("w"), (acc["sum"] + w).alias("sum")))
+
+        def find(goal: Column):
+            def seek(acc: Column, k: Column) -> Column:
+                at = F.when(acc["sum"] <= goal, k + 1).otherwise(acc["at"])
+                return named(grown(acc["w"], k), lambda w: F.struct(w.alias("w"), (acc["sum"] + w).alias("sum"), at.alias("at")))
+
+            return seek
+
+        whole = F.aggregate(steps, first, add, lambda acc: acc["sum"])
+        return named(given["u"] * whole, lambda goal: F.aggregate(steps, begin, find(goal), lambda acc: acc["at"]))
+
+    return named(F.when(total > 0, drawn * good / total).otherwise(0.0), lambda mean: named(bounds(mean), found))
 
 
 def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
@@ -114,11 +137,11 @@ def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
         def draw(acc: Column, x: Column) -> Column:
             u = uniform(F.lit(seed), F.lit("split"), F.col("low"), F.col("high"), x["rank"])
             k = hypergeometric(acc["total"], x["quota"], acc["drawn"], u).cast("long")
-            return F.struct(
+            return named(k, lambda k: F.struct(
                 (acc["total"] - x["quota"]).alias("total"),
                 (acc["drawn"] - k).alias("drawn"),
                 F.concat(acc["left"], F.array(F.struct(x["rank"].alias("rank"), k.alias("quota")))).alias("left"),
-            )
+            ))
 
         none = F.array().cast("array<struct<rank:int,quota:bigint>>")
         begin = F.struct(F.col("n").alias("total"), to_left.alias("drawn"), none.alias("left"))

@@ -221,6 +221,13 @@ def test_quotas_split_exactly(spark):
         assert sum(total) == 1278 and max(total) - min(total) <= math.ceil(math.log2(max(2, shards)))
 
 
+def test_a_draw_stands_once_in_the_plan(spark):
+    """Terms that mention each other are named: with 16 shards the driver's plan stays small."""
+    df = spark.createDataFrame([(1, 40), (2, 900)], "rank int, quota long")
+    plan = mixing.split_quotas(df, 16, seed=3)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 40_000
+
+
 def test_hypergeometric_draws_follow_the_distribution(spark):
     total, good, drawn, n = 40, 13, 17, 20_000
     u = (F.col("id") + 0.5) / n

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import partial
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quotewright.llm.arrow import map_batches
 from quotewright.session import finished, keep
 
 
@@ -129,6 +132,67 @@ def sized(df: DataFrame, most: int = 1_000_000) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+# entries of an index that a task packs at once
+_ENTRIES = 1 << 19
+
+
+def _ends(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each key once, with its least and its greatest node."""
+    order = np.argsort(key)
+    key, node = key[order], node[order]
+    starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    return key[starts], np.minimum.reduceat(node, starts), np.maximum.reduceat(node, starts)
+
+
+def shared_keys(index: DataFrame) -> DataFrame:
+    """key: the keys that two different nodes or more have in ``index``, whose columns are
+    node and one or more for keys, none of them NULL.
+
+    Nearly all keys are of one node, which a hash aggregate would hold row by row on both
+    sides of the shuffle. So tasks send, for each class of keys, their different keys with
+    two nodes at most as one row of packed numbers, however often a key comes; a class is
+    compared as arrays. Classes are four to a partition.
+    """
+    classes = 4 * int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    at_once = _ENTRIES // (len(index.columns) - 1)
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for node, *keys in _gathered(batches, at_once):
+            key, low, high = _ends(np.concatenate(keys), np.tile(node, len(keys)))
+            several = low != high
+            key, node = np.concatenate((key, key[several])), np.concatenate((low, high[several]))
+            mixed = key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)
+            at = (mixed * np.uint64(classes) >> np.uint64(32)).astype(np.uint16 if classes < 1 << 16 else np.int64)
+            order = np.argsort(at, kind="stable")
+            count = np.bincount(at, minlength=classes)
+            own = np.flatnonzero(count)
+            ends = pa.py_buffer(np.concatenate(([0], np.cumsum(count[own]) * 8)).astype(np.int32))
+            blobs = (pa.Array.from_buffers(pa.binary(), len(own), [None, ends, pa.py_buffer(x[order])]) for x in (key, node))
+            yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int64)), *blobs], names=["class", "keys", "nodes"])
+
+    def shared(table: pa.Table) -> pa.Table:
+        key, node = (np.frombuffer(b"".join(x.as_py() for x in table.column(c)), np.int64) for c in ("keys", "nodes"))
+        key, low, high = _ends(key, node)
+        return pa.table({"key": key[low != high]})
+
+    rows = map_batches(index, packed, "class bigint, keys binary, nodes binary")
+    return rows.groupBy("class").applyInArrow(shared, "key bigint")
+
+
+def _gathered(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """The columns of about ``most`` rows at a time."""
+    held, rows = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            rows += batch.num_rows
+        if rows >= most:
+            yield tuple(map(np.concatenate, zip(*held)))
+            held, rows = [], 0
+    if held:
+        yield tuple(map(np.concatenate, zip(*held)))
+
+
 def carried_components(
     indexes: Iterable[DataFrame],
     prepare: Callable[[DataFrame], tuple[Callable[[DataFrame], DataFrame], DataFrame | None]],
@@ -136,8 +200,8 @@ def carried_components(
     spark: SparkSession,
     salt: int = 4096,
 ) -> DataFrame:
-    """node, root over all verified pairs that share a key in some index (node, weight, key),
-    as ``bucket_components`` finds them, one index after the other: what one has joined costs
+    """node, root over all verified pairs that share a key in some index (node, weight and one
+    or more columns of keys; where a node has a key several times, the weights add up), as ``bucket_components`` finds them, one index after the other: what one has joined costs
     the next nothing, and only one index is shuffled at a time.
 
     ``prepare`` gets the nodes of buckets that still hold several components and returns
@@ -157,9 +221,11 @@ def _mapped(df: DataFrame, column: str, new: DataFrame) -> DataFrame:
 
 
 def _with_links(roots, index, prepare, alike, salt) -> DataFrame:
-    several = index.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    several = sized(keep(several.select(F.col("key").alias("s_key"))))
-    members = index.join(several, index["key"] == several["s_key"]).drop("s_key")
+    keys = [c for c in index.columns if c not in ("node", "weight")]
+    several = sized(keep(shared_keys(index.select("node", *keys)).withColumnRenamed("key", "s_key")))
+    index = index.select("node", "weight", F.explode(F.array(*keys)).alias("key"))
+    members = index.join(several, index["key"] == several["s_key"])
+    members = members.groupBy("node", "key").agg(F.sum("weight").alias("weight"))
     members = keep(rooted(members, roots, "node", "root"))
     rep = F.max_by(F.struct("node", "root"), F.struct("weight", "node")).alias("rep")
     ends = (F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))

@@ -31,19 +31,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from quotewright.llm.arrow import map_batches, narrow, parts, with_columns
+from quotewright.llm.arrow import WordCache, map_batches, narrow, parts, with_columns
 from quotewright.llm.components import carried_components, sized
 from quotewright.session import finished, keep
 
 SHINGLE, BANDS, ROWS, SIMILARITY = 8, 12, 4, 0.8
 BINS = BANDS * ROWS
-# bands whose index is shuffled at once: the first alone, as it joins most lines
-ROUNDS = ((0,), (1, 2, 3), (4, 5, 6, 7, 8, 9, 10, 11))
 SKETCH_WORDS = 16
 _BAND_NAMES = [f"b{i}" for i in range(BANDS)]
 _SKETCH_NAMES = ["places", *(f"s{i}" for i in range(SKETCH_WORDS))]
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+_BASE = 0x100000001B3
 _SKETCH_BINS = 64 * SKETCH_WORDS
 _DONORS = np.random.default_rng(23).integers(0, BINS, (4096, BINS))
 _AT_ONCE = 1 << 20
@@ -65,23 +64,31 @@ def similarity(a: set[str], b: set[str]) -> float:
     return both / (len(a) + len(b) - both)
 
 
+def _windows(c: np.ndarray, size: int) -> np.ndarray:
+    """A polynomial of every run of ``size`` numbers, from those of runs half as long."""
+    if size == 1:
+        return c
+    half = size // 2
+    h = _windows(c, half)
+    h = h[:-half] * np.uint64(pow(_BASE, half, 1 << 64)) + h[half:]
+    return h[:-1] * np.uint64(_BASE) + c[size - 1 :] if size % 2 else h
+
+
 def _hashes(lines: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
-    """A hash of every shingle of the lines, which must not be empty, and its line."""
+    """A hash of every shingle of the lines, which must not be empty, and how many a line has."""
     padded = [x if len(x) >= size else x + "\0" * (size - len(x)) for x in lines]
     c = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    total = len(c) - size + 1
-    h = np.zeros(total, np.uint64)
-    for j in range(size):
-        h *= np.uint64(0x100000001B3)
-        h += c[j : j + total]
-    count = np.array([len(x) - size + 1 for x in padded])
-    line = np.repeat(np.arange(len(lines)), count)
-    h = h[np.arange(len(line)) + line * (size - 1)]
+    length = np.array([len(x) for x in padded])
+    h = _windows(c, size)
+    # runs that begin at a line's last characters would end in the next line
+    own = np.ones(len(h), bool)
+    own[(np.cumsum(length)[:-1, None] - np.arange(1, size)).ravel()] = False
+    h = h[own]
     h ^= h >> np.uint64(31)
     h *= _ODD
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
-    return h, line
+    return h, length - size + 1
 
 
 def _pieces(lines: list[str], size: int) -> Iterator[tuple[list[str], list[int]]]:
@@ -106,9 +113,10 @@ def signatures(lines: list[str], size: int = SHINGLE) -> np.ndarray:
     first filled bin in its own random order."""
     out = np.full(len(lines) * BINS, _EMPTY, np.uint64)
     for pieces, owners in _pieces(lines, size):
-        h, piece = _hashes(pieces, size)
+        h, count = _hashes(pieces, size)
         at = ((h >> np.uint64(32)) * np.uint64(BINS) >> np.uint64(32)).astype(np.int64)
-        np.minimum.at(out, np.array(owners)[piece] * BINS + at, h & np.uint64(0xFFFFFFFF))
+        at += np.repeat(np.array(owners) * BINS, count)
+        np.minimum.at(out, at, h & np.uint64(0xFFFFFFFF))
     out = out.reshape(len(lines), BINS)
     row, col = np.nonzero(out == _EMPTY)
     first = out.copy()
@@ -122,12 +130,26 @@ def signatures(lines: list[str], size: int = SHINGLE) -> np.ndarray:
     return out
 
 
+def parities_of(lines: list[str], size: int = SHINGLE) -> np.ndarray:
+    """For each line the number of its different shingles and, for each class of them (by
+    their hashes), whether it has an odd number: shape (lines, 1 + SKETCH_WORDS)."""
+    h, count = _hashes(lines, size)
+    ends = np.cumsum(count)
+    starts = ends - count
+    for start, end in zip(starts.tolist(), ends.tolist()):
+        h[start:end].sort()
+    new = np.ones(len(h), bool)
+    new[1:] = h[1:] != h[:-1]
+    new[starts] = True
+    line = np.repeat(np.arange(len(lines)), count)[new]
+    classes = (h[new] >> np.uint64(40)).astype(np.int64) % _SKETCH_BINS
+    odd = np.bincount(line * _SKETCH_BINS + classes, minlength=len(lines) * _SKETCH_BINS) & 1
+    words = np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(len(lines), SKETCH_WORDS)
+    return np.column_stack([np.bincount(line, minlength=len(lines)), words])
+
+
 def parities(line: str, size: int = SHINGLE) -> list[int]:
-    """The number of a line's different shingles and, for each class of them (by their
-    hashes), whether it has an odd number: 1 + SKETCH_WORDS longs."""
-    h = np.unique(_hashes([line], size)[0])
-    odd = np.bincount((h >> np.uint64(40)).astype(np.int64) % _SKETCH_BINS, minlength=_SKETCH_BINS) & 1
-    return [len(h), *np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()]
+    return parities_of([line], size)[0].tolist()
 
 
 def sketch_alike(a: list[Column], b: list[Column]) -> Column:
@@ -156,8 +178,8 @@ def _line_hash(line: str) -> int:
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """doc_id, h, at, line, b0, ..., normal: every line with a word; the keys of its bands and
-    its text only where it is first met in a batch."""
+    """doc_id, h, at, line, weight, b0, ..., normal: every line with a word; only where it is
+    first met in a batch how often the batch has it, the keys of its bands and its text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches, "text", 64):
@@ -180,27 +202,30 @@ def occurrences(docs: DataFrame) -> DataFrame:
             new_ = np.array(new)
             which = pa.array(np.where(new_, np.cumsum(new_) - 1, 0), mask=~new_)
             picked = pa.array(rows, pa.int64())
+            first = {x: i for i, x in enumerate(met.values())}
+            weight = np.bincount([first[x] for x in line])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").take(picked),
                     batch.column("h").take(picked),
                     pa.array(at, pa.int32()),
                     pa.array(np.array(line, np.uint64).view(np.int64)),
+                    pa.array(weight).take(which),
                     *(pa.array(columns[:, b]).take(which) for b in range(columns.shape[1])),
                     texts.take(which),
                 ],
-                names=["doc_id", "h", "at", "line", *_BAND_NAMES, "normal"],
+                names=["doc_id", "h", "at", "line", "weight", *_BAND_NAMES, "normal"],
             )
 
     longs = ", ".join(f"{b} bigint" for b in _BAND_NAMES)
-    schema = T.StructType([docs.schema["doc_id"], *T.StructType.fromDDL(f"h bigint, at int, line bigint, {longs}, normal string")])
+    schema = T.StructType([docs.schema["doc_id"], *T.StructType.fromDDL(f"h bigint, at int, line bigint, weight bigint, {longs}, normal string")])
     return map_batches(docs.select("doc_id", "h", "text"), run, schema)
 
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in parts(batches, "normal"):
-        columns = list(zip(*(parities(t.as_py()) for t in batch.column("normal")))) or [[]] * len(_SKETCH_NAMES)
-        sketch = {c: pa.array(v, pa.int64()) for c, v in zip(_SKETCH_NAMES, columns)}
+    for batch in parts(batches, "normal", size=1 << 18):
+        columns = parities_of(batch.column("normal").to_pylist())
+        sketch = {c: pa.array(columns[:, i]) for i, c in enumerate(_SKETCH_NAMES)}
         yield with_columns(batch, ["line", "normal"], **sketch)
 
 
@@ -211,17 +236,38 @@ def line_texts(seen: DataFrame, wanted: DataFrame) -> DataFrame:
     return map_batches(texts, _sketched, "line bigint, normal string, " + ", ".join(f"{c} bigint" for c in _SKETCH_NAMES))
 
 
+def _packed(line: str) -> np.ndarray | None:
+    """The different shingles of a line of one-byte characters, each as eight bytes, in order."""
+    if len(line) < SHINGLE:
+        return None
+    try:
+        held = line.encode("latin-1")
+    except UnicodeEncodeError:
+        return None
+    runs = np.ndarray(len(held) - SHINGLE + 1, np.uint64, held, strides=(1,)).copy()
+    runs.sort()
+    new = np.ones(len(runs), bool)
+    np.not_equal(runs[1:], runs[:-1], out=new[1:])
+    return runs[new]
+
+
+def _packed_similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """``similarity`` of two packed lines: what both have stands twice side by side."""
+    every = np.concatenate((a, b))
+    every.sort()
+    both = int(np.count_nonzero(every[1:] == every[:-1]))
+    return both / (len(every) - both)
+
+
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known: dict[str, set[str]] = {}
+    packed = WordCache(_packed, 256, 1 << 16)
+    plain = WordCache(shingles, 256, 1 << 16)
     for batch in batches:
         linked = []
         for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-            if len(known) > 256:
-                known.clear()
-            for t in (x, y):
-                if t not in known:
-                    known[t] = shingles(t)
-            linked.append(similarity(known[x], known[y]) >= SIMILARITY)
+            a, b = packed[x], packed[y]
+            s = similarity(plain[x], plain[y]) if a is None or b is None else _packed_similarity(a, b)
+            linked.append(s >= SIMILARITY)
         yield batch.select(["a", "b", "ra", "rb"]).filter(pa.array(linked, pa.bool_()))
 
 
@@ -247,16 +293,14 @@ def prepared(seen: DataFrame):
 def duplicate_lines(docs: DataFrame) -> DataFrame:
     """doc_id, h, gone: for each document (id and hash of its text) the places (from 0,
     between line feeds) of the lines that repeat or resemble an earlier one."""
-    seen = keep(occurrences(docs))
-    lines = keep(seen.groupBy("line").agg(F.count("*").alias("weight"), *(F.max(b).alias(b) for b in _BAND_NAMES)))
-    index = lambda names: lines.select(F.col("line").alias("node"), "weight", F.explode(F.array(*names)).alias("key"))
-    indexes = (index([_BAND_NAMES[b] for b in numbers]) for numbers in ROUNDS)
-    roots = carried_components(indexes, prepared(seen), sketch_alike, docs.sparkSession)
+    # keys and texts hardly repeat
+    seen = keep(occurrences(docs), plain=[*_BAND_NAMES, "normal"])
+    index = seen.where("normal is not null").select(F.col("line").alias("node"), "weight", *_BAND_NAMES)
+    roots = carried_components([index], prepared(seen), sketch_alike, docs.sparkSession)
     # only lines that repeat, or that others resemble, can go
-    linked = F.col("_node").isNotNull()
-    r = roots.select(F.col("node").alias("_node"), "root")
-    several = lines.join(r, lines["line"] == r["_node"], "left").where(linked | (F.col("weight") > 1))
-    several = several.select(F.col("line").alias("l"), F.coalesce("root", "line").alias("root"))
+    repeated = seen.groupBy("line").agg(F.count("*").alias("n")).where("n > 1").select(F.col("line").alias("node"), F.col("line").alias("root"))
+    several = roots.unionAll(repeated.join(roots, "node", "left_anti")).select(F.col("node").alias("l"), "root")
+    several = sized(keep(several))
     places = keep(seen.join(several, seen["line"] == several["l"]).select("doc_id", "h", "at", "root"))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "at")
     first = places.groupBy("root").agg(F.min(place).alias("first")).withColumnRenamed("root", "r")
@@ -276,7 +320,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     keyed = narrow(docs, doc_id=id_col, text=text_col).withColumn("h", F.xxhash64("text"))
     gone = finished(docs.sparkSession, lambda: duplicate_lines(keyed)).select(F.col("doc_id").alias("g_id"), F.col("h").alias("g_h"), "gone")
     rows = docs.select(F.struct("*").alias("row"), F.col(f"`{id_col}`").alias("k"), F.xxhash64(text).alias("h"))
-    joined = rows.join(gone, rows["k"].eqNullSafe(gone["g_id"]) & (rows["h"] == gone["g_h"]), "left")
+    # texts pass by the few numbers of their own: no sort
+    joined = rows.join(gone.hint("shuffle_hash"), rows["k"].eqNullSafe(gone["g_id"]) & (rows["h"] == gone["g_h"]), "left")
     own = F.col(f"row.`{text_col}`")
     cut = joined.withColumn("_lines", F.split(own, "\n"))
     stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "gone")

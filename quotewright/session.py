@@ -125,18 +125,21 @@ def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
                     spark.conf.set(_CLEANUP, state[1])
 
 
-def keep(df: DataFrame, file_rows: int = 0) -> DataFrame:
+def keep(df: DataFrame, file_rows: int = 0, plain: Iterable[str] = ()) -> DataFrame:
     """Write an intermediate that several branches read, and read it back: it is
     computed once, and a lost executor costs only its own tasks. The shuffle files of the
     writing are dropped when it is done, not when the driver next collects garbage.
-    ``file_rows``, where given, are a file's rows at most."""
-    return _write(df, new_folder(df.sparkSession), file_rows)
+    ``file_rows``, where given, are a file's rows at most; columns ``plain``, whose values
+    hardly repeat, are written without trying a dictionary."""
+    return _write(df, new_folder(df.sparkSession), file_rows, plain)
 
 
-def _write(df: DataFrame, folder: str, file_rows: int = 0) -> DataFrame:
+def _write(df: DataFrame, folder: str, file_rows: int = 0, plain: Iterable[str] = ()) -> DataFrame:
     spark = df.sparkSession
+    writer = df.write.option("maxRecordsPerFile", file_rows) if file_rows else df.write
+    writer = writer.options(**{f"parquet.enable.dictionary#{c}": "false" for c in plain})
     with _shuffles_dropped(spark):
-        (df.write.option("maxRecordsPerFile", file_rows) if file_rows else df.write).parquet(folder)
+        writer.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 

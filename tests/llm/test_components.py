@@ -1,11 +1,12 @@
 """Distributed union-find and links within buckets against plain union-find."""
 
 import random
+from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
-from quotewright.llm.components import bucket_components, carried_components, components
+from quotewright.llm.components import _ENTRIES, bucket_components, carried_components, components, shared_keys
 
 
 def roots_of(edges):
@@ -69,3 +70,40 @@ def test_carried_components_lose_no_link(spark):
     assert len(calls) == 3
     nothing = carried_components([df.where("i = 5").select("node", "weight", "key")], prepare, lambda a, b: F.lit(True), spark)
     assert nothing.count() == 0 and len(calls) == 3
+
+
+def test_shared_keys_are_those_of_two_nodes_or_more(spark):
+    """Keys in three columns, one of them in every row, rows that come twice, extreme values."""
+    rng = random.Random(21)
+    ends = [-(1 << 63), (1 << 63) - 1, 0, -1]
+    rows = [(rng.choice(ends) if i % 50 == 0 else rng.randrange(-900, 900), *(rng.choice([*ends, *range(2000)]) for _ in range(2)), 77) for i in range(1500)]
+    rows += rows[:400] + [(5, 1 << 40, 1 << 41, 77)] * 3
+    nodes = defaultdict(set)
+    for node, *keys in rows:
+        for k in keys:
+            nodes[k].add(node)
+    df = spark.createDataFrame(rows, "node long, a long, b long, c long").repartition(3)
+    found = sorted(r.key for r in shared_keys(df).collect())
+    assert found == sorted(k for k, v in nodes.items() if len(v) > 1)
+    assert 1 << 40 not in found and len(found) > 100
+    assert shared_keys(df.limit(0)).collect() == [] and _ENTRIES > 3 * len(rows)
+    many = spark.range(1_000_000).select(F.col("id").alias("node"), F.floor(F.col("id") / 2 + 0.5).alias("key"))
+    assert shared_keys(many).select(F.count("*"), F.min("key"), F.max("key"), F.countDistinct("key")).first() == (499_999, 1, 499_999, 499_999)
+
+
+def test_entries_that_repeat_add_their_weights(spark):
+    """The heaviest node of a bucket is that of the greatest sum."""
+    rows = [(1, 3, 0), (2, 2, 0), (2, 2, 0), (3, 1, 0), (8, 9, 1), (8, 9, 1)]
+    stars = []
+
+    def prepare(live):
+        def verify(pairs):
+            stars.append(sorted((r.a, r.b) for r in pairs.collect()))
+            return pairs
+
+        return verify, None
+
+    df = spark.createDataFrame(rows, "node long, weight long, key long")
+    got = carried_components([df], prepare, lambda a, b: F.lit(True), spark)
+    assert {r.node: r.root for r in got.collect()} == {1: 1, 2: 1, 3: 1}
+    assert stars[0] == [(1, 2), (3, 2)]

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -141,3 +142,54 @@ def test_no_short_link_is_lost_in_a_crowded_bucket(frame):
     roots = carried_components([index, index], L.prepared(seen), L.sketch_alike, docs.sparkSession, salt=256)
     node = {r.normal: r.line for r in seen.select("normal", "line").collect()}
     assert {r.node: r.root for r in roots.collect()} == roots_of([(node[lines[i]], node[lines[j]]) for i, j in near])
+
+
+def test_candidates_texts_are_fetched_once(frame, rows, monkeypatch):
+    """All bands are one index: the texts of all lines are read once, not once a round."""
+    fetched, line_texts = [], L.line_texts
+    monkeypatch.setattr(L, "line_texts", lambda seen, wanted: fetched.append(1) or line_texts(seen, wanted))
+    assert L.dedup_lines(frame([(*r, "en", "s") for r in rows])).count() == len(rows)
+    assert len(fetched) == 1
+
+
+def test_packed_similarity_is_that_of_the_sets():
+    rng = random.Random(17)
+    lines = ["a", "abcdefg", "abcdefgh", "abcdefghi", "aaaaaaaaaaaa", "é" * 20, "\0" * 9, "ab\0" * 5, "中文字符测试一二三四", "é中" * 9]
+    for _ in range(150):
+        a = "".join(rng.choices("abé\xff ", k=rng.randrange(8, 60)))
+        at = rng.randrange(len(a))
+        lines += [a, a[:at] + rng.choice("abz中") + a[at + 1 :]]
+    assert sum(L._packed(x) is None for x in lines) < len(lines) / 3
+    pairs = list(zip(lines, lines[1:])) + [(x, x) for x in lines]
+    for x, y in pairs:
+        a, b = L._packed(x), L._packed(y)
+        if a is not None and b is not None:
+            assert L._packed_similarity(a, b) == L.similarity(L.shingles(x), L.shingles(y))
+    batch = pa.record_batch({c: list(range(len(pairs))) for c in ("a", "b", "ra", "rb")} | {"x": [x for x, _ in pairs], "y": [y for _, y in pairs]})
+    kept = [i for b in L._similar(iter([batch])) for i in b.column("a").to_pylist()]
+    assert kept == [i for i, (x, y) in enumerate(pairs) if L.similarity(L.shingles(x), L.shingles(y)) >= 0.8]
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 5, 8])
+def test_hashes_and_parities_of_many_lines_are_those_of_each(size):
+    """Shingles' hashes by the plain polynomial; classes of different shingles by counting."""
+    rng = random.Random(size)
+    lines = ["a", "ab", "é\U0001f600", "x" * 300] + ["".join(rng.choices("abcdé中 ", k=rng.randrange(1, 90))) for _ in range(80)]
+    ones = 0xFFFFFFFFFFFFFFFF
+    h, count = L._hashes(lines, size)
+    together = L.parities_of(lines, size)
+    start = 0
+    for x, n, own in zip(lines, count.tolist(), together.tolist()):
+        expected = []
+        padded = x + "\0" * (size - len(x))
+        for i in range(len(padded) - size + 1):
+            v = 0
+            for c in padded[i : i + size]:
+                v = v * 0x100000001B3 + ord(c) & ones
+            v = (v ^ v >> 31) * 0x9E3779B97F4A7C15 & ones
+            expected.append((v ^ v >> 29) * 0xBF58476D1CE4E5B9 & ones)
+        assert h[start : start + n].tolist() == expected
+        start += n
+        odd = np.bincount([(v >> 40) % 1024 for v in set(expected)], minlength=1024) & 1
+        assert own == [len(set(expected)), *np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()] == L.parities(x, size)
+    assert start == len(h)
